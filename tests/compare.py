@@ -35,3 +35,11 @@ def duck_rows(sf, sql):
     result = con.execute(sql)
     columns = [d[0] for d in result.description]
     return sorted(columns), sorted_rows(columns, result.fetchall())
+
+
+def duck_types(sf, sql):
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf}/*.parquet"):
+        name = os.path.basename(path).split(".")[0]
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}'")
+    return {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}

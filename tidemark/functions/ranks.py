@@ -17,8 +17,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.sketch import GRID, spread_quantiles
+
 MAX_ROWS = 1_000_000
-SKETCH_ACCURACY = 10_000
 
 
 @dataclass
@@ -75,11 +76,23 @@ def values_at_ranks(
 def _in_spans(rows: DataFrame, value: str, spans: Sequence[_Span], by: str | None) -> DataFrame:
     """Rows that lie in a span, with the span's number. Spans are disjoint."""
     v = F.col(value)
-
-    def inside(s: _Span) -> Column:
+    if by is not None:
+        kinds = [rows.schema[c].dataType.simpleString() for c in (by, value)]
+        table = rows.sparkSession.createDataFrame(
+            [(s.group, s.low, s.high, s.is_point(), i) for i, s in enumerate(spans)],
+            f"_of {kinds[0]}, _low {kinds[1]}, _high {kinds[1]}, _point boolean, _span int",
+        )
+        inside = F.when(F.col("_point"), v == F.col("_low")).otherwise(
+            (F.col("_low").isNull() | (v > F.col("_low"))) & (F.col("_high").isNull() | (v < F.col("_high")))
+        )
+        # One row per wanted rank at most, all known to the driver.
+        joined = rows.join(F.broadcast(table), F.col(by).eqNullSafe(F.col("_of")) & inside)
+        return joined.select(*rows.columns, "_span")
+
+    def inside_of(s: _Span) -> Column:
         if s.is_point():
             return v == F.lit(s.low)
-        test = F.lit(True)
+        test = v.isNotNull()
         if s.low is not None:
             test = test & (v > F.lit(s.low))
         if s.high is not None:
@@ -87,68 +100,53 @@ def _in_spans(rows: DataFrame, value: str, spans: Sequence[_Span], by: str | Non
         return test
 
     number = F.lit(None).cast("int")
-    if by is None:
-        for i, s in reversed(list(enumerate(spans))):
-            number = F.when(inside(s), F.lit(i)).otherwise(number)
-    else:
-        groups: dict[Any, list[int]] = {}
-        for i, s in enumerate(spans):
-            groups.setdefault(s.group, []).append(i)
-        for group, members in groups.items():
-            chain = F.lit(None).cast("int")
-            for i in reversed(members):
-                chain = F.when(inside(spans[i]), F.lit(i)).otherwise(chain)
-            number = F.when(F.col(by).eqNullSafe(F.lit(group)), chain).otherwise(number)
+    for i, s in enumerate(spans):
+        number = F.when(inside_of(s), F.lit(i)).otherwise(number)
     return rows.withColumn("_span", number).filter("_span IS NOT NULL")
 
 
 def _narrow(rows, value, spans, by, found, keep_points) -> list[_Span]:
     marked = _in_spans(rows, value, spans, by)
-    step = 2.0 / SKETCH_ACCURACY
-    offers = sorted(
-        {
-            min(1.0, max(0.0, (r - s.before) / max(1, s.size - 1) + d))
-            for s in spans
-            for r in s.ranks
-            for d in (-step, step)
-        }
-    )
-    sketches = marked.groupBy("_span").agg(
-        F.percentile_approx(value, F.array(*[F.lit(p) for p in offers]), F.lit(SKETCH_ACCURACY)).alias("p")
+    near = {
+        round((r - s.before) / max(1, s.size - 1) * GRID) + step
+        for s in spans
+        for r in s.ranks
+        for step in (-2, 2)
+    }
+    offers = sorted({min(1.0, max(0.0, n / GRID)) for n in near})
+    kind = rows.schema[value].dataType.simpleString()
+    pivots = spread_quantiles(marked, value, offers, ["_span"]).select(
+        "_span", F.sort_array(F.array_distinct(F.col("p").cast(f"array<{kind}>"))).alias("p")
     )
-    pivots = {r["_span"]: sorted(set(r["p"])) for r in sketches.collect()}
+    points = {r["_span"]: r["p"] for r in pivots.collect()}
 
     # Slot 2i is the open stretch before pivot i, slot 2i+1 the pivot itself.
-    slot = F.lit(None).cast("int")
-    for i, points in pivots.items():
-        edges = F.array(*[F.lit(p) for p in points])
-        below = F.size(F.filter(edges, lambda p: p < F.col(value)))
-        here = F.array_contains(edges, F.col(value)).cast("int")
-        slot = F.when(F.col("_span") == i, 2 * below + here).otherwise(slot)
+    table = rows.sparkSession.createDataFrame(list(points.items()), f"_span int, _p array<{kind}>")
+    below = F.size(F.filter("_p", lambda p: p < F.col(value)))
+    here = F.array_contains("_p", F.col(value)).cast("int")
+    slots = marked.join(F.broadcast(table), "_span").select("_span", (2 * below + here).alias("slot"))
     counts: dict[int, dict[int, int]] = {}
-    for r in marked.groupBy("_span", slot.alias("slot")).count().collect():
+    for r in slots.groupBy("_span", "slot").count().collect():
         counts.setdefault(r["_span"], {})[r["slot"]] = r["count"]
 
     narrowed: dict[tuple[int, int], _Span] = {}
     for i, s in enumerate(spans):
-        points, histogram = pivots[i], counts[i]
-        starts, total = [], s.before
-        slots = sorted(histogram)
-        for k in slots:
+        histogram = counts[i]
+        slots_here, starts, total = sorted(histogram), [], s.before
+        for k in slots_here:
             starts.append(total)
             total += histogram[k]
         for rank in s.ranks:
             at = bisect.bisect_right(starts, rank) - 1
-            k = slots[at]
+            k = slots_here[at]
             if k % 2 == 1:
-                point = points[k // 2]
+                low = high = points[i][k // 2]
                 if not keep_points:
-                    found[s.group, rank] = point
+                    found[s.group, rank] = low
                     continue
-                low = high = point
             else:
-                low = points[k // 2 - 1] if k >= 2 else s.low
-                high = points[k // 2] if k // 2 < len(points) else s.high
+                low = points[i][k // 2 - 1] if k >= 2 else s.low
+                high = points[i][k // 2] if k // 2 < len(points[i]) else s.high
             span = narrowed.setdefault((i, k), _Span(s.group, low, high, starts[at], histogram[k], []))
             span.ranks.append(rank)
     return list(narrowed.values())

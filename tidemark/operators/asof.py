@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.columns import bucket_of
+from tidemark.functions.sketch import spread_quantiles
 from tidemark.operators.checks import keep_samples
 
 HOT_ROWS = 2_000_000
@@ -202,29 +203,12 @@ def _time_edges(times: DataFrame, hot_rows: int) -> list[Column]:
     pieces = min(MAX_BUCKETS, -(-2 * total // hot_rows))
     if pieces < 2:
         return []
-    shares = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
     kind = times.schema["_t"].dataType
-    points = times.agg(F.percentile_approx("_t", shares, F.lit(10_000)).alias("p"))
+    points = spread_quantiles(times, "_t", [i / pieces for i in range(1, pieces)])
     texts = points.select(F.sort_array(F.array_distinct("p")).cast("array<string>").alias("p")).first()["p"]
     return [F.lit(text).cast(kind) for text in texts]
 
 
-def view_join(entities: DataFrame, view, rows: DataFrame, full_names: bool = False, **options) -> DataFrame:
-    """``as_of_join`` with the keys, times, features and lifetime a feature view declares."""
-    return as_of_join(
-        entities,
-        rows,
-        view.entity.join_keys,
-        view.source.timestamp_column,
-        view.features,
-        created=view.source.created_column,
-        ttl=timedelta(days=view.ttl_days),
-        view=view.view_name,
-        full_names=full_names,
-        **options,
-    )
-
-
 def training_set(
     entities: DataFrame,
     features: DataFrame,

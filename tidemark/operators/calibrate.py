@@ -92,10 +92,9 @@ class CalibratedClassifier:
             out = _calibrated(out, f"_raw{i}", curves, f"_cal{i}").drop(f"_raw{i}")
         parts = [F.col(f"_cal{i}") for i in range(len(self.members))]
         means = [sum((p[j] for p in parts[1:]), parts[0][j]) / len(parts) for j in range(len(self.classes))]
-        labels = F.array(*[F.lit(c) for c in self.classes])
         best = F.array_position(F.col(probability), F.array_max(F.col(probability))).cast("int")
         out = out.withColumn(probability, F.array(*means)).drop(*[f"_cal{i}" for i in range(len(parts))])
-        return out.withColumn(prediction, F.element_at(labels, best))
+        return out.withColumn(prediction, F.element_at(self.members[0][0].trees.labels(), best))
 
     predict = transform
 
@@ -181,7 +180,7 @@ class CalibratedPipeline:
             folded = stratified_kfold(narrow, key, label, spec.folds, self.seed, fold="_part")
         else:
             folded = kfold(narrow, key, spec.folds, self.seed, fold="_part")
-        folded = write_through(folded, "calibration")
+        folded = write_through(folded, "calibration", "_part")
 
         def one(fold: int) -> tuple[FittedClassifier, DataFrame]:
             fitted = self.pipeline.fit(folded.filter(F.col("_part") != fold), label, classes)

@@ -51,11 +51,12 @@ def _moment(value: datetime | Column) -> Column:
 class LatestTable:
     """Latest features per key, stored as a sequence of small deltas.
 
-    Each materialisation writes only its own reduced rows, to ``rows/batch=<n>``; reading
-    reduces the deltas to one row per key. So an update costs as much as the update is large,
-    not as the table is. ``compact`` folds the deltas into a new first one. A batch that is
-    run again replaces its own folder, which makes retries harmless. ``log`` holds one row
-    per finished batch: the window it covered.
+    Each materialisation writes only its own reduced rows, to ``rows/origin=<o>/batch=<n>``;
+    reading reduces the deltas to one row per key. So an update costs as much as the update is
+    large, not as the table is. ``compact`` folds the deltas into a new first one. A batch
+    that is run again replaces its own folder, which makes retries harmless; batches of
+    different origins (this class, or a stream by its name) do not meet. ``log`` holds one
+    row per finished batch: the moment up to which it covered the source.
     """
 
     def __init__(
@@ -96,24 +97,26 @@ class LatestTable:
             df = df.filter(F.col(self.timestamp) > _moment(covered))
         return self.materialize(df, columns, datetime(1, 1, 1), end)
 
-    def write_batch(self, reduced: DataFrame, batch: int, end: datetime | None) -> "LatestTable":
+    def write_batch(
+        self, reduced: DataFrame, batch: int, end: datetime | None = None, origin: str = "batch"
+    ) -> "LatestTable":
         """Store one reduced delta under its number, then note it in the log."""
-        reduced.write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch}")
+        place = f"origin={origin}/batch={batch}"
+        reduced.write.mode("overwrite").parquet(f"{self.path}/rows/{place}")
         note = self.spark.createDataFrame([(end,)], "covered_until timestamp_ntz")
-        note.write.mode("overwrite").parquet(f"{self.path}/log/batch={batch}")
+        note.write.mode("overwrite").parquet(f"{self.path}/log/{place}")
         return self
 
     def covered_until(self) -> datetime | None:
-        """End of the newest window that has been materialised."""
-        log = self._read("log")
-        return None if log is None else log.agg(F.max("covered_until")).first()[0]
+        """End of the newest window that has been materialised from the source table."""
+        return self._log("covered_until")
 
     def read(self, only: DataFrame | None = None) -> DataFrame:
         """One row per key: the latest. ``only`` restricts to some keys before reducing."""
         rows = self._read("rows")
         if rows is None:
             raise RuntimeError(f"nothing has been materialised at {self.path}")
-        columns = [c for c in rows.columns if c not in (*self.keys, "batch")]
+        columns = [c for c in rows.columns if c not in (*self.keys, "origin", "batch")]
         if only is not None:
             rows = rows.join(only.select(*self.keys), self.keys, "left_semi")
         return latest_per_key(rows, self.keys, self.timestamp, columns, self.created, self.tiebreak)
@@ -136,10 +139,13 @@ class LatestTable:
         return fresh.write_batch(self.read(), 0, self.covered_until())
 
     def _next_batch(self) -> int:
-        log = self._read("log")
-        last = None if log is None else log.agg(F.max("batch")).first()[0]
+        last = self._log("batch")
         return 0 if last is None else last + 1
 
+    def _log(self, column: str):
+        log = self._read("log")
+        return None if log is None else log.filter("origin = 'batch'").agg(F.max(column)).first()[0]
+
     def _read(self, part: str) -> DataFrame | None:
         try:
             return self.spark.read.parquet(f"{self.path}/{part}")

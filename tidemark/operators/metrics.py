@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import bucket_of
+from tidemark.functions.sketch import spread_quantiles
 from tidemark.specs import METRICS
 
 MAX_BUCKETS = 1_024
@@ -140,11 +141,9 @@ def _ranked_totals(df: DataFrame, score: str, counts: list[Column], bucket_rows:
 
 
 def _score_edges(df: DataFrame, score: str, bucket_rows: int) -> list[Column]:
-    shares = F.array(*[F.lit(i / MAX_BUCKETS) for i in range(1, MAX_BUCKETS)])
-    row = df.agg(F.count(score), F.percentile_approx(F.col(score).cast("double"), shares, F.lit(10_000))).first()
-    pieces = min(MAX_BUCKETS, -(-row[0] // bucket_rows))
+    pieces = min(MAX_BUCKETS, -(-df.count() // bucket_rows))
     if pieces < 2:
         return []
-    every = MAX_BUCKETS / pieces
-    points = [row[1][int(i * every) - 1] for i in range(1, pieces)]
+    values = df.select(F.col(score).cast("double").alias("s"))
+    points = spread_quantiles(values, "s", [i / pieces for i in range(1, pieces)]).first()["p"]
     return [F.lit(p) for p in sorted(set(points))]

@@ -9,8 +9,9 @@ from typing import Any
 
 from pyspark.ml.classification import GBTClassifier, OneVsRest
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tidemark.functions.columns import missing_as_null
 from tidemark.operators.checks import check_prediction_frame, check_training_frame, class_list, require_finite
@@ -56,8 +57,13 @@ class BoostedTrees:
     spec: ClassifierSpec
     features: list[str]
     classes: list
+    label_type: DataType
     models: list
 
+    def labels(self) -> Column:
+        """The classes as an array of the label's type."""
+        return F.array(*[F.lit(c).cast(self.label_type) for c in self.classes])
+
     def score(self, df: DataFrame, vector: Column, probability: str, prediction: str) -> DataFrame:
         """Add the class probabilities (in the order of ``classes``) and the predicted class."""
         out = df.withColumn("_x", vector)
@@ -73,13 +79,12 @@ class BoostedTrees:
             alone = F.array(*[vector_to_array(f"_p{i}")[1] for i in range(len(self.models))])
             total = F.aggregate(alone, F.lit(0.0), lambda a, b: a + b)
             shares = F.transform(alone, lambda p: p / total)
-        labels = F.array(*[F.lit(c) for c in self.classes])
         best = F.array_position(F.col(probability), F.array_max(F.col(probability))).cast("int")
         if len(self.models) == 1:
             best = F.col("_y0").cast("int") + 1
         made = [c for c in out.columns if c not in df.columns]
         return (
-            out.withColumn(probability, shares).withColumn(prediction, F.element_at(labels, best)).drop(*made)
+            out.withColumn(probability, shares).withColumn(prediction, F.element_at(self.labels(), best)).drop(*made)
         )
 
     def importance(self) -> DataFrame:
@@ -88,8 +93,6 @@ class BoostedTrees:
         rows = [
             (name, float(sum(v[i] for v in vectors) / len(vectors))) for i, name in enumerate(self.features)
         ]
-        from pyspark.sql import SparkSession
-
         return SparkSession.active().createDataFrame(rows, "feature string, importance double")
 
 
@@ -106,7 +109,7 @@ def fit_trees(
         models = [trees.fit(rows)]
     else:
         models = OneVsRest(classifier=trees, parallelism=min(4, len(classes))).fit(rows).models
-    return BoostedTrees(spec, list(features), classes, list(models))
+    return BoostedTrees(spec, list(features), classes, df.schema[label].dataType, list(models))
 
 
 @dataclass
@@ -132,6 +135,10 @@ class FittedClassifier:
         return self.trees.score(df, self.vector(df), probability, prediction)
 
     def predict(self, df: DataFrame) -> DataFrame:
+        """``transform`` after checking that the frame has rows and every feature."""
+        missing = [f.spec.feature_name for f in self.prep.features if f.spec.feature_name not in df.columns]
+        if missing:
+            raise ValueError(f"features not in the frame: {missing}")
         check_prediction_frame(df, self.passthrough)
         return self.transform(df)
 

@@ -182,40 +182,60 @@ def most_frequent(counts: DataFrame) -> DataFrame:
 
 
 def _fit_categorical(df: DataFrame, features: list[FittedFeature]) -> None:
-    """Counts per value, grouped on the executors; only fill values and categories come back."""
+    """Fill values and categories from one count per value.
+
+    The counts of narrow columns are few and all come back; columns with more values than
+    one-hot encoding allows are reduced on the executors instead.
+    """
     if not features:
         return
     by_name = {f.spec.feature_name: f for f in features}
-    imputed = [f for f in features if f.spec.imputer_enabled]
-    by_mode = [f.spec.feature_name for f in imputed if f.spec.imputer_strategy == "most_frequent"]
-    for f in imputed:
-        if f.spec.imputer_strategy == "constant":
+    encoded = [n for n, f in by_name.items() if f.spec.encoder_enabled and f.spec.encoder_type != "none"]
+    by_mode = []
+    for n, f in by_name.items():
+        if f.spec.imputer_enabled and f.spec.imputer_strategy == "most_frequent":
+            by_mode.append(n)
+        elif f.spec.imputer_enabled:
             f.fill = f.spec.imputer_fill_value
-    if by_mode:
-        for r in most_frequent(value_counts(df, by_mode)).collect():
-            by_name[r["name"]].fill = r["value"]
-        empty = [n for n in by_mode if by_name[n].fill is None]
-        if empty:
-            raise ValueError(f"columns without any value cannot be imputed from the data: {empty}")
 
-    encoded = [f for f in features if f.spec.encoder_enabled and f.spec.encoder_type != "none"]
-    if not encoded:
+    names = list(dict.fromkeys([*by_mode, *encoded]))
+    if not names:
         return
-    pairs = [
-        F.struct(F.lit(f.spec.feature_name).alias("name"), f.imputed(df).cast("string").alias("value"))
-        for f in encoded
-    ]
-    long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.name", "p.value")
-    found = long.filter("value IS NOT NULL").distinct().limit(MAX_CATEGORIES * len(encoded) + 1).collect()
-    for r in found:
-        by_name[r["name"]].categories.append(r["value"])
-    for f in encoded:
-        f.categories.sort()
-        if len(f.categories) > MAX_CATEGORIES or len(found) > MAX_CATEGORIES * len(encoded):
-            raise ValueError(
-                f"one column per category is limited to {MAX_CATEGORIES} categories; "
-                "use category_positions for wider columns"
-            )
+    counts = value_counts(df, names)
+    limit = (MAX_CATEGORIES + 1) * len(names)
+    found = counts.limit(limit + 1).collect()
+    values: dict[str, list[str]] = {n: [] for n in names}
+    if len(found) <= limit:
+        for r in sorted((r for r in found if r["value"] is not None), key=lambda r: (-r["n"], r["value"])):
+            values[r["name"]].append(r["value"])
+        for n in by_mode:
+            by_name[n].fill = next(iter(values[n]), None)
+    else:
+        for r in most_frequent(counts.filter(F.col("name").isin(by_mode))).collect():
+            by_name[r["name"]].fill = r["value"]
+        narrow = counts.filter(F.col("name").isin(encoded) & F.col("value").isNotNull())
+        for r in narrow.select("name", "value").limit(MAX_CATEGORIES * len(encoded) + 1).collect():
+            values[r["name"]].append(r["value"])
+        if sum(map(len, values.values())) > MAX_CATEGORIES * len(encoded):
+            _too_many(encoded)
+    missing = {r["name"] for r in found if r["value"] is None}
+
+    empty = [n for n in by_mode if by_name[n].fill is None]
+    if empty:
+        raise ValueError(f"columns without any value cannot be imputed from the data: {empty}")
+    for n in encoded:
+        f = by_name[n]
+        extra = {f.fill} if f.fill is not None and n in missing else set()
+        f.categories = sorted({*values[n], *extra})
+        if len(f.categories) > MAX_CATEGORIES:
+            _too_many([n])
+
+
+def _too_many(names: Sequence[str]) -> None:
+    raise ValueError(
+        f"one column per category is limited to {MAX_CATEGORIES} categories (in {list(names)}); "
+        "use category_positions for wider columns"
+    )
 
 
 def category_positions(df: DataFrame, name: str) -> DataFrame:

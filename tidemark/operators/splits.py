@@ -30,7 +30,8 @@ def kfold(
     cuts = _starts([total // n_splits + (i < total % n_splits) for i in range(n_splits)], total)
     at = values_at_ranks(narrow, "_h", {None: cuts}, {None: total}, tie="_id", max_rows=max_rows)
     edges = [_pair(F.lit(at[None, r][0]), F.lit(at[None, r][1])) for r in cuts]
-    return df.withColumn(fold, bucket_of(_pair(shuffle_key(seed, [key]), F.col(key)), edges))
+    placed = df.withColumn("_here", _pair(shuffle_key(seed, [key]), F.col(key)))
+    return placed.withColumn(fold, bucket_of(F.col("_here"), edges)).drop("_here")
 
 
 def stratified_kfold(
@@ -156,7 +157,7 @@ def _cut_by_label(df, key, label, sizes, blocks, seed, fold, max_rows) -> DataFr
     # One row per label: at most MAX_CLASSES rows, known to the driver.
     kind = f"_g {df.schema[label].dataType.simpleString()}, _cuts array<struct<h:bigint,id:{df.schema[key].dataType.simpleString()}>>"
     table = df.sparkSession.createDataFrame([(g, [at[g, r] for r in cuts[g]]) for g in sizes], kind)
-    here = _pair(hashed, F.col(key))
-    joined = df.join(F.broadcast(table), F.col(label) == F.col("_g"))
-    number = F.size(F.filter("_cuts", lambda c: c <= here))
-    return joined.withColumn(fold, number).drop("_g", "_cuts")
+    placed = df.withColumn("_here", _pair(hashed, F.col(key)))
+    joined = placed.join(F.broadcast(table), F.col(label) == F.col("_g"))
+    number = F.size(F.filter("_cuts", lambda c: c <= F.col("_here")))
+    return joined.withColumn(fold, number).drop("_g", "_cuts", "_here")

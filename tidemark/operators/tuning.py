@@ -104,7 +104,7 @@ def search(
         folded = kfold(narrow, key, spec.n_splits, seed, fold="_fold")
     else:
         folded = stratified_kfold(narrow, key, label, spec.n_splits, seed, fold="_fold")
-    folded = write_through(folded, "folds")
+    folded = write_through(folded, "folds", "_fold")
     scorers = {name: SCORERS[metric] for name, metric in spec.scorers().items()}
 
     def run(task: tuple[int, int]) -> list[tuple]:

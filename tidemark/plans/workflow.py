@@ -38,7 +38,9 @@ def cross_validate(
     """
     classes = class_list(df, label)
     narrow = df.select(*dict.fromkeys([key, *pipeline.input_columns(df), label]))
-    folded = write_through(ordered_stratified_folds(narrow, key, label, folds, "_cv"), "validation")
+    folded = write_through(
+        ordered_stratified_folds(narrow, key, label, folds, "_cv"), "validation", "_cv"
+    )
 
     def one(fold: int) -> tuple[int, float]:
         fitted = pipeline.fit(folded.filter(F.col("_cv") != fold), label, classes)
@@ -60,7 +62,7 @@ def holdout_validate(
     """Fit on a stratified train part and score the rest; ``refit`` fits on all rows afterwards."""
     classes = class_list(df, label)
     narrow = df.select(*dict.fromkeys([key, *pipeline.input_columns(df), label]))
-    split = write_through(train_test_split(narrow, key, label, test_size, seed, "_test"), "holdout")
+    split = write_through(train_test_split(narrow, key, label, test_size, seed, "_test"), "holdout", "_test")
     train, test = split.filter("NOT _test"), split.filter("_test")
     fitted = pipeline.fit(train, label, classes)
     sizes = split.agg(F.count_if(~F.col("_test")), F.count_if("_test")).first()

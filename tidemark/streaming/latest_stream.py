@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql import functions as F
 
 from tidemark.operators.latest import LatestTable, latest_per_key
 
@@ -17,22 +16,20 @@ def stream_into(
     columns: Sequence[str],
     checkpoint: str,
     trigger: dict | None = None,
+    name: str = "stream",
 ) -> StreamingQuery:
     """Reduce every micro-batch to one row per key and add it as a delta of the table.
 
-    The delta is named after the batch id, so a batch replayed after a failure replaces what
-    it wrote before and the result is as if it ran once. No state is kept in memory, and rows
-    that arrive late lose by their event time when the table is read.
+    The delta is named after the stream and the batch id, so a batch replayed after a failure
+    replaces what it wrote before and the result is as if it ran once. No state is kept in
+    memory, and rows that arrive late lose by their event time when the table is read.
     """
     order = list(dict.fromkeys([table.timestamp, *([table.created] if table.created else []), *table.tiebreak]))
     kept = list(dict.fromkeys([*order, *columns]))
 
     def add(batch: DataFrame, batch_id: int) -> None:
         reduced = latest_per_key(batch, table.keys, table.timestamp, kept, table.created, table.tiebreak)
-        reduced.write.mode("overwrite").parquet(f"{table.path}/rows/batch={batch_id}")
-        written = batch.sparkSession.read.parquet(f"{table.path}/rows/batch={batch_id}")
-        covered = written.agg(F.max(F.col(table.timestamp).cast("timestamp_ntz")).alias("covered_until"))
-        covered.write.mode("overwrite").parquet(f"{table.path}/log/batch={batch_id}")
+        table.write_batch(reduced, batch_id, origin=name)
 
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

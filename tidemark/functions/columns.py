@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +51,29 @@ def shuffle_key(seed: int, ids: Sequence[str]) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
+def axis_position(column: Column, kind: T.DataType) -> Column:
+    """A number that never falls as the value grows, for times and numbers.
+
+    Times count in seconds. A time without zone is taken apart into date and clock, because
+    casting it through a zone would let it jump back at a change of the clocks.
+    """
+    if isinstance(kind, T.TimestampNTZType):
+        clock = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
+        return (F.unix_date(F.to_date(column)).cast("long") * 86_400 + clock).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(column).cast("double")
+    return column.cast("double")
+
+
+def with_bucket(df: DataFrame, position: Column, edges: Sequence[float], output: str) -> DataFrame:
+    """Add the number of the stretch between sorted edges in which a number lies."""
+    if not edges:
+        return df.withColumn(output, F.lit(0.0))
+    splits = [float("-inf"), *edges, float("inf")]
+    cut = Bucketizer(splits=splits, inputCol="_position", outputCol=output, handleInvalid="keep")
+    return cut.transform(df.withColumn("_position", position)).drop("_position")
+
+
 def bucket_of(column: Column, edges: Sequence[Column]) -> Column:
     """Number of edges at or below the value, found by halving the sorted edges."""
 

@@ -174,11 +174,11 @@ def exact_quantiles(
 ) -> dict[str, list[float]]:
     """Linearly interpolated quantiles of several numeric expressions (nulls ignored).
 
-    Expressions with few rows go through one exact aggregate; the others are narrowed
-    together in long form.
+    Few values go through one exact aggregate, which holds them in memory; otherwise the
+    ranks of all columns are narrowed together in long form.
     """
-    small = [c for c in columns if sizes[c] <= max_rows]
-    large = [c for c in columns if sizes[c] > max_rows]
+    few = sum(sizes[c] for c in columns) <= max_rows
+    small, large = (list(columns), []) if few else ([], list(columns))
     result: dict[str, list[float]] = {}
     if small:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import bucket_of
+from tidemark.functions.columns import axis_position, with_bucket
 from tidemark.functions.sketch import spread_quantiles
 from tidemark.operators.checks import keep_samples
 
 HOT_ROWS = 2_000_000
 MAX_HOT_KEYS = 10_000
-MAX_BUCKETS = 1_024
+MAX_STRETCHES = 1_024
 
 
 def entity_values(df: DataFrame, key: str) -> DataFrame:
@@ -96,20 +96,23 @@ def as_of_join(
         ).first()
         kind = _type_of(entities, entity_timestamp)
         right = right.filter(F.col("_t").between(F.lit(first).cast(kind), F.lit(last).cast(kind)))
+    rest = [c for c in entities.columns if c not in (*keys, entity_timestamp)]
     left = entities.select(
-        *keys, F.col(entity_timestamp).alias("_t"), F.struct(*entities.columns).alias("_e")
+        *keys, F.col(entity_timestamp).alias("_t"), F.struct(*rest, F.lit(0).alias("_")).alias("_e")
     )
 
-    hot = _hot_keys(left, right, keys, hot_rows)
+    hot, pieces = _hot_keys(left, right, keys, hot_rows)
     if hot is None:
         matched = _walk(left, right, keys)
     else:
         matched = _walk(left.filter(~hot), right.filter(~hot), keys).unionByName(
-            _walk_in_stretches(left.filter(hot), right.filter(hot), keys, hot_rows)
+            _walk_in_stretches(left.filter(hot), right.filter(hot), keys, pieces)
         )
-    fresh = F.lit(True) if ttl is None else F.col("_f._t") >= F.col(f"_e.{entity_timestamp}") - _interval(ttl)
+    fresh = F.lit(True) if ttl is None else F.col("_f._t") >= F.col("_t") - _interval(ttl)
+    place = {**{c: F.col(f"_e.`{c}`") for c in rest}, **{k: F.col(k) for k in keys}, entity_timestamp: F.col("_t")}
     return matched.select(
-        "_e.*", *[F.when(fresh, F.col(f"_f.{n}")).alias(n) for n in names]
+        *[place[c].alias(c) for c in entities.columns],
+        *[F.when(fresh, F.col(f"_f.`{n}`")).alias(n) for n in names],
     )
 
 
@@ -119,21 +122,28 @@ def _interval(span: timedelta) -> Column:
     )
 
 
-def _hot_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int | None) -> Column | None:
-    """Condition that holds for the keys with more than ``hot_rows`` rows, if there are any.
+def _hot_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int | None
+) -> tuple[Column | None, int]:
+    """Condition that holds for the keys with more than ``hot_rows`` rows, if there are any,
+    and the number of stretches to cut their rows into.
 
     Keys are counted by their hash; keys that share a hash are treated alike, which is as
     right, only slower. At most MAX_HOT_KEYS hashes come to the driver. Should there be more
     hot keys than that, all keys count as hot.
     """
     if hot_rows is None:
-        return None
+        return None, 0
     hashed = F.xxhash64(*keys)
     both = left.select(hashed.alias("h")).unionByName(right.select(hashed.alias("h")))
-    found = both.groupBy("h").count().filter(F.col("count") > hot_rows).select("h").limit(MAX_HOT_KEYS + 1).collect()
+    counts = both.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
+    found = counts.limit(MAX_HOT_KEYS + 1).collect()
     if not found:
-        return None
-    return F.lit(True) if len(found) > MAX_HOT_KEYS else hashed.isin([r["h"] for r in found])
+        return None, 0
+    if len(found) > MAX_HOT_KEYS:
+        return F.lit(True), MAX_STRETCHES
+    pieces = min(MAX_STRETCHES, -(-2 * sum(r["n"] for r in found) // hot_rows))
+    return hashed.isin([r["h"] for r in found]), pieces
 
 
 def _newest_so_far(window) -> Column:
@@ -160,30 +170,33 @@ def _stack(left: DataFrame, right: DataFrame, extra: Sequence[str]) -> DataFrame
 def _walk(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy("_t", "_side", "_order")
     walked = _stack(left, right, keys).withColumn("_f", _newest_so_far(window))
-    return walked.filter("_side = 1").select("_e", "_f")
+    return walked.filter("_side = 1").select(*keys, "_t", "_e", "_f")
 
 
-def _walk_in_stretches(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int) -> DataFrame:
+def _walk_in_stretches(left: DataFrame, right: DataFrame, keys: Sequence[str], pieces: int) -> DataFrame:
     """``_walk`` for keys too large for one task.
 
-    Rows with the same key and time are first reduced to one on either side, so that cutting
-    the time axis at quantiles of the remaining rows bounds every stretch.
+    The time axis is cut at quantiles of all these rows, which bounds every stretch but for
+    rows with the same key and time; those are reduced to one on either side.
     """
-    right = right.groupBy(*keys, "_t").agg(F.max_by("_f", "_order").alias("_f"))
-    moments = left.select(*keys, "_t").distinct()
-    edges = _time_edges(moments.select("_t").unionByName(right.select("_t")), hot_rows)
-    bucket = bucket_of(F.col("_t"), edges).alias("_bucket")
-    parts = [*keys, "_bucket"]
+    kind = right.schema["_t"].dataType
+    at = axis_position(F.col("_t"), kind)
+    times = left.select(at.alias("p")).unionByName(right.select(at.alias("p"))).filter("p IS NOT NULL")
+    points = spread_quantiles(times, "p", [i / pieces for i in range(1, pieces)]).first()["p"]
+    edges = sorted(set(points))
+    parts = [*keys, "_stretch"]
 
-    right = right.select(*keys, bucket, "_t", F.lit(None).cast("int").alias("_order"), "_f")
-    moments = moments.select(*keys, bucket, "_t", F.struct("_t").alias("_e"))
+    right = right.groupBy(*keys, "_t").agg(F.max_by("_f", "_order").alias("_f"))
+    right = with_bucket(right, at, edges, "_stretch").withColumn("_order", F.lit(None).cast("int"))
+    moments = with_bucket(left.select(*keys, "_t").distinct(), at, edges, "_stretch")
+    moments = moments.withColumn("_e", F.lit(0))
 
-    # The newest row before each stretch: one row per key and stretch, at most MAX_BUCKETS
+    # The newest row before each stretch: one row per key and stretch, at most MAX_STRETCHES
     # for a key.
     ends = right.groupBy(*parts).agg(F.max_by("_f", "_t").alias("_f"))
     starts = moments.select(*parts, F.lit(None).cast(right.schema["_f"].dataType).alias("_f")).distinct()
     ends = ends.unionByName(starts).groupBy(*parts).agg(F.first("_f", ignorenulls=True).alias("_f"))
-    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     handed = (
         ends.withColumn("_f", F.last("_f", ignorenulls=True).over(before))
         .filter("_f IS NOT NULL")
@@ -194,19 +207,7 @@ def _walk_in_stretches(left: DataFrame, right: DataFrame, keys: Sequence[str], h
     walked = _stack(moments, right.unionByName(handed), parts).withColumn("_f", _newest_so_far(window))
     answers = walked.filter("_side = 1").select(*keys, "_t", "_f")
     # Many entity rows may share a key and moment; AQE splits such a join partition.
-    return left.join(answers, [*keys, "_t"], "left").select("_e", "_f")
-
-
-def _time_edges(times: DataFrame, hot_rows: int) -> list[Column]:
-    """Quantiles of the times at which to cut, as literals."""
-    total = times.count()
-    pieces = min(MAX_BUCKETS, -(-2 * total // hot_rows))
-    if pieces < 2:
-        return []
-    kind = times.schema["_t"].dataType
-    points = spread_quantiles(times, "_t", [i / pieces for i in range(1, pieces)])
-    texts = points.select(F.sort_array(F.array_distinct("p")).cast("array<string>").alias("p")).first()["p"]
-    return [F.lit(text).cast(kind) for text in texts]
+    return left.join(answers, [*keys, "_t"], "left").select(*keys, "_t", "_e", "_f")
 
 
 def training_set(

@@ -143,14 +143,26 @@ def calibrate_prefit(
 
 
 class CalibratedPipeline:
-    """A classifier pipeline whose probabilities are calibrated, fitted as one unit."""
+    """A classifier pipeline whose probabilities are calibrated, fitted as one unit.
 
-    def __init__(self, pipeline: ClassifierPipeline, spec: CalibrationSpec, key: str, seed: int = 42) -> None:
+    ``stored`` says that the rows come from a table that is cheap to read again, so that no
+    copy of them needs to be written for the folds.
+    """
+
+    def __init__(
+        self,
+        pipeline: ClassifierPipeline,
+        spec: CalibrationSpec,
+        key: str,
+        seed: int = 42,
+        stored: bool = False,
+    ) -> None:
         if not isinstance(spec, CalibrationSpec):
             raise TypeError(f"spec must be a CalibrationSpec, got {type(spec).__name__}")
         self.pipeline = pipeline
         self.spec = spec
         self.key = key
+        self.stored = stored
         self.seed = spec.random_state if spec.random_state is not None else seed
 
     def input_columns(self, df: DataFrame) -> list[str]:
@@ -180,7 +192,8 @@ class CalibratedPipeline:
             folded = stratified_kfold(narrow, key, label, spec.folds, self.seed, fold="_part")
         else:
             folded = kfold(narrow, key, spec.folds, self.seed, fold="_part")
-        folded = write_through(folded, "calibration", "_part")
+        if not self.stored:
+            folded = write_through(folded, "calibration", "_part")
 
         def one(fold: int) -> tuple[FittedClassifier, DataFrame]:
             fitted = self.pipeline.fit(folded.filter(F.col("_part") != fold), label, classes)

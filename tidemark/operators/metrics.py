@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import bucket_of
+from tidemark.functions.columns import with_bucket
 from tidemark.functions.sketch import spread_quantiles
 from tidemark.specs import METRICS
 
@@ -124,8 +124,9 @@ def _ranked_totals(df: DataFrame, score: str, counts: list[Column], bucket_rows:
     other, so no task sorts all scores.
     """
     names = [c for c in ("pos", "neg", "hits", "tp", "fp", "fn")][: len(counts)]
-    bucket = bucket_of(F.col(score), _score_edges(df, score, bucket_rows)).alias("_bucket")
-    by_score = df.groupBy(bucket, F.col(score).alias("_score")).agg(*counts)
+    edges = _score_edges(df, score, bucket_rows)
+    placed = with_bucket(df, F.col(score).cast("double"), edges, "_bucket")
+    by_score = placed.groupBy("_bucket", F.col(score).alias("_score")).agg(*counts)
     below = Window.partitionBy("_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     neg, pos = F.col("neg").cast("double"), F.col("pos").cast("double")
     lower = F.coalesce(F.sum(neg).over(below), F.lit(0.0))
@@ -140,10 +141,10 @@ def _ranked_totals(df: DataFrame, score: str, counts: list[Column], bucket_rows:
     return by_bucket.withColumn("wins", wins).agg(*[F.sum(n).alias(n) for n in names], F.sum("wins").alias("wins"))
 
 
-def _score_edges(df: DataFrame, score: str, bucket_rows: int) -> list[Column]:
+def _score_edges(df: DataFrame, score: str, bucket_rows: int) -> list[float]:
     pieces = min(MAX_BUCKETS, -(-df.count() // bucket_rows))
     if pieces < 2:
         return []
     values = df.select(F.col(score).cast("double").alias("s"))
     points = spread_quantiles(values, "s", [i / pieces for i in range(1, pieces)]).first()["p"]
-    return [F.lit(p) for p in sorted(set(points))]
+    return sorted(set(points))

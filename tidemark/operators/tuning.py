@@ -86,13 +86,20 @@ class SearchResult:
 
 
 def search(
-    spec: TuningSpec, pipeline: ClassifierPipeline, df: DataFrame, label: str, key: str, default_seed: int = 42
+    spec: TuningSpec,
+    pipeline: ClassifierPipeline,
+    df: DataFrame,
+    label: str,
+    key: str,
+    default_seed: int = 42,
+    stored: bool = False,
 ) -> SearchResult:
     """Score every candidate on every fold, then refit the best one on all rows.
 
-    The needed columns are written once with their fold. Preprocessing is fitted once per
-    fold and shared by the candidates. Fits run side by side from a few driver threads; the
-    rows stay on the executors and only the scores come back.
+    The needed columns are written once with their fold; if ``df`` is ``stored``, a table that
+    is cheap to read again, its rows are tagged while they are read instead. Preprocessing is
+    fitted once per fold and shared by the candidates. Fits run side by side from a few driver
+    threads; the rows stay on the executors and only the scores come back.
     """
     if not isinstance(spec, TuningSpec):
         raise TypeError(f"spec must be a TuningSpec, got {type(spec).__name__}")
@@ -104,7 +111,8 @@ def search(
         folded = kfold(narrow, key, spec.n_splits, seed, fold="_fold")
     else:
         folded = stratified_kfold(narrow, key, label, spec.n_splits, seed, fold="_fold")
-    folded = write_through(folded, "folds", "_fold")
+    if not stored:
+        folded = write_through(folded, "folds", "_fold")
     scorers = {name: SCORERS[metric] for name, metric in spec.scorers().items()}
 
     def run(task: tuple[int, int]) -> list[tuple]:

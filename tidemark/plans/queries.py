@@ -17,7 +17,7 @@ from tidemark.operators import asof, checks, latest, metrics, prep, select, spli
 from tidemark.operators.calibrate import CalibratedPipeline
 from tidemark.operators.model import ClassifierPipeline
 from tidemark.plans import workflow as flow
-from tidemark.session import new_folder
+from tidemark.session import new_folder, write_through
 from tidemark.sources import synth, tables
 from tidemark.specs import (
     CalibrationSpec,
@@ -455,6 +455,7 @@ def training_set(spark, sf):
     rows = asof.training_set(
         samples, known, ["user_id"], "ts", ["value", "k"], "target", tiebreak=["event_id"], ttl=timedelta(days=10)
     )
+    rows = write_through(rows, "training")  # fitting and transforming read the joined rows
     return rounded(prep.FeaturePipeline(numeric_features(["value", "k"])).fit_transform(rows), "value", "k")
 
 

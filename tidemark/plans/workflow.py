@@ -30,17 +30,24 @@ def _accuracy_of(fitted, df: DataFrame, label: str) -> float:
 
 
 def cross_validate(
-    pipeline, df: DataFrame, key: str, label: str, folds: int = 5, parallelism: int = 4
+    pipeline,
+    df: DataFrame,
+    key: str,
+    label: str,
+    folds: int = 5,
+    parallelism: int = 4,
+    stored: bool = False,
 ) -> DataFrame:
     """Rows (fold, score): accuracy on each unshuffled stratified fold.
 
-    ``pipeline`` is anything with ``fit(df, label, classes)`` and ``input_columns``.
+    ``pipeline`` is anything with ``fit(df, label, classes)`` and ``input_columns``. The
+    needed columns are written once unless ``df`` is a ``stored`` table.
     """
     classes = class_list(df, label)
     narrow = df.select(*dict.fromkeys([key, *pipeline.input_columns(df), label]))
-    folded = write_through(
-        ordered_stratified_folds(narrow, key, label, folds, "_cv"), "validation", "_cv"
-    )
+    folded = ordered_stratified_folds(narrow, key, label, folds, "_cv")
+    if not stored:
+        folded = write_through(folded, "validation", "_cv")
 
     def one(fold: int) -> tuple[int, float]:
         fitted = pipeline.fit(folded.filter(F.col("_cv") != fold), label, classes)
@@ -57,12 +64,21 @@ def score_summary(scores: DataFrame) -> DataFrame:
 
 
 def holdout_validate(
-    pipeline, df: DataFrame, key: str, label: str, test_size: float = 0.2, seed: int = 42, refit: bool = False
+    pipeline,
+    df: DataFrame,
+    key: str,
+    label: str,
+    test_size: float = 0.2,
+    seed: int = 42,
+    refit: bool = False,
+    stored: bool = False,
 ) -> tuple[Any, dict[str, Any]]:
     """Fit on a stratified train part and score the rest; ``refit`` fits on all rows afterwards."""
     classes = class_list(df, label)
     narrow = df.select(*dict.fromkeys([key, *pipeline.input_columns(df), label]))
-    split = write_through(train_test_split(narrow, key, label, test_size, seed, "_test"), "holdout", "_test")
+    split = train_test_split(narrow, key, label, test_size, seed, "_test")
+    if not stored:
+        split = write_through(split, "holdout", "_test")
     train, test = split.filter("NOT _test"), split.filter("_test")
     fitted = pipeline.fit(train, label, classes)
     sizes = split.agg(F.count_if(~F.col("_test")), F.count_if("_test")).first()
@@ -156,6 +172,8 @@ def run_workflow(
     """
     if validation not in STRATEGIES:
         raise ValueError(f"validation must be one of {STRATEGIES}, got {validation!r}")
+    if not model_spec.enabled:
+        raise ValueError(f"the model spec {model_spec.model_name!r} is disabled")
 
     def stage(name: str, work, otherwise):
         try:
@@ -187,7 +205,7 @@ def run_workflow(
 
     fitted = None
     if tuning_spec is not None and tuning_spec.enabled:
-        found = stage("tuning", lambda: search(tuning_spec, pipeline, rows, label, key, random_state), None)
+        found = stage("tuning", lambda: search(tuning_spec, pipeline, rows, label, key, random_state, True), None)
         if found is not None:
             pipeline, fitted = found.best_pipeline, found.best_model
             result.tuning_summary = found.summary()
@@ -195,7 +213,7 @@ def run_workflow(
 
     trainer: Any = pipeline
     if calibration_spec is not None and calibration_spec.enabled:
-        wrapped = CalibratedPipeline(pipeline, calibration_spec, key, random_state)
+        wrapped = CalibratedPipeline(pipeline, calibration_spec, key, random_state, stored=True)
         if calibration_spec.cv_strategy == "prefit":
             warnings.warn("the classifier is calibrated on the rows it was fitted on", stacklevel=2)
         calibrated = stage("calibration", lambda: wrapped.fit(rows, label, classes, model=fitted), None)
@@ -204,7 +222,7 @@ def run_workflow(
             result.calibration_summary = calibrated.summary()
 
     if validation == "cross_validation":
-        scores = cross_validate(trainer, rows, key, label, cv_folds)
+        scores = cross_validate(trainer, rows, key, label, cv_folds, stored=True)
         numbers = score_summary(scores).first()
         result.validation = {
             "validation_strategy": validation,
@@ -213,7 +231,9 @@ def run_workflow(
             "cv_scores": [r["score"] for r in scores.orderBy("fold").collect()],
         }
     elif validation == "train_test":
-        fitted, result.validation = holdout_validate(trainer, rows, key, label, test_size, random_state, refit)
+        fitted, result.validation = holdout_validate(
+            trainer, rows, key, label, test_size, random_state, refit, stored=True
+        )
     else:
         result.validation = {"validation_strategy": "none"}
 

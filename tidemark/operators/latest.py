@@ -79,23 +79,26 @@ class LatestTable:
         self, df: DataFrame, columns: Sequence[str], start: datetime, end: datetime
     ) -> "LatestTable":
         """Add the rows of ``[start, end]`` to the table."""
-        batch = self._next_batch()
-        reduced = materialize(
-            df, self.keys, self.timestamp, columns, start, end, self.created, self.tiebreak
-        )
-        return self.write_batch(reduced, batch, end)
+        return self._add(df, columns, start, end, self._progress()[0])
 
     def materialize_incremental(
         self, df: DataFrame, columns: Sequence[str], end: datetime | None = None
     ) -> "LatestTable":
         """Add the rows after the last covered moment, up to ``end`` (default: now, UTC)."""
-        end = end or self.spark.sql("SELECT to_utc_timestamp(now(), current_timezone())").first()[0]
-        covered = self.covered_until()
+        if end is None:
+            now = "CAST(to_utc_timestamp(now(), current_timezone()) AS TIMESTAMP_NTZ)"
+            end = self.spark.sql(f"SELECT {now}").first()[0]
+        last, covered = self._progress()
         if covered is not None:
             if end <= covered:
                 return self
             df = df.filter(F.col(self.timestamp) > _moment(covered))
-        return self.materialize(df, columns, datetime(1, 1, 1), end)
+        return self._add(df, columns, datetime(1, 1, 1), end, last)
+
+    def _add(self, df, columns, start, end, last: int | None) -> "LatestTable":
+        order = (self.created, self.tiebreak)
+        reduced = materialize(df, self.keys, self.timestamp, columns, start, end, *order)
+        return self.write_batch(reduced, 0 if last is None else last + 1, end)
 
     def write_batch(
         self, reduced: DataFrame, batch: int, end: datetime | None = None, origin: str = "batch"
@@ -103,13 +106,13 @@ class LatestTable:
         """Store one reduced delta under its number, then note it in the log."""
         place = f"origin={origin}/batch={batch}"
         reduced.write.mode("overwrite").parquet(f"{self.path}/rows/{place}")
-        note = self.spark.createDataFrame([(end,)], "covered_until timestamp_ntz")
-        note.write.mode("overwrite").parquet(f"{self.path}/log/{place}")
+        covered = F.lit(None).cast("timestamp_ntz") if end is None else _moment(end)
+        self.spark.range(0, 1, 1, 1).select(covered.alias("covered_until")).write.mode("overwrite").parquet(f"{self.path}/log/{place}")
         return self
 
     def covered_until(self) -> datetime | None:
         """End of the newest window that has been materialised from the source table."""
-        return self._log("covered_until")
+        return self._progress()[1]
 
     def read(self, only: DataFrame | None = None) -> DataFrame:
         """One row per key: the latest. ``only`` restricts to some keys before reducing."""
@@ -138,13 +141,12 @@ class LatestTable:
         fresh = LatestTable(self.spark, path, self.keys, self.timestamp, self.created, self.tiebreak)
         return fresh.write_batch(self.read(), 0, self.covered_until())
 
-    def _next_batch(self) -> int:
-        last = self._log("batch")
-        return 0 if last is None else last + 1
-
-    def _log(self, column: str):
+    def _progress(self) -> tuple[int | None, datetime | None]:
+        """Number of the last batch and the moment up to which the source has been read."""
         log = self._read("log")
-        return None if log is None else log.filter("origin = 'batch'").agg(F.max(column)).first()[0]
+        if log is None:
+            return None, None
+        return tuple(log.filter("origin = 'batch'").agg(F.max("batch"), F.max("covered_until")).first())
 
     def _read(self, part: str) -> DataFrame | None:
         try:

@@ -22,8 +22,8 @@ def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
 
 def roc_auc(df: DataFrame, label: str, score: str, positive: Any = 1, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Area under the ROC curve of a binary label; tied scores count half."""
-    totals = _ranked_totals(df, score, _counts(label, None, positive), bucket_rows)
-    return totals.select(_auc().alias("roc_auc"))
+    edges = _score_edges(df, score, bucket_rows, None)
+    return _ranked_totals(df, score, _counts(label, None, positive), edges).select(_auc().alias("roc_auc"))
 
 
 def precision_recall_f1(df: DataFrame, label: str, prediction: str, positive: Any = 1) -> DataFrame:
@@ -39,25 +39,37 @@ def evaluate(
     metrics: Sequence[str] = METRICS,
     positive: Any = 1,
     bucket_rows: int = BUCKET_ROWS,
+    by: Sequence[str] = (),
+    rows: int | None = None,
 ) -> DataFrame:
-    """Rows (metric, value) for a binary label, all from one pass over the scored rows."""
+    """Rows (metric, value) for a binary label, all from one pass over the scored rows.
+
+    ``by`` gives the metrics of each group. ``rows``, the number of rows if it is known, saves
+    the count that decides whether the scores need to be cut into buckets.
+    """
     unknown = [m for m in metrics if m not in METRICS]
     if unknown:
         raise ValueError(f"unknown metrics {unknown}")
     counts = _counts(label, prediction, positive)
     ranked = "roc_auc" in metrics and score is not None
-    totals = _ranked_totals(df, score, counts, bucket_rows) if ranked else df.agg(*counts)
+    if ranked:
+        totals = _ranked_totals(df, score, counts, _score_edges(df, score, bucket_rows, rows), by)
+    else:
+        totals = df.groupBy(*by).agg(*counts)
     wanted = [m for m in metrics if m != "roc_auc" or ranked]
-    return totals.select(F.inline(F.array(*[_row(m, _auc() if m == "roc_auc" else _from_counts(m)) for m in wanted])))
+    found = [_row(m, _auc() if m == "roc_auc" else _from_counts(m)) for m in wanted]
+    return totals.select(*by, F.inline(F.array(*found)))
 
 
-def evaluate_classes(df: DataFrame, label: str, prediction: str, metrics: Sequence[str] = METRICS) -> DataFrame:
+def evaluate_classes(
+    df: DataFrame, label: str, prediction: str, metrics: Sequence[str] = METRICS, by: Sequence[str] = ()
+) -> DataFrame:
     """The same for more than two classes: F1, precision and recall are averaged over classes.
 
     Rows are first counted per (label, prediction); AUC is defined for two classes only and
     left out.
     """
-    pairs = df.groupBy(F.col(label).alias("y"), F.col(prediction).alias("p")).agg(F.count(F.lit(1)).alias("n"))
+    pairs = df.groupBy(*by, F.col(label).alias("y"), F.col(prediction).alias("p")).agg(F.count(F.lit(1)).alias("n"))
     hit = F.col("y") == F.col("p")
     zero = F.lit(0).cast("long")
     as_true = F.struct(
@@ -68,14 +80,14 @@ def evaluate_classes(df: DataFrame, label: str, prediction: str, metrics: Sequen
         F.col("p").alias("c"), zero.alias("tp"), F.when(hit, 0).otherwise(F.col("n")).alias("fp"),
         zero.alias("fn"), zero.alias("n"),
     )
-    classes = pairs.select(F.inline(F.array(as_true, as_predicted))).groupBy("c")
+    classes = pairs.select(*by, F.inline(F.array(as_true, as_predicted))).groupBy(*by, "c")
     classes = classes.agg(*[F.sum(x).alias(x) for x in ("tp", "fp", "fn", "n")])
-    averages = classes.agg(
+    averages = classes.groupBy(*by).agg(
         (F.sum("tp") / F.sum("n")).alias("accuracy"),
         *[F.avg(_from_counts(m)).alias(m) for m in ("precision", "recall", "f1_score")],
     )
     wanted = [m for m in metrics if m != "roc_auc"]
-    return averages.select(F.inline(F.array(*[_row(m, F.col(m)) for m in wanted])))
+    return averages.select(*by, F.inline(F.array(*[_row(m, F.col(m)) for m in wanted])))
 
 
 def _row(metric: str, value: Column) -> Column:
@@ -116,33 +128,35 @@ def _auc() -> Column:
     return F.when(pairs > 0, F.col("wins") / pairs)
 
 
-def _ranked_totals(df: DataFrame, score: str, counts: list[Column], bucket_rows: int) -> DataFrame:
+def _ranked_totals(
+    df: DataFrame, score: str, counts: list[Column], edges: list[float], by: Sequence[str] = ()
+) -> DataFrame:
     """Totals of the counts, and ``wins``: pairs in which the positive row scores higher.
 
     Rows are counted per score first, so rows with one score are combined before the shuffle.
     Scores are then ranked within buckets of about equal size, and the buckets among each
     other, so no task sorts all scores.
     """
-    names = [c for c in ("pos", "neg", "hits", "tp", "fp", "fn")][: len(counts)]
-    edges = _score_edges(df, score, bucket_rows)
+    names = ("pos", "neg", "hits", "tp", "fp", "fn")[: len(counts)]
     placed = with_bucket(df, F.col(score).cast("double"), edges, "_bucket")
-    by_score = placed.groupBy("_bucket", F.col(score).alias("_score")).agg(*counts)
-    below = Window.partitionBy("_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
+    by_score = placed.groupBy(*by, "_bucket", F.col(score).alias("_score")).agg(*counts)
+    below = Window.partitionBy(*by, "_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     neg, pos = F.col("neg").cast("double"), F.col("pos").cast("double")
     lower = F.coalesce(F.sum(neg).over(below), F.lit(0.0))
     by_bucket = (
         by_score.withColumn("_wins", pos * (lower + neg / 2))
-        .groupBy("_bucket")
+        .groupBy(*by, "_bucket")
         .agg(*[F.sum(n).alias(n) for n in names], F.sum("_wins").alias("_wins"))
     )
-    # At most MAX_BUCKETS rows are left for this window.
-    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # At most MAX_BUCKETS rows of each group are left for this window.
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     wins = F.col("_wins") + pos * F.coalesce(F.sum(neg).over(before), F.lit(0.0))
-    return by_bucket.withColumn("wins", wins).agg(*[F.sum(n).alias(n) for n in names], F.sum("wins").alias("wins"))
+    totals = by_bucket.withColumn("wins", wins).groupBy(*by)
+    return totals.agg(*[F.sum(n).alias(n) for n in names], F.sum("wins").alias("wins"))
 
 
-def _score_edges(df: DataFrame, score: str, bucket_rows: int) -> list[float]:
-    pieces = min(MAX_BUCKETS, -(-df.count() // bucket_rows))
+def _score_edges(df: DataFrame, score: str, bucket_rows: int, rows: int | None) -> list[float]:
+    pieces = min(MAX_BUCKETS, -(-(df.count() if rows is None else rows) // bucket_rows))
     if pieces < 2:
         return []
     values = df.select(F.col(score).cast("double").alias("s"))

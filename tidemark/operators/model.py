@@ -151,12 +151,21 @@ class FittedClassifier:
         )
 
 
-def evaluate_scored(scored: DataFrame, label: str, classes: list, metrics: Sequence[str]) -> DataFrame:
+def evaluate_scored(
+    scored: DataFrame,
+    label: str,
+    classes: list,
+    metrics: Sequence[str],
+    by: Sequence[str] = (),
+    rows: int | None = None,
+) -> DataFrame:
     """Metric rows of a frame with ``probability`` and ``prediction`` columns."""
     if len(classes) == 2:
-        narrow = scored.select(label, "prediction", F.col("probability")[1].alias("_score"))
-        return evaluate(narrow, label, "prediction", "_score", metrics, positive=classes[1])
-    return evaluate_classes(scored, label, "prediction", metrics)
+        narrow = scored.select(*by, label, "prediction", F.col("probability")[1].alias("_score"))
+        return evaluate(
+            narrow, label, "prediction", "_score", metrics, positive=classes[1], by=by, rows=rows
+        )
+    return evaluate_classes(scored, label, "prediction", metrics, by)
 
 
 def _matrix(prep: FittedFeatures, passthrough: Sequence[str], df: DataFrame) -> Column:

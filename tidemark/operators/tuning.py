@@ -114,22 +114,24 @@ def search(
     if not stored:
         folded = write_through(folded, "folds", "_fold")
     scorers = {name: SCORERS[metric] for name, metric in spec.scorers().items()}
+    metrics, size = sorted(set(scorers.values())), folded.count()
 
     def run(task: tuple[int, int]) -> list[tuple]:
         fold, candidate = task
         train = folded.filter(F.col("_fold") != fold)
         trial = pipeline.with_parameters(params[candidate])
         model = trial.fit(train, label, classes, prep=fitted[fold])
-        rows = []
-        for part, frame in [("test", folded.filter(F.col("_fold") == fold)), ("train", train)]:
-            if part == "train" and not spec.return_train_score:
-                continue
-            metrics = sorted(set(scorers.values()))
-            scored = evaluate_scored(model.transform(frame), label, classes, metrics)
-            found = {r["metric"]: r["value"] for r in scored.collect()}
-            text = json.dumps(params[candidate], sort_keys=True)
-            rows += [(candidate, text, fold, part, n, found.get(m)) for n, m in scorers.items()]
-        return rows
+        # One scoring pass gives the scores of the fold and of the rows the model has seen.
+        rows = folded if spec.return_train_score else folded.filter(F.col("_fold") == fold)
+        part = F.when(F.col("_fold") == fold, "test").otherwise("train").alias("part")
+        scored = model.transform(rows).select(part, label, "prediction", "probability")
+        found = {
+            (r["part"], r["metric"]): r["value"]
+            for r in evaluate_scored(scored, label, classes, metrics, ["part"], size).collect()
+        }
+        text = json.dumps(params[candidate], sort_keys=True)
+        parts = sorted({part for part, _ in found})
+        return [(candidate, text, fold, p, n, found.get((p, m))) for p in parts for n, m in scorers.items()]
 
     folds = range(spec.n_splits)
     with ThreadPoolExecutor(spec.parallelism) as pool:

@@ -778,7 +778,7 @@ def evaluate_classes(spark, sf):
 def gbt_fit_predict(spark, sf):
     features = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "ship_day"]
     spec = ClassifierSpec(model_name="returns", hyperparameters={"n_estimators": 5, "max_depth": 3}, random_state=7)
-    rows = returned_items(spark, sf)
+    rows = write_through(returned_items(spark, sf), "items")
     fitted = ClassifierPipeline(numeric_features(features), spec).fit(rows, "returned")
     return fitted.transform(rows).select("l_orderkey", "l_linenumber", "returned", "prediction")
 

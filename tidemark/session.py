@@ -48,13 +48,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def write_through(df: DataFrame, label: str, partition_by: str | None = None) -> DataFrame:
-    """Write a frame once and read it back.
+    """Write a frame once, in even files, and read it back.
 
     Used where several jobs read the same derived rows. The result has no lineage to
     recompute, survives the loss of executors, and each later job reads only the columns it
     needs; ``partition_by`` (a fold number, say) lets jobs skip the other rows.
     """
     path = new_folder(df.sparkSession, label)
+    df = df.hint("rebalance")  # files large enough to read well, enough of them for all cores
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

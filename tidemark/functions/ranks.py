@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.sketch import GRID, spread_quantiles
 
 MAX_ROWS = 1_000_000
+FEW_VALUES = 100_000
 
 
 @dataclass
@@ -53,7 +54,8 @@ def values_at_ranks(
     """Values at zero-based ``ranks`` of each group of ``by``; ``sizes`` are the group counts.
 
     With ``tie`` the order is (value, tie) and each answer is the pair. Null values must have
-    been removed. Group keys are the values of ``by`` (the single group is ``None``).
+    been removed, from ``by`` too. Group keys are the values of ``by`` (the single group is
+    ``None``).
     """
     columns = [c for c in (by, value, tie) if c]
     rows = df.select(*dict.fromkeys(columns))
@@ -86,7 +88,7 @@ def _in_spans(rows: DataFrame, value: str, spans: Sequence[_Span], by: str | Non
             (F.col("_low").isNull() | (v > F.col("_low"))) & (F.col("_high").isNull() | (v < F.col("_high")))
         )
         # One row per wanted rank at most, all known to the driver.
-        joined = rows.join(F.broadcast(table), F.col(by).eqNullSafe(F.col("_of")) & inside)
+        joined = rows.join(F.broadcast(table), (F.col(by) == F.col("_of")) & inside)
         return joined.select(*rows.columns, "_span")
 
     def inside_of(s: _Span) -> Column:
@@ -177,27 +179,25 @@ def exact_quantiles(
     Few values go through one exact aggregate, which holds them in memory; otherwise the
     ranks of all columns are narrowed together in long form.
     """
-    few = sum(sizes[c] for c in columns) <= max_rows
-    small, large = (list(columns), []) if few else ([], list(columns))
-    result: dict[str, list[float]] = {}
-    if small:
+    few = sum(sizes[c] for c in columns) <= min(max_rows, FEW_VALUES)
+    names = list(columns)
+    if few:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])
-        row = df.agg(*[F.percentile(columns[c], wanted).alias(str(i)) for i, c in enumerate(small)]).first()
-        result.update({c: row[i] for i, c in enumerate(small)})
-    if large:
-        pairs = [F.struct(F.lit(c).alias("name"), columns[c].cast("double").alias("v")) for c in large]
-        long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.name", "p.v").filter("v IS NOT NULL")
-        ranks = {}
-        for c in large:
-            spots = [p * (sizes[c] - 1) for p in probabilities]
-            ranks[c] = sorted({min(sizes[c] - 1, int(x) + d) for x in spots for d in (0, 1)})
-        at = values_at_ranks(long, "v", ranks, sizes, by="name", max_rows=max_rows)
-        for c in large:
-            answers = []
-            for p in probabilities:
-                spot = p * (sizes[c] - 1)
-                low = int(spot)
-                first, second = at[c, low], at[c, min(sizes[c] - 1, low + 1)]
-                answers.append(first + (second - first) * (spot - low))
-            result[c] = answers
+        row = df.agg(*[F.percentile(columns[c], wanted).alias(str(i)) for i, c in enumerate(names)]).first()
+        return {c: row[i] for i, c in enumerate(names)}
+
+    pairs = [F.struct(F.lit(i).alias("n"), columns[c].cast("double").alias("v")) for i, c in enumerate(names)]
+    long = df.select(F.inline(F.array(*pairs))).filter("v IS NOT NULL")
+    last = {i: sizes[c] - 1 for i, c in enumerate(names)}
+    ranks = {
+        i: [min(end, int(p * end) + step) for p in probabilities for step in (0, 1)] for i, end in last.items()
+    }
+    at = values_at_ranks(long, "v", ranks, {i: end + 1 for i, end in last.items()}, by="n", max_rows=max_rows)
+    result = {}
+    for i, c in enumerate(names):
+        result[c] = []
+        for p in probabilities:
+            low, part = divmod(p * last[i], 1)
+            first, second = at[i, int(low)], at[i, min(last[i], int(low) + 1)]
+            result[c].append(first + (second - first) * part)
     return result

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import Any
 
 from pyspark.ml.classification import LogisticRegression
@@ -195,19 +196,17 @@ class CalibratedPipeline:
         if not self.stored:
             folded = write_through(folded, "calibration", "_part")
 
-        def one(fold: int) -> tuple[FittedClassifier, DataFrame]:
+        def one(fold: int) -> tuple[FittedClassifier, DataFrame, list[Curve]]:
             fitted = self.pipeline.fit(folded.filter(F.col("_part") != fold), label, classes)
             unseen = fitted.transform(folded.filter(F.col("_part") == fold), "_raw", "_ignored")
-            return fitted, write_through(unseen.select(label, "_raw"), "scores")
+            scored = write_through(unseen.select(label, "_raw"), "scores")
+            return fitted, scored, _curves(scored, label, classes, spec.method) if spec.ensemble else []
 
         with ThreadPoolExecutor(parallelism) as pool:
             parts = list(pool.map(one, range(spec.folds)))
         if spec.ensemble:
-            members = [(m, _curves(scored, label, classes, spec.method)) for m, scored in parts]
-            return CalibratedClassifier(spec, members, label)
-        pooled = parts[0][1]
-        for _, scored in parts[1:]:
-            pooled = pooled.unionByName(scored)
+            return CalibratedClassifier(spec, [(fitted, curves) for fitted, _, curves in parts], label)
+        pooled = reduce(DataFrame.unionByName, [scored for _, scored, _ in parts])
         curves = _curves(pooled, label, classes, spec.method)
         whole = model or self.pipeline.fit(folded, label, classes)
         return CalibratedClassifier(spec, [(whole, curves)], label)

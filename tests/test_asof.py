@@ -67,11 +67,25 @@ def test_hot_keys_are_cut_without_changing_the_result(spark, seed, hot_rows):
     assert joined(e, f, ttl=timedelta(minutes=30), hot_rows=hot_rows) == wanted
 
 
-def test_many_hot_keys_make_every_key_hot(spark, monkeypatch):
-    monkeypatch.setattr(asof, "MAX_HOT_KEYS", 1)
-    entities, features = random_tables(7, n=200)
+def test_number_of_hot_keys_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(asof, "MAX_HOT_KEYS", 3)
+    entities, features = random_tables(7, n=200, hot=True)
     e, f = frames(spark, entities, features)
-    assert joined(e, f, hot_rows=10) == all_pairs(entities, features)
+    left, right = e.select("k"), f.select("k")
+    hot, pieces = asof._hot_keys(left, right, ["k"], 1)
+    assert left.filter(hot).select("k").distinct().count() < 3 and pieces > 1
+    assert joined(e, f, hot_rows=1) == all_pairs(entities, features)
+
+
+def test_lifetime_reaches_the_feature_scan(spark, tmp_path):
+    entities, features = random_tables(1)
+    e, f = frames(spark, entities, features)
+    f.write.parquet(str(tmp_path / "f"))
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    out = asof.as_of_join(e, stored, ["k"], "ts", ["v"], ttl=timedelta(minutes=5))
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(ts," in plan and "LessThanOrEqual(ts," in plan
+    assert "ReadSchema: struct<k:int,ts:timestamp_ntz,v:double>" in plan
 
 
 def test_one_key_and_one_moment_for_all_rows(spark):

@@ -3,13 +3,17 @@
 import math
 
 import pytest
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
 
 from tidemark.operators import tuning
 from tidemark.operators.calibrate import CalibratedPipeline, calibrate_prefit, isotonic_curve, sigmoid_curve
 from tidemark.operators.metrics import roc_auc
 from tidemark.operators.model import ClassifierPipeline, tree_parameters
+from tidemark.operators.select import assemble
+from tidemark.operators.splits import stratified_kfold
 from tidemark.plans import workflow as flow
 from tidemark.session import write_through
 from tidemark.sources.synth import synth_labelled
@@ -136,6 +140,22 @@ def test_grid_search(rows):
         tuning.search("grid", pipeline(), rows, "target", "sample_index")
 
 
+def test_search_agrees_with_the_library(rows):
+    spec = GridSearchSpec(tuning_name="g", param_grid={"classifier__n_estimators": [1, 3]}, n_splits=2, random_state=5)
+    plain = ClassifierPipeline(
+        numeric_features(NAMES, scaler_type="none"),
+        ClassifierSpec(model_name="trees", hyperparameters=SMALL, random_state=1),
+    )
+    ours = [r["mean_score"] for r in tuning.search(spec, plain, rows, "target", "sample_index").cv_results().orderBy("candidate").collect()]
+    folded = stratified_kfold(rows, "sample_index", "target", 2, 5, fold="f")
+    data = assemble(folded, NAMES).select("features", F.col("target").cast("double").alias("label"), "f")
+    trees = GBTClassifier(maxDepth=2, seed=1)
+    grid = ParamGridBuilder().addGrid(trees.maxIter, [1, 3]).build()
+    accuracy = MulticlassClassificationEvaluator(metricName="accuracy")
+    theirs = CrossValidator(estimator=trees, estimatorParamMaps=grid, evaluator=accuracy, numFolds=2, foldCol="f")
+    assert ours == pytest.approx(theirs.fit(data).avgMetrics, abs=1e-9)
+
+
 def test_sigmoid_is_the_best_curve(spark):
     points = [(x / 40, (x * 7919 % 41) / 41 < x / 40) for x in range(41)]
     df = spark.createDataFrame(points, "s double, t boolean")

@@ -128,21 +128,21 @@ def _hot_keys(
     """Condition that holds for the keys with more than ``hot_rows`` rows, if there are any,
     and the number of stretches to cut their rows into.
 
-    Keys are counted by their hash; keys that share a hash are treated alike, which is as
-    right, only slower. At most MAX_HOT_KEYS hashes come to the driver. Should there be more
-    hot keys than that, all keys count as hot.
+    A key is hot only if it also holds more than one part in MAX_HOT_KEYS of all rows, so
+    fewer than MAX_HOT_KEYS of them can come to the driver. Keys are counted by their hash;
+    keys that share a hash are treated alike, which is as right, only slower.
     """
     if hot_rows is None:
         return None, 0
     hashed = F.xxhash64(*keys)
     both = left.select(hashed.alias("h")).unionByName(right.select(hashed.alias("h")))
-    counts = both.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows)
-    found = counts.limit(MAX_HOT_KEYS + 1).collect()
-    if not found:
+    counts = both.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
+    limit = max(hot_rows, (total or 0) // MAX_HOT_KEYS)
+    if not total or largest <= limit:
         return None, 0
-    if len(found) > MAX_HOT_KEYS:
-        return F.lit(True), MAX_STRETCHES
-    pieces = min(MAX_STRETCHES, -(-2 * sum(r["n"] for r in found) // hot_rows))
+    found = counts.filter(F.col("n") > limit).collect()
+    pieces = min(MAX_STRETCHES, -(-2 * sum(r["n"] for r in found) // limit))
     return hashed.isin([r["h"] for r in found]), pieces
 
 

@@ -17,6 +17,7 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
     settings.update(conf)

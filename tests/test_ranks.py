@@ -48,6 +48,17 @@ def test_groups_and_ties(spark):
     assert found == {(g, r): parts[g][r] for g in parts for r in ranks[g]}
 
 
+@pytest.mark.parametrize("claim", [1, 1000, 10**6])
+def test_a_wrong_claim_of_even_values_costs_time_only(spark, claim):
+    rng = random.Random(4)
+    values = [int(rng.gauss(500, 100)) for _ in range(5_000)]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v long, id long")
+    order = sorted((v, i) for i, v in enumerate(values))
+    ranks = [0, 1_234, 2_500, 4_999]
+    found = values_at_ranks(df, "v", {None: ranks}, {None: 5_000}, tie="id", max_rows=50, even=claim)
+    assert found == {(None, r): order[r] for r in ranks}
+
+
 def test_exact_quantiles_both_ways(spark):
     rows = [(a, b if i % 5 else None) for i, (a, b) in enumerate(zip(samples("even"), samples("a third alike")))]
     df = spark.createDataFrame(rows, "a double, b double")

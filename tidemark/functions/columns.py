@@ -13,6 +13,9 @@ from pyspark.sql import types as T
 # The columns of a training table that are not features.
 BOOKKEEPING = ("sample_index", "target", "ingested_at", "ingested_date")
 
+# Shuffle keys are the first 13 hex digits of an md5.
+SHUFFLE_KEYS = 16**13
+
 
 def natural_key(name: str) -> tuple:
     """Sort key under which ``feature_2`` comes before ``feature_10``."""
@@ -51,6 +54,15 @@ def shuffle_key(seed: int, ids: Sequence[str]) -> Column:
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
 
 
+def with_computed(df: DataFrame, column: Column, name: str) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    As a plain projection its expression would be copied into every filter and comparison
+    that uses it; those stay above a generator.
+    """
+    return df.select("*", F.explode(F.array(column)).alias(name))
+
+
 def axis_position(column: Column, kind: T.DataType) -> Column:
     """A number that never falls as the value grows, for times and numbers.
 

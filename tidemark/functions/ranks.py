@@ -10,6 +10,7 @@ task or the driver is bounded by ``max_rows`` and by the number of wanted ranks.
 from __future__ import annotations
 
 import bisect
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from typing import Any
@@ -50,12 +51,14 @@ def values_at_ranks(
     by: str | None = None,
     tie: str | None = None,
     max_rows: int = MAX_ROWS,
+    even: int | None = None,
 ) -> dict[tuple[Any, int], Any]:
     """Values at zero-based ``ranks`` of each group of ``by``; ``sizes`` are the group counts.
 
     With ``tie`` the order is (value, tie) and each answer is the pair. Null values must have
     been removed, from ``by`` too. Group keys are the values of ``by`` (the single group is
-    ``None``).
+    ``None``). ``even`` says that the values are spread evenly from 0 to that number, as
+    hashes are; the first pivots then need no sketch.
     """
     columns = [c for c in (by, value, tie) if c]
     rows = df.select(*dict.fromkeys(columns))
@@ -64,8 +67,10 @@ def values_at_ranks(
 
     while wide := [s for s in spans if s.size > max_rows and not s.is_point()]:
         done = [s for s in spans if s not in wide]
-        narrowed = _narrow(rows, value, wide, by, found, keep_points=tie is not None)
-        if sum(s.size for s in narrowed) >= sum(s.size for s in wide):
+        guessed, even = even, None
+        points = _expected(wide, guessed) if guessed else _sketched(rows, value, wide, by)
+        narrowed = _narrow(rows, value, wide, by, points, found, keep_points=tie is not None)
+        if not guessed and sum(s.size for s in narrowed) >= sum(s.size for s in wide):
             spans = done + narrowed  # indistinguishable values: the last step still is exact
             break
         spans = done + narrowed
@@ -107,8 +112,18 @@ def _in_spans(rows: DataFrame, value: str, spans: Sequence[_Span], by: str | Non
     return rows.withColumn("_span", number).filter("_span IS NOT NULL")
 
 
-def _narrow(rows, value, spans, by, found, keep_points) -> list[_Span]:
-    marked = _in_spans(rows, value, spans, by)
+def _expected(spans: Sequence[_Span], even: int) -> dict[int, list[int]]:
+    """Pivots six standard deviations to either side of where evenly spread values have the ranks."""
+    points = {}
+    for i, s in enumerate(spans):
+        margin = 3.0 / math.sqrt(s.size)
+        places = {r / s.size + side for r in s.ranks for side in (-margin, margin)}
+        points[i] = sorted({int(even * min(1.0, max(0.0, p))) for p in places})
+    return points
+
+
+def _sketched(rows, value, spans, by) -> dict[int, list]:
+    """Pivots around the wanted ranks from a quantile sketch of each span."""
     near = {
         round((r - s.before) / max(1, s.size - 1) * GRID) + step
         for s in spans
@@ -117,11 +132,16 @@ def _narrow(rows, value, spans, by, found, keep_points) -> list[_Span]:
     }
     offers = sorted({min(1.0, max(0.0, n / GRID)) for n in near})
     kind = rows.schema[value].dataType.simpleString()
-    pivots = spread_quantiles(marked, value, offers, ["_span"]).select(
+    pivots = spread_quantiles(_in_spans(rows, value, spans, by), value, offers, ["_span"]).select(
         "_span", F.sort_array(F.array_distinct(F.col("p").cast(f"array<{kind}>"))).alias("p")
     )
-    points = {r["_span"]: r["p"] for r in pivots.collect()}
+    return {r["_span"]: r["p"] for r in pivots.collect()}
 
+
+def _narrow(rows, value, spans, by, points, found, keep_points) -> list[_Span]:
+    """Count the rows at and between the pivots, and keep the stretches with wanted ranks."""
+    marked = _in_spans(rows, value, spans, by)
+    kind = rows.schema[value].dataType.simpleString()
     # Slot 2i is the open stretch before pivot i, slot 2i+1 the pivot itself.
     table = rows.sparkSession.createDataFrame(list(points.items()), f"_span int, _p array<{kind}>")
     below = F.size(F.filter("_p", lambda p: p < F.col(value)))

@@ -15,7 +15,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import bucket_of, shuffle_key
+from tidemark.functions.columns import SHUFFLE_KEYS, bucket_of, shuffle_key, with_computed
 from tidemark.functions.ranks import MAX_ROWS, values_at_ranks
 from tidemark.operators.checks import MAX_CLASSES
 
@@ -26,11 +26,11 @@ def kfold(
     """Tag rows with a fold: blocks of the shuffled order, sizes within one of each other."""
     total = df.count()
     _check_splits(n_splits, total)
-    narrow = df.select(shuffle_key(seed, [key]).alias("_h"), F.col(key).alias("_id"))
+    narrow = with_computed(df.select(F.col(key).alias("_id")), shuffle_key(seed, ["_id"]), "_h")
     cuts = _starts([total // n_splits + (i < total % n_splits) for i in range(n_splits)], total)
-    at = values_at_ranks(narrow, "_h", {None: cuts}, {None: total}, tie="_id", max_rows=max_rows)
+    at = values_at_ranks(narrow, "_h", {None: cuts}, {None: total}, None, "_id", max_rows, SHUFFLE_KEYS)
     edges = [_pair(F.lit(at[None, r][0]), F.lit(at[None, r][1])) for r in cuts]
-    placed = df.withColumn("_here", _pair(shuffle_key(seed, [key]), F.col(key)))
+    placed = with_computed(df, _pair(shuffle_key(seed, [key]), F.col(key)), "_here")
     return placed.withColumn(fold, bucket_of(F.col("_here"), edges)).drop("_here")
 
 
@@ -147,17 +147,19 @@ def _pair(hashed: Column, key: Column) -> Column:
 
 def _cut_by_label(df, key, label, sizes, blocks, seed, fold, max_rows) -> DataFrame:
     cuts = {g: _starts(blocks[g], n) for g, n in sizes.items()}
-    hashed = F.lit(0).cast("long") if seed is None else shuffle_key(seed, [key])
-    narrow = df.select(F.col(label).alias("_g"), hashed.alias("_h"), F.col(key).alias("_id"))
+    narrow = df.select(F.col(label).alias("_g"), F.col(key).alias("_id"))
     if seed is None:
+        hashed = F.lit(0).cast("long")
         at = values_at_ranks(narrow, "_id", cuts, sizes, by="_g", max_rows=max_rows)
         at = {place: (0, value) for place, value in at.items()}
     else:
-        at = values_at_ranks(narrow, "_h", cuts, sizes, by="_g", tie="_id", max_rows=max_rows)
+        hashed = shuffle_key(seed, [key])
+        narrow = with_computed(narrow, shuffle_key(seed, ["_id"]), "_h")
+        at = values_at_ranks(narrow, "_h", cuts, sizes, "_g", "_id", max_rows, SHUFFLE_KEYS)
     # One row per label: at most MAX_CLASSES rows, known to the driver.
     kind = f"_g {df.schema[label].dataType.simpleString()}, _cuts array<struct<h:bigint,id:{df.schema[key].dataType.simpleString()}>>"
     table = df.sparkSession.createDataFrame([(g, [at[g, r] for r in cuts[g]]) for g in sizes], kind)
-    placed = df.withColumn("_here", _pair(hashed, F.col(key)))
+    placed = with_computed(df, _pair(hashed, F.col(key)), "_here")
     joined = placed.join(F.broadcast(table), F.col(label) == F.col("_g"))
     number = F.size(F.filter("_cuts", lambda c: c <= F.col("_here")))
     return joined.withColumn(fold, number).drop("_g", "_cuts", "_here")

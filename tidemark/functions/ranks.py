@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from tidemark.functions.sketch import GRID, spread_quantiles
 
 MAX_ROWS = 1_000_000
-FEW_VALUES = 100_000
 
 
 @dataclass
@@ -199,7 +198,7 @@ def exact_quantiles(
     Few values go through one exact aggregate, which holds them in memory; otherwise the
     ranks of all columns are narrowed together in long form.
     """
-    few = sum(sizes[c] for c in columns) <= min(max_rows, FEW_VALUES)
+    few = sum(sizes[c] for c in columns) <= 2 * max_rows
     names = list(columns)
     if few:
         wanted = F.array(*[F.lit(float(p)) for p in probabilities])

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from tidemark.llm.packing import op3_pack
 from tidemark.llm.token_files import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op3_pack": op3_pack,
 }
 
 ORACLES: dict[str, str] = {}

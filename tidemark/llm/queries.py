@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from tidemark.llm.packing import op3_pack
+from tidemark.llm.quality import op9_quality
 from tidemark.llm.token_files import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_pack": op3_pack,
+    "op9_quality": op9_quality,
 }
 
 ORACLES: dict[str, str] = {}

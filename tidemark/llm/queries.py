@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from tidemark.llm.boilerplate import ORACLE as LINE_DEDUP
 from tidemark.llm.boilerplate import op6_line_dedup
+from tidemark.llm.nearest import ORACLE as TOP_PRODUCTS
+from tidemark.llm.nearest import op7_top_products
 from tidemark.llm.packing import op3_pack
 from tidemark.llm.quality import op9_quality
 from tidemark.llm.token_files import op1_token_files
@@ -12,9 +14,11 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op3_pack": op3_pack,
     "op6_line_dedup": op6_line_dedup,
+    "op7_top_products": op7_top_products,
     "op9_quality": op9_quality,
 }
 
 ORACLES: dict[str, str] = {
     "op6_line_dedup": LINE_DEDUP,
+    "op7_top_products": TOP_PRODUCTS,
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.boilerplate import ORACLE as LINE_DEDUP
 from tidemark.llm.boilerplate import op6_line_dedup
+from tidemark.llm.near_dup import op8_near_dup
 from tidemark.llm.nearest import ORACLE as TOP_PRODUCTS
 from tidemark.llm.nearest import op7_top_products
 from tidemark.llm.packing import op3_pack
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_pack": op3_pack,
     "op6_line_dedup": op6_line_dedup,
     "op7_top_products": op7_top_products,
+    "op8_near_dup": op8_near_dup,
     "op9_quality": op9_quality,
 }
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tidemark.llm.boilerplate import ORACLE as LINE_DEDUP
 from tidemark.llm.boilerplate import op6_line_dedup
+from tidemark.llm.language import op2_language
 from tidemark.llm.near_dup import op8_near_dup
 from tidemark.llm.nearest import ORACLE as TOP_PRODUCTS
 from tidemark.llm.nearest import op7_top_products
@@ -13,6 +14,7 @@ from tidemark.llm.token_files import op1_token_files
 
 QUERIES = {
     "op1_token_files": op1_token_files,
+    "op2_language": op2_language,
     "op3_pack": op3_pack,
     "op6_line_dedup": op6_line_dedup,
     "op7_top_products": op7_top_products,

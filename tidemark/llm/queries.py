@@ -10,6 +10,7 @@ from tidemark.llm.nearest import ORACLE as TOP_PRODUCTS
 from tidemark.llm.nearest import op7_top_products
 from tidemark.llm.packing import op3_pack
 from tidemark.llm.quality import op9_quality
+from tidemark.llm.repeats import op10_repeats
 from tidemark.llm.token_files import op1_token_files
 
 QUERIES = {
@@ -20,6 +21,7 @@ QUERIES = {
     "op7_top_products": op7_top_products,
     "op8_near_dup": op8_near_dup,
     "op9_quality": op9_quality,
+    "op10_repeats": op10_repeats,
 }
 
 ORACLES: dict[str, str] = {

@@ -12,11 +12,13 @@ from tidemark.llm.packing import op3_pack
 from tidemark.llm.quality import op9_quality
 from tidemark.llm.repeats import op10_repeats
 from tidemark.llm.token_files import op1_token_files
+from tidemark.llm.toxicity import op5_toxicity
 
 QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_language": op2_language,
     "op3_pack": op3_pack,
+    "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_top_products": op7_top_products,
     "op8_near_dup": op8_near_dup,

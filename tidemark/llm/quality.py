@@ -215,6 +215,25 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHO
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", predicted)
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows that the classifier accepts; all columns stay.
+
+    It is learned as in ``score_quality``. A text is measured once more when its row is judged, so
+    no text is shuffled. Null texts are judged as empty ones.
+    """
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    measured = stored(document_statistics(ids.filter("doc_id is not null"), "text", "doc_id"), "statistics")
+    model = grow(*training_rows(measured, labels, "quality", remainder("doc_id", 5) != 0))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "__text"):
+            good = model.probability(statistics(batch.column("__text"))) >= threshold
+            yield batch.select(names).filter(pa.array(good))
+
+    names = docs.columns
+    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(judge, docs.schema)
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, scored for quality."""
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidemark.llm.boilerplate import ORACLE as LINE_DEDUP
 from tidemark.llm.boilerplate import op6_line_dedup
+from tidemark.llm.decontaminate import op4_decontaminate
 from tidemark.llm.language import op2_language
 from tidemark.llm.near_dup import op8_near_dup
 from tidemark.llm.nearest import ORACLE as TOP_PRODUCTS
@@ -18,12 +20,14 @@ QUERIES = {
     "op1_token_files": op1_token_files,
     "op2_language": op2_language,
     "op3_pack": op3_pack,
+    "op4_decontaminate": op4_decontaminate,
     "op5_toxicity": op5_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_top_products": op7_top_products,
     "op8_near_dup": op8_near_dup,
     "op9_quality": op9_quality,
     "op10_repeats": op10_repeats,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {

@@ -27,14 +27,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import mix64, segment_ids, slices, stored, table
+from tidemark.llm.filters import id_filter, in_filter
 from tidemark.llm.text_bytes import Hashes, utf8
 
 LENGTH = 200
 GRAM = 64
 #: Anchors with one hash that meet in one task (each has up to 2 * LENGTH bytes).
 GROUP_ROWS = 20_000
-#: Bits of the filter that spares texts without candidates a shuffle (1 MB, whatever the corpus).
-FILTER_BITS = 1 << 23
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -140,31 +139,6 @@ def _groups(rows: Iterator[tuple], width: int) -> Iterator[list[tuple]]:
         yield group
 
 
-def id_filter(ids: DataFrame, name: str, bits: int = FILTER_BITS) -> np.ndarray:
-    """A bitmap with the bits of all ids set; its size does not depend on their number."""
-    bit = F.pmod(F.xxhash64(name), F.lit(bits))
-    packed = ids.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("mask"))
-    found = np.zeros(bits >> 6, np.int64)
-    for row in packed.toPandas().itertuples(index=False):
-        found[row.at] = row.mask
-    return found
-
-
-def in_filter(rows: DataFrame, name: str, bitmap: np.ndarray) -> DataFrame:
-    """Rows whose id may be in the bitmap; others certainly are not."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
-    bits = len(bitmap) << 6
-    columns = rows.columns
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            bit = batch.column("__bit").to_numpy()
-            yes = shared.value[bit >> 6] >> (bit & 63) & 1
-            yield batch.select(columns).filter(pa.array(yes.astype(bool)))
-
-    return rows.withColumn("__bit", F.pmod(F.xxhash64(name), F.lit(bits))).mapInArrow(keep, rows.schema)
-
-
 def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):

@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import segment_ids, slices, stored, table
+from tidemark.llm.filters import id_filter, in_filter
 from tidemark.llm.language import Words
 from tidemark.llm.quality import grow, remainder
-from tidemark.llm.repeats import id_filter, in_filter
 from tidemark.llm.text_bytes import Hashes, utf8
 
 # Letters that the character model tells apart, and the signs that stand for letters.

@@ -39,10 +39,9 @@ def whole_components(vector: Column, scale: int = SCALE) -> Column:
     return F.when(~F.coalesce(bad, F.lit(True)), F.transform(parts, lambda x: F.floor(x * float(scale)).cast("long")))
 
 
-def matrix(column: pa.Array) -> np.ndarray:
-    """A column of lists of one length as an array of 64-bit integers."""
-    values = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    return values.reshape(len(column), -1)
+def matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """A column of lists of ``dim`` elements as an array of 64-bit integers."""
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64).reshape(len(column), dim)
 
 
 def top_tree(sample: np.ndarray, shards: int) -> list[tuple[int, int, int, int]]:
@@ -122,7 +121,7 @@ def build(x: np.ndarray, leaf: int = LEAF_ROWS) -> tuple[np.ndarray, np.ndarray,
 
 def _product(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Integer inner products; by floating point where that is exact."""
-    if len(x) and float(np.abs(x).max()) * float(np.abs(q).max()) * max(1, x.shape[1]) < 2**53:
+    if len(x) and float(np.abs(x).max(initial=0)) * float(np.abs(q).max(initial=0)) * max(1, x.shape[1]) < 2**53:
         return (x.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
     return x @ q
 
@@ -182,7 +181,7 @@ def _one_length(rows: DataFrame, dim: int, count: int, top: int) -> DataFrame:
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, ids = matrix(batch.column("x")).reshape(batch.num_rows, dim), batch.column("id").to_numpy()
+            x, ids = matrix(batch.column("x"), dim), batch.column("id").to_numpy()
             kept = keep_smallest(ids, x, top + 1)
             yield pa.RecordBatch.from_arrays([*(batch.take(pa.array(kept)).columns), pa.array(locate(nodes, x[kept]))], ["id", "x", "shard"])
 
@@ -204,7 +203,7 @@ def _one_length(rows: DataFrame, dim: int, count: int, top: int) -> DataFrame:
 
     def home(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = locate(nodes, matrix(batch.column("x")).reshape(batch.num_rows, dim))
+            at = locate(nodes, matrix(batch.column("x"), dim))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at)], ["id", "x", "shard"])
 
     def ask(asked: DataFrame) -> DataFrame:
@@ -240,7 +239,7 @@ def _one_length(rows: DataFrame, dim: int, count: int, top: int) -> DataFrame:
 
     def visit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, least = matrix(batch.column("x")).reshape(batch.num_rows, dim), batch.column("known").to_pylist()
+            x, least = matrix(batch.column("x"), dim), batch.column("known").to_pylist()
             at = locate(nodes, x)
             pairs = []
             for i, q in enumerate(x):

@@ -147,7 +147,7 @@ def token_pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, task = encoder(tokenizer), TaskContext.get().partitionId()
-        end, seen = np.array([end_id], f"<u{own.width}").tobytes(), Counter()
+        end, seen = own.one(end_id), Counter()
         for batch in slices(batches, "text"):
             rows = []
             for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode(batch.column("text").to_pylist())):

@@ -10,6 +10,7 @@ sum over the shards' totals, so no task needs to know what another one wrote.
 from __future__ import annotations
 
 import json
+import math
 import os
 import tempfile
 import uuid
@@ -23,12 +24,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored
-from tidemark.llm.tokens import TOKENIZER, crc32_of_ids, encoder, token_ids
+from tidemark.llm.common import slices, stored
+from tidemark.llm.tokens import TOKENIZER, crc32_of_ids, encoder
 from tidemark.session import new_folder
 
-#: A shard is written for about so many ids.
-SHARD_TOKENS = 8_000_000
+#: A shard is written for about so many bytes of text.
+SHARD_BYTES = 24 << 20
 NULL_ID = -(1 << 63)
 END_ID = 1
 
@@ -41,37 +42,37 @@ def _open(folder: str) -> tuple[fs.FileSystem, str]:
 def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, tokenizer: str = TOKENIZER) -> dict:
     """Write the ids of all documents and return the manifest.
 
-    Documents are encoded once and dealt to shards by ranges of ``doc_id``; documents with the
-    same id follow each other in the order of their ids' bytes, null ids come first. A shard is
+    Texts are dealt to shards by ranges of ``doc_id`` and encoded where their shard is written;
+    documents with the same id follow each other in the order of their texts, null ids come first,
+    null texts have the end id alone. A shard is
     written under a name of its own and then renamed, so repeated attempts of a task leave the
     same file. An empty table has no shards.
     """
     width = encoder(tokenizer).width
-    tokens = stored(token_ids(docs, end_id, tokenizer), "tokens")
-    total = tokens.agg(F.sum("n_tokens")).first()[0] or 0
-    shards = max(1, -(-total // SHARD_TOKENS))
-    ordered = tokens.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "ids")
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    shards = max(1, math.ceil((source.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / SHARD_BYTES))
+    ordered = source.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _open(folder)
+        own, (files, root) = encoder(tokenizer), _open(folder)
+        end = own.one(end_id)
         name = f"shard-{TaskContext.get().partitionId():06d}"
-        own = f"{root}/.{name}-{uuid.uuid4().hex}"
-        ends, doc_ids = [0], []
-        out = None
-        for batch in batches:
-            out = out or files.open_output_stream(f"{own}.bin")
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids")):
-                out.write(ids.as_buffer())
-                ends.append(ends[-1] + len(ids.as_buffer()) // width)
-                doc_ids.append(NULL_ID if doc_id is None else doc_id)
+        at = f"{root}/.{name}-{uuid.uuid4().hex}"
+        ends, doc_ids, out = [0], [], None
+        for batch in slices(batches, "text"):
+            out = out or files.open_output_stream(f"{at}.bin")
+            doc_ids += [NULL_ID if i is None else i for i in batch.column("doc_id").to_pylist()]
+            for ids in own.encode(batch.column("text").to_pylist()):
+                out.write(ids + end)
+                ends.append(ends[-1] + len(ids) // width + 1)
         if out is None:
             return
         out.close()
         for suffix, values in (("idx", ends), ("doc", doc_ids)):
-            with files.open_output_stream(f"{own}.{suffix}") as f:
+            with files.open_output_stream(f"{at}.{suffix}") as f:
                 f.write(np.array(values, "<i8").tobytes())
         for suffix in ("bin", "idx", "doc"):
-            files.move(f"{own}.{suffix}", f"{root}/{name}.{suffix}")
+            files.move(f"{at}.{suffix}", f"{root}/{name}.{suffix}")
         yield pa.RecordBatch.from_arrays(
             [pa.array([name]), pa.array([len(doc_ids)], pa.int64()), pa.array([ends[-1]], pa.int64())],
             ["name", "n_docs", "n_tokens"],

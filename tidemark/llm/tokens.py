@@ -9,20 +9,15 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from array import array
 
 import numpy as np
 import public_tokenizers
-import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from tidemark.llm.common import slices
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 #: Words a worker remembers; beyond it the memory starts afresh (same ids, more encoding).
-MEMORY_WORDS = 500_000
+MEMORY_WORDS = 800_000
 #: Longer words are encoded but not remembered.
 LONG_WORD = 64
 
@@ -37,11 +32,15 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # Unsigned integers as this machine has them; all machines that Spark runs on put the low byte first.
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
+        self.code = "H" if self.width == 2 else "I"
         self.by_word = self._same("it's 42 x", "it's", "42", "x") and self._same("É\n\té ,a  b", "É", "é", ",a", "b")
         self.marks_apart = self.by_word and all(self._same(f"Word{c}", "Word", c) for c in ".,!?;:")
         self.lowers = self.by_word and self._same("AbCdefGH", "abcdefgh")
-        self.memory: dict[str, bytes] = {"": b""}
+        probe = ["the", "tokenization", "onhaworewhstting"]
+        self.bare = self.lowers and all(self._ids([w])[0] == [t.id for t in self.tokenizer.model.tokenize(w)] for w in probe)
+        self.memory = _Memory(self)
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -50,11 +49,13 @@ class Encoder:
         found = self._ids([whole, *parts])
         return found[0] == [i for x in found[1:] for i in x]
 
-    def _bytes(self, texts: list[str]) -> list[bytes]:
-        kind = f"<u{self.width}"
-        return [np.array(ids, kind).tobytes() for ids in self._ids(texts)]
+    def word(self, word: str) -> bytes:
+        """Ids of one word. Words of a-z alone need no normalising or cutting, they go straight to the model."""
+        if self.bare and word.isascii() and word.isalpha() and word.islower():
+            return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+        return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def _parts(self, word: str) -> tuple[str, str]:
+    def parts(self, word: str) -> tuple[str, str]:
         """A word and the marks it ends in, in the spelling that is looked up."""
         base, marks = word, ""
         if self.marks_apart:
@@ -66,27 +67,32 @@ class Encoder:
             base = base.lower()
         return base, marks
 
+    def one(self, token_id: int) -> bytes:
+        return array(self.code, [token_id]).tobytes()
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; none for null or empty texts."""
         if not self.by_word:
-            return self._bytes([t or "" for t in texts])
+            return [array(self.code, ids).tobytes() for ids in self._ids([t or "" for t in texts])]
         memory = self.memory
         if len(memory) > MEMORY_WORDS:
             memory.clear()
-            memory[""] = b""
-        words = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
-        new = {w: self._parts(w) for w in set().union(*words) if w not in memory}
-        if new:
-            unknown = [p for p in {p for parts in new.values() for p in parts} if p not in memory]
-            memory.update(zip(unknown, self._bytes(unknown)))
-            for word, (base, marks) in new.items():
-                memory[word] = memory[base] + memory[marks]
-        found = [b"".join(map(memory.__getitem__, w)) for w in words]
-        for word in [w for w in new if len(w) > LONG_WORD]:
-            for part in (word, *new[word]):
-                if len(part) > LONG_WORD:
-                    memory.pop(part, None)
-        return found
+        find = memory.__getitem__
+        return [b"".join(map(find, (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))) for t in texts]
+
+
+class _Memory(dict):
+    """Ids of the words seen; unknown words are encoded when they are looked up."""
+
+    def __init__(self, own: Encoder) -> None:
+        self.own = own
+
+    def __missing__(self, word: str) -> bytes:
+        base, marks = self.own.parts(word)
+        ids = self.own.word(word) if base == word else self[base] + (self[marks] if marks else b"")
+        if len(word) <= LONG_WORD:
+            self[word] = ids
+        return ids
 
 
 def encoder(path: str) -> Encoder:
@@ -99,24 +105,3 @@ def encoder(path: str) -> Encoder:
 def crc32_of_ids(ids: bytes, width: int) -> int:
     """crc32 of ids written as little-endian unsigned 32-bit integers."""
     return zlib.crc32(ids if width == 4 else np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes())
-
-
-def token_ids(docs: DataFrame, end_id: int, path: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: ``doc_id``, ``n_tokens`` and ``ids`` (bytes), with ``end_id`` appended to each.
-
-    Null and empty texts have the end id alone. Rows are kept as they are: repeated or null ids
-    give a row each.
-    """
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
-        end = np.array([end_id], f"<u{own.width}").tobytes()
-        for batch in slices(batches, "text"):
-            ids = [x + end for x in own.encode(batch.column("text").to_pylist())]
-            counts = np.array([len(x) // own.width for x in ids], np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(counts), pa.array(ids, pa.binary())], ["doc_id", "n_tokens", "ids"]
-            )
-
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(encode, "doc_id long, n_tokens long, ids binary")

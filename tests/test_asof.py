@@ -141,3 +141,14 @@ def test_plain_join_shuffles_once(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+@pytest.mark.parametrize("hot_rows", [None, 5])
+def test_ties_do_not_depend_on_the_partitions(spark, hot_rows):
+    moments = spark.range(5).selectExpr("id AS k", "timestamp_ntz'2024-01-02' AS event_timestamp")
+    rows = spark.range(400).selectExpr("id % 5 AS k", "timestamp_ntz'2024-01-01' AS ts", "id AS v")
+    found = {
+        tuple(sorted(map(tuple, asof.as_of_join(moments, rows.repartition(n), ["k"], "ts", ["v"], hot_rows=hot_rows).collect())))
+        for n in (1, 3, 8)
+    }
+    assert len(found) == 1

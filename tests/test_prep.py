@@ -85,13 +85,31 @@ def test_fill_value_becomes_a_category(df):
 
 def test_columns_with_many_values(df, monkeypatch):
     monkeypatch.setattr(prep, "MAX_CATEGORIES", 1)
-    with pytest.raises(ValueError, match="category_positions"):
-        FeaturePipeline(categorical_features(["kind"])).fit(df)
+    fitted = FeaturePipeline(categorical_features(["kind"])).fit(df)
+    assert fitted.output_names() == ["kind_position"]
+    out = fitted.transform(df)
+    assert out.columns == ["kind_position", "id", "x"]
+    # Missing kinds are filled with the commonest one; positions count from the second category.
+    narrow = prep.category_positions(df.fillna({"kind": fitted.features[0].fill}), "kind")
+    assert column(out, "kind_position") == column(narrow, "kind_position")
+    assert column(fitted.transform(df.withColumn("kind", F.lit("never seen"))), "kind_position") == [None] * 8
     wide = df.withColumn("many", F.when(F.col("id") < 6, F.col("id").cast("string")).otherwise("4"))
     out = FeaturePipeline(categorical_features(["many"], encoder_type="none")).fit(wide)
     assert out.features[0].fill == "4"
 
 
+@pytest.mark.parametrize("parts", [1, 4, 16])
+def test_categories_do_not_depend_on_the_rows_order(spark, parts):
+    rows = spark.range(0, 3000, 1, parts).select(
+        F.concat(F.lit("w"), "id").alias("wide"), F.when(F.col("id") % 3 > 0, F.lit("x")).alias("kind")
+    )
+    specs = [
+        *categorical_features(["wide"], encoder_enabled=False),
+        *categorical_features(["kind"], imputer_strategy="constant", imputer_fill_value="a_missing"),
+    ]
+    assert FeaturePipeline(specs).fit(rows.repartition(parts)).features[1].categories == ["a_missing", "x"]
+
+
 def test_category_positions(df):
     out = prep.category_positions(df, "kind")
     assert out.columns == ["id", "x", "kind", "kind_position"]

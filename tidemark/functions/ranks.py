@@ -17,10 +17,13 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.sketch import GRID, spread_quantiles
 
 MAX_ROWS = 1_000_000
+#: Values of a span, on average, among which pivots of unordered types are chosen.
+SAMPLE = 2_000
 
 
 @dataclass
@@ -131,12 +134,28 @@ def _sketched(rows, value, spans, by) -> dict[int, list]:
     }
     offers = sorted({min(1.0, max(0.0, n / GRID)) for n in near})
     kind = rows.schema[value].dataType.simpleString()
+    if not isinstance(rows.schema[value].dataType, T.NumericType):
+        return _sampled(_in_spans(rows, value, spans, by), value, sum(s.size for s in spans), len(spans), offers)
     pivots = spread_quantiles(_in_spans(rows, value, spans, by), value, offers, ["_span"]).select(
         "_span", F.sort_array(F.array_distinct(F.col("p").cast(f"array<{kind}>"))).alias("p")
     )
     return {r["_span"]: r["p"] for r in pivots.collect()}
 
 
+def _sampled(marked: DataFrame, value: str, size: int, spans: int, offers: Sequence[float]) -> dict[int, list]:
+    """Pivots of values that cannot be sketched, text ids say: quantiles of a sample of them.
+
+    Values are chosen by their hash, about SAMPLE of them for each span on average. Pivots only
+    steer the narrowing; the counts that follow are exact.
+    """
+    share = min(1.0, SAMPLE * spans / max(1, size))
+    chosen = marked.filter(F.pmod(F.xxhash64(value), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    found = {}
+    for r in chosen.groupBy("_span").agg(F.sort_array(F.collect_set(value)).alias("p")).collect():
+        found[r["_span"]] = sorted({r["p"][min(len(r["p"]) - 1, int(o * len(r["p"])))] for o in offers})
+    return {i: found.get(i, []) for i in range(spans)}
+
+
 def _narrow(rows, value, spans, by, points, found, keep_points) -> list[_Span]:
     """Count the rows at and between the pivots, and keep the stretches with wanted ranks."""
     marked = _in_spans(rows, value, spans, by)

@@ -67,7 +67,8 @@ def as_of_join(
     """For every entity row, the features of the newest row not after its moment.
 
     Entity rows without such a row, or whose newest row is older than ``ttl``, keep nulls.
-    Equal feature times are resolved by ``created``, then by ``tiebreak``.
+    Equal feature times are resolved by ``created``, then by ``tiebreak``, then by a hash of the
+    features themselves.
 
     Both sides are stacked and each key's rows are walked in time order, so the join costs
     one shuffle and never pairs a key's entity rows with its history. Keys with more than
@@ -82,10 +83,12 @@ def as_of_join(
         raise ValueError(f"features already in the entity frame: {taken}; use full_names")
 
     order = [*([created] if created else []), *tiebreak]
+    # Ties end in a hash of the features, so the answer does not depend on the rows' arrival.
+    own = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(columns)])))
     right = features.select(
         *keys,
         F.col(timestamp).alias("_t"),
-        F.struct(*[F.col(c) for c in order], F.lit(0).alias("_")).alias("_order"),
+        F.struct(*[F.col(c) for c in order], own.alias("_")).alias("_order"),
         F.struct(F.col(timestamp).alias("_t"), *[F.col(c).alias(n) for c, n in zip(columns, names)]).alias("_f"),
     ).dropna(subset=[*keys, "_t"])
     if ttl is not None:

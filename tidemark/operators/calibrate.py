@@ -97,7 +97,10 @@ class CalibratedClassifier:
         out = out.withColumn(probability, F.array(*means)).drop(*[f"_cal{i}" for i in range(len(parts))])
         return out.withColumn(prediction, F.element_at(self.members[0][0].trees.labels(), best))
 
-    predict = transform
+    def predict(self, df: DataFrame) -> DataFrame:
+        """``transform`` after the checks of the uncalibrated classifier: rows, and every feature."""
+        self.members[0][0].predict(df)
+        return self.transform(df)
 
     def evaluate(self, df: DataFrame, metrics: list[str] | None = None) -> DataFrame:
         wanted = metrics or self.members[0][0].trees.spec.evaluation_metrics

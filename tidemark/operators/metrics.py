@@ -17,11 +17,13 @@ BUCKET_ROWS = 1_000_000
 
 
 def accuracy(df: DataFrame, label: str, prediction: str) -> DataFrame:
-    return df.agg(F.avg((F.col(label) == F.col(prediction)).cast("double")).alias("accuracy"))
+    """Share of the labelled rows that are predicted right; a missing prediction is a miss."""
+    hit = F.coalesce(F.col(label) == F.col(prediction), F.lit(False)).cast("double")
+    return df.agg(F.avg(F.when(F.col(label).isNotNull(), hit)).alias("accuracy"))
 
 
 def roc_auc(df: DataFrame, label: str, score: str, positive: Any = 1, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Area under the ROC curve of a binary label; tied scores count half."""
+    """Area under the ROC curve of a binary label; tied scores count half, a missing score is an error."""
     edges = _score_edges(df, score, bucket_rows, None)
     return _ranked_totals(df, score, _counts(label, None, positive), edges).select(_auc().alias("roc_auc"))
 
@@ -103,7 +105,7 @@ def _counts(label: str, prediction: str | None, positive: Any) -> list[Column]:
             F.count_if(F.col(label) == F.col(prediction)).alias("hits"),
             F.count_if(truth & called).alias("tp"),
             F.count_if(~truth & called).alias("fp"),
-            F.count_if(truth & ~called).alias("fn"),
+            F.count_if(truth & ~F.coalesce(called, F.lit(False))).alias("fn"),
         ]
     return counts
 
@@ -138,7 +140,9 @@ def _ranked_totals(
     other, so no task sorts all scores.
     """
     names = ("pos", "neg", "hits", "tp", "fp", "fn")[: len(counts)]
-    placed = with_bucket(df, F.col(score).cast("double"), edges, "_bucket")
+    known = F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double"))
+    checked = F.when(known, F.col(score)).otherwise(F.raise_error(F.lit(f"rows without a value of {score!r} cannot be ranked")))
+    placed = with_bucket(df.withColumn(score, checked), F.col(score).cast("double"), edges, "_bucket")
     by_score = placed.groupBy(*by, "_bucket", F.col(score).alias("_score")).agg(*counts)
     below = Window.partitionBy(*by, "_bucket").orderBy("_score").rowsBetween(Window.unboundedPreceding, -1)
     neg, pos = F.col("neg").cast("double"), F.col("pos").cast("double")

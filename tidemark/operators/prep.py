@@ -20,6 +20,7 @@ from tidemark.functions.ranks import MAX_ROWS, exact_quantiles
 from tidemark.session import write_through
 from tidemark.specs import CategoricalFeatureSpec, FeatureSpec, NumericFeatureSpec
 
+#: Up to so many categories make a column each; more make one column with the position of the 1.
 MAX_CATEGORIES = 1_000
 QUARTERS = (0.25, 0.5, 0.75)
 
@@ -33,6 +34,8 @@ class FittedFeature:
     centre: float = 0.0
     scale: float = 1.0
     categories: list[str] = field(default_factory=list)
+    #: For encoders with more than MAX_CATEGORIES categories: rows (value, position).
+    positions: DataFrame | None = None
 
     def imputed(self, df: DataFrame) -> Column:
         value = missing_as_null(df, self.spec.feature_name)
@@ -46,6 +49,8 @@ class FittedFeature:
             if spec.scaler_enabled and spec.scaler_type != "none":
                 value = (value - F.lit(self.centre)) / F.lit(self.scale)
             return [value.alias(name)]
+        if self.positions is not None:
+            return [F.col(f"`{name}_position`")]
         if spec.encoder_enabled and spec.encoder_type != "none":
             return [
                 F.when(value == F.lit(c), 1.0).otherwise(0.0).alias(f"{name}_{c}") for c in self.categories[1:]
@@ -54,6 +59,8 @@ class FittedFeature:
 
     def output_names(self) -> list[str]:
         name, spec = self.spec.feature_name, self.spec
+        if self.positions is not None:
+            return [f"{name}_position"]
         if isinstance(spec, CategoricalFeatureSpec) and spec.encoder_enabled and spec.encoder_type != "none":
             return [f"{name}_{c}" for c in self.categories[1:]]
         return [name]
@@ -70,8 +77,13 @@ class FittedFeatures:
         if missing:
             raise ValueError(f"columns not in the frame: {missing}")
         done = {f.spec.feature_name for f in self.features}
-        made = [c for f in self.features for c in f.columns(df)]
-        return df.select(*made, *[F.col(f"`{c}`") for c in df.columns if c not in done])
+        kept = [F.col(f"`{c}`") for c in df.columns if c not in done]
+        for f in self.features:
+            if f.positions is not None:
+                name = f.spec.feature_name
+                places = f.positions.select(F.col("value").alias(f"_{name}_value"), F.col("position").alias(f"{name}_position"))
+                df = df.join(places, f.imputed(df).cast("string") == F.col(f"`_{name}_value`"), "left")
+        return df.select(*[c for f in self.features for c in f.columns(df)], *kept)
 
     def output_names(self) -> list[str]:
         return [n for f in self.features for n in f.output_names()]
@@ -201,63 +213,57 @@ def _fit_categorical(df: DataFrame, features: list[FittedFeature]) -> None:
     names = list(dict.fromkeys([*by_mode, *encoded]))
     if not names:
         return
-    counts = value_counts(df, names)
-    limit = (MAX_CATEGORIES + 1) * len(names)
-    found = counts.limit(limit + 1).collect()
-    values: dict[str, list[str]] = {n: [] for n in names}
-    if len(found) <= limit:
-        for r in sorted((r for r in found if r["value"] is not None), key=lambda r: (-r["n"], r["value"])):
-            values[r["name"]].append(r["value"])
-        for n in by_mode:
-            by_name[n].fill = next(iter(values[n]), None)
-    else:
-        for r in most_frequent(counts.filter(F.col("name").isin(by_mode))).collect():
-            by_name[r["name"]].fill = r["value"]
-        narrow = counts.filter(F.col("name").isin(encoded) & F.col("value").isNotNull())
-        for r in narrow.select("name", "value").limit(MAX_CATEGORIES * len(encoded) + 1).collect():
-            values[r["name"]].append(r["value"])
-        if sum(map(len, values.values())) > MAX_CATEGORIES * len(encoded):
-            _too_many(encoded)
-    missing = {r["name"] for r in found if r["value"] is None}
-
+    counts = write_through(value_counts(df, names), "categories")
+    # A row for each column each; what is read in full comes from columns known to be narrow.
+    missing = {r["name"] for r in counts.filter("value IS NULL").select("name").collect()}
+    widths = {r["name"]: r["n"] for r in counts.filter("value IS NOT NULL").groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    for r in most_frequent(counts.filter(F.col("name").isin(by_mode))).collect() if by_mode else []:
+        by_name[r["name"]].fill = r["value"]
     empty = [n for n in by_mode if by_name[n].fill is None]
     if empty:
         raise ValueError(f"columns without any value cannot be imputed from the data: {empty}")
+
+    narrow = [n for n in encoded if widths.get(n, 0) <= MAX_CATEGORIES]
+    values: dict[str, list[str]] = {n: [] for n in narrow}
+    if narrow:
+        for r in counts.filter(F.col("name").isin(narrow) & F.col("value").isNotNull()).select("name", "value").collect():
+            values[r["name"]].append(r["value"])
     for n in encoded:
         f = by_name[n]
-        extra = {f.fill} if f.fill is not None and n in missing else set()
-        f.categories = sorted({*values[n], *extra})
-        if len(f.categories) > MAX_CATEGORIES:
-            _too_many([n])
+        extra = [f.fill] if f.fill is not None and n in missing else []
+        if n in values:
+            f.categories = sorted({*values[n], *extra})
+            continue
+        wide = counts.filter((F.col("name") == n) & F.col("value").isNotNull()).select("value")
+        more = df.sparkSession.createDataFrame([(x,) for x in extra], "value string")
+        f.positions = _positions(wide.union(more).distinct())
+
 
+def _positions(categories: DataFrame) -> DataFrame:
+    """Rows (value, position): where the 1 of a category's one-hot vector stands, null for the first.
 
-def _too_many(names: Sequence[str]) -> None:
-    raise ValueError(
-        f"one column per category is limited to {MAX_CATEGORIES} categories (in {list(names)}); "
-        "use category_positions for wider columns"
+    The categories are written in sorted parts of even size, numbered within each part, and
+    shifted by the parts before.
+    """
+    ranged = categories.repartitionByRange("value").withColumn("_part", F.spark_partition_id())
+    parts = write_through(ranged, "positions")
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = parts.groupBy("_part").count().select(
+        "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift")
     )
+    inside = F.row_number().over(Window.partitionBy("_part").orderBy("value")) - 1
+    position = F.col("_shift") + F.col("_inside") - 1
+    numbered = parts.withColumn("_inside", inside).join(shifts, "_part")
+    return write_through(numbered.select("value", F.when(position >= 0, position).alias("position")), "positions")
 
 
 def category_positions(df: DataFrame, name: str) -> DataFrame:
     """One-hot encoding of a column with any number of categories, as a position.
 
     Adds ``<name>_position``: where the single 1 of the row's one-hot vector stands, or null
-    for the dropped first category and for missing values. The categories are written in
-    sorted parts of even size, numbered within each part, and shifted by the parts before.
+    for the dropped first category and for missing values.
     """
     value = F.col(f"`{name}`")
-    categories = df.filter(value.isNotNull()).select(value.alias(name)).distinct()
-    ranged = categories.repartitionByRange(name).withColumn("_part", F.spark_partition_id())
-    parts = write_through(ranged, "categories")
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = parts.groupBy("_part").count().select(
-        "_part", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_shift")
-    )
-    inside = F.row_number().over(Window.partitionBy("_part").orderBy(name)) - 1
-    position = F.col("_shift") + F.col("_inside") - 1
-    numbered = (
-        parts.withColumn("_inside", inside)
-        .join(shifts, "_part")
-        .select(name, F.when(position >= 0, position).alias(f"{name}_position"))
-    )
+    numbered = _positions(df.filter(value.isNotNull()).select(value.alias("value")).distinct())
+    numbered = numbered.select(F.col("value").alias(name), F.col("position").alias(f"{name}_position"))
     return df.join(numbered, name, "left").select(*df.columns, f"{name}_position")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import json
+import math
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -33,10 +34,20 @@ def candidates(spec: TuningSpec) -> list[dict[str, Any]]:
     if not isinstance(grid, Mapping) or not grid or not all(len(v) for v in grid.values()):
         raise ValueError("the parameter grid must not be empty")
     names = sorted(grid)
-    every = [dict(zip(names, values)) for values in itertools.product(*[grid[n] for n in names])]
     if isinstance(spec, RandomSearchSpec):
-        return random.Random(spec.random_state).sample(every, min(spec.n_iter, len(every)))
-    return every
+        size = math.prod(len(grid[n]) for n in names)
+        drawn = random.Random(spec.random_state).sample(range(size), min(spec.n_iter, size))
+        return [_combination(grid, names, number) for number in drawn]
+    return [dict(zip(names, values)) for values in itertools.product(*[grid[n] for n in names])]
+
+
+def _combination(grid: Mapping[str, Sequence], names: Sequence[str], number: int) -> dict[str, Any]:
+    """The combination of that number when the last name varies fastest."""
+    found = {}
+    for name in reversed(names):
+        number, at = divmod(number, len(grid[name]))
+        found[name] = grid[name][at]
+    return {n: found[n] for n in names}
 
 
 def cv_results(scores: DataFrame, by: Sequence[str] = ("candidate",), score: str = "score") -> DataFrame:
@@ -106,6 +117,8 @@ def search(
     params = candidates(spec)
     seed = spec.random_state if spec.random_state is not None else default_seed
     classes = class_list(df, label)
+    if "roc_auc" in {SCORERS[m] for m in spec.scorers().values()} and len(classes) != 2:
+        raise ValueError("the area under the ROC curve needs two classes")
     narrow = df.select(*dict.fromkeys([key, *pipeline.input_columns(df), label]))
     if spec.cv_strategy == "kfold":
         folded = kfold(narrow, key, spec.n_splits, seed, fold="_fold")
@@ -141,7 +154,9 @@ def search(
 
     frame = df.sparkSession.createDataFrame(scores, FOLD_SCORES)
     tests = [r for r in scores if r[3] == "test" and r[4] == spec.refit_score]
-    means = [sum(r[5] for r in tests if r[0] == c) / spec.n_splits for c in range(len(params))]
+    # A fold without a defined score leaves the candidate without a mean, and ranks it last.
+    of = [[r[5] for r in tests if r[0] == c] for c in range(len(params))]
+    means = [sum(x) / spec.n_splits if x and None not in x else -math.inf for x in of]
     best = max(range(len(params)), key=lambda c: (means[c], -c))
     chosen = pipeline.with_parameters(params[best])
     model = chosen.fit(folded, label, classes)

@@ -133,28 +133,36 @@ def describe_table(spark: SparkSession, path: str, format: str = "parquet") -> D
 def column_profile(df: DataFrame) -> DataFrame:
     """Per column: records, missing values, smallest and largest value.
 
-    One aggregate over the table whatever its width. Numbers are reported as doubles, other
-    values as text.
+    One aggregate over the table whatever its width. Numbers are reported as doubles, and all
+    but floating point ones also exactly, as text; other values as text. Lists, maps and structs
+    have counts only.
     """
-    sortable = [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
+    nested = (T.ArrayType, T.MapType, T.StructType)
+    kinds = {f.name: f.dataType for f in df.schema.fields}
     wanted = [F.count(F.lit(1)).alias("n")]
-    for i, c in enumerate(sortable):
+    for i, (c, kind) in enumerate(kinds.items()):
+        if isinstance(kind, nested):
+            wanted.append(F.count(F.col(f"`{c}`")).alias(f"k{i}"))
+            continue
         value = missing_as_null(df, c)
         wanted += [F.count(value).alias(f"k{i}"), F.min(value).alias(f"a{i}"), F.max(value).alias(f"z{i}")]
     rows = []
-    for i, c in enumerate(sortable):
-        number = is_numeric(df, c)
-        as_number = (lambda x: F.col(x).cast("double")) if number else (lambda x: F.lit(None).cast("double"))
-        as_text = (lambda x: F.lit(None).cast("string")) if number else (lambda x: F.col(x).cast("string"))
+    for i, (c, kind) in enumerate(kinds.items()):
+        number = not isinstance(kind, nested) and is_numeric(df, c)
+        text = not isinstance(kind, (*nested, T.FloatType, T.DoubleType))
+
+        def extreme(name: str, yes: bool, to: str):
+            return F.col(name).cast(to) if yes else F.lit(None).cast(to)
+
         rows.append(
             F.struct(
                 F.lit(c).alias("column"),
                 F.col("n").alias("num_records"),
                 (F.col("n") - F.col(f"k{i}")).alias("null_count"),
-                as_number(f"a{i}").alias("min_number"),
-                as_number(f"z{i}").alias("max_number"),
-                as_text(f"a{i}").alias("min_text"),
-                as_text(f"z{i}").alias("max_text"),
+                extreme(f"a{i}", number, "double").alias("min_number"),
+                extreme(f"z{i}", number, "double").alias("max_number"),
+                extreme(f"a{i}", text, "string").alias("min_text"),
+                extreme(f"z{i}", text, "string").alias("max_text"),
             )
         )
     return df.agg(*wanted).select(F.inline(F.array(*rows)))

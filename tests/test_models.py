@@ -7,6 +7,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import functions as F
+from synth import synth_labelled
 
 from tidemark.operators import tuning
 from tidemark.operators.calibrate import CalibratedPipeline, calibrate_prefit, isotonic_curve, sigmoid_curve
@@ -16,7 +17,6 @@ from tidemark.operators.select import assemble
 from tidemark.operators.splits import stratified_kfold
 from tidemark.plans import workflow as flow
 from tidemark.session import write_through
-from tidemark.sources.synth import synth_labelled
 from tidemark.specs import (
     CalibrationSpec,
     ClassifierSpec,

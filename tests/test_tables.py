@@ -3,11 +3,12 @@
 from datetime import datetime
 
 import pytest
+import synth
 from pyspark.sql import functions as F
 
 from tidemark.operators import checks, select
 from tidemark.session import new_folder, shared_root, write_through
-from tidemark.sources import synth, tables
+from tidemark.sources import tables
 
 
 @pytest.fixture

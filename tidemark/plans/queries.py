@@ -13,12 +13,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import asof, checks, latest, metrics, prep, select, splits, tuning
+from tidemark.operators import asof, calibrate, checks, latest, metrics, prep, select, splits, tuning
 from tidemark.operators.calibrate import CalibratedPipeline
 from tidemark.operators.model import ClassifierPipeline
 from tidemark.plans import workflow as flow
 from tidemark.session import new_folder, write_through
-from tidemark.sources import synth, tables
+from tidemark.sources import tables
 from tidemark.specs import (
     CalibrationSpec,
     ClassifierSpec,
@@ -116,9 +116,35 @@ PART_TYPES_SQL = """
 part_types AS (SELECT p_partkey, CASE WHEN p_size > 10 THEN p_type END AS p_type FROM part)"""
 
 
-def customer_samples(spark: SparkSession, sf: str, n_features: int = 8, n_classes: int = 2) -> DataFrame:
-    """One generated labelled row per customer."""
-    return synth.synth_labelled(table(spark, sf, "customer"), "c_custkey", n_features, n_classes)
+#: Signs whose share of a text is a feature, by feature number.
+SIGNS = {"feature_2": "A-Z", "feature_3": "0-9", "feature_4": "!", "feature_5": "|", "feature_6": "%$#*&"}
+
+SAMPLES_SQL = """
+counted AS (
+  SELECT doc_id AS sample_index, CAST(length(text) AS DOUBLE) AS feature_0,
+         CAST(len(string_split(text, chr(10))) AS DOUBLE) AS feature_1, """ + ",\n         ".join(
+    f"length(regexp_replace(text, '[^{signs}]', '', 'g')) / CAST(greatest(length(text), 1) AS DOUBLE) AS {name}"
+    for name, signs in SIGNS.items()
+) + """,
+         CAST(len(string_split(text, ' ')) AS DOUBLE) AS feature_7, quality, toxic
+  FROM documents JOIN labels USING (doc_id) WHERE text IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL)"""
+
+
+def document_samples(spark: SparkSession, sf: str, n_classes: int = 2) -> DataFrame:
+    """Labelled documents with eight measures of their text; bad, toxic and good ones for three classes."""
+    text, size = F.col("text"), F.greatest(F.length("text"), F.lit(1)).cast("double")
+    shares = [(F.length(F.regexp_replace(text, f"[^{signs}]", "")) / size).alias(name) for name, signs in SIGNS.items()]
+    target = F.col("quality") if n_classes == 2 else F.when(F.col("quality") == 0, 0).otherwise(2 - F.col("toxic"))
+    labels = table(spark, sf, "labels").dropna(subset=["quality", "toxic"])
+    rows = table(spark, sf, "documents").filter(text.isNotNull()).join(labels, "doc_id")
+    return rows.select(
+        F.col("doc_id").alias("sample_index"),
+        F.length(text).cast("double").alias("feature_0"),
+        F.size(F.split(text, "\n", -1)).cast("double").alias("feature_1"),
+        *shares,
+        F.size(F.split(text, " ", -1)).cast("double").alias("feature_7"),
+        target.alias("target"),
+    )
 
 
 def sample_pipeline(n_features: int = 8, **hyperparameters) -> ClassifierPipeline:
@@ -219,9 +245,9 @@ def load_labelled(spark, sf):
     return tables.load_labelled(orders_table(spark, sf))
 
 
-@query()
-def synth_labelled(spark, sf):
-    return customer_samples(spark, sf, 20)
+@query(f"WITH {SAMPLES_SQL} SELECT * EXCLUDE (quality, toxic), quality AS target FROM counted")
+def labelled_documents(spark, sf):
+    return document_samples(spark, sf)
 
 
 # ---------------------------------------------------------------- columns
@@ -884,16 +910,43 @@ def gbt_fit_predict(spark, sf):
     return fitted.transform(rows).select("l_orderkey", "l_linenumber", "returned", "prediction")
 
 
+STUMP_SQL = """WITH counted AS (
+  SELECT 'd' AS f, l_discount AS v, count(*) AS n, CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE -1 END) AS DOUBLE) AS s
+  FROM lineitem GROUP BY l_discount
+  UNION ALL
+  SELECT 't', l_tax, count(*), CAST(sum(CASE WHEN l_returnflag = 'R' THEN 1 ELSE -1 END) AS DOUBLE) FROM lineitem GROUP BY l_tax),
+sides AS (
+  SELECT f, v, sum(n) OVER up AS nl, sum(s) OVER up AS sl, sum(n) OVER whole AS n, sum(s) OVER whole AS s FROM counted
+  WINDOW up AS (PARTITION BY f ORDER BY v), whole AS (PARTITION BY f)),
+best AS (SELECT * FROM sides WHERE nl < n ORDER BY sl * sl / nl + (s - sl) * (s - sl) / (n - nl) DESC LIMIT 1),
+scored AS (
+  SELECT l_orderkey, l_linenumber,
+         CASE WHEN CASE WHEN f = 'd' THEN l_discount ELSE l_tax END <= v THEN sl / nl ELSE (s - sl) / (n - nl) END AS m
+  FROM lineitem, best)
+SELECT l_orderkey, l_linenumber, CAST(CASE WHEN m > 0 THEN 1 ELSE 0 END AS INTEGER) AS prediction,
+       round(1 / (1 + exp(-2 * m)), 6) AS p1 FROM scored"""
+
+
+@query(STUMP_SQL)
+def gbt_stump(spark, sf):
+    """One tree with one split is the best cut of one column, which SQL finds as well."""
+    spec = ClassifierSpec(model_name="stump", hyperparameters={"n_estimators": 1, "max_depth": 1}, random_state=7)
+    rows = returned_items(spark, sf)
+    fitted = ClassifierPipeline(numeric_features(["l_discount", "l_tax"]), spec).fit(rows, "returned")
+    p1 = F.round(F.col("probability")[1], 6).alias("p1")
+    return fitted.transform(rows).select("l_orderkey", "l_linenumber", "prediction", p1)
+
+
 @query()
 def gbt_proba(spark, sf):
-    rows = customer_samples(spark, sf)
+    rows = document_samples(spark, sf)
     scored = sample_pipeline().fit(rows, "target").transform(rows)
     return scored.select("sample_index", "target", *[F.col("probability")[i].alias(f"p{i}") for i in (0, 1)])
 
 
 @query()
 def gbt_multiclass(spark, sf):
-    rows = customer_samples(spark, sf, 8, 3)
+    rows = document_samples(spark, sf, 3)
     scored = sample_pipeline().fit(rows, "target").transform(rows)
     shares = [F.col("probability")[i].alias(f"p{i}") for i in range(3)]
     return scored.select("sample_index", "target", "prediction", *shares)
@@ -901,16 +954,17 @@ def gbt_multiclass(spark, sf):
 
 @query()
 def feature_importance(spark, sf):
-    return sample_pipeline().fit(customer_samples(spark, sf), "target").importance()
+    return sample_pipeline().fit(document_samples(spark, sf), "target").importance()
 
 
 @query()
 def pipeline_fit_predict(spark, sf):
+    """Fitted on the labelled documents, applied to all."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "n_chars")
-    rows = docs.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    rows = docs.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
     specs = [*numeric_features(["n_chars"]), *categorical_features(["lang", "source"])]
     model = ClassifierSpec(model_name="quality", hyperparameters={"n_estimators": 5}, random_state=7)
-    scored = ClassifierPipeline(specs, model).fit(rows, "quality").transform(rows)
+    scored = ClassifierPipeline(specs, model).fit(rows.filter("quality IS NOT NULL"), "quality").transform(rows)
     return scored.select("doc_id", "quality", "prediction", F.col("probability")[1].alias("p1"))
 
 
@@ -923,7 +977,7 @@ def grid_search(spark, sf):
         tuning_name="grid", param_grid={"classifier__n_estimators": [3, 6]}, n_splits=3, random_state=7,
         scoring=["accuracy", "roc_auc"],
     )
-    return tuning.search(spec, sample_pipeline(), customer_samples(spark, sf), "target", "sample_index").cv_results()
+    return tuning.search(spec, sample_pipeline(), document_samples(spark, sf), "target", "sample_index").cv_results()
 
 
 @query()
@@ -932,7 +986,7 @@ def random_search(spark, sf):
         tuning_name="random", n_iter=2, n_splits=2, random_state=7,
         param_distributions={"classifier__n_estimators": [2, 4, 6], "classifier__max_depth": [2, 3]},
     )
-    return tuning.search(spec, sample_pipeline(), customer_samples(spark, sf), "target", "sample_index").cv_results()
+    return tuning.search(spec, sample_pipeline(), document_samples(spark, sf), "target", "sample_index").cv_results()
 
 
 @query(f"""WITH r AS (
@@ -967,13 +1021,55 @@ def cv_results(spark, sf):
 
 
 def calibrated(spark: SparkSession, sf: str, classes: int = 2, **settings) -> DataFrame:
-    rows = customer_samples(spark, sf, 8, classes)
+    rows = document_samples(spark, sf, classes)
     spec = CalibrationSpec(calibration_name="curve", random_state=7, **settings)
     fitted = CalibratedPipeline(sample_pipeline(), spec, "sample_index").fit(rows, "target")
     shares = [F.col("probability")[i].alias(f"p{i}") for i in range(classes)]
     return fitted.transform(rows).select("sample_index", "target", "prediction", *shares)
 
 
+DISCOUNTS_SQL = f"""{RETURNED_SQL},
+points AS (
+  SELECT l_discount AS s, CAST(sum(returned) AS DOUBLE) AS p, CAST(count(*) - sum(returned) AS DOUBLE) AS q
+  FROM returned_items GROUP BY 1)"""
+
+
+@query(f"""WITH {DISCOUNTS_SQL},
+stretches AS (
+  SELECT a.s AS low, b.s AS high, sum(c.p) / sum(c.p + c.q) AS m
+  FROM points a JOIN points b ON a.s <= b.s JOIN points c ON c.s BETWEEN a.s AND b.s GROUP BY 1, 2),
+least AS (SELECT x.s, t.low, min(t.m) AS m FROM points x JOIN stretches t ON x.s BETWEEN t.low AND t.high GROUP BY 1, 2)
+SELECT s AS l_discount, round(max(m), 6) AS calibrated FROM least GROUP BY 1""")
+def isotonic_curve(spark, sf):
+    """The rising step curve is the largest of the least means of stretches around each score."""
+    rows = returned_items(spark, sf)
+    curve = calibrate.isotonic_curve(rows, "l_discount", F.col("returned") == 1)
+    found = curve(rows.select("l_discount").distinct(), "l_discount", "calibrated")
+    return rounded(found, "calibrated")
+
+
+@query(f"""WITH RECURSIVE {DISCOUNTS_SQL},
+totals AS (SELECT sum(p) AS np, sum(q) AS nq FROM points),
+weighted AS (
+  SELECT s, p * (np + 1) / (np + 2) + q / (nq + 2) AS yes, p / (np + 2) + q * (nq + 1) / (nq + 2) AS no FROM points, totals),
+steps AS (
+  SELECT 0 AS k, CAST(0 AS DOUBLE) AS a, CAST(0 AS DOUBLE) AS b
+  UNION ALL
+  SELECT k + 1, a + (hbb * ga - hab * gb) / (haa * hbb - hab * hab), b + (haa * gb - hab * ga) / (haa * hbb - hab * hab)
+  FROM (
+    SELECT k, a, b, sum((yes - (yes + no) * m) * s) AS ga, sum(yes - (yes + no) * m) AS gb,
+           sum((yes + no) * m * (1 - m) * s * s) AS haa, sum((yes + no) * m * (1 - m) * s) AS hab,
+           sum((yes + no) * m * (1 - m)) AS hbb
+    FROM (SELECT *, 1 / (1 + exp(-(a * s + b))) AS m FROM steps, weighted WHERE k < 20) GROUP BY k, a, b))
+SELECT s AS l_discount, round(1 / (1 + exp(-(a * s + b))), 4) AS calibrated FROM points, steps WHERE k = 20""")
+def sigmoid_curve(spark, sf):
+    """Platt's curve is the logistic regression on smoothed targets; Newton steps find it in SQL."""
+    rows = returned_items(spark, sf)
+    curve = calibrate.sigmoid_curve(rows, "l_discount", F.col("returned") == 1)
+    found = curve(rows.select("l_discount").distinct(), "l_discount", "calibrated")
+    return found.withColumn("calibrated", F.round("calibrated", 4))
+
+
 @query()
 def calibrate_sigmoid(spark, sf):
     return calibrated(spark, sf)
@@ -999,12 +1095,12 @@ def calibrate_oof(spark, sf):
 
 @query()
 def cross_validate(spark, sf):
-    return flow.cross_validate(sample_pipeline(), customer_samples(spark, sf), "sample_index", "target", 3)
+    return flow.cross_validate(sample_pipeline(), document_samples(spark, sf), "sample_index", "target", 3)
 
 
 @query()
 def holdout_validate(spark, sf):
-    rows = customer_samples(spark, sf)
+    rows = document_samples(spark, sf)
     _, found = flow.holdout_validate(sample_pipeline(), rows, "sample_index", "target", 0.25)
     numbers = [(k, float(v)) for k, v in found.items() if k != "validation_strategy"]
     return spark.createDataFrame(numbers, "metric string, value double")
@@ -1013,7 +1109,7 @@ def holdout_validate(spark, sf):
 @query()
 def workflow(spark, sf):
     """Rows from the feature store, a search, calibration by folds, and cross-validation."""
-    features = customer_samples(spark, sf).withColumn("ingested_at", ntz("2024-01-01 00:00:00"))
+    features = document_samples(spark, sf).withColumn("ingested_at", ntz("2024-01-01 00:00:00"))
     pipeline = sample_pipeline()
     result = flow.run_workflow(
         features,

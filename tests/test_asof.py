@@ -1,9 +1,12 @@
 """The point-in-time join against a search through all pairs."""
 
+import bisect
 import random
+from collections import Counter, defaultdict
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.operators import asof
 
@@ -67,13 +70,23 @@ def test_hot_keys_are_cut_without_changing_the_result(spark, seed, hot_rows):
     assert joined(e, f, ttl=timedelta(minutes=30), hot_rows=hot_rows) == wanted
 
 
-def test_number_of_hot_keys_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(asof, "MAX_HOT_KEYS", 3)
+def test_stretches_of_hot_keys_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(asof, "WAYS", 3)
     entities, features = random_tables(7, n=200, hot=True)
     e, f = frames(spark, entities, features)
-    left, right = e.select("k"), f.select("k")
-    hot, pieces = asof._hot_keys(left, right, ["k"], 1)
-    assert left.filter(hot).select("k").distinct().count() < 3 and pieces > 1
+    left = e.select("k", F.col("event_timestamp").alias("_t"))
+    right = f.select("k", F.col("ts").alias("_t"))
+    cuts = {r["_h"]: r["_cuts"] for r in asof._hot_cuts(left, right, ["k"], 10).collect()}
+    at = asof.axis_position(F.col("_t"), right.schema["_t"].dataType).alias("p")
+    places = left.union(right).select(F.xxhash64("k").alias("h"), at).collect()
+    sizes, moments = Counter(), defaultdict(set)
+    for r in places:
+        if r.h in cuts and r.p is not None:
+            at = (r.h, bisect.bisect_right(cuts[r.h], r.p))
+            sizes[at] += 1
+            moments[at].add(r.p)
+    assert sizes and all(n <= 10 or len(moments[at]) == 1 for at, n in sizes.items())
+    assert max(Counter(r.h for r in places if r.h not in cuts).values(), default=0) <= 10
     assert joined(e, f, hot_rows=1) == all_pairs(entities, features)
 
 

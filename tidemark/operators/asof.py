@@ -9,13 +9,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import axis_position, with_bucket
+from tidemark.functions.columns import axis_position
 from tidemark.functions.sketch import spread_quantiles
 from tidemark.operators.checks import keep_samples
+from tidemark.session import write_through
 
+#: A key with more rows is cut into stretches of at most about so many.
 HOT_ROWS = 2_000_000
-MAX_HOT_KEYS = 10_000
-MAX_STRETCHES = 1_024
+#: A stretch that is still too long is cut into so many in one pass.
+WAYS = 64
 
 
 def entity_values(df: DataFrame, key: str) -> DataFrame:
@@ -74,7 +76,7 @@ def as_of_join(
     one shuffle and never pairs a key's entity rows with its history. Keys with more than
     ``hot_rows`` rows are cut into stretches of time that are walked in parallel; what was
     newest at the end of a stretch is handed to the next. ``hot_rows=None`` skips the look
-    for such keys (one aggregate over the key columns).
+    for such keys (one aggregate over the keys' hashes).
     """
     prefix = f"{view}__" if full_names and view else ""
     names = [prefix + c for c in columns]
@@ -104,12 +106,15 @@ def as_of_join(
         *keys, F.col(entity_timestamp).alias("_t"), F.struct(*rest, F.lit(0).alias("_")).alias("_e")
     )
 
-    hot, pieces = _hot_keys(left, right, keys, hot_rows)
-    if hot is None:
+    cuts = _hot_cuts(left, right, keys, hot_rows)
+    if cuts is None:
         matched = _walk(left, right, keys)
     else:
-        matched = _walk(left.filter(~hot), right.filter(~hot), keys).unionByName(
-            _walk_in_stretches(left.filter(hot), right.filter(hot), keys, pieces)
+        # A row for each hot key; written before, so that the planner knows its size.
+        left, right = (side.withColumn("_h", F.xxhash64(*keys)).join(cuts, "_h", "left").drop("_h") for side in (left, right))
+        cold = F.col("_cuts").isNull()
+        matched = _walk(left.filter(cold).drop("_cuts"), right.filter(cold).drop("_cuts"), keys).unionByName(
+            _walk_in_stretches(left.filter(~cold), right.filter(~cold), keys)
         )
     fresh = F.lit(True) if ttl is None else F.col("_f._t") >= F.col("_t") - _interval(ttl)
     place = {**{c: F.col(f"_e.`{c}`") for c in rest}, **{k: F.col(k) for k in keys}, entity_timestamp: F.col("_t")}
@@ -125,28 +130,40 @@ def _interval(span: timedelta) -> Column:
     )
 
 
-def _hot_keys(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int | None
-) -> tuple[Column | None, int]:
-    """Condition that holds for the keys with more than ``hot_rows`` rows, if there are any,
-    and the number of stretches to cut their rows into.
+def _hot_cuts(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame | None:
+    """For keys with more than ``hot_rows`` rows: ``_h``, the key's hash, and ``_cuts``, positions in time.
 
-    A key is hot only if it also holds more than one part in MAX_HOT_KEYS of all rows, so
-    fewer than MAX_HOT_KEYS of them can come to the driver. Keys are counted by their hash;
-    keys that share a hash are treated alike, which is as right, only slower.
+    No key, count or cut comes to the driver. Keys are counted by their hash; keys that share a
+    hash are treated alike, which is as right, only slower. Stretches between cuts are halved
+    further until each has at most ``hot_rows`` rows or is a single moment.
     """
     if hot_rows is None:
-        return None, 0
-    hashed = F.xxhash64(*keys)
-    both = left.select(hashed.alias("h")).unionByName(right.select(hashed.alias("h")))
-    counts = both.groupBy("h").agg(F.count(F.lit(1)).alias("n"))
-    total, largest = counts.agg(F.sum("n"), F.max("n")).first()
-    limit = max(hot_rows, (total or 0) // MAX_HOT_KEYS)
-    if not total or largest <= limit:
-        return None, 0
-    found = counts.filter(F.col("n") > limit).collect()
-    pieces = min(MAX_STRETCHES, -(-2 * sum(r["n"] for r in found) // limit))
-    return hashed.isin([r["h"] for r in found]), pieces
+        return None
+    at = axis_position(F.col("_t"), right.schema["_t"].dataType)
+    both = left.select(F.xxhash64(*keys).alias("_h"), "_t").unionByName(right.select(F.xxhash64(*keys).alias("_h"), "_t"))
+    hot = write_through(both.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows).select("_h"), "hot-keys")
+    if hot.isEmpty():
+        return None
+    rows = write_through(both.join(hot, "_h").select("_h", at.alias("p")).filter("p IS NOT NULL"), "hot-rows")
+    cuts = hot.withColumn("_cuts", F.array().cast("array<double>"))
+    shares = [i / WAYS for i in range(1, WAYS)]
+    while True:
+        placed = rows.join(cuts, "_h").select("_h", "p", _stretch(F.col("p")).alias("s"))
+        sizes = placed.groupBy("_h", "s").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("low"), F.max("p").alias("high"))
+        long = write_through(sizes.filter((F.col("n") > hot_rows) & (F.col("low") < F.col("high"))).drop("n"), "stretches")
+        if long.isEmpty():
+            return cuts
+        found = spread_quantiles(placed.join(long, ["_h", "s"]), "p", shares, ["_h", "s"]).join(long, ["_h", "s"])
+        # A cut begins a stretch, so it lies above the lowest moment; one at the highest always helps.
+        inner = F.concat(F.filter("p", lambda x: x > F.col("low")), F.array("high"))
+        more = found.select("_h", inner.alias("p")).groupBy("_h").agg(F.flatten(F.collect_list("p")).alias("p"))
+        joined = F.array_sort(F.array_distinct(F.concat("_cuts", F.coalesce("p", F.array().cast("array<double>")))))
+        cuts = write_through(cuts.join(more, "_h", "left").select("_h", joined.alias("_cuts")), "cuts")
+
+
+def _stretch(position: Column) -> Column:
+    """Number of the row's cuts at or before the position."""
+    return F.size(F.filter("_cuts", lambda c: c <= position))
 
 
 def _newest_so_far(window) -> Column:
@@ -176,26 +193,21 @@ def _walk(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return walked.filter("_side = 1").select(*keys, "_t", "_e", "_f")
 
 
-def _walk_in_stretches(left: DataFrame, right: DataFrame, keys: Sequence[str], pieces: int) -> DataFrame:
-    """``_walk`` for keys too large for one task.
+def _walk_in_stretches(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_walk`` for keys too large for one task, whose rows carry the ``_cuts`` of their key.
 
-    The time axis is cut at quantiles of all these rows, which bounds every stretch but for
-    rows with the same key and time; those are reduced to one on either side.
+    Cuts bound every stretch but for rows with the same key and time; those are reduced to one
+    on either side.
     """
-    kind = right.schema["_t"].dataType
-    at = axis_position(F.col("_t"), kind)
-    times = left.select(at.alias("p")).unionByName(right.select(at.alias("p"))).filter("p IS NOT NULL")
-    points = spread_quantiles(times, "p", [i / pieces for i in range(1, pieces)]).first()["p"]
-    edges = sorted(set(points))
+    at = axis_position(F.col("_t"), right.schema["_t"].dataType)
     parts = [*keys, "_stretch"]
+    left, right = (side.withColumn("_stretch", _stretch(at)).drop("_cuts") for side in (left, right))
+    right = right.groupBy(*parts, "_t").agg(F.max_by("_f", "_order").alias("_f"))
+    right = right.withColumn("_order", F.lit(None).cast("int"))
+    moments = left.select(*parts, "_t").distinct().withColumn("_e", F.lit(0))
+    left = left.drop("_stretch")
 
-    right = right.groupBy(*keys, "_t").agg(F.max_by("_f", "_order").alias("_f"))
-    right = with_bucket(right, at, edges, "_stretch").withColumn("_order", F.lit(None).cast("int"))
-    moments = with_bucket(left.select(*keys, "_t").distinct(), at, edges, "_stretch")
-    moments = moments.withColumn("_e", F.lit(0))
-
-    # The newest row before each stretch: one row per key and stretch, at most MAX_STRETCHES
-    # for a key.
+    # The newest row before each stretch: one row per key and stretch, a few for each HOT_ROWS rows.
     ends = right.groupBy(*parts).agg(F.max_by("_f", "_t").alias("_f"))
     starts = moments.select(*parts, F.lit(None).cast(right.schema["_f"].dataType).alias("_f")).distinct()
     ends = ends.unionByName(starts).groupBy(*parts).agg(F.first("_f", ignorenulls=True).alias("_f"))

@@ -32,8 +32,10 @@ from tidemark.llm.text_bytes import Hashes, utf8
 
 LENGTH = 200
 GRAM = 64
-#: Anchors with one hash that meet in one task (each has up to 2 * LENGTH bytes).
-GROUP_ROWS = 20_000
+#: Anchors with one hash that meet in one task (each has up to 2 * LENGTH bytes); more are split into chunks.
+GROUP_ROWS, CHUNK_ROWS = 20_000, 4_000
+#: Bytes of text that a task works on at a time.
+SLICE = 1 << 20
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
@@ -141,7 +143,7 @@ def _groups(rows: Iterator[tuple], width: int) -> Iterator[list[tuple]]:
 
 def _anchor_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             _, once = np.unique(batch.column("text_key").to_numpy(), return_index=True)
             batch = batch.take(pa.array(np.sort(once)))  # copies within a slice
             data, offsets = utf8(batch.column("text"))
@@ -159,10 +161,10 @@ def _surroundings(texts: DataFrame, length: int, gram: int) -> DataFrame:
 
     Equal surroundings within a slice of rows are sent once; the others are marked as repeated.
     """
-    names = ["hash", "chunk", "doc_id", "place", "low", "high", "before", "after", "repeated"]
+    names = ["hash", "chunk", "doc_id", "place", "low", "high", "before", "after", "repeated", "split"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             data, offsets = utf8(batch.column("text"))
             raw = data.tobytes()
             hash_, place, owner, first, last = anchors(data, offsets, length, gram)
@@ -178,7 +180,7 @@ def _surroundings(texts: DataFrame, length: int, gram: int) -> DataFrame:
                 start, end = int(offsets[o]), int(offsets[o + 1])
                 before, after = raw[max(start, p - length + gram) : p][::-1], raw[p : min(end, p + length)]
                 twin = seen.setdefault((before, after), len(rows))
-                rows.append([h, s % split if split > 1 else 0, ids[o], q, p - t, p - f, before, after, twin != len(rows)])
+                rows.append([h, s % split if split > 1 else 0, ids[o], q, p - t, p - f, before, after, twin != len(rows), split > 1])
                 if twin < len(rows) - 1:
                     rows[twin][8] = True
             # Of equal surroundings the first is sent whole, the others as occurrences only.
@@ -186,11 +188,11 @@ def _surroundings(texts: DataFrame, length: int, gram: int) -> DataFrame:
             for i, row in enumerate(rows):
                 if i not in firsts:
                     row[6] = row[7] = None
-            columns = list(zip(*rows)) or [()] * 9
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_()]
+            columns = list(zip(*rows)) or [()] * 10
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.bool_(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    return texts.mapInArrow(cut, "hash long, chunk long, doc_id long, place int, low int, high int, before binary, after binary, repeated boolean")
+    return texts.mapInArrow(cut, "hash long, chunk long, doc_id long, place int, low int, high int, before binary, after binary, repeated boolean, split boolean")
 
 
 def _runs(offsets: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -203,13 +205,13 @@ def _runs(offsets: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return found
 
 
-def _scan(rows: DataFrame, length: int, hot: bool) -> DataFrame:
+def _scan(rows: DataFrame, length: int) -> DataFrame:
     """Per anchor the stretches that are repeated, as ranges of bytes before the anchor.
 
-    With ``hot``, the stretches of split hashes come as well, for matching across chunks: those
-    not repeated in their chunk, and one of each kind that is (``low`` is null for that one).
+    Of split hashes, stretches come as well, for matching across chunks: those not repeated in
+    their chunk, and one of each kind that is (``low`` is null for that one).
     """
-    names = ["hash", "chunk", "doc_id", "place", "low", "high", "before", "after"]
+    names = ["hash", "chunk", "doc_id", "place", "low", "high", "before", "after", "split"]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple] = []
@@ -223,8 +225,11 @@ def _scan(rows: DataFrame, length: int, hot: bool) -> DataFrame:
                         found[i].append((low, high))
             own = [_runs(f) for f in found]
             out += [(r[2], r[3], low, high, None) for r, runs in zip(group, own) for low, high in runs]
-            if hot:
-                out += _across(group, own, length)
+            for row in _across(group, own, length) if group[0][8] else ():
+                out.append(row)
+                if len(out) > 10_000:
+                    yield batch_of(out)
+                    out = []
             if len(out) > 10_000:
                 yield batch_of(out)
                 out = []
@@ -239,18 +244,17 @@ def _scan(rows: DataFrame, length: int, hot: bool) -> DataFrame:
     return dealt.mapInArrow(scan, "doc_id long, place int, low int, high int, stretch binary")
 
 
-def _across(group: list[tuple], own: list[list[tuple[int, int]]], length: int) -> list[tuple]:
-    out, kinds = [], set()
-    for (hash_, _, doc_id, place, low, high, before, after), runs in zip(group, own):
+def _across(group: list[tuple], own: list[list[tuple[int, int]]], length: int) -> Iterator[tuple]:
+    kinds = set()
+    for (_, _, doc_id, place, low, high, before, after, _), runs in zip(group, own):
         whole, at = before[::-1] + after, len(before)
         for o in range(low, high + 1):
             stretch = hashlib.blake2b(whole[at - o : at - o + length], digest_size=16, key=o.to_bytes(4, "big")).digest()
             if not any(a <= o <= b for a, b in runs):
-                out.append((doc_id, place, o, o, stretch))
+                yield doc_id, place, o, o, stretch
             elif stretch not in kinds:
                 kinds.add(stretch)
-                out.append((doc_id, place, None, None, stretch))
-    return out
+                yield doc_id, place, None, None, stretch
 
 
 def repeated_spans(texts: DataFrame, firsts: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
@@ -263,7 +267,8 @@ def repeated_spans(texts: DataFrame, firsts: DataFrame, length: int = LENGTH, gr
     all_anchors = stored(_anchor_rows(texts, length, gram), "anchors")
     own = F.xxhash64("text_key", "place")
     counted = all_anchors.groupBy("hash").agg(F.min(own).alias("least"), F.max(own).alias("most"), F.count(F.lit(1)).alias("n"))
-    twice = counted.filter("least <> most").select("hash", F.ceil(F.col("n") / GROUP_ROWS).cast("int").alias("chunks"))
+    chunks = F.when(F.col("n") > GROUP_ROWS, F.ceil(F.col("n") / CHUNK_ROWS)).otherwise(1).cast("int")
+    twice = counted.filter("least <> most").select("hash", chunks.alias("chunks"))
     wanted = all_anchors.join(twice, "hash").groupBy("text_key", "place").agg(F.max("chunks").alias("chunks"))
     wanted = stored(wanted.groupBy("text_key").agg(F.collect_list(F.struct("place", "chunks")).alias("places")), "candidates")
 
@@ -273,7 +278,7 @@ def repeated_spans(texts: DataFrame, firsts: DataFrame, length: int = LENGTH, gr
     one = able.join(named, (able["text_key"] == named["key"]) & able["own_id"].eqNullSafe(named["first_id"]))
     around = stored(_surroundings(one.select(F.col("text_key").alias("doc_id"), "text_key", "text", "places"), length, gram), "surroundings")
     hot = not wanted.filter(F.exists("places", lambda p: p["chunks"] > 1)).isEmpty()
-    found = stored(_scan(around.filter("before is not null"), length, hot), "repeats")
+    found = stored(_scan(around.filter("before is not null"), length), "repeats")
     spans = found.filter("stretch is null").select("doc_id", "place", "low", "high")
     spans = spans.union(around.filter("repeated").select("doc_id", "place", "low", "high"))
     if hot:

@@ -9,6 +9,9 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Every delta is written in parts by key hash, so that a lookup reads the parts of its keys only.
+BUCKET, BUCKETS = "_bucket", 16
+
 
 def latest_per_key(
     df: DataFrame,
@@ -20,11 +23,14 @@ def latest_per_key(
 ) -> DataFrame:
     """The newest row of each key; equal times go to the later creation, then the tiebreak.
 
+    What is still tied goes by a hash of the row's values, not by arrival.
+
     A plain aggregate: each task first reduces its own rows to one per key, so a key that
     holds much of the table sends one row per task through the shuffle.
     """
+    own = F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`").alias(str(i)) for i, c in enumerate(columns)])))
     order = [timestamp, *([created] if created else []), *tiebreak]
-    picked = F.max_by(F.struct(*columns), F.struct(*order)).alias("_row")
+    picked = F.max_by(F.struct(*columns), F.struct(*order, own.alias("_own"))).alias("_row")
     return df.groupBy(*keys).agg(picked).select(*keys, "_row.*")
 
 
@@ -105,11 +111,16 @@ class LatestTable:
     ) -> "LatestTable":
         """Store one reduced delta under its number, then note it in the log."""
         place = f"origin={origin}/batch={batch}"
-        reduced.write.mode("overwrite").parquet(f"{self.path}/rows/{place}")
+        dealt = reduced.withColumn(BUCKET, self._bucket()).repartition(BUCKET)
+        dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/rows/{place}")
         covered = F.lit(None).cast("timestamp_ntz") if end is None else _moment(end)
         self.spark.range(0, 1, 1, 1).select(covered.alias("covered_until")).write.mode("overwrite").parquet(f"{self.path}/log/{place}")
         return self
 
+    def _bucket(self) -> Column:
+        """Part of the table a key is in; keys are compared as text, so an int finds a stored long."""
+        return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in self.keys]), F.lit(BUCKETS)).cast("int")
+
     def covered_until(self) -> datetime | None:
         """End of the newest window that has been materialised from the source table."""
         return self._progress()[1]
@@ -119,9 +130,10 @@ class LatestTable:
         rows = self._read("rows")
         if rows is None:
             raise RuntimeError(f"nothing has been materialised at {self.path}")
-        columns = [c for c in rows.columns if c not in (*self.keys, "origin", "batch")]
+        columns = [c for c in rows.columns if c not in (*self.keys, "origin", "batch", BUCKET)]
         if only is not None:
-            rows = rows.join(only.select(*self.keys), self.keys, "left_semi")
+            asked = [r[0] for r in only.select(self._bucket()).distinct().collect()]  # at most BUCKETS
+            rows = rows.filter(F.col(BUCKET).isin(asked)).join(only.select(*self.keys), self.keys, "left_semi")
         return latest_per_key(rows, self.keys, self.timestamp, columns, self.created, self.tiebreak)
 
     def lookup(

@@ -12,7 +12,6 @@ from tidemark.functions.columns import with_bucket
 from tidemark.functions.sketch import spread_quantiles
 from tidemark.specs import METRICS
 
-MAX_BUCKETS = 1_024
 BUCKET_ROWS = 1_000_000
 
 
@@ -152,7 +151,7 @@ def _ranked_totals(
         .groupBy(*by, "_bucket")
         .agg(*[F.sum(n).alias(n) for n in names], F.sum("_wins").alias("_wins"))
     )
-    # At most MAX_BUCKETS rows of each group are left for this window.
+    # A row for each bucket of BUCKET_ROWS rows is left for this window.
     before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     wins = F.col("_wins") + pos * F.coalesce(F.sum(neg).over(before), F.lit(0.0))
     totals = by_bucket.withColumn("wins", wins).groupBy(*by)
@@ -160,7 +159,7 @@ def _ranked_totals(
 
 
 def _score_edges(df: DataFrame, score: str, bucket_rows: int, rows: int | None) -> list[float]:
-    pieces = min(MAX_BUCKETS, -(-(df.count() if rows is None else rows) // bucket_rows))
+    pieces = -(-(df.count() if rows is None else rows) // bucket_rows)
     if pieces < 2:
         return []
     values = df.select(F.col(score).cast("double").alias("s"))

@@ -13,6 +13,8 @@ from tidemark.session import new_folder
 
 #: One Arrow batch is worked on in slices of about so many bytes of text.
 SLICE_BYTES = 4 << 20
+#: Rows of an Arrow batch: texts are wide, and JVM and Python each hold a batch or two.
+BATCH_ROWS = "1000"
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -20,24 +22,31 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
     The rows are computed once, later jobs have no lineage to repeat when an executor is lost.
     """
+    _small_batches(df.sparkSession)
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _small_batches(spark: SparkSession) -> None:
+    """Set the session's Arrow batches to ``BATCH_ROWS`` rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
-    """Cut batches so that the text of each holds about ``SLICE_BYTES``; a longer text stands alone."""
+def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that the text of each holds about ``size`` bytes; a longer text stands alone."""
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 

@@ -4,7 +4,7 @@
    signature. Texts with equal sets form a class; one of each class goes on.
 2. Signatures are cut into bands. Texts with an equal band share a bucket; texts joined by
    buckets, over any number of steps, form a cluster. Only narrow rows are shuffled for this.
-3. A cluster's signatures and sets meet in one task, each once. There, texts that share a bucket
+3. A cluster's texts meet in one task, each once. There, texts that share a bucket
    are compared, the most central text first and only while they are not connected yet: batch by
    batch of their signatures, a pair is given up when the posterior probability that its
    similarity reaches the threshold falls below ``MISS``; the pairs that survive all batches are
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import mix64, segment_ids, slices, stored, table
 from tidemark.llm.components import components
+from tidemark.llm.filters import id_filter, in_filter
 from tidemark.llm.text_bytes import LOWER, Hashes, utf8, words
 
 #: Bands of five hashes: a pair of similarity 0.85 (0.8) shares none with probability 1e-7 (3e-5) with 26 bands.
@@ -34,7 +35,9 @@ BANDS, BAND_ROWS = 26, 5
 HASHES = BANDS * BAND_ROWS
 #: Hashes compared at a time, and the probability at which a pair is given up.
 BATCH, MISS = 26, 1e-7
-CLUSTER_ROWS, CLUSTER_SHINGLES, CENTRES = 1_024, 2_000_000, 4
+#: Bytes of text that a task works on at a time.
+SLICE = 2 << 20
+CLUSTER_ROWS, CLUSTER_SHINGLES, CENTRES = 1_024, 500_000, 4
 
 _rng = np.random.Generator(np.random.PCG64(20_240_229))
 _FACTORS = _rng.integers(0, 1 << 63, HASHES, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
@@ -147,45 +150,33 @@ class Group:
 
 
 def _sketches(docs: DataFrame, size: int) -> DataFrame:
-    """Per row: its id, size of its set, fingerprint and signature (null for an empty set)."""
+    """Per row: its id, size of its set, fingerprint and band keys (null for an empty set)."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             hashed, offsets = shingle_sets(batch.column("text"), size)
             count = np.diff(offsets)
             sums = [np.concatenate([[np.uint64(0)], np.cumsum(mix64(hashed + np.uint64(k)))]) for k in (1, 2)]
             prints = [(s[offsets[1:]] - s[offsets[:-1]]).view(np.int64) for s in sums]
-            rows = iter(signatures(hashed, offsets))
-            signature = [next(rows).tobytes() if c else None for c in count]
+            rows = iter(band_keys(signatures(hashed, offsets)))
+            keys = [next(rows).tobytes() if c else None for c in count]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(count, pa.int64()), *map(pa.array, prints), pa.array(signature, pa.binary())],
-                ["doc_id", "n_shingles", "print1", "print2", "signature"],
+                [batch.column("doc_id"), pa.array(count, pa.int64()), *map(pa.array, prints), pa.array(keys, pa.binary())],
+                ["doc_id", "n_shingles", "print1", "print2", "bands"],
             )
 
-    return docs.mapInArrow(sketch, "doc_id long, n_shingles long, print1 long, print2 long, signature binary")
+    return docs.mapInArrow(sketch, "doc_id long, n_shingles long, print1 long, print2 long, bands binary")
 
 
 def _bands(nodes: DataFrame) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                signature = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+                keys = np.frombuffer(b"".join(batch.column("bands").to_pylist()), np.int64)
                 node = np.repeat(batch.column("node").to_numpy(), BANDS)
-                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(band_keys(signature).ravel())], ["node", "key"])
+                yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(keys)], ["node", "key"])
 
-    return nodes.select("node", "signature").mapInArrow(cut, "node long, key long")
-
-
-def _sets(docs: DataFrame, size: int) -> DataFrame:
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            hashed, offsets = shingle_sets(batch.column("text"), size)
-            sets = [hashed[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:])]
-            signature = [s.tobytes() for s in signatures(hashed, offsets)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in batch.schema.names if c != "text"), pa.array(sets, pa.binary()), pa.array(signature, pa.binary())], [*(c for c in batch.schema.names if c != "text"), "set", "signature"])
-
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema if f.name != "text")
-    return docs.mapInArrow(read, f"{kinds}, set binary, signature binary")
+    return nodes.select("node", "bands").mapInArrow(cut, "node long, key long")
 
 
 def _in_groups(rows: DataFrame, keys: list[str], work: Callable, kinds: str) -> DataFrame:
@@ -214,9 +205,9 @@ def _in_groups(rows: DataFrame, keys: list[str], work: Callable, kinds: str) ->
     return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(walk, kinds)
 
 
-def _group(rows: list[dict], label: np.ndarray, percent: int) -> Group:
-    signature = np.stack([np.frombuffer(r["signature"], np.uint32) for r in rows])
-    return Group(signature, [np.frombuffer(r["set"], np.uint64) for r in rows], label, percent)
+def _group(rows: list[dict], label: np.ndarray, size: int, percent: int) -> Group:
+    hashed, offsets = shingle_sets(pa.array([r["text"] for r in rows], pa.string()), size)
+    return Group(signatures(hashed, offsets), [hashed[a:b] for a, b in zip(offsets[:-1], offsets[1:])], label, percent)
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -233,11 +224,11 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     known = sketches.filter("doc_id is not null and n_shingles > 0")
     prints = ["print1", "print2", "n_shingles"]
     classes = stored(known.groupBy(*prints).agg(F.min("doc_id").alias("node")), "classes")
-    firsts = known.join(classes, prints).filter("doc_id = node").select("node", "n_shingles", "signature")
+    firsts = known.join(classes, prints).filter("doc_id = node").select("node", "n_shingles", "bands")
     members = _linked(source, stored(firsts, "first-texts"), size, percent)
 
     of = classes.join(members, "node", "left").select(*prints, F.coalesce("label", "node").alias("component_id"))
-    rows = sketches.drop("signature").join(of, prints, "left")
+    rows = sketches.drop("bands").join(of, prints, "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), component)
     found = rows.select("doc_id", "n_shingles", component.alias("component_id"))
@@ -251,7 +242,7 @@ def _linked(source: DataFrame, firsts: DataFrame, size: int, percent: int) -> Da
     shared = stored(bands.join(buckets, "key"), "buckets")
     clusters = components(shared.select(F.col("node").alias("a"), F.col("centre").alias("b")))
     central = shared.groupBy("node").agg(F.sum("n").alias("shared"))
-    nodes = firsts.drop("signature").dropDuplicates(["node"]).join(clusters, "node").join(central, "node").withColumnRenamed("component", "cluster")
+    nodes = firsts.drop("bands").dropDuplicates(["node"]).join(clusters, "node").join(central, "node").withColumnRenamed("component", "cluster")
     totals = nodes.groupBy("cluster").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_shingles").alias("shingles"))
     blocks = F.ceil(F.greatest(F.col("rows") / CLUSTER_ROWS, F.col("shingles") / CLUSTER_SHINGLES))
     nodes = stored(nodes.join(totals.select("cluster", blocks.alias("blocks")), "cluster").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))), "nodes")
@@ -262,17 +253,17 @@ def _linked(source: DataFrame, firsts: DataFrame, size: int, percent: int) -> Da
     best = best.withColumn("nth", F.row_number().over(Window.partitionBy("cluster").orderBy(*order))).filter(F.col("nth") <= CENTRES)
     guests = best.withColumn("to", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).filter("to <> block")
     placed = nodes.select("cluster", "block", "blocks", "node").union(guests.select("cluster", "to", "blocks", "node"))
-    texts = source.join(nodes.select("node").distinct(), F.col("doc_id") == F.col("node"), "left_semi").withColumnRenamed("doc_id", "node")
-    sets = stored(_sets(texts, size), "sets")
+    # Texts move to their groups, where sets and signatures are made again: a text is shorter than these.
+    able = in_filter(source, "doc_id", id_filter(nodes, "node")).withColumnRenamed("doc_id", "node")
 
     def first(rows: list[dict]) -> list[dict]:
         label = np.array([r["node"] for r in rows])
-        group = _group(rows, label.copy(), percent)
+        group = _group(rows, label.copy(), size, percent)
         group.connect()
         split = int(rows[0]["blocks"] > 1)
         return [{"a": int(n), "b": int(g), "split": split} for n, g in zip(label, group.label) if n != g]
 
-    links = stored(_in_groups(placed.join(sets, "node"), ["cluster", "block"], first, "a long, b long, split long"), "links")
+    links = stored(_in_groups(placed.join(able, "node"), ["cluster", "block"], first, "a long, b long, split long"), "links")
     done = links.filter("split = 0").select(F.col("a").alias("node"), F.col("b").alias("label"))
     if nodes.filter("blocks > 1").isEmpty():
         return done
@@ -292,11 +283,11 @@ def _linked(source: DataFrame, firsts: DataFrame, size: int, percent: int) -> Da
 
     def second(rows: list[dict]) -> list[dict]:
         label = np.array([r["label"] for r in rows])
-        group = _group(rows, label.copy(), percent)
+        group = _group(rows, label.copy(), size, percent)
         group.connect(np.array([bool(r["visits"]) for r in rows]))
         return [{"a": a, "b": b} for a, b in {(int(n), int(g)) for n, g in zip(label, group.label) if n != g}]
 
-    more = components(stored(_in_groups(meeting.join(sets, "node"), ["cluster", "block"], second, "a long, b long"), "late-links"))
+    more = components(stored(_in_groups(meeting.join(able, "node"), ["cluster", "block"], second, "a long, b long"), "late-links"))
     last = more.select(F.col("node").alias("label"), "component")
     moved = state.join(last, "label", "left").select("node", F.coalesce("component", "label").alias("label"))
     return done.union(moved.filter("node <> label"))

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, stored
+from tidemark.llm.common import slices, stored, table
 from tidemark.llm.tokens import TOKENIZER, crc32_of_ids, encoder
 
 CAPACITY = 2048
@@ -200,4 +200,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokeni
 
 def op3_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, packed into sequences of 2048 tokens."""
-    return pack(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+    return pack(table(spark, sf_dir, "documents"))

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, stored
+from tidemark.llm.common import slices, stored, table
 from tidemark.llm.tokens import TOKENIZER, crc32_of_ids, encoder
 from tidemark.session import new_folder
 
@@ -138,5 +138,5 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
 def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, written as token files and read back from them."""
     folder = new_folder(spark, "token-files")
-    write_token_files(spark.read.parquet(f"{sf_dir}/documents.parquet"), folder)
+    write_token_files(table(spark, sf_dir, "documents"), folder)
     return read_token_files(spark, folder)

@@ -57,7 +57,7 @@ def test_held_out(spark):
 def test_edges(spark, make_docs):
     clean, rude = CLEAN.split(), RUDE.split()
     rng = np.random.default_rng(1)
-    rows = [(i, " ".join(rng.permutation(clean)) + (" " + rude[3 + i % 2] if i % 2 else "")) for i in range(400)]
+    rows = [(i, " ".join(rng.permutation(clean)) + (" " + rude[3 + i // 2 % 2] if i % 2 else "")) for i in range(400)]
     labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(None, 1), (7, None)], "doc_id long, toxic int")
     rows += [(1000, CLEAN + " 5tup1d"), (1001, CLEAN + " s t u p i d"), (1002, CLEAN), (1003, None), (1004, ""), (1004, ""), (1005, "the water " * 20_000), (None, CLEAN)]
     found = score_toxicity(make_docs(rows), labels).collect()

@@ -155,9 +155,11 @@ def may_be_spaced(column: pa.Array) -> np.ndarray:
     end = np.flatnonzero(inside & (np.concatenate([apart[1:], [True]]) | first[1:])[: len(data)]) + 1
     tails = np.concatenate([[0], np.cumsum((data & 0xC0) == 0x80)])  # bytes that continue a character
     single = end - start - (tails[end] - tails[start]) == 1
-    four = single[:-3] & single[1:-2] & single[2:-1] & single[3:] if len(single) > 3 else np.zeros(0, bool)
     found = np.zeros(len(offsets) - 1, bool)
-    found[np.searchsorted(offsets, start[: len(four)][four], side="right") - 1] = True
+    if len(single) > 3:
+        owner = np.searchsorted(offsets, start, side="right") - 1
+        four = single[:-3] & single[1:-2] & single[2:-1] & single[3:] & (owner[:-3] == owner[3:])
+        found[owner[:-3][four]] = True
     return found
 
 
@@ -258,8 +260,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     able = in_filter(source.filter("doc_id is not null"), "doc_id", id_filter(known, "id"))
     labelled = able.join(known, F.col("doc_id") == F.col("id")).select("text", (F.col("label") * 2 + F.col("half")).alias("kind"))
     counts = gram_counts(labelled, costs)
-    # Weights of each half alone serve to measure the other half's documents, for the trees.
-    weights = [evidence(counts[1], counts[3]), evidence(counts[0], counts[2]), evidence(counts[0] + counts[1], counts[2] + counts[3])]
+    # Each half of the labelled documents is measured by the other half's weights when the trees
+    # are grown; a score is the mean over both, so that it rests on measures of the same kind.
+    weights = [evidence(counts[1], counts[3]), evidence(counts[0], counts[2])]
     model = docs.sparkSession.sparkContext.broadcast((costs, weights))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -284,7 +287,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
         for batch in batches:
             if batch.num_rows:
                 found = batch.column("found").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(trees.probability(found[:, 2 * (TOP + 2) :]))], ["doc_id", "score"])
+                mean = (trees.probability(found[:, : TOP + 2]) + trees.probability(found[:, TOP + 2 :])) / 2
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(mean)], ["doc_id", "score"])
 
     scored = measured.mapInArrow(score, "doc_id long, score double")
     return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))

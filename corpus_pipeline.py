@@ -42,7 +42,8 @@ def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents' token ids and their places in sequences of 2048."""
-    return pack(docs)
+    # The stages share their workers' memory, so this one remembers fewer words than it does alone.
+    return pack(docs, memory_words=250_000)
 
 
 STAGES = [

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.session import new_folder
 
 #: One Arrow batch is worked on in slices of about so many bytes of text.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 #: Rows of an Arrow batch: texts are wide, and JVM and Python each hold a batch or two.
 BATCH_ROWS = "1000"
 

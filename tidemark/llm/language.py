@@ -28,6 +28,8 @@ SMOOTH, WEIGHT, SWITCH = 0.5, 0.5, 12.0
 #: A language uses a script if this share of its letters is of it. Score of a word in another script.
 LEAST_SCRIPT, FOREIGN = 0.01, -60.0
 UNKNOWN = "und"
+#: Bytes of text whose words are scored and searched together: longer batches need fewer steps.
+SLICE = 4 << 20
 
 # First code points of blocks of scripts (Unicode), and the script from there on.
 SCRIPTS = [
@@ -95,7 +97,7 @@ def learn(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             words = Words(batch.column("text"))
             bucket, of = words.grams()
             langs = batch.column("lang").to_pylist()
@@ -170,7 +172,7 @@ def identify(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, logs, allowed = model.value
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SLICE):
             n = batch.num_rows
             if not langs:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([UNKNOWN] * n), pa.array(np.zeros(n)), pa.array([[]] * n, spans_type)], names)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import slices, stored, table
-from tidemark.llm.tokens import TOKENIZER, crc32_of_ids, encoder
+from tidemark.llm.tokens import MEMORY_WORDS, TOKENIZER, crc32_of_ids, encoder
 
 CAPACITY = 2048
 END_ID = 0
@@ -138,7 +138,7 @@ def slots(found: list[tuple[Configuration, int]]) -> dict[str, np.ndarray]:
 
 
 def token_pieces(
-    docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str = TOKENIZER, with_ids: bool = False
+    docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str = TOKENIZER, with_ids: bool = False, memory_words: int = MEMORY_WORDS
 ) -> DataFrame:
     """Pieces of the documents' ids, each document ended by ``end_id`` and cut every ``capacity`` ids.
 
@@ -146,7 +146,7 @@ def token_pieces(
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, task = encoder(tokenizer), TaskContext.get().partitionId()
+        own, task = encoder(tokenizer, memory_words), TaskContext.get().partitionId()
         end, seen = own.one(end_id), Counter()
         for batch in slices(batches, "text"):
             rows = []
@@ -167,13 +167,13 @@ def token_pieces(
     return source.mapInArrow(cut, kinds)
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str = TOKENIZER, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, capacity: int = CAPACITY, end_id: int = END_ID, tokenizer: str = TOKENIZER, with_ids: bool = False, memory_words: int = MEMORY_WORDS) -> DataFrame:
     """Pieces of all documents with the sequence each is in and its offset there.
 
     Null and empty texts are the end id alone. Repeated or null ``doc_id`` give pieces each. An
     empty table gives no rows. ``with_ids`` adds the ids as bytes.
     """
-    pieces = stored(token_pieces(docs, capacity, end_id, tokenizer, with_ids), "pieces")
+    pieces = stored(token_pieces(docs, capacity, end_id, tokenizer, with_ids, memory_words), "pieces")
     counts = stored(pieces.groupBy("task", "length").agg(F.count(F.lit(1)).alias("n")), "lengths")
     histogram = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # <= capacity rows
     found = slots(plan(histogram, capacity))

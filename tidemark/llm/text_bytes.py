@@ -38,7 +38,7 @@ def _power(base: np.uint64, n: int) -> np.ndarray:
         known = np.full(max(n, 1 << 16), base, np.uint64)
         known[0] = 1
         known = np.multiply.accumulate(known)
-        if n <= 1 << 23:
+        if n <= 1 << 21:
             _powers[str(base)] = known
     return known[:n]
 

@@ -16,7 +16,7 @@ import public_tokenizers
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
-#: Words a worker remembers; beyond it the memory starts afresh (same ids, more encoding).
+#: Words a worker remembers (about 200 bytes each); beyond it the memory starts afresh (same ids, more encoding).
 MEMORY_WORDS = 800_000
 #: Longer words are encoded but not remembered.
 LONG_WORD = 64
@@ -40,7 +40,7 @@ class Encoder:
         self.lowers = self.by_word and self._same("AbCdefGH", "abcdefgh")
         probe = ["the", "tokenization", "onhaworewhstting"]
         self.bare = self.lowers and all(self._ids([w])[0] == [t.id for t in self.tokenizer.model.tokenize(w)] for w in probe)
-        self.memory = _Memory(self)
+        self.memory, self.limit = _Memory(self), MEMORY_WORDS
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -75,7 +75,7 @@ class Encoder:
         if not self.by_word:
             return [array(self.code, ids).tobytes() for ids in self._ids([t or "" for t in texts])]
         memory = self.memory
-        if len(memory) > MEMORY_WORDS:
+        if len(memory) > self.limit:
             memory.clear()
         find = memory.__getitem__
         return [b"".join(map(find, (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))) for t in texts]
@@ -95,10 +95,11 @@ class _Memory(dict):
         return ids
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a file, kept between its tasks."""
+def encoder(path: str, memory_words: int = MEMORY_WORDS) -> Encoder:
+    """The worker's encoder for a file, kept between its tasks; it remembers about so many words."""
     if path not in _encoders:
         _encoders[path] = Encoder(path)
+    _encoders[path].limit = memory_words
     return _encoders[path]
 
 

@@ -239,7 +239,8 @@ def _linked(source: DataFrame, firsts: DataFrame, size: int, percent: int) -> Da
     """``node`` and ``label`` (smallest node of its component) of nodes linked with smaller ones."""
     bands = stored(_bands(firsts), "bands")
     buckets = bands.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("centre")).filter("n > 1")
-    shared = stored(bands.join(buckets, "key"), "buckets")
+    # Written first: the join then shuffles both sides anew, and AQE can split a hot bucket.
+    shared = stored(bands.join(stored(buckets, "bucket-sizes"), "key"), "buckets")
     clusters = components(shared.select(F.col("node").alias("a"), F.col("centre").alias("b")))
     central = shared.groupBy("node").agg(F.sum("n").alias("shared"))
     nodes = firsts.drop("bands").dropDuplicates(["node"]).join(clusters, "node").join(central, "node").withColumnRenamed("component", "cluster")

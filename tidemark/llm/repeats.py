@@ -268,7 +268,8 @@ def repeated_spans(texts: DataFrame, firsts: DataFrame, length: int = LENGTH, gr
     own = F.xxhash64("text_key", "place")
     counted = all_anchors.groupBy("hash").agg(F.min(own).alias("least"), F.max(own).alias("most"), F.count(F.lit(1)).alias("n"))
     chunks = F.when(F.col("n") > GROUP_ROWS, F.ceil(F.col("n") / CHUNK_ROWS)).otherwise(1).cast("int")
-    twice = counted.filter("least <> most").select("hash", chunks.alias("chunks"))
+    # Written first: the join then shuffles both sides anew, and AQE can split a hot hash.
+    twice = stored(counted.filter("least <> most").select("hash", chunks.alias("chunks")), "repeated-anchors")
     wanted = all_anchors.join(twice, "hash").groupBy("text_key", "place").agg(F.max("chunks").alias("chunks"))
     wanted = stored(wanted.groupBy("text_key").agg(F.collect_list(F.struct("place", "chunks")).alias("places")), "candidates")
 

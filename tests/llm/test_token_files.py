@@ -100,3 +100,33 @@ def test_parts_of_the_plan():
             served[n] = served.get(n, 0) + k * share
     assert all(served[n] <= 50 + 1e-6 for n in (4, 6))
     assert plan({}, 10) == [] and plan({10: 3}, 10) == [(((10, 1),), 3)]
+
+
+def test_program_places_nearly_all_of_many_lengths():
+    rng = np.random.default_rng(4)
+    lengths = np.concatenate([np.clip(rng.lognormal(5.8, 1.2, 900_000).astype(int), 1, 2048), rng.integers(1, 2049, 100_000)])
+    counts = dict(zip(*(x.tolist() for x in np.unique(lengths, return_counts=True))))
+    assert len(counts) == 2048
+    placed = sum(k * s for configuration, s in fractional(counts, 2048).items() for _, k in configuration)
+    assert placed >= 0.95 * len(lengths)
+    found = plan(counts, 2048)
+    held = {}
+    for configuration, sequences in found:
+        assert sum(n * k for n, k in configuration) <= 2048
+        for n, k in configuration:
+            held[n] = held.get(n, 0) + k * sequences
+    assert held == counts
+    assert sum(s for _, s in found) <= 1.0005 * -(-int(lengths.sum()) // 2048)
+
+
+def test_best_fit_of_counts():
+    rng = np.random.default_rng(5)
+    lengths = rng.integers(1, 65, 5_000).tolist()
+    rooms = []
+    for length in sorted(lengths, reverse=True):  # one piece at a time
+        fit = min((r for r in rooms if r >= length), default=None)
+        if fit is not None:
+            rooms.remove(fit)
+        rooms.append((64 if fit is None else fit) - length)
+    found = best_fit({n: lengths.count(n) for n in set(lengths)}, 64)
+    assert sorted(64 - sum(n * k for n, k in c) for c, s in found.items() for _ in range(s)) == sorted(rooms)

@@ -4,15 +4,16 @@ The lengths' histogram is all the plan needs, and it has at most ``capacity`` en
 the number of pieces. A sequence's *configuration* is the multiset of lengths it holds. The
 configuration linear program (fewest sequences that hold all pieces) is solved by multiplicative
 weights: each length has a price that falls as it is served, and the configurations worth most at
-these prices are found by dynamic programming (an unbounded knapsack) and used a little. The
-fractional solution is rounded down, what is left is solved again, and the last few pieces are
-placed by best fit. Pieces then find their places by their rank among those of the same length.
+these prices are found by dynamic programming (an unbounded knapsack) and used a little, until
+all lengths are served. Each use is rounded down to whole sequences at once, so that no leftovers
+add up; only the last few pieces, fewer than there are lengths, are placed by best fit. Pieces
+then find their places by their rank among those of the same length.
 """
 
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
@@ -25,11 +26,13 @@ from tidemark.llm.tokens import MEMORY_WORDS, TOKENIZER, crc32_of_ids, encoder
 
 CAPACITY = 2048
 END_ID = 0
-#: Price steps of one solution of the linear program, and configurations used in each step.
-STEPS, PER_STEP = 150, 12
-#: Share of a length's pieces that one step serves at most.
-STEP_SHARE = 0.02
-#: So few pieces are placed one by one, on the driver.
+#: Configurations used at the same prices: at least so many, and one for so many lengths not yet served.
+PER_STEP, LENGTHS_PER_USE = 12, 32
+#: How fast a price falls: so slowly that room left empty weighs more than a length served too little.
+FALL = 0.5
+#: Share of a length's pieces that one use serves at most.
+STEP_SHARE = 0.05
+#: At most so many pieces are left to best fit, and at most one for each length.
 LAST_PIECES = 4_000
 
 Configuration = tuple[tuple[int, int], ...]  # (length, how often), longest first
@@ -43,83 +46,98 @@ def knapsack(prices: np.ndarray, capacity: int) -> np.ndarray:
     return best
 
 
-def _trace(first: int, prices: np.ndarray, best: np.ndarray, capacity: int) -> Configuration:
-    """A best configuration that holds a piece of length ``first``."""
-    found, room = Counter([first]), capacity - first
-    while room and best[room] > 0:
-        values = prices[1 : room + 1] + best[room - 1 :: -1]
+def _trace(first: int, prices: np.ndarray, best: np.ndarray, left: np.ndarray) -> Configuration:
+    """A best configuration that holds a piece of length ``first`` and no more pieces than are left."""
+    found, room = Counter([first]), len(best) - 1 - first
+    open_ = np.where(left > 0, prices, -np.inf)
+    if left[first] == 1:
+        open_[first] = -np.inf
+    while room:
+        values = open_[1 : room + 1] + best[room - 1 :: -1]
         length = room - int(np.argmax(values[::-1]))  # the longest among equals
-        if values[length - 1] < best[room] * (1 - 1e-12):
-            room -= 1
-            continue
-        found[length] += 1
-        room -= length
+        if values[length - 1] == -np.inf:
+            break
+        times = 1
+        if open_[length] + best[room - length] >= best[room] * (1 - 1e-12) and 2 * length <= room and length * best[room] <= room * prices[length] * (1 + 1e-12):
+            times = room // length  # nothing is worth more for its size: as often as it fits
+        times = min(times, int(left[length]) - found[length])
+        found[length] += times
+        room -= times * length
+        if found[length] == left[length]:
+            open_[length] = -np.inf
     return tuple(sorted(found.items(), reverse=True))
 
 
 def fractional(counts: dict[int, int], capacity: int) -> dict[Configuration, float]:
-    """Sequences of each configuration, as fractions; no length is served more than it occurs."""
-    lengths = np.array(sorted(counts))
-    demand = np.zeros(capacity + 1)
-    demand[lengths] = [counts[n] for n in lengths]
-    served = np.zeros(capacity + 1)
+    """Sequences of each configuration; no length is served more than it occurs.
+
+    At most ``LAST_PIECES`` pieces, and at most one for each length, are not served.
+    """
+    lengths = np.array(sorted(counts), np.int64)
+    left = np.zeros(capacity + 1, np.int64)
+    left[lengths] = [counts[n] for n in lengths.tolist()]
+    demand, spare = left.astype(float), min(LAST_PIECES, len(lengths))
     used: Counter = Counter()
-    for _ in range(STEPS):
-        open_ = lengths[served[lengths] < 1 - 1e-9]
-        if not len(open_):
-            break
+    while left.sum() > spare:
+        open_ = lengths[left[lengths] > 0]
+        served = 1 - left[open_] / demand[open_]
         prices = np.full(capacity + 1, -np.inf)
         # Worth of a piece: its length, more while its kind is served less than the others.
-        prices[open_] = open_ * np.exp(-2.0 * (served[open_] - served[open_].min()))
+        prices[open_] = open_ * np.exp(-FALL * (served - served.min()))
         best = knapsack(prices, capacity)
         worth = prices[open_] + best[capacity - open_]
-        for first in open_[np.argsort(-worth, kind="stable")[:PER_STEP]]:
-            configuration = _trace(int(first), prices, best, capacity)
-            own = np.array([n for n, _ in configuration])
-            times = np.array([k for _, k in configuration])
-            step = np.minimum((1 - served[own]) * demand[own] / times, np.maximum(1.0, STEP_SHARE * demand[own] / times)).min()
-            if step > 0:
-                used[configuration] += step
-                served[own] += step * times / demand[own]
+        for first in open_[np.argsort(-worth, kind="stable")[: max(PER_STEP, len(open_) // LENGTHS_PER_USE)]]:
+            if not left[first] or left.sum() <= spare:
+                continue
+            configuration = _trace(int(first), prices, best, left)
+            own, times = np.array(configuration).T
+            step = int(np.minimum(left[own] // times, np.maximum(1, STEP_SHARE * demand[own] / times)).min())
+            used[configuration] += step
+            left[own] -= step * times
     return dict(used)
 
 
-def best_fit(lengths: list[int], capacity: int) -> Counter:
-    """Configurations of a few pieces, longest first, each put where the least room is left."""
-    by_room: dict[int, list[list[int]]] = {}
+def best_fit(lengths: Iterable[int] | Mapping[int, int], capacity: int) -> Counter:
+    """Configurations of pieces (or counts of them), longest first, each put where the least room is left."""
+    by_room: dict[int, Counter] = {}
     rooms = np.zeros(capacity + 1, np.int64)  # open sequences with so much room
-    for length in sorted(lengths, reverse=True):
-        fit = np.flatnonzero(rooms[length:])
-        if len(fit):
-            room = length + int(fit[0])
-            sequence = by_room[room].pop()
-            rooms[room] -= 1
-        else:
-            room, sequence = capacity, []
-        sequence.append(length)
-        by_room.setdefault(room - length, []).append(sequence)
-        rooms[room - length] += 1
-    found = (Counter(s) for group in by_room.values() for s in group)
-    return Counter(tuple(sorted(c.items(), reverse=True)) for c in found)
+
+    def put(configuration: Configuration, room: int, sequences: int) -> None:
+        if sequences:
+            by_room.setdefault(room, Counter())[configuration] += sequences
+            rooms[room] += sequences
+
+    for length, pieces in sorted(Counter(lengths).items(), reverse=True):
+        while pieces:
+            fit = np.flatnonzero(rooms[length:])
+            if len(fit):
+                room = length + int(fit[0])
+                configuration, there = by_room[room].popitem()
+                rooms[room] -= there
+            else:
+                room, configuration, there = capacity, (), pieces
+            # The tightest sequence stays the tightest, so it takes as many pieces as fit.
+            times = min(room // length, pieces)
+            full = min(there, pieces // times)
+            put((*configuration, (length, times)), room - times * length, full)
+            if configuration:
+                put(configuration, room, there - full)
+            pieces -= full * times
+    found: Counter = Counter()
+    for group in by_room.values():
+        found.update(group)
+    return found
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[Configuration, int]]:
     """Configurations and how many sequences have each; together they hold exactly ``counts``."""
     left = {n: c for n, c in counts.items() if c}
-    total: Counter = Counter()
-    while sum(left.values()) > LAST_PIECES:
-        before = sum(left.values())
-        for configuration, share in fractional(left, capacity).items():
-            whole = min(int(share + 1e-9), *(left[n] // k for n, k in configuration))
-            if whole:
-                total[configuration] += whole
-                for n, k in configuration:
-                    left[n] -= whole * k
-        left = {n: c for n, c in left.items() if c}
-        if sum(left.values()) > 0.9 * before:
-            break
-    total.update(best_fit([n for n, c in left.items() for _ in range(c)], capacity))
-    return sorted(total.items())
+    total = Counter(fractional(left, capacity))
+    for configuration, sequences in total.items():
+        for n, k in configuration:
+            left[n] -= sequences * k
+    total.update(best_fit(left, capacity))
+    return sorted((c, s) for c, s in total.items() if s)
 
 
 def slots(found: list[tuple[Configuration, int]]) -> dict[str, np.ndarray]:

@@ -66,3 +66,17 @@ def test_edges(spark, make_docs):
     assert min(score[1000], score[1001]) > 0.5 > max(score[1002], score[1003], score[1004], score[1005])
     assert score_toxicity(make_docs([]), labels).collect() == []
     assert len({r.score for r in score_toxicity(make_docs(rows[:20]), labels.limit(0)).collect()}) == 1
+
+
+@pytest.mark.parametrize("gap", [" ", "  "])
+@pytest.mark.parametrize("times", [1, 40])
+def test_restores_long_spaced_runs(restorer, gap, times):
+    seen = gap.join(" ".join(w) for w in [*RUDE.split()] * times)
+    found = restorer.restore(seen)
+    assert len(seen) > 60 and found.replace(" ", "") == "".join(RUDE.split()) * times
+    assert found.split() == RUDE.split() * times if gap == "  " else found.count("pathetic") == times
+
+
+def test_restores_long_repetitions(restorer):
+    assert restorer.restore("st" + "u" * 60 + "pid") == "stupid"
+    assert len(restorer.restore("x1" * 50_000)) > 0  # linear in the run

@@ -33,11 +33,11 @@ SIGNS = {
 }
 BETWEEN = " .-_*~'"
 
-#: Costs of the channel: a sign for a letter, a sign without meaning, a separator, a space that ends a word, a repeated letter.
+#: Costs of the channel: a sign for a letter, a sign without meaning, a separator, one that ends a word, a repeated letter.
 AS_LETTER, NO_MEANING, SEPARATOR, BREAK, REPEATED = 0.7, 12.0, 0.2, 3.0, 0.5
 SMOOTH = 0.5
-#: Longer runs are not words in disguise (keys, addresses); they stay as they are.
-LONGEST = 48
+#: Longer runs are decoded like others, but not remembered.
+REMEMBERED = 48
 SIZE = len(LETTERS) + 2  # boundary first, any other letter last
 _CODE = {c: i + 1 for i, c in enumerate(LETTERS)}
 _CODES = np.full(0x110000, SIZE - 1, np.int64)
@@ -49,6 +49,8 @@ _SIGN = "".join(map(re.escape, SIGNS))
 _DISGUISED = re.compile(rf"[{_SIGN}](?=[^\W_])|([^\W\d_])\1\1")
 #: Single letters or signs with separators between them, four or more.
 _SPACED = re.compile(rf"(?<![\w{_SIGN}])(?:[^\W_]|[{_SIGN}])(?:[ .\-_*~']{{1,2}}(?:[^\W_]|[{_SIGN}])(?![\w{_SIGN}])){{3,}}")
+#: Separators two wide, which end words in a run that also has narrower ones.
+_WIDE = re.compile(r"[ .\-_*~']{2}")
 _MARKS = ".,;:!?\"'()[]{}"
 
 GRAM, BUCKETS = 5, 1 << 18
@@ -97,15 +99,20 @@ class Restorer:
 
     def __init__(self, costs: np.ndarray) -> None:
         self.costs = costs
-        self.decode = lru_cache(200_000)(self._decode)
+        self.remembered = lru_cache(200_000)(self._decode)
+
+    def decode(self, run: str) -> str:
+        """The cheapest reading of a run."""
+        return self.remembered(run) if len(run) <= REMEMBERED else self._decode(run)
 
     def _options(self, run: str) -> list[list[tuple[str, float]]]:
         found = []
+        apart = len(run) > 6 and run[1] in BETWEEN
         for i, c in enumerate(run):
             if c in SIGNS:
                 found.append([(x, AS_LETTER) for x in SIGNS[c]] + [("", NO_MEANING)])
             elif c in BETWEEN:
-                found.append([("", SEPARATOR), (" ", BREAK)] if c == " " else [("", SEPARATOR)])
+                found.append([("", SEPARATOR), (" ", BREAK)] if c == " " or apart else [("", SEPARATOR)])
             elif i and run[i - 1] == c:
                 found.append([(c, 0.0), ("", REPEATED)])
             else:
@@ -113,24 +120,31 @@ class Restorer:
         return found
 
     def _decode(self, run: str) -> str:
-        if len(run) > LONGEST:
-            return run
-        costs = self.costs
-        states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-        for options in self._options(run):
-            after: dict[tuple[int, int], tuple[float, str]] = {}
+        costs, options = self.costs, self._options(run)
+        # Letters before the first choice cost the same in all readings.
+        sure = next((i for i, o in enumerate(options) if len(o) > 1 or o[0][0] != run[i]), len(run))
+        codes = [0, 0, *(_CODE.get(c, SIZE - 1) for c in run[max(0, sure - 2) : sure])]
+        # Readings share their beginnings: each is its last piece and the reading before.
+        states: dict[tuple[int, int], tuple[float, tuple | None]] = {(codes[-2], codes[-1]): (0.0, None)}
+        for choices in options[sure:]:
+            after: dict[tuple[int, int], tuple[float, tuple | None]] = {}
             for (a, b), (cost, text) in states.items():
-                for out, extra in options:
+                for out, extra in choices:
                     if out == "":
                         key, total = (a, b), cost + extra
                     else:
                         c = 0 if out == " " else _CODE.get(out, SIZE - 1)
-                        key, total = ((0, 0) if c == 0 else (b, c)), cost + extra + costs[a, b, c]
+                        key, total = ((0, 0) if c == 0 else (b, c)), cost + extra + costs.item(a, b, c)
                     old = after.get(key)
-                    if old is None or (total, text + out) < old:
-                        after[key] = (total, text + out)
+                    if old is None or total < old[0]:
+                        after[key] = (total, (text, out) if out else text)
             states = after
-        return min((cost + costs[a, b, 0], text) for (a, b), (cost, text) in states.items())[1]
+        text = min(((cost + costs.item(a, b, 0), k, text) for k, ((a, b), (cost, text)) in enumerate(states.items())), key=lambda f: f[:2])[2]
+        read = []
+        while text is not None:
+            text, out = text
+            read.append(out)
+        return run[:sure] + "".join(reversed(read))
 
     def word(self, word: str) -> str:
         """A word in lower case, read anew if it looks disguised."""
@@ -138,7 +152,11 @@ class Restorer:
 
     def spaced(self, text: str) -> str:
         """The text in lower case, each run of single letters replaced by its cheapest reading."""
-        return _SPACED.sub(lambda m: self.decode(m.group()), text.lower())
+        return _SPACED.sub(lambda m: self._run(m.group()), text.lower())
+
+    def _run(self, run: str) -> str:
+        parts = _WIDE.split(run)
+        return self.decode(run) if max(map(len, parts)) == 1 else " ".join(map(self.decode, parts))
 
     def restore(self, text: str) -> str:
         return " ".join(map(self.word, self.spaced(text).split()))

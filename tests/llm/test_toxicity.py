@@ -80,3 +80,21 @@ def test_restores_long_spaced_runs(restorer, gap, times):
 def test_restores_long_repetitions(restorer):
     assert restorer.restore("st" + "u" * 60 + "pid") == "stupid"
     assert len(restorer.restore("x1" * 50_000)) > 0  # linear in the run
+
+
+@pytest.mark.parametrize(
+    ("seen", "meant"),
+    [("idi0+", "idiot"), ("stuupid", "stupid"), ("iidiott", "idiot"), ("!diot", "idiot"), ("idiot!", "idiot"), ("(idiot!)", "idiot"), ("morning!", "morning"), ("|0$3®".replace("®", "r"), "loser"), ("!d!0+", "idiot")],
+)
+def test_restores_signs_anywhere(restorer, seen, meant):
+    assert restorer.restore(seen) == meant
+
+
+def test_words_without_letters_count(restorer):
+    found = tox._restored(pa.array(["the !|)!0+ !|!0+ 12 $5 2024 .", None, "..."]), restorer)
+    assert len(found.words) == 3 and found.offsets.tolist() == [0, 3, 3, 3]
+
+
+def test_isolated_doubles_are_read_as_by_the_lattice(restorer):
+    for word in ["garden", "looser", "stuupid", "iidiott", "peoplee", "wwater", "house", "moorningg", "ééidiot", "xxyxx"]:
+        assert restorer.word(word) == restorer._decode(word)

@@ -46,15 +46,18 @@ _SCRIPT = np.array([NAMES.index(name) for _, name in SCRIPTS])
 
 
 class Words:
-    """The words with letters of a batch of texts: the different ones, and which each text has."""
+    """The words with letters of a batch of texts: the different ones, and which each text has.
 
-    def __init__(self, column: pa.Array) -> None:
+    Words without letters count too if they have two characters of ``signs``.
+    """
+
+    def __init__(self, column: pa.Array, signs: str = "") -> None:
         lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(column, "").cast(pa.large_string())))
         encoded = lists.flatten().dictionary_encode()
         indices = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         offsets = lists.offsets.to_numpy() - lists.offsets[0].as_py()
         all_words = encoded.dictionary.to_pylist()
-        good = np.array([w.isalpha() or any(map(str.isalpha, w)) for w in all_words], bool)
+        good = np.array([w.isalpha() or any(map(str.isalpha, w)) or (signs != "" and sum(c in signs for c in w) > 1) for w in all_words], bool)
         self.words = [w for w, g in zip(all_words, good) if g]
         number = np.cumsum(good) - 1
         has = good[indices] if len(indices) else np.zeros(0, bool)

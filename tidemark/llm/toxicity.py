@@ -29,12 +29,14 @@ from tidemark.llm.text_bytes import Hashes, utf8
 LETTERS = "abcdefghijklmnopqrstuvwxyzßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
 SIGNS = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
-    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i", "(": "c", "<": "c", "^": "a",
+    "@": "a", "$": "s", "!": "il", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i", "(": "c", "<": "c", "^": "a", "#": "h",
 }
 BETWEEN = " .-_*~'"
 
-#: Costs of the channel: a sign for a letter, a sign without meaning, a separator, one that ends a word, a repeated letter.
-AS_LETTER, NO_MEANING, SEPARATOR, BREAK, REPEATED = 0.7, 12.0, 0.2, 3.0, 0.5
+#: Costs of the channel: a sign for a letter, a sign without meaning, a separator, one that ends a word, a letter twice and more often.
+AS_LETTER, NO_MEANING, SEPARATOR, BREAK, DOUBLED, REPEATED = 0.7, 12.0, 0.2, 3.0, 4.0, 0.5
+#: A sign without meaning at the start or end of a run, and one that usually stands there.
+AT_EDGE, USUAL = 6.0, 1.0
 SMOOTH = 0.5
 #: Longer runs are decoded like others, but not remembered.
 REMEMBERED = 48
@@ -45,13 +47,22 @@ for _c, _i in _CODE.items():
     _CODES[ord(_c)] = _i
 
 _SIGN = "".join(map(re.escape, SIGNS))
-#: A word in disguise has a sign before a letter, or a letter three times.
-_DISGUISED = re.compile(rf"[{_SIGN}](?=[^\W_])|([^\W\d_])\1\1")
+#: A word that may be in disguise has a sign or a letter more than once in a row. Where each such
+#: letter is there twice and none follows another, it is dropped or not by its neighbours alone.
+_DISGUISED = re.compile(rf"[{_SIGN}]|([^\W\d_])\1")
+_DOUBLE = re.compile(r"([^\W\d_])\1")
+_LATTICE = re.compile(rf"[{_SIGN}]|([^\W\d_])\1(?:\1|([^\W\d_])\2)")
 #: Single letters or signs with separators between them, four or more.
 _SPACED = re.compile(rf"(?<![\w{_SIGN}])(?:[^\W_]|[{_SIGN}])(?:[ .\-_*~']{{1,2}}(?:[^\W_]|[{_SIGN}])(?![\w{_SIGN}])){{3,}}")
 #: Separators two wide, which end words in a run that also has narrower ones.
 _WIDE = re.compile(r"[ .\-_*~']{2}")
 _MARKS = ".,;:!?\"'()[]{}"
+#: Marks that stand for no letter, and all that can stand at the edge of a run without meaning.
+_PLAIN_MARKS = "".join(c for c in _MARKS if c not in SIGNS)
+_EDGE = "".join(SIGNS) + _PLAIN_MARKS
+_USUAL_FIRST, _USUAL_LAST = "(<¡$£€#", "!"
+#: Two of these make a word without letters one that may be in disguise; digits alone are numbers.
+_SHAPES = "".join(c for c in SIGNS if not c.isdigit())
 
 GRAM, BUCKETS = 5, 1 << 18
 #: Labelled rows from which the trees are grown, at most.
@@ -100,6 +111,9 @@ class Restorer:
     def __init__(self, costs: np.ndarray) -> None:
         self.costs = costs
         self.remembered = lru_cache(200_000)(self._decode)
+        # What a letter twice costs more than once, by the letter before, itself and the one after.
+        twice = np.einsum("pxx->px", costs)[:, :, None] + np.einsum("xxn->xn", costs)[None]
+        self.once = twice - costs > DOUBLED
 
     def decode(self, run: str) -> str:
         """The cheapest reading of a run."""
@@ -107,14 +121,23 @@ class Restorer:
 
     def _options(self, run: str) -> list[list[tuple[str, float]]]:
         found = []
+        first, last = len(run) - len(run.lstrip(_EDGE)), len(run.rstrip(_EDGE))
         apart = len(run) > 6 and run[1] in BETWEEN
         for i, c in enumerate(run):
+            edge = i < first or i >= last
             if c in SIGNS:
-                found.append([(x, AS_LETTER) for x in SIGNS[c]] + [("", NO_MEANING)])
+                nothing = NO_MEANING
+                if i > 1 and run[i - 2 : i] == c + c or edge and not c.isdigit() and c * 3 in run[max(0, i - 2) : i + 3]:
+                    nothing = REPEATED
+                elif edge and not c.isdigit():
+                    nothing = USUAL if c in (_USUAL_FIRST if i < first else _USUAL_LAST) else AT_EDGE
+                found.append([(x, AS_LETTER) for x in SIGNS[c]] + [("", nothing)])
             elif c in BETWEEN:
                 found.append([("", SEPARATOR), (" ", BREAK)] if c == " " or apart else [("", SEPARATOR)])
+            elif edge:
+                found.append([("", 0.0)])
             elif i and run[i - 1] == c:
-                found.append([(c, 0.0), ("", REPEATED)])
+                found.append([(c, 0.0), ("", REPEATED if i > 1 and run[i - 2] == c else DOUBLED)])
             else:
                 found.append([(c, 0.0)])
         return found
@@ -146,9 +169,18 @@ class Restorer:
             read.append(out)
         return run[:sure] + "".join(reversed(read))
 
+    def _double(self, found: re.Match) -> str:
+        text, at, end = found.string, found.start(), found.end()
+        before = _CODE.get(text[at - 1], SIZE - 1) if at else 0
+        after = _CODE.get(text[end], SIZE - 1) if end < len(text) else 0
+        return found.group(1) if self.once[before, _CODE.get(found.group(1), SIZE - 1), after] else found.group()
+
     def word(self, word: str) -> str:
-        """A word in lower case, read anew if it looks disguised."""
-        return self.decode(word.strip(_MARKS)) if _DISGUISED.search(word) else word
+        """A word in lower case, read anew if it may be in disguise."""
+        if not _DISGUISED.search(word):
+            return word
+        plain = word.strip(_PLAIN_MARKS)
+        return self.decode(plain) if _LATTICE.search(plain) else _DOUBLE.sub(self._double, plain)
 
     def spaced(self, text: str) -> str:
         """The text in lower case, each run of single letters replaced by its cheapest reading."""
@@ -203,7 +235,7 @@ def _restored(column: pa.Array, restorer: Restorer) -> Words:
         for i in spaced:
             texts[i] = restorer.spaced(texts[i])
         column = pa.array(texts, pa.string())
-    words = Words(column)
+    words = Words(column, _SHAPES)
     words.words = [restorer.word(w) for w in words.words]
     return words
 

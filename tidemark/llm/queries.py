@@ -5,6 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 from tidemark.llm.boilerplate import ORACLE as LINE_DEDUP
 from tidemark.llm.boilerplate import op6_line_dedup
+from tidemark.llm.conversations import op13_conversation_repair
 from tidemark.llm.decontaminate import op4_decontaminate
 from tidemark.llm.language import op2_language
 from tidemark.llm.near_dup import op8_near_dup
@@ -27,6 +28,7 @@ QUERIES = {
     "op8_near_dup": op8_near_dup,
     "op9_quality": op9_quality,
     "op10_repeats": op10_repeats,
+    "op13_conversation_repair": op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
 

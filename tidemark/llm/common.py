@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.session import new_folder
@@ -38,6 +39,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with its scheme; one without is on Spark's default file system, not on a task's own disk."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
+def file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a qualified folder (local or mounted disk, HDFS, S3, GCS) and the path in it."""
+    if folder.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")
+    return fs.FileSystem.from_uri(folder) if "://" in folder else (fs.LocalFileSystem(), folder)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut batches so that the text of each holds about ``size`` bytes; a longer text stands alone."""
     for batch in batches:

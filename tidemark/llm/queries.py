@@ -7,6 +7,8 @@ from tidemark.llm.boilerplate import ORACLE as LINE_DEDUP
 from tidemark.llm.boilerplate import op6_line_dedup
 from tidemark.llm.conversations import op13_conversation_repair
 from tidemark.llm.decontaminate import op4_decontaminate
+from tidemark.llm.hard_negatives import ORACLE as HARD_NEGATIVES
+from tidemark.llm.hard_negatives import op11_hard_negatives
 from tidemark.llm.language import op2_language
 from tidemark.llm.near_dup import op8_near_dup
 from tidemark.llm.nearest import ORACLE as TOP_PRODUCTS
@@ -16,6 +18,8 @@ from tidemark.llm.quality import op9_quality
 from tidemark.llm.repeats import op10_repeats
 from tidemark.llm.token_files import op1_token_files
 from tidemark.llm.toxicity import op5_toxicity
+from tidemark.llm.warc import ORACLE as WARC
+from tidemark.llm.warc import op12_warc
 
 QUERIES = {
     "op1_token_files": op1_token_files,
@@ -28,6 +32,8 @@ QUERIES = {
     "op8_near_dup": op8_near_dup,
     "op9_quality": op9_quality,
     "op10_repeats": op10_repeats,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_warc": op12_warc,
     "op13_conversation_repair": op13_conversation_repair,
     "pipeline": corpus_pipeline.run,
 }
@@ -35,4 +41,6 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op6_line_dedup": LINE_DEDUP,
     "op7_top_products": TOP_PRODUCTS,
+    "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_warc": WARC,
 }

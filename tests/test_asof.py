@@ -1,12 +1,10 @@
 """The point-in-time join against a search through all pairs."""
 
-import bisect
 import random
-from collections import Counter, defaultdict
+from collections import Counter
 from datetime import datetime, timedelta
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidemark.operators import asof
 
@@ -70,24 +68,41 @@ def test_hot_keys_are_cut_without_changing_the_result(spark, seed, hot_rows):
     assert joined(e, f, ttl=timedelta(minutes=30), hot_rows=hot_rows) == wanted
 
 
-def test_stretches_of_hot_keys_are_bounded(spark, monkeypatch):
-    monkeypatch.setattr(asof, "WAYS", 3)
-    entities, features = random_tables(7, n=200, hot=True)
+def test_segments_of_hot_keys_are_bounded(spark, monkeypatch):
+    entities, features = random_tables(7, n=2000, hot=True)
     e, f = frames(spark, entities, features)
-    left = e.select("k", F.col("event_timestamp").alias("_t"))
-    right = f.select("k", F.col("ts").alias("_t"))
-    cuts = {r["_h"]: r["_cuts"] for r in asof._hot_cuts(left, right, ["k"], 10).collect()}
-    at = asof.axis_position(F.col("_t"), right.schema["_t"].dataType).alias("p")
-    places = left.union(right).select(F.xxhash64("k").alias("h"), at).collect()
-    sizes, moments = Counter(), defaultdict(set)
-    for r in places:
-        if r.h in cuts and r.p is not None:
-            at = (r.h, bisect.bisect_right(cuts[r.h], r.p))
-            sizes[at] += 1
-            moments[at].add(r.p)
-    assert sizes and all(n <= 10 or len(moments[at]) == 1 for at, n in sizes.items())
-    assert max(Counter(r.h for r in places if r.h not in cuts).values(), default=0) <= 10
-    assert joined(e, f, hot_rows=1) == all_pairs(entities, features)
+    seen = []
+    through = asof.write_through
+    monkeypatch.setattr(asof, "write_through", lambda df, label, *a: seen.append((label, through(df, label, *a))) or seen[-1][1])
+    folders = []
+    new = asof.new_folder
+    monkeypatch.setattr(asof, "new_folder", lambda *a: folders.append(new(*a)) or folders[-1])
+    assert joined(e, f, hot_rows=100) == all_pairs(entities, features)
+    hot = dict(seen)["hot-keys"].collect()
+    counts = Counter(r[1] for r in entities) + Counter(r[0] for r in features if r[0] is not None and r[1])
+    assert sorted(r._n for r in hot) == sorted(n for n in counts.values() if n > 100)
+    sizes = [r["count"] for r in spark.read.parquet(folders[-1]).groupBy("_segment").count().collect()]
+    assert len(sizes) > 10 and max(sizes) < 400
+
+
+def test_hot_key_within_one_second(spark):
+    rng = random.Random(5)
+    def at():
+        return START + timedelta(microseconds=rng.randrange(900))
+
+    entities = [(i, 1, at()) for i in range(300)]
+    features = [(1, at(), 0, i, float(i)) for i in range(300)]
+    e, f = frames(spark, entities, features)
+    for hot_rows in (7, 50):
+        assert joined(e, f, hot_rows=hot_rows) == all_pairs(entities, features)
+
+
+def test_segments_without_features_hand_on(spark):
+    entities = [(i, k, START + timedelta(minutes=i)) for i in range(200) for k in (1, 2)]
+    entities = [(row, k, t) for row, (_, k, t) in enumerate(entities)]
+    features = [(1, START, 0, 1, 1.5), (2, START + timedelta(minutes=150), 0, 2, 2.5)]
+    e, f = frames(spark, entities, features)
+    assert joined(e, f, hot_rows=10) == all_pairs(entities, features)
 
 
 def test_lifetime_reaches_the_feature_scan(spark, tmp_path):

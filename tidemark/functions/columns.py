@@ -63,20 +63,6 @@ def with_computed(df: DataFrame, column: Column, name: str) -> DataFrame:
     return df.select("*", F.explode(F.array(column)).alias(name))
 
 
-def axis_position(column: Column, kind: T.DataType) -> Column:
-    """A number that never falls as the value grows, for times and numbers.
-
-    Times count in seconds. A time without zone is taken apart into date and clock, because
-    casting it through a zone would let it jump back at a change of the clocks.
-    """
-    if isinstance(kind, T.TimestampNTZType):
-        clock = F.hour(column) * 3600 + F.minute(column) * 60 + F.second(column)
-        return (F.unix_date(F.to_date(column)).cast("long") * 86_400 + clock).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(column).cast("double")
-    return column.cast("double")
-
-
 def with_bucket(df: DataFrame, position: Column, edges: Sequence[float], output: str) -> DataFrame:
     """Add the number of the stretch between sorted edges in which a number lies."""
     if not edges:

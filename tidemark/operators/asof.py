@@ -9,15 +9,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.columns import axis_position
-from tidemark.functions.sketch import spread_quantiles
 from tidemark.operators.checks import keep_samples
-from tidemark.session import write_through
+from tidemark.session import new_folder, write_through
 
-#: A key with more rows is cut into stretches of at most about so many.
+#: Keys with more rows are walked in segments of about so many.
 HOT_ROWS = 2_000_000
-#: A stretch that is still too long is cut into so many in one pass.
-WAYS = 64
 
 
 def entity_values(df: DataFrame, key: str) -> DataFrame:
@@ -74,9 +70,9 @@ def as_of_join(
 
     Both sides are stacked and each key's rows are walked in time order, so the join costs
     one shuffle and never pairs a key's entity rows with its history. Keys with more than
-    ``hot_rows`` rows are cut into stretches of time that are walked in parallel; what was
-    newest at the end of a stretch is handed to the next. ``hot_rows=None`` skips the look
-    for such keys (one aggregate over the keys' hashes).
+    ``hot_rows`` rows are sorted over all tasks, by key, time and order, and walked in the
+    segments that result; each segment hands its newest feature row to those after it.
+    ``hot_rows=None`` skips the look for such keys (one aggregate over the keys' hashes).
     """
     prefix = f"{view}__" if full_names and view else ""
     names = [prefix + c for c in columns]
@@ -106,15 +102,14 @@ def as_of_join(
         *keys, F.col(entity_timestamp).alias("_t"), F.struct(*rest, F.lit(0).alias("_")).alias("_e")
     )
 
-    cuts = _hot_cuts(left, right, keys, hot_rows)
-    if cuts is None:
+    hot = _hot_hashes(left, right, keys, hot_rows)
+    if hot is None:
         matched = _walk(left, right, keys)
     else:
-        # A row for each hot key; written before, so that the planner knows its size.
-        left, right = (side.withColumn("_h", F.xxhash64(*keys)).join(cuts, "_h", "left").drop("_h") for side in (left, right))
-        cold = F.col("_cuts").isNull()
-        matched = _walk(left.filter(cold).drop("_cuts"), right.filter(cold).drop("_cuts"), keys).unionByName(
-            _walk_in_stretches(left.filter(~cold), right.filter(~cold), keys)
+        left, right = (side.withColumn("_h", F.xxhash64(*keys)).join(hot, "_h", "left").drop("_h") for side in (left, right))
+        cold = F.col("_n").isNull()
+        matched = _walk(left.filter(cold).drop("_n"), right.filter(cold).drop("_n"), keys).unionByName(
+            _walk_in_segments(left.filter(~cold).drop("_n"), right.filter(~cold).drop("_n"), keys, hot_rows)
         )
     fresh = F.lit(True) if ttl is None else F.col("_f._t") >= F.col("_t") - _interval(ttl)
     place = {**{c: F.col(f"_e.`{c}`") for c in rest}, **{k: F.col(k) for k in keys}, entity_timestamp: F.col("_t")}
@@ -130,40 +125,17 @@ def _interval(span: timedelta) -> Column:
     )
 
 
-def _hot_cuts(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame | None:
-    """For keys with more than ``hot_rows`` rows: ``_h``, the key's hash, and ``_cuts``, positions in time.
+def _hot_hashes(left: DataFrame, right: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame | None:
+    """``_h``, the key's hash, and ``_n``, its rows, for keys with more than ``hot_rows`` rows.
 
-    No key, count or cut comes to the driver. Keys are counted by their hash; keys that share a
-    hash are treated alike, which is as right, only slower. Stretches between cuts are halved
-    further until each has at most ``hot_rows`` rows or is a single moment.
+    No key or count comes to the driver. Keys that share a hash are treated alike, which is as
+    right, only slower. The table is written, so that the planner knows its size.
     """
     if hot_rows is None:
         return None
-    at = axis_position(F.col("_t"), right.schema["_t"].dataType)
-    both = left.select(F.xxhash64(*keys).alias("_h"), "_t").unionByName(right.select(F.xxhash64(*keys).alias("_h"), "_t"))
-    hot = write_through(both.groupBy("_h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot_rows).select("_h"), "hot-keys")
-    if hot.isEmpty():
-        return None
-    rows = write_through(both.join(hot, "_h").select("_h", at.alias("p")).filter("p IS NOT NULL"), "hot-rows")
-    cuts = hot.withColumn("_cuts", F.array().cast("array<double>"))
-    shares = [i / WAYS for i in range(1, WAYS)]
-    while True:
-        placed = rows.join(cuts, "_h").select("_h", "p", _stretch(F.col("p")).alias("s"))
-        sizes = placed.groupBy("_h", "s").agg(F.count(F.lit(1)).alias("n"), F.min("p").alias("low"), F.max("p").alias("high"))
-        long = write_through(sizes.filter((F.col("n") > hot_rows) & (F.col("low") < F.col("high"))).drop("n"), "stretches")
-        if long.isEmpty():
-            return cuts
-        found = spread_quantiles(placed.join(long, ["_h", "s"]), "p", shares, ["_h", "s"]).join(long, ["_h", "s"])
-        # A cut begins a stretch, so it lies above the lowest moment; one at the highest always helps.
-        inner = F.concat(F.filter("p", lambda x: x > F.col("low")), F.array("high"))
-        more = found.select("_h", inner.alias("p")).groupBy("_h").agg(F.flatten(F.collect_list("p")).alias("p"))
-        joined = F.array_sort(F.array_distinct(F.concat("_cuts", F.coalesce("p", F.array().cast("array<double>")))))
-        cuts = write_through(cuts.join(more, "_h", "left").select("_h", joined.alias("_cuts")), "cuts")
-
-
-def _stretch(position: Column) -> Column:
-    """Number of the row's cuts at or before the position."""
-    return F.size(F.filter("_cuts", lambda c: c <= position))
+    both = left.select(F.xxhash64(*keys).alias("_h")).unionByName(right.select(F.xxhash64(*keys).alias("_h")))
+    hot = write_through(both.groupBy("_h").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > hot_rows), "hot-keys")
+    return None if hot.isEmpty() else hot
 
 
 def _newest_so_far(window) -> Column:
@@ -193,36 +165,36 @@ def _walk(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return walked.filter("_side = 1").select(*keys, "_t", "_e", "_f")
 
 
-def _walk_in_stretches(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``_walk`` for keys too large for one task, whose rows carry the ``_cuts`` of their key.
+def _walk_in_segments(left: DataFrame, right: DataFrame, keys: Sequence[str], segment_rows: int) -> DataFrame:
+    """``_walk`` as a scan in two levels, for keys too large for one task.
 
-    Cuts bound every stretch but for rows with the same key and time; those are reduced to one
-    on either side.
+    The stacked rows are dealt to segments by ranges of (key, time, side, order), so a key may
+    span many segments, and so may a single moment. Each segment is walked by itself. The newest
+    feature row of all segments before is the last one in that order, so one small row for each
+    segment is scanned, and what it hands on counts where it has the row's key. Segments are
+    written, since every step must see the same ones.
     """
-    at = axis_position(F.col("_t"), right.schema["_t"].dataType)
-    parts = [*keys, "_stretch"]
-    left, right = (side.withColumn("_stretch", _stretch(at)).drop("_cuts") for side in (left, right))
-    right = right.groupBy(*parts, "_t").agg(F.max_by("_f", "_order").alias("_f"))
-    right = right.withColumn("_order", F.lit(None).cast("int"))
-    moments = left.select(*parts, "_t").distinct().withColumn("_e", F.lit(0))
-    left = left.drop("_stretch")
-
-    # The newest row before each stretch: one row per key and stretch, a few for each HOT_ROWS rows.
-    ends = right.groupBy(*parts).agg(F.max_by("_f", "_t").alias("_f"))
-    starts = moments.select(*parts, F.lit(None).cast(right.schema["_f"].dataType).alias("_f")).distinct()
-    ends = ends.unionByName(starts).groupBy(*parts).agg(F.first("_f", ignorenulls=True).alias("_f"))
-    before = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    handed = (
-        ends.withColumn("_f", F.last("_f", ignorenulls=True).over(before))
-        .filter("_f IS NOT NULL")
-        .select(*parts, F.col("_f._t").alias("_t"), F.lit(None).cast("int").alias("_order"), "_f")
-    )
-
-    window = Window.partitionBy(*parts).orderBy("_t", "_side")
-    walked = _stack(moments, right.unionByName(handed), parts).withColumn("_f", _newest_so_far(window))
-    answers = walked.filter("_side = 1").select(*keys, "_t", "_f")
-    # Many entity rows may share a key and moment; AQE splits such a join partition.
-    return left.join(answers, [*keys, "_t"], "left").select(*keys, "_t", "_e", "_f")
+    rows = write_through(_stack(left, right, keys).withColumn("_tie", F.xxhash64("_e")), "hot-rows")
+    segments = max(1, -(-rows.count() // segment_rows))
+    along = [*keys, "_t", "_side", "_order", "_tie"]
+    dealt = rows.repartitionByRange(segments, *along).withColumn("_segment", F.spark_partition_id())
+    path = new_folder(rows.sparkSession, "segments")
+    dealt.write.parquet(path)
+    dealt = rows.sparkSession.read.schema(dealt.schema).parquet(path)
+
+    own = F.struct(*[F.col(k).alias(f"k{i}") for i, k in enumerate(keys)])
+    newest = F.max_by(F.struct(own.alias("key"), "_f"), F.struct(*keys, "_t", "_order"))
+    # Segments without feature rows hand on what came before them.
+    ends = dealt.filter("_side = 0").groupBy("_segment").agg(newest.alias("_last"))
+    ends = dealt.select("_segment").distinct().join(ends, "_segment", "left")
+    before = Window.orderBy("_segment").rowsBetween(Window.unboundedPreceding, -1)
+    handed = ends.select(F.col("_segment").alias("_of"), F.last("_last", ignorenulls=True).over(before).alias("_handed"))
+    handed = write_through(handed.filter("_handed IS NOT NULL"), "handed")
+
+    window = Window.partitionBy("_segment", *keys).orderBy("_t", "_side", "_order")
+    walked = dealt.withColumn("_f", _newest_so_far(window)).filter("_side = 1")
+    joined = walked.join(handed, (F.col("_segment") == F.col("_of")) & own.eqNullSafe(F.col("_handed.key")), "left")
+    return joined.select(*keys, "_t", "_e", F.coalesce("_f", "_handed._f").alias("_f"))
 
 
 def training_set(

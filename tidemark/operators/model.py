@@ -7,13 +7,14 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
-from pyspark.ml.classification import GBTClassifier, OneVsRest
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from tidemark.functions.columns import missing_as_null
+from tidemark.operators.boosting import JointTrees, fit_joint
 from tidemark.operators.checks import check_prediction_frame, check_training_frame, class_list, require_finite
 from tidemark.operators.metrics import evaluate, evaluate_classes
 from tidemark.operators.prep import FeaturePipeline, FittedFeatures
@@ -32,11 +33,16 @@ TREE_PARAMETERS = {
 }
 
 
-def tree_parameters(hyperparameters: Mapping[str, Any], seed: int | None) -> dict[str, Any]:
+def check_known(hyperparameters: Mapping[str, Any]) -> None:
     check_hyperparameters(hyperparameters)
     unknown = sorted(set(hyperparameters) - set(TREE_PARAMETERS) - {"min_samples_split", "verbose"})
     if unknown:
         raise ValueError(f"unknown hyperparameters {unknown}")
+
+
+def tree_parameters(hyperparameters: Mapping[str, Any], seed: int | None) -> dict[str, Any]:
+    """The tree learner's parameters for a classifier's settings."""
+    check_known(hyperparameters)
     if hyperparameters.get("min_samples_split", 2) != 2:
         warnings.warn("the tree learner has no min_samples_split; the setting has no effect", stacklevel=3)
     found = {TREE_PARAMETERS[k]: v for k, v in hyperparameters.items() if k in TREE_PARAMETERS}
@@ -52,13 +58,13 @@ def one_vector(columns: Sequence[Column]) -> Column:
 
 @dataclass
 class BoostedTrees:
-    """Trees fitted to one or, for more than two classes, one against the rest each."""
+    """Trees of the tree learner, for two classes."""
 
     spec: ClassifierSpec
     features: list[str]
     classes: list
     label_type: DataType
-    models: list
+    model: Any
 
     def labels(self) -> Column:
         """The classes as an array of the label's type."""
@@ -66,50 +72,34 @@ class BoostedTrees:
 
     def score(self, df: DataFrame, vector: Column, probability: str, prediction: str) -> DataFrame:
         """Add the class probabilities (in the order of ``classes``) and the predicted class."""
-        out = df.withColumn("_x", vector)
-        for i, model in enumerate(self.models):
-            names = {"rawPrediction": f"_r{i}", "probability": f"_p{i}", "prediction": f"_y{i}"}
-            model = model.copy()
-            model.setFeaturesCol("_x").setPredictionCol(names["prediction"])
-            model.setRawPredictionCol(names["rawPrediction"]).setProbabilityCol(names["probability"])
-            out = model.transform(out)
-        if len(self.models) == 1:
-            shares = vector_to_array("_p0")
-        else:
-            alone = F.array(*[vector_to_array(f"_p{i}")[1] for i in range(len(self.models))])
-            total = F.aggregate(alone, F.lit(0.0), lambda a, b: a + b)
-            shares = F.transform(alone, lambda p: p / total)
-        best = F.array_position(F.col(probability), F.array_max(F.col(probability))).cast("int")
-        if len(self.models) == 1:
-            best = F.col("_y0").cast("int") + 1
-        made = [c for c in out.columns if c not in df.columns]
-        return (
-            out.withColumn(probability, shares).withColumn(prediction, F.element_at(self.labels(), best)).drop(*made)
-        )
+        model = self.model.copy()
+        model.setFeaturesCol("_x").setPredictionCol("_y").setRawPredictionCol("_r").setProbabilityCol("_p")
+        out = model.transform(df.withColumn("_x", vector))
+        best = F.element_at(self.labels(), F.col("_y").cast("int") + 1)
+        return out.withColumn(probability, vector_to_array("_p")).withColumn(prediction, best).drop("_x", "_y", "_r", "_p")
 
     def importance(self) -> DataFrame:
         """Rows (feature, importance); the importances add up to one."""
-        vectors = [m.featureImportances for m in self.models]
-        rows = [
-            (name, float(sum(v[i] for v in vectors) / len(vectors))) for i, name in enumerate(self.features)
-        ]
+        found = self.model.featureImportances
+        rows = [(name, float(found[i])) for i, name in enumerate(self.features)]
         return SparkSession.active().createDataFrame(rows, "feature string, importance double")
 
 
 def fit_trees(
     df: DataFrame, vector: Column, label: str, features: Sequence[str], spec: ClassifierSpec, classes: list
-) -> BoostedTrees:
+) -> BoostedTrees | JointTrees:
+    """Two classes go to Spark's tree learner; more, or a ``min_samples_split``, to the joint one."""
     if len(classes) < 2:
         raise ValueError("at least two classes are needed")
     shared_root(df.sparkSession)  # the learner cuts its lineage there
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
+    kind = df.schema[label].dataType
+    if len(classes) > 2 or spec.hyperparameters.get("min_samples_split", 2) > 2:
+        check_known(spec.hyperparameters)
+        return fit_joint(df, vector, index, kind, features, spec, classes, spec.hyperparameters)
     rows = df.select(vector.alias("features"), index.cast("double").alias("label"))
     trees = GBTClassifier(checkpointInterval=10, **tree_parameters(spec.hyperparameters, spec.random_state))
-    if len(classes) == 2:
-        models = [trees.fit(rows)]
-    else:
-        models = OneVsRest(classifier=trees, parallelism=min(4, len(classes))).fit(rows).models
-    return BoostedTrees(spec, list(features), classes, df.schema[label].dataType, list(models))
+    return BoostedTrees(spec, list(features), classes, kind, trees.fit(rows))
 
 
 @dataclass
@@ -118,7 +108,7 @@ class FittedClassifier:
 
     prep: FittedFeatures
     passthrough: list[str]
-    trees: BoostedTrees
+    trees: BoostedTrees | JointTrees
     label: str
 
     @property

@@ -456,13 +456,35 @@ def one_busy_user(df: DataFrame) -> DataFrame:
          CASE WHEN event_type IN ('view', 'click') OR second(ts) < 30 THEN 0 ELSE user_id END AS user_id,
          CASE"""))
 def pit_join_hot_key(spark, sf):
-    """The same join when one key holds most of the rows, which are then cut by time."""
+    """The same join when one key holds most of the rows, which are then walked in segments."""
     events = one_busy_user(readings(spark, sf))
     return asof.as_of_join(
         purchases(events), other_events(events), ["user_id"], "ts", OTHER, tiebreak=["last_id"], hot_rows=500
     )
 
 
+@query("""WITH
+rows_ AS (
+  SELECT event_id, event_type, value, CASE WHEN event_id % 5 = 0 THEN 1 ELSE 0 END AS user_id,
+         TIMESTAMP '2024-01-15 12:00:00' + to_microseconds(event_id * 7919 % 1000000) AS ts
+  FROM events),
+known AS (SELECT * FROM (
+  SELECT user_id, ts, event_id AS last_id, value, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS rn
+  FROM rows_ WHERE event_type <> 'purchase') WHERE rn = 1)
+SELECT r.event_id, r.user_id, r.ts AS event_timestamp, k.last_id, k.value
+FROM rows_ r ASOF LEFT JOIN known k ON r.user_id = k.user_id AND r.ts >= k.ts
+WHERE r.event_type = 'purchase'""")
+def pit_join_one_second(spark, sf):
+    """All rows belong to two keys and lie within one second."""
+    later = F.expr("make_dt_interval(0, 0, 0, CAST(CAST(event_id * 7919 % 1000000 AS DECIMAL(18, 6)) / 1000000 AS DECIMAL(18, 6)))")
+    rows = table(spark, sf, "events").select(
+        "event_id", "event_type", "value", F.when(F.col("event_id") % 5 == 0, 1).otherwise(0).alias("user_id"),
+        (F.expr("timestamp_ntz'2024-01-15 12:00:00'") + later).alias("ts"),
+    )
+    known = other_events(rows).drop("last_type")
+    return asof.as_of_join(purchases(rows), known, ["user_id"], "ts", ["last_id", "value"], tiebreak=["last_id"], hot_rows=500)
+
+
 @query("""WITH
 samples AS (
   SELECT event_id, user_id, ts AS event_timestamp FROM events WHERE event_type = 'purchase'),
@@ -937,6 +959,85 @@ def gbt_stump(spark, sf):
     return fitted.transform(rows).select("l_orderkey", "l_linenumber", "prediction", p1)
 
 
+def boosted_round_sql(classes: int, depth: int, rate: float, target: str, split_rows: int = 2) -> str:
+    """One round of boosting over three features of line items that have few values."""
+    sides = "CASE b.j WHEN 0 THEN f0 WHEN 1 THEN f1 ELSE f2 END"
+    gain = "nl * (nn - nl) / nn * power(sl / nl - (ss - sl) / (nn - nl), 2)"
+    levels = "".join(f"""
+long{d} AS (
+  SELECT k, node, j, v, CAST(count(*) AS DOUBLE) AS n, sum(r) AS s
+  FROM (SELECT k, node, r, unnest([0, 1, 2]) AS j, unnest([f0, f1, f2]) AS v FROM rows{d}) GROUP BY ALL),
+cuts{d} AS (
+  SELECT k, node, j, v, sum(n) OVER up AS nl, sum(s) OVER up AS sl, sum(n) OVER whole AS nn, sum(s) OVER whole AS ss
+  FROM long{d} WINDOW up AS (PARTITION BY k, node, j ORDER BY v), whole AS (PARTITION BY k, node, j)),
+best{d} AS (
+  SELECT k, node, j, v FROM cuts{d} WHERE nl < nn AND nn >= {split_rows} AND {gain} > 1e-12
+  QUALIFY row_number() OVER (PARTITION BY k, node ORDER BY round({gain}, 7) DESC, j, v) = 1),
+rows{d + 1} AS (
+  SELECT r.* REPLACE (CASE WHEN b.k IS NULL THEN node WHEN {sides} <= b.v THEN 2 * node + 1 ELSE 2 * node + 2 END AS node)
+  FROM rows{d} r LEFT JOIN best{d} b USING (k, node)),""" for d in range(depth))
+    start = "ln(p)" if classes > 2 else "ln(p / (1 - p))"
+    weight = "abs(r) * (1 - abs(r))" if classes > 2 else "p * (1 - p)"
+    # For two classes the tree of class 1 is the only one.
+    return f"""WITH base AS (
+  SELECT row_number() OVER () AS id, l_orderkey, l_linenumber, CAST(year(l_shipdate) AS DOUBLE) AS f0,
+         l_linenumber::DOUBLE AS f1, l_discount AS f2, {target} AS y
+  FROM lineitem),
+priors AS (SELECT y AS k, count(*) / CAST((SELECT count(*) FROM base) AS DOUBLE) AS p FROM base GROUP BY y),
+rows0 AS (
+  SELECT base.*, k, p, {start} AS start, CASE WHEN y = k THEN 1 ELSE 0 END - p AS r, 0 AS node FROM base, priors
+  {"" if classes > 2 else "WHERE k = 1"}),{levels}
+leaves AS (
+  SELECT k, node, {rate} * {(classes - 1) / classes if classes > 2 else 1.0} * sum(r) / sum({weight}) AS step
+  FROM rows{depth} GROUP BY k, node),
+scores AS (SELECT id, l_orderkey, l_linenumber, k, exp(start + step) AS e FROM rows{depth} JOIN leaves USING (k, node))
+SELECT l_orderkey, l_linenumber, {
+    ", ".join(f"round(sum(CASE WHEN k = {i} THEN e END) / sum(e), 6) AS p{i}" for i in range(classes))
+    if classes > 2 else "round(sum(e) / (1 + sum(e)), 6) AS p1"
+} FROM scores GROUP BY id, l_orderkey, l_linenumber"""
+
+
+def few_valued_items(spark: SparkSession, sf: str, target: Column) -> DataFrame:
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.year("l_shipdate").cast("double").alias("f0"),
+        F.col("l_linenumber").cast("double").alias("f1"), F.col("l_discount").alias("f2"), target.alias("y"),
+    )
+
+
+@query(boosted_round_sql(3, 1, 0.5, "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"))
+def gbt_joint_stumps(spark, sf):
+    """One round for three classes: a stump for each, on the residuals of all of them."""
+    flag = F.col("l_returnflag")
+    rows = few_valued_items(spark, sf, F.when(flag == "A", 0).when(flag == "N", 1).otherwise(2))
+    spec = ClassifierSpec(model_name="stumps", hyperparameters={"n_estimators": 1, "max_depth": 1, "learning_rate": 0.5}, random_state=7)
+    scored = ClassifierPipeline(numeric_features(["f0", "f1", "f2"]), spec).fit(rows, "y").transform(rows)
+    return scored.select("l_orderkey", "l_linenumber", *[F.round(F.col("probability")[i], 6).alias(f"p{i}") for i in range(3)])
+
+
+@query(boosted_round_sql(3, 2, 0.5, "CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END"))
+def gbt_joint_depth_two(spark, sf):
+    """One round for three classes with trees of depth two."""
+    flag = F.col("l_returnflag")
+    rows = few_valued_items(spark, sf, F.when(flag == "A", 0).when(flag == "N", 1).otherwise(2))
+    spec = ClassifierSpec(model_name="trees", hyperparameters={"n_estimators": 1, "max_depth": 2, "learning_rate": 0.5}, random_state=7)
+    scored = ClassifierPipeline(numeric_features(["f0", "f1", "f2"]), spec).fit(rows, "y").transform(rows)
+    return scored.select("l_orderkey", "l_linenumber", *[F.round(F.col("probability")[i], 6).alias(f"p{i}") for i in range(3)])
+
+
+#: Leaves several nodes uncut, at sf0.001 most of them.
+SPLIT_ROWS = 3_000
+
+
+@query(boosted_round_sql(2, 3, 0.1, "CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END", SPLIT_ROWS))
+def gbt_min_samples_split(spark, sf):
+    """Depth three, but a node needs 3 000 rows to be cut."""
+    rows = few_valued_items(spark, sf, F.when(F.col("l_returnflag") == "R", 1).otherwise(0))
+    settings = {"n_estimators": 1, "max_depth": 3, "min_samples_split": SPLIT_ROWS}
+    spec = ClassifierSpec(model_name="trees", hyperparameters=settings, random_state=7)
+    scored = ClassifierPipeline(numeric_features(["f0", "f1", "f2"]), spec).fit(rows, "y").transform(rows)
+    return scored.select("l_orderkey", "l_linenumber", F.round(F.col("probability")[1], 6).alias("p1"))
+
+
 @query()
 def gbt_proba(spark, sf):
     rows = document_samples(spark, sf)

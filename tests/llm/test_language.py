@@ -57,3 +57,17 @@ def test_nothing_learned_and_empty(spark, make_docs):
     nothing = spark.createDataFrame([], "text string, lang string")
     assert [r.lang_pred for r in identify(make_docs([(1, "words")]), nothing).collect()] == ["und"]
     assert identify(make_docs([]), learned(spark)).collect() == []
+
+
+def test_many_languages(spark, make_docs):
+    """More labels than fit into a byte."""
+    rows = [(f"{a}{b}{a}{b}{a} {b}{b}{a}{a}{b} {a}{a}{a}{b}", f"l{i:03d}") for i, (a, b) in enumerate(itertools.islice(itertools.permutations("bcdfghjklmnpqrstvwxz", 2), 300))]
+    known = spark.createDataFrame(rows * 3, "text string, lang string")
+    found = {r.doc_id: r.lang_pred for r in identify(make_docs([(i, t) for i, (t, _) in enumerate(rows)]), known).collect()}
+    assert [found[i] for i in range(300)] == [lang for _, lang in rows]
+
+
+def test_viterbi_keeps_large_labels():
+    scores = np.zeros((2, 300))
+    scores[0, 299] = scores[1, 256] = 50.0
+    assert viterbi(np.array([0, 1, 0]), np.array([0, 2, 3]), scores, 2.0).tolist() == [299, 256, 299]

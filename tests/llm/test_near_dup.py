@@ -74,6 +74,14 @@ def test_equals_brute_force(make_docs, prose, monkeypatch, size, percent, cluste
     assert sizes == sorted(len(shingles(t, size)) for _, t in rows)
 
 
+def test_repeated_ids_with_different_texts(make_docs, prose):
+    """Rows follow their text; texts whose smallest id is the same count as one document."""
+    a, b, c, d = (prose(i, 40) for i in range(4))
+    rows = [(3, b), (5, a), (5, b), (9, a), (20, c), (20, d), (21, c), (22, d), (20, c)]
+    found = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(make_docs(rows), 3, 85).collect())
+    assert found == [(3, 3, True), (5, 3, False), (5, 5, True), (9, 5, False), (20, 20, True), (20, 20, True), (20, 20, True), (21, 20, False), (22, 20, False)]
+
+
 def test_empty(make_docs):
     assert near_dup.near_duplicates(make_docs([])).collect() == []
     assert [tuple(r) for r in near_dup.near_duplicates(make_docs([(1, "a b")])).collect()] == [(1, 1, 1, True)]

@@ -64,6 +64,50 @@ def test_all_tokens_are_packed(spark, outputs):
     assert total == {i: len(ids_of(r.text, 0)) for i, r in texts.items()}
 
 
+HARD = "doc_id long, text string, lang string, source string, n_chars long, `__text` string, `__lines` string, `__gone` string, n_lines long, n_dropped long, `__site` int, row int, `of` int, n int"
+
+
+def hard_rows(prose):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    texts = [(1, a), (5, a), (5, b), (None, c), (None, c), (None, a), (7, None), (7, None), (8, ""), (9, prose(4, 20_000)), (10, b + " end"), (5, b)]
+    texts += [(20 + i, f"Top line\n{prose(20 + i, 30)}") for i in range(12)]
+    return [(i, t, None, None if i == 9 else "s", None if t is None else len(t), "MINE", "L", "G", 99, 98, 1, 2, 3, 4) for i, t in texts]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_with_hard_rows(spark, prose, name):
+    """Null and repeated ids, null, empty and long texts, repeated rows, clashing names."""
+    rows = hard_rows(prose)
+    docs = spark.createDataFrame(rows, HARD).repartition(3)
+    found = dict(corpus_pipeline.STAGES)[name](spark, docs, SF)
+    if name == "pack":
+        sizes = [len(ids_of(r[1], 0)) for r in rows]
+        assert sorted(r.length for r in found.collect()) == sorted(min(2048, n - i) for n in sizes for i in range(0, n, 2048))
+        return
+    assert found.columns == docs.columns and found.dtypes == docs.dtypes
+    got = [tuple(r) for r in found.collect()]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1] or "")
+    if name == "line_dedup":
+        wanted = [(*r[:1], r[1] and r[1].replace("Top line\n", ""), *r[2:]) for r in rows]
+        wanted = [(*r[:4], None if r[1] is None else len(r[1]), *r[5:]) for r in wanted]
+        assert sorted(got, key=key) == sorted(wanted, key=key)
+    elif name == "near_dup":
+        texts = sorted(r[1] or "" for r in got)
+        alone = [r[1] for r in rows if r[1] and r[1].startswith("Top")] + [rows[9][1]]
+        # One of a (the id that is not repeated), of b (its near copy, likewise) and of c; rows without words have no copies.
+        assert texts == sorted(["", "", "", rows[0][1], rows[10][1], rows[3][1], *alone])
+        assert [r[0] for r in got if r[1] == rows[0][1]] == [1]
+        assert set(got) <= set(rows)
+    else:
+        assert set(got) <= set(rows) and (name == "quality" or len(got) == len(rows))
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_with_empty_tables(spark, name):
+    docs = spark.createDataFrame([], HARD)
+    assert dict(corpus_pipeline.STAGES)[name](spark, docs, SF).collect() == []
+
+
 def test_run_equals_stages(spark, outputs):
     pick = ["doc_id", "piece", "start", "length", "ids_crc32"]
     assert sorted(map(tuple, corpus_pipeline.run(spark, SF).select(*pick).collect())) == sorted(map(tuple, outputs[5].select(*pick).collect()))

@@ -51,6 +51,7 @@ def test_edges(spark, make_docs, prose):
     assert len(found) == len(rows) and all(0 <= r.score <= 1 for r in found)
     kept = keep_good(make_docs(rows), labels)
     assert kept.columns == make_docs(rows).columns
+    assert {tuple(r) for r in kept.collect()} <= {tuple(r) for r in make_docs(rows).collect()}  # no column is overwritten
     ids = {r.doc_id for r in kept.collect()}
     assert set(range(40)) <= ids and not ids & set(range(40, 80))
     assert score_quality(make_docs([]), labels).collect() == []

@@ -1,6 +1,8 @@
 """Token files against the tokenizer itself, file by file and id by id."""
 
 import json
+import random
+import unicodedata
 import zlib
 
 import numpy as np
@@ -11,6 +13,7 @@ from tidemark.llm.packing import best_fit, fractional, knapsack, pack, plan
 from tidemark.llm.tokens import TOKENIZER, Encoder
 
 plain = Tokenizer.from_file(TOKENIZER)
+MARKS = ".,!?;:"
 
 
 def ids_of(text, end):
@@ -36,6 +39,30 @@ def test_encoder_equals_tokenizer(prose):
             assert np.frombuffer(found, f"<u{own.width}").tolist() == ids_of(text, 0)[:-1]
 
 
+def test_any_letter_before_any_mark():
+    """Every letter and combining mark of Unicode before marks, digits and special tokens."""
+    letters = [chr(c) for c in range(0x20, 0x30000) if unicodedata.category(chr(c))[0] in "LM"]
+    rng = random.Random(9)
+    texts = [f"{a}{c}{rng.choice(MARKS)} {c.upper()}{rng.choice(MARKS)}{rng.choice('aZ9')}{rng.choice(MARKS)}" for c in letters for a in rng.sample("xÉ1", 1)]
+    texts += ["".join(rng.choices(letters[:600] + list(MARKS) + [" ", "<|endoftext|>", "'s", "\u0307"], k=8)) for _ in range(20_000)]
+    assert len(texts) > 100_000
+    own = Encoder(TOKENIZER)
+    assert own.by_word
+    wanted = plain.encode_batch_fast(texts, add_special_tokens=False)
+    assert [np.frombuffer(f, f"<u{own.width}").tolist() for f in own.encode(texts)] == [w.ids for w in wanted]
+
+
+def test_other_tokenizers_read_whole_texts(tmp_path):
+    with open(TOKENIZER, encoding="utf-8") as f:
+        changed = json.load(f)
+    changed["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = "[^,]+|,"
+    (tmp_path / "t.json").write_text(json.dumps(changed))
+    own, other = Encoder(str(tmp_path / "t.json")), Tokenizer.from_file(str(tmp_path / "t.json"))
+    assert not own.by_word
+    for text, found in zip(texts := ["a b, c", None, "x y"], own.encode(texts)):
+        assert np.frombuffer(found, f"<u{own.width}").tolist() == other.encode(text or "", add_special_tokens=False).ids
+
+
 def test_files_and_digest(spark, make_docs, prose, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files, "SHARD_BYTES", 20_000)
     rows = edge_rows(prose)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import free, stored, table
 
 #: A line goes if more than this share of its host's pages have it, and at least so many pages.
 RATIO, LEAST_PAGES = 0.1, 5
@@ -31,11 +31,16 @@ def boilerplate(docs: DataFrame, host: Column, text: Column, ratio: float = RATI
 
 
 def drop_boilerplate(
-    docs: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO, least_pages: int = LEAST_PAGES
+    docs: DataFrame,
+    host_col: str = "source",
+    text_col: str = "text",
+    ratio: float = RATIO,
+    least_pages: int = LEAST_PAGES,
+    counts: tuple[str, str] = ("n_lines", "n_dropped"),
 ) -> DataFrame:
     """The rows with boilerplate lines taken out of their text, and ``n_lines`` and ``n_dropped``.
 
-    All columns and rows stay; columns of those two names are replaced. Each row is a page, also
+    All columns and rows stay; columns of those two names (``counts`` renames them) are replaced. Each row is a page, also
     if its id is repeated. Null hosts form one site. Lines are compared as they are; empty lines
     are never dropped. A null text stays null and has no lines, an empty one has one (empty) line.
     A text of boilerplate only becomes empty.
@@ -43,16 +48,18 @@ def drop_boilerplate(
     host, text = F.coalesce(F.col(f"`{host_col}`").cast("string"), F.lit("")), F.col(f"`{text_col}`").cast("string")
     # Written first: its size is then known when the join is planned, small tables are broadcast.
     known = stored(boilerplate(docs, host, text, ratio, least_pages), "boilerplate")
-    rows = docs.withColumn("__site", host).join(known, F.col("__site") == F.col("__host"), "left")
+    site, of, gone, left = (free(n, docs) for n in ("__site", "__host", "__lines", "__kept"))
+    known = known.select(F.col("__host").alias(of), F.col("__lines").alias(gone))
+    rows = docs.withColumn(site, host).join(known, F.col(site) == F.col(of), "left")
     lines = F.split(text, "\n", -1)
-    kept = F.when(F.col("__lines").isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(F.col("__lines"), _key(line))))
-    rows = rows.withColumn("__kept", kept)
+    kept = F.when(F.col(gone).isNull(), lines).otherwise(F.filter(lines, lambda line: ~F.array_contains(F.col(gone), _key(line))))
+    rows = rows.withColumn(left, kept)
     n_lines = F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long")
-    n_kept = F.when(text.isNull(), 0).otherwise(F.size("__kept")).cast("long")
+    n_kept = F.when(text.isNull(), 0).otherwise(F.size(left)).cast("long")
     return rows.select(
-        *(F.array_join("__kept", "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in ("n_lines", "n_dropped")),
-        n_lines.alias("n_lines"),
-        (n_lines - n_kept).alias("n_dropped"),
+        *(F.array_join(left, "\n").alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns if c not in counts),
+        n_lines.alias(counts[0]),
+        (n_lines - n_kept).alias(counts[1]),
     )
 
 

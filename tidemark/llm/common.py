@@ -39,6 +39,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free(name: str, *frames: DataFrame) -> str:
+    """A working name that is no column of the frames."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def qualified(spark: SparkSession, folder: str) -> str:
     """The folder with its scheme; one without is on Spark's default file system, not on a task's own disk."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

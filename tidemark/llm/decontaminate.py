@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix64, slices, stored, table
+from tidemark.llm.common import free, mix64, slices, stored, table
 from tidemark.llm.filters import FILTER_BITS, bitmap, id_filter, in_filter
 from tidemark.llm.text_bytes import Hashes, utf8, words
 
@@ -159,9 +159,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows whose text overlaps with no benchmark item; all columns stay."""
-    keys = stored(contaminated(docs, benchmark).select(F.col("text_key").alias("__key")).distinct(), "overlapping")
-    rows = docs.withColumn("__text_key", F.xxhash64(F.col("text").cast("string")))
-    return rows.join(keys, F.col("__text_key") == F.col("__key"), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
+    own, key = free("__text_key", docs), free("__key", docs)
+    keys = stored(contaminated(docs, benchmark).select(F.col("text_key").alias(key)).distinct(), "overlapping")
+    rows = docs.withColumn(own, F.xxhash64(F.col("text").cast("string")))
+    return rows.join(keys, F.col(own) == F.col(key), "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -129,12 +129,13 @@ def viterbi(index: np.ndarray, offsets: np.ndarray, scores: np.ndarray, switch:
 
     ``scores`` has a row for each different word. All texts take a step together, longest first.
     """
-    labels = np.zeros(len(index), np.uint8)
+    kind = np.min_scalar_type(scores.shape[1])
+    labels = np.zeros(len(index), kind)
     size = np.diff(offsets)
     order = np.argsort(-size, kind="stable")
     start, longest = offsets[:-1][order], int(size.max(initial=0))
     active = np.searchsorted(-size[order], -np.arange(1, longest + 1), side="right")  # texts with a word at each step
-    moved, before = np.zeros((len(index), scores.shape[1]), bool), np.zeros(len(index), np.uint8)
+    moved, before = np.zeros((len(index), scores.shape[1]), bool), np.zeros(len(index), kind)
     value = np.zeros((len(size), scores.shape[1]))
     for t in range(longest):
         n = active[t]
@@ -145,7 +146,7 @@ def viterbi(index: np.ndarray, offsets: np.ndarray, scores: np.ndarray, switch:
             moved[at] = best[:, None] > own
             np.maximum(own, best[:, None], out=own)
         own += scores[index[at]]
-    state = value.argmax(axis=1).astype(np.uint8)
+    state = value.argmax(axis=1).astype(kind)
     for t in range(longest - 1, -1, -1):
         n = active[t]
         at = start[:n] + t
@@ -190,7 +191,7 @@ def identify(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col
             scores[~able & able.any(axis=1)[:, None]] += FOREIGN
             label = viterbi(words.index, words.offsets, scores)
             owner, letters = segment_ids(words.offsets), words.length[words.index]
-            share = np.bincount(owner * len(langs) + label, letters, n * len(langs)).reshape(n, len(langs))
+            share = np.bincount(owner * len(langs) + label.astype(np.int64), letters, n * len(langs)).reshape(n, len(langs))
             total = share.sum(axis=1)
             best = share.argmax(axis=1)
             new = np.ones(len(label), bool)

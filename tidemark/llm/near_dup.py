@@ -215,8 +215,10 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
 
     Texts are linked if the sets of their ``size``-word shingles have a Jaccard similarity of at
     least ``percent`` / 100; ``component_id`` is the smallest id reachable over links. Texts
-    without words, and null texts, are linked with nothing. Rows that repeat an id count as one
-    text for linking. Rows with a null id are linked with nothing, have no component and are kept.
+    without words, and null texts, are linked with nothing. Equal texts are one node, named
+    after their smallest id, and different texts of the same name count as one document for
+    linking; so where rows repeat an id with different texts, each row has the component of its
+    text, and these may differ. Rows with a null id are linked with nothing, have no component and are kept.
     An empty table gives no rows.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

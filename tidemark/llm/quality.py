@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import segment_ids, slices, stored, table
+from tidemark.llm.common import free, segment_ids, slices, stored, table
 from tidemark.llm.text_bytes import LOWER, Hashes, utf8, words
 
 #: Labelled rows that the trees are grown from, at most.
@@ -219,19 +219,21 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     """The rows that the classifier accepts; all columns stay.
 
     It is learned as in ``score_quality``. A text is measured once more when its row is judged, so
-    no text is shuffled. Null texts are judged as empty ones.
+    no text is shuffled. Null texts are judged as empty ones, each row by its own text, whatever its
+    id (null or repeated). An empty table stays empty.
     """
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     measured = stored(document_statistics(ids.filter("doc_id is not null"), "text", "doc_id"), "statistics")
     model = grow(*training_rows(measured, labels, "quality", remainder("doc_id", 5) != 0))
 
+    text, names = free("__text", docs), docs.columns
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "__text"):
-            good = model.probability(statistics(batch.column("__text"))) >= threshold
+        for batch in slices(batches, text):
+            good = model.probability(statistics(batch.column(text))) >= threshold
             yield batch.select(names).filter(pa.array(good))
 
-    names = docs.columns
-    return docs.withColumn("__text", F.col("text").cast("string")).mapInArrow(judge, docs.schema)
+    return docs.withColumn(text, F.col("text").cast("string")).mapInArrow(judge, docs.schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices, stored, table
+from tidemark.llm.common import file_system, qualified, slices, stored, table
 from tidemark.llm.tokens import TOKENIZER, crc32_of_ids, encoder
 from tidemark.session import new_folder
 
@@ -34,11 +34,6 @@ NULL_ID = -(1 << 63)
 END_ID = 1
 
 
-def _open(folder: str) -> tuple[fs.FileSystem, str]:
-    """The file system of a folder (local, HDFS, S3, GCS) and the path in it."""
-    return fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
-
-
 def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, tokenizer: str = TOKENIZER) -> dict:
     """Write the ids of all documents and return the manifest.
 
@@ -48,13 +43,13 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, tokeni
     written under a name of its own and then renamed, so repeated attempts of a task leave the
     same file. An empty table has no shards.
     """
-    width = encoder(tokenizer).width
+    width, folder = encoder(tokenizer).width, qualified(docs.sparkSession, folder)
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     shards = max(1, math.ceil((source.agg(F.sum(F.octet_length("text"))).first()[0] or 0) / SHARD_BYTES))
     ordered = source.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, (files, root) = encoder(tokenizer), _open(folder)
+        own, (files, root) = encoder(tokenizer), file_system(folder)
         end = own.one(end_id)
         name = f"shard-{TaskContext.get().partitionId():06d}"
         at = f"{root}/.{name}-{uuid.uuid4().hex}"
@@ -78,7 +73,7 @@ def write_token_files(docs: DataFrame, folder: str, end_id: int = END_ID, tokeni
             ["name", "n_docs", "n_tokens"],
         )
 
-    files, root = _open(folder)
+    files, root = file_system(folder)
     files.create_dir(root, recursive=True)
     wrote = ordered.mapInArrow(write, "name string, n_docs long, n_tokens long")
     found = sorted(stored(wrote, "shards").collect())  # one row for each shard
@@ -95,13 +90,14 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     ``start`` counts the ids of all documents before. Files on a local or mounted disk are mapped
     where they are; from other stores a task first copies its shard to its own disk.
     """
-    files, root = _open(folder)
+    folder = qualified(spark, folder)
+    files, root = file_system(folder)
     with files.open_input_stream(f"{root}/manifest.json") as f:
         manifest = json.loads(f.read())
     width = manifest["width"]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        files, root = _open(folder)
+        files, root = file_system(folder)
         for batch in batches:
             for shard in batch.to_pylist():
                 with tempfile.TemporaryDirectory() as own:

@@ -1,12 +1,14 @@
 """Token ids of whole texts.
 
 A tokenizer that drops white space and never joins words across it gives a text the ids of its
-words, one after the other. Whether it does is tried out when it is loaded; if so, each worker
-encodes a word once and looks it up afterwards, otherwise it encodes whole texts.
+words, one after the other. That is known of one way of normalising and cutting texts, which is
+compared with that of the file; then each worker encodes a word once and looks it up afterwards.
+With any other file it encodes whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 from array import array
@@ -16,6 +18,30 @@ import public_tokenizers
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+# The one kind of normalising and cutting whose words are known to stand alone. Texts
+# are cut into letters, single digits and other signs, so an ASCII letter and a mark after it are cut
+# apart too; other letters may end, once they are lower-cased, in a sign that joins the mark.
+NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [
+        {"type": "NFC"},
+        {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "},
+        {"type": "Lowercase"},
+    ],
+}
+PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {
+            "type": "Split",
+            "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"},
+            "behavior": "Removed",
+            "invert": True,
+        },
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+
 #: Words a worker remembers (about 200 bytes each); beyond it the memory starts afresh (same ids, more encoding).
 MEMORY_WORDS = 800_000
 #: Longer words are encoded but not remembered.
@@ -35,7 +61,10 @@ class Encoder:
         # Unsigned integers as this machine has them; all machines that Spark runs on put the low byte first.
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.code = "H" if self.width == 2 else "I"
-        self.by_word = self._same("it's 42 x", "it's", "42", "x") and self._same("É\n\té ,a  b", "É", "é", ",a", "b")
+        with open(path, encoding="utf-8") as f:
+            own = json.load(f)
+        known = own["normalizer"] == NORMALIZER and own["pre_tokenizer"] == PRE_TOKENIZER
+        self.by_word = known and self._same("it's 42 x", "it's", "42", "x") and self._same("É\n\té ,a  b", "É", "é", ",a", "b")
         self.marks_apart = self.by_word and all(self._same(f"Word{c}", "Word", c) for c in ".,!?;:")
         self.lowers = self.by_word and self._same("AbCdefGH", "abcdefgh")
         probe = ["the", "tokenization", "onhaworewhstting"]
@@ -61,7 +90,7 @@ class Encoder:
         if self.marks_apart:
             base = word.rstrip(".,!?;:")
             marks = word[len(base) :]
-            if not base or not base[-1].isalpha():
+            if not base or not (base[-1].isascii() and base[-1].isalpha()):
                 base, marks = word, ""
         if self.lowers and base.isascii() and base.isalpha():
             base = base.lower()

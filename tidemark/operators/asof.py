@@ -174,7 +174,9 @@ def _walk_in_segments(left: DataFrame, right: DataFrame, keys: Sequence[str], se
     segment is scanned, and what it hands on counts where it has the row's key. Segments are
     written, since every step must see the same ones.
     """
-    rows = write_through(_stack(left, right, keys).withColumn("_tie", F.xxhash64("_e")), "hot-rows")
+    # Maps have no hash; entity rows of one moment that hold one stay in one segment.
+    tie = F.lit(0).cast("long") if "map<" in left.schema["_e"].dataType.simpleString() else F.xxhash64("_e")
+    rows = write_through(_stack(left, right, keys).withColumn("_tie", tie), "hot-rows")
     segments = max(1, -(-rows.count() // segment_rows))
     along = [*keys, "_t", "_side", "_order", "_tie"]
     dealt = rows.repartitionByRange(segments, *along).withColumn("_segment", F.spark_partition_id())

@@ -10,12 +10,12 @@ from typing import Any
 
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.checks import class_list
 from tidemark.operators.model import ClassifierPipeline, FittedClassifier, evaluate_scored
+from tidemark.operators.rising import RisingCurve, rising_curve
 from tidemark.operators.splits import kfold, stratified_kfold
 from tidemark.session import write_through
 from tidemark.specs import CalibrationSpec
@@ -23,7 +23,18 @@ from tidemark.specs import CalibrationSpec
 Curve = Callable[[DataFrame, str, str], DataFrame]
 
 
-def sigmoid_curve(df: DataFrame, score: str, truth: Column) -> Curve:
+@dataclass
+class SigmoidCurve:
+    """Logistic function of a score."""
+
+    slope: float
+    shift: float
+
+    def __call__(self, frame: DataFrame, column: str, output: str) -> DataFrame:
+        return frame.withColumn(output, 1.0 / (1.0 + F.exp(-(F.col(column) * self.slope + self.shift))))
+
+
+def sigmoid_curve(df: DataFrame, score: str, truth: Column) -> SigmoidCurve:
     """Platt's curve through (score, truth).
 
     Each row counts as two weighted rows, a positive and a negative one, whose weights are
@@ -43,30 +54,12 @@ def sigmoid_curve(df: DataFrame, score: str, truth: Column) -> Curve:
         ),
     )
     fitted = LogisticRegression(weightCol="weight", regParam=0.0, maxIter=200, tol=1e-10).fit(weighted)
-    slope, shift = float(fitted.coefficients[0]), float(fitted.intercept)
-
-    def apply(frame: DataFrame, column: str, output: str) -> DataFrame:
-        return frame.withColumn(output, 1.0 / (1.0 + F.exp(-(F.col(column) * slope + shift))))
+    return SigmoidCurve(float(fitted.coefficients[0]), float(fitted.intercept))
 
-    return apply
 
-
-def isotonic_curve(df: DataFrame, score: str, truth: Column) -> Curve:
-    """Rising step curve through (score, truth), interpolated between the steps.
-
-    Rows are combined per score before the fit, so that equal scores weigh as one.
-    """
-    points = df.groupBy(F.col(score).alias("s")).agg(
-        F.avg(truth.cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight")
-    )
-    points = points.select(array_to_vector(F.array("s")).alias("features"), "label", "weight")
-    fitted = IsotonicRegression(weightCol="weight").fit(points)
-
-    def apply(frame: DataFrame, column: str, output: str) -> DataFrame:
-        model = fitted.copy().setFeaturesCol("_s").setPredictionCol(output)
-        return model.transform(frame.withColumn("_s", array_to_vector(F.array(column)))).drop("_s")
-
-    return apply
+def isotonic_curve(df: DataFrame, score: str, truth: Column) -> RisingCurve:
+    """Rising step curve through (score, truth), interpolated between the steps."""
+    return rising_curve(df, score, truth)
 
 
 CURVES = {"sigmoid": sigmoid_curve, "isotonic": isotonic_curve}
@@ -199,8 +192,10 @@ class CalibratedPipeline:
         if not self.stored:
             folded = write_through(folded, "calibration", "_part")
 
+        prep = self.pipeline.prep.fit_folds(folded, "_part", spec.folds)
+
         def one(fold: int) -> tuple[FittedClassifier, DataFrame, list[Curve]]:
-            fitted = self.pipeline.fit(folded.filter(F.col("_part") != fold), label, classes)
+            fitted = self.pipeline.fit(folded.filter(F.col("_part") != fold), label, classes, prep[fold])
             unseen = fitted.transform(folded.filter(F.col("_part") == fold), "_raw", "_ignored")
             scored = write_through(unseen.select(label, "_raw"), "scores")
             return fitted, scored, _curves(scored, label, classes, spec.method) if spec.ensemble else []

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 from typing import Any
 
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +78,18 @@ class BoostedTrees:
         best = F.element_at(self.labels(), F.col("_y").cast("int") + 1)
         return out.withColumn(probability, vector_to_array("_p")).withColumn(prediction, best).drop("_x", "_y", "_r", "_p")
 
+    def first(self, rounds: int) -> BoostedTrees:
+        """The model as it was after so many rounds; it scores, but knows no importances."""
+        gateway = self.model._java_obj
+        trees, weights = list(gateway.trees())[:rounds], list(gateway.treeWeights())[:rounds]
+        context = SparkSession.active().sparkContext
+        jvm, make = context._jvm, context._gateway.new_array
+        own, shares = make(jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, len(trees)), make(jvm.double, len(weights))
+        for i, (tree, weight) in enumerate(zip(trees, weights)):
+            own[i], shares[i] = tree, weight
+        made = jvm.org.apache.spark.ml.classification.GBTClassificationModel(f"{self.model.uid}-{rounds}", own, shares)
+        return replace(self, model=GBTClassificationModel(made))
+
     def importance(self) -> DataFrame:
         """Rows (feature, importance); the importances add up to one."""
         found = self.model.featureImportances
@@ -132,6 +144,10 @@ class FittedClassifier:
         check_prediction_frame(df, self.passthrough)
         return self.transform(df)
 
+    def first(self, rounds: int) -> FittedClassifier:
+        """The classifier after so many rounds of boosting, without a further fit."""
+        return replace(self, trees=self.trees.first(rounds))
+
     def importance(self) -> DataFrame:
         return self.trees.importance()
 

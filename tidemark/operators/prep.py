@@ -105,16 +105,30 @@ class FeaturePipeline:
 
     def fit(self, df: DataFrame) -> FittedFeatures:
         """Learn fill values, scales and categories from a frame."""
+        self._fitted = self._fit(df, None, 1)[0]
+        return self._fitted
+
+    def fit_folds(self, df: DataFrame, fold: str, folds: int) -> list[FittedFeatures]:
+        """For each fold, what ``fit`` learns from the rows of all others, in one pass over the frame.
+
+        Rows are counted and summed by fold, and a training side is the sum of the other folds.
+        """
+        return self._fit(df, fold, folds)
+
+    def _fit(self, df: DataFrame, fold: str | None, sides: int) -> list[FittedFeatures]:
         active = [s for s in self.specs if s.enabled]
         for s in [s for s in active if s.feature_name not in df.columns]:
-            warnings.warn(f"feature {s.feature_name!r} is not a column; skipped", stacklevel=2)
-        features = [FittedFeature(s) for s in active if s.feature_name in df.columns]
-        if not features:
+            warnings.warn(f"feature {s.feature_name!r} is not a column; skipped", stacklevel=3)
+        found = [[FittedFeature(s) for s in active if s.feature_name in df.columns] for _ in range(sides)]
+        if not found[0]:
             raise ValueError("none of the feature specs names a column of the frame")
-        _fit_numeric(df, [f for f in features if isinstance(f.spec, NumericFeatureSpec)], self.max_rows)
-        _fit_categorical(df, [f for f in features if isinstance(f.spec, CategoricalFeatureSpec)])
-        self._fitted = FittedFeatures(features)
-        return self._fitted
+        numeric, categorical = (
+            [[f for f in side if isinstance(f.spec, kind)] for side in found]
+            for kind in (NumericFeatureSpec, CategoricalFeatureSpec)
+        )
+        _fit_numeric(df, numeric, fold, self.max_rows)
+        _fit_categorical(df, categorical, fold)
+        return [FittedFeatures(side) for side in found]
 
     def transform(self, df: DataFrame) -> DataFrame:
         if self._fitted is None:
@@ -125,118 +139,152 @@ class FeaturePipeline:
         return self.fit(df).transform(df)
 
 
-def _fit_numeric(df: DataFrame, features: list[FittedFeature], max_rows: int) -> None:
+def _moments(rows: Sequence, columns: int) -> tuple[int, list[tuple[int, float | None, float | None]]]:
+    """Rows, and (values, mean, variance) of each column, of several parts together."""
+    if len(rows) == 1:
+        return rows[0][0], [tuple(rows[0][1 + 3 * i : 4 + 3 * i]) for i in range(columns)]
+    found = []
+    for i in range(columns):
+        parts = [r[1 + 3 * i : 4 + 3 * i] for r in rows if r[1 + 3 * i]]
+        n = sum(p[0] for p in parts)
+        mean = sum(p[0] * p[1] for p in parts) / n if n else None
+        found.append((n, mean, sum(p[0] * (p[2] + (p[1] - mean) ** 2) for p in parts) / n if n else None))
+    return sum(r[0] for r in rows), found
+
+
+def _fit_numeric(df: DataFrame, sides: list[list[FittedFeature]], fold: str | None, max_rows: int) -> None:
     """One pass for counts, means and variances; quantiles only where a spec asks for them.
 
     Mean and variance after imputation follow from those before it and the number of filled
-    rows, so scaling needs no pass of its own.
+    rows, so scaling needs no pass of its own. With a ``fold``, side k is all rows of other folds.
     """
-    if not features:
+    if not sides[0]:
         return
-    name = {id(f): f.spec.feature_name for f in features}
-    values = {n: missing_as_null(df, n) for n in name.values()}
+    names = [f.spec.feature_name for f in sides[0]]
+    values = {n: missing_as_null(df, n) for n in names}
     wanted = [F.count(F.lit(1))]
-    for n in name.values():
+    for n in names:
         wanted += [F.count(values[n]), F.avg(values[n]), F.var_pop(values[n])]
-    row = df.agg(*wanted).first()
-    total = row[0]
-    known, mean, variance = {}, {}, {}
-    for i, n in enumerate(name.values()):
-        known[n], mean[n], variance[n] = row[1 + 3 * i], row[2 + 3 * i], row[3 + 3 * i]
-
-    imputed = [f for f in features if f.spec.imputer_enabled]
-    empty = [name[id(f)] for f in imputed if not known[name[id(f)]] and f.spec.imputer_strategy != "constant"]
-    if empty:
-        raise ValueError(f"columns without any value cannot be imputed from the data: {empty}")
-    by_median = [name[id(f)] for f in imputed if f.spec.imputer_strategy == "median"]
-    medians = exact_quantiles(df, {n: values[n] for n in by_median}, [0.5], known, max_rows) if by_median else {}
-    for f in imputed:
-        n = name[id(f)]
-        f.fill = {"mean": mean[n], "constant": f.spec.imputer_fill_value}.get(f.spec.imputer_strategy)
-        if f.spec.imputer_strategy == "median":
-            f.fill = medians[n][0]
-        f.fill = float(f.fill)
-
-    scaled = [f for f in features if f.spec.scaler_enabled and f.spec.scaler_type != "none"]
-    for f in scaled:
-        n = name[id(f)]
-        filled = total - known[n] if f.fill is not None else 0
-        if f.spec.scaler_type != "standard" or known[n] + filled == 0:
-            continue
-        old_mean, spread = mean[n] or 0.0, (variance[n] or 0.0) * known[n]
-        share = filled / (known[n] + filled)
-        gap = (f.fill - old_mean) if filled else 0.0
-        f.centre = old_mean + gap * share
-        f.scale = math.sqrt((spread + gap * gap * known[n] * share) / (known[n] + filled)) or 1.0
-
-    robust = [f for f in scaled if f.spec.scaler_type == "robust"]
-    if robust:
-        sizes = {name[id(f)]: total if f.fill is not None else known[name[id(f)]] for f in robust}
-        present = {name[id(f)]: f.imputed(df) for f in robust if sizes[name[id(f)]]}
-        quarters = exact_quantiles(df, present, QUARTERS, sizes, max_rows)
-        for f in robust:
-            if name[id(f)] in quarters:
-                low, f.centre, high = quarters[name[id(f)]]
-                f.scale = (high - low) or 1.0
-
-
-def value_counts(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    by = [] if fold is None else [fold]
+    rows = [tuple(r) for r in df.groupBy(*by).agg(*wanted).collect()]  # a row for each fold
+    parts = [[r[len(by) :] for r in rows if fold is None or r[0] != k] for k in range(len(sides))]
+
+    def inside(k: int, value: Column) -> Column:
+        return value if fold is None else F.when(F.col(fold) != k, value)
+
+    total, known, mean, variance = [], [], [], []
+    for own in parts:
+        size, found = _moments(own or [(0, *[0, None, None] * len(names))], len(names))
+        total.append(size)
+        for of, at in ((known, 0), (mean, 1), (variance, 2)):
+            of.append({n: f[at] for n, f in zip(names, found)})
+
+    for k, features in enumerate(sides):
+        imputed = [f for f in features if f.spec.imputer_enabled]
+        empty = [f.spec.feature_name for f in imputed if not known[k][f.spec.feature_name] and f.spec.imputer_strategy != "constant"]
+        if empty:
+            raise ValueError(f"columns without any value cannot be imputed from the data: {empty}")
+    by_median = [f.spec.feature_name for f in sides[0] if f.spec.imputer_enabled and f.spec.imputer_strategy == "median"]
+    pairs = [(k, n) for k in range(len(sides)) for n in by_median]
+    medians = _quantiles(df, {(k, n): inside(k, values[n]) for k, n in pairs}, [0.5], {(k, n): known[k][n] for k, n in pairs}, max_rows)
+    for k, features in enumerate(sides):
+        for f in features:
+            n = f.spec.feature_name
+            if f.spec.imputer_enabled:
+                f.fill = {"mean": mean[k][n], "constant": f.spec.imputer_fill_value}.get(f.spec.imputer_strategy)
+                if f.spec.imputer_strategy == "median":
+                    f.fill = medians[k, n][0]
+                f.fill = float(f.fill)
+            filled = total[k] - known[k][n] if f.fill is not None else 0
+            if not f.spec.scaler_enabled or f.spec.scaler_type != "standard" or known[k][n] + filled == 0:
+                continue
+            old_mean, spread = mean[k][n] or 0.0, (variance[k][n] or 0.0) * known[k][n]
+            share = filled / (known[k][n] + filled)
+            gap = (f.fill - old_mean) if filled else 0.0
+            f.centre = old_mean + gap * share
+            f.scale = math.sqrt((spread + gap * gap * known[k][n] * share) / (known[k][n] + filled)) or 1.0
+
+    robust = {(k, f.spec.feature_name): f for k, side in enumerate(sides) for f in side if f.spec.scaler_enabled and f.spec.scaler_type == "robust"}
+    sizes = {(k, n): total[k] if f.fill is not None else known[k][n] for (k, n), f in robust.items()}
+    present = {(k, n): inside(k, f.imputed(df)) for (k, n), f in robust.items() if sizes[k, n]}
+    for at, (low, centre, high) in _quantiles(df, present, QUARTERS, sizes, max_rows).items():
+        robust[at].centre, robust[at].scale = centre, (high - low) or 1.0
+
+
+def _quantiles(df: DataFrame, columns: dict, probabilities: Sequence[float], sizes: dict, max_rows: int) -> dict:
+    """``exact_quantiles`` of all sides' columns together, by (side, name)."""
+    if not columns:
+        return {}
+    found = exact_quantiles(df, {str(i): c for i, c in enumerate(columns.values())}, probabilities, {str(i): sizes[at] for i, at in enumerate(columns)}, max_rows)
+    return {at: found[str(i)] for i, at in enumerate(columns)}
+
+
+def value_counts(df: DataFrame, names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Rows (name, value, n) for several text columns, in one aggregation."""
     pairs = [F.struct(F.lit(n).alias("name"), F.col(f"`{n}`").cast("string").alias("value")) for n in names]
-    long = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.name", "p.value")
-    return long.groupBy("name", "value").agg(F.count(F.lit(1)).alias("n"))
+    long = df.select(*by, F.explode(F.array(*pairs)).alias("p")).select(*by, "p.name", "p.value")
+    return long.groupBy(*by, "name", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def most_frequent(counts: DataFrame) -> DataFrame:
+def most_frequent(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """The commonest value of each name; the smallest one among equals."""
     ranked = F.min(F.struct((-F.col("n")).alias("minus_n"), "value")).alias("top")
-    return counts.filter("value IS NOT NULL").groupBy("name").agg(ranked).select("name", "top.value")
+    return counts.filter("value IS NOT NULL").groupBy(*by, "name").agg(ranked).select(*by, "name", "top.value")
 
 
-def _fit_categorical(df: DataFrame, features: list[FittedFeature]) -> None:
+def _fit_categorical(df: DataFrame, sides: list[list[FittedFeature]], fold: str | None) -> None:
     """Fill values and categories from one count per value.
 
     The counts of narrow columns are few and all come back; columns with more values than
     one-hot encoding allows are reduced on the executors instead.
     """
-    if not features:
+    if not sides[0]:
         return
-    by_name = {f.spec.feature_name: f for f in features}
-    encoded = [n for n, f in by_name.items() if f.spec.encoder_enabled and f.spec.encoder_type != "none"]
+    by_name = [{f.spec.feature_name: f for f in side} for side in sides]
+    encoded = [n for n, f in by_name[0].items() if f.spec.encoder_enabled and f.spec.encoder_type != "none"]
     by_mode = []
-    for n, f in by_name.items():
+    for n, f in by_name[0].items():
         if f.spec.imputer_enabled and f.spec.imputer_strategy == "most_frequent":
             by_mode.append(n)
         elif f.spec.imputer_enabled:
-            f.fill = f.spec.imputer_fill_value
+            for side in by_name:
+                side[n].fill = f.spec.imputer_fill_value
 
     names = list(dict.fromkeys([*by_mode, *encoded]))
     if not names:
         return
-    counts = write_through(value_counts(df, names), "categories")
-    # A row for each column each; what is read in full comes from columns known to be narrow.
-    missing = {r["name"] for r in counts.filter("value IS NULL").select("name").collect()}
-    widths = {r["name"]: r["n"] for r in counts.filter("value IS NOT NULL").groupBy("name").agg(F.count(F.lit(1)).alias("n")).collect()}
-    for r in most_frequent(counts.filter(F.col("name").isin(by_mode))).collect() if by_mode else []:
-        by_name[r["name"]].fill = r["value"]
-    empty = [n for n in by_mode if by_name[n].fill is None]
+    counts = write_through(value_counts(df, names, [fold] if fold else []), "categories")
+    if fold:  # each count goes to the training sides it belongs to
+        others = F.filter(F.array(*map(F.lit, range(len(sides)))), lambda k: k != F.col(fold))
+        counts = counts.select(F.explode(others).alias("side"), "name", "value", "n")
+        counts = counts.groupBy("side", "name", "value").agg(F.sum("n").alias("n"))
+    else:
+        counts = counts.withColumn("side", F.lit(0))
+    # A row for each side and column each; what is read in full comes from columns known to be narrow.
+    known = counts.groupBy("side", "name").agg(F.count("value").alias("width"), F.max(F.col("value").isNull()).alias("missing")).collect()
+    missing = {(r["side"], r["name"]) for r in known if r["missing"]}
+    widths = {(r["side"], r["name"]): r["width"] for r in known}
+    for r in most_frequent(counts.filter(F.col("name").isin(by_mode)), ["side"]).collect() if by_mode else []:
+        by_name[r["side"]][r["name"]].fill = r["value"]
+    empty = [n for n in by_mode if any(side[n].fill is None for side in by_name)]
     if empty:
         raise ValueError(f"columns without any value cannot be imputed from the data: {empty}")
 
-    narrow = [n for n in encoded if widths.get(n, 0) <= MAX_CATEGORIES]
-    values: dict[str, list[str]] = {n: [] for n in narrow}
+    narrow = [n for n in encoded if all(widths.get((k, n), 0) <= MAX_CATEGORIES for k in range(len(sides)))]
+    values: dict[tuple[int, str], list[str]] = {}
     if narrow:
-        for r in counts.filter(F.col("name").isin(narrow) & F.col("value").isNotNull()).select("name", "value").collect():
-            values[r["name"]].append(r["value"])
-    for n in encoded:
-        f = by_name[n]
-        extra = [f.fill] if f.fill is not None and n in missing else []
-        if n in values:
-            f.categories = sorted({*values[n], *extra})
-            continue
-        wide = counts.filter((F.col("name") == n) & F.col("value").isNotNull()).select("value")
-        more = df.sparkSession.createDataFrame([(x,) for x in extra], "value string")
-        f.positions = _positions(wide.union(more).distinct())
+        for r in counts.filter(F.col("name").isin(narrow) & F.col("value").isNotNull()).select("side", "name", "value").collect():
+            values.setdefault((r["side"], r["name"]), []).append(r["value"])
+    for k, side in enumerate(by_name):
+        for n in encoded:
+            f = side[n]
+            extra = [f.fill] if f.fill is not None and (k, n) in missing else []
+            if n in narrow:
+                f.categories = sorted({*values.get((k, n), []), *extra})
+                continue
+            wide = counts.filter((F.col("side") == k) & (F.col("name") == n) & F.col("value").isNotNull()).select("value")
+            more = df.sparkSession.createDataFrame([(x,) for x in extra], "value string")
+            f.positions = _positions(wide.union(more).distinct())
 
 
 def _positions(categories: DataFrame) -> DataFrame:

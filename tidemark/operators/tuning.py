@@ -50,6 +50,20 @@ def _combination(grid: Mapping[str, Sequence], names: Sequence[str], number: int
     return {n: found[n] for n in names}
 
 
+def shared_fits(parameters: Sequence[Mapping[str, Any]]) -> list[list[tuple[int, int | None]]]:
+    """Candidates that differ only in their number of rounds: (candidate, rounds), most rounds first.
+
+    Boosting adds its rounds one after the other, so a fit with most rounds holds all of them.
+    """
+    groups: dict[str, list[tuple[int, int | None]]] = {}
+    for i, own in enumerate(parameters):
+        names = [n for n in own if n.removeprefix("classifier__").removeprefix("model__") == "n_estimators"]
+        rest = {n: v for n, v in own.items() if n not in names}
+        key = json.dumps([bool(names), rest], sort_keys=True, default=repr)
+        groups.setdefault(key, []).append((i, own[names[0]] if names else None))
+    return [sorted(g, key=lambda c: (-(c[1] or 0), c[0])) for g in groups.values()]
+
+
 def cv_results(scores: DataFrame, by: Sequence[str] = ("candidate",), score: str = "score") -> DataFrame:
     """Mean, population deviation and rank of every candidate's fold scores.
 
@@ -109,7 +123,8 @@ def search(
 
     The needed columns are written once with their fold; if ``df`` is ``stored``, a table that
     is cheap to read again, its rows are tagged while they are read instead. Preprocessing is
-    fitted once per fold and shared by the candidates. Fits run side by side from a few driver
+    fitted for all folds in one pass and shared by the candidates, and candidates that differ only in their
+    number of rounds share one fit, of which the first rounds are scored. Fits run side by side from a few driver
     threads; the rows stay on the executors and only the scores come back.
     """
     if not isinstance(spec, TuningSpec):
@@ -129,11 +144,18 @@ def search(
     scorers = {name: SCORERS[metric] for name, metric in spec.scorers().items()}
     metrics, size = sorted(set(scorers.values())), folded.count()
 
-    def run(task: tuple[int, int]) -> list[tuple]:
-        fold, candidate = task
+    def run(task: tuple[int, list[tuple[int, int | None]]]) -> list[tuple]:
+        fold, group = task
         train = folded.filter(F.col("_fold") != fold)
-        trial = pipeline.with_parameters(params[candidate])
+        trial = pipeline.with_parameters(params[group[0][0]])
         model = trial.fit(train, label, classes, prep=fitted[fold])
+        found = []
+        for candidate, rounds in group:
+            own = model if rounds in (None, group[0][1]) else model.first(rounds)
+            found += scores_of(own, candidate, fold)
+        return found
+
+    def scores_of(model: FittedClassifier, candidate: int, fold: int) -> list[tuple]:
         # One scoring pass gives the scores of the fold and of the rows the model has seen.
         rows = folded if spec.return_train_score else folded.filter(F.col("_fold") == fold)
         part = F.when(F.col("_fold") == fold, "test").otherwise("train").alias("part")
@@ -147,10 +169,9 @@ def search(
         return [(candidate, text, fold, p, n, found.get((p, m))) for p in parts for n, m in scorers.items()]
 
     folds = range(spec.n_splits)
+    fitted = pipeline.prep.fit_folds(folded, "_fold", spec.n_splits)
     with ThreadPoolExecutor(spec.parallelism) as pool:
-        fits = pool.map(lambda f: pipeline.prep.fit(folded.filter(F.col("_fold") != f)), folds)
-        fitted = dict(zip(folds, fits))
-        scores = [r for rows in pool.map(run, itertools.product(folds, range(len(params)))) for r in rows]
+        scores = [r for rows in pool.map(run, itertools.product(folds, shared_fits(params))) for r in rows]
 
     frame = df.sparkSession.createDataFrame(scores, FOLD_SCORES)
     tests = [r for r in scores if r[3] == "test" and r[4] == spec.refit_score]

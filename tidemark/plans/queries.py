@@ -130,21 +130,41 @@ counted AS (
   FROM documents JOIN labels USING (doc_id) WHERE text IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL)"""
 
 
-def document_samples(spark: SparkSession, sf: str, n_classes: int = 2) -> DataFrame:
-    """Labelled documents with eight measures of their text; bad, toxic and good ones for three classes."""
-    text, size = F.col("text"), F.greatest(F.length("text"), F.lit(1)).cast("double")
+def sample_measures(text: Column) -> list[Column]:
+    """Eight measures of a text."""
+    size = F.greatest(F.length(text), F.lit(1)).cast("double")
     shares = [(F.length(F.regexp_replace(text, f"[^{signs}]", "")) / size).alias(name) for name, signs in SIGNS.items()]
-    target = F.col("quality") if n_classes == 2 else F.when(F.col("quality") == 0, 0).otherwise(2 - F.col("toxic"))
-    labels = table(spark, sf, "labels").dropna(subset=["quality", "toxic"])
-    rows = table(spark, sf, "documents").filter(text.isNotNull()).join(labels, "doc_id")
-    return rows.select(
-        F.col("doc_id").alias("sample_index"),
+    return [
         F.length(text).cast("double").alias("feature_0"),
         F.size(F.split(text, "\n", -1)).cast("double").alias("feature_1"),
         *shares,
         F.size(F.split(text, " ", -1)).cast("double").alias("feature_7"),
-        target.alias("target"),
-    )
+    ]
+
+
+def sample_target(n_classes: int) -> Column:
+    return F.col("quality") if n_classes == 2 else F.when(F.col("quality") == 0, 0).otherwise(2 - F.col("toxic"))
+
+
+def document_samples(spark: SparkSession, sf: str, n_classes: int = 2) -> DataFrame:
+    """Labelled documents with eight measures of their text; bad, toxic and good ones for three classes."""
+    text = F.col("text")
+    labels = table(spark, sf, "labels").dropna(subset=["quality", "toxic"])
+    rows = table(spark, sf, "documents").filter(text.isNotNull()).join(labels, "doc_id")
+    return rows.select(F.col("doc_id").alias("sample_index"), *sample_measures(text), sample_target(n_classes).alias("target"))
+
+
+def stored_samples(spark: SparkSession, sf: str, n_classes: int = 2) -> DataFrame:
+    """``document_samples`` as narrow rows that are written once, so that no text is measured twice."""
+    return write_through(document_samples(spark, sf, n_classes), "samples")
+
+
+def measured_documents(spark: SparkSession, sf: str, n_classes: int = 2) -> DataFrame:
+    """All documents in the same form, written once; ``target`` is null where there is no label."""
+    labels = table(spark, sf, "labels").dropna(subset=["quality", "toxic"])
+    rows = table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id", "left")
+    target = F.when(F.col("quality").isNotNull(), sample_target(n_classes)).alias("target")
+    return write_through(rows.select(F.col("doc_id").alias("sample_index"), *sample_measures(F.coalesce("text", F.lit(""))), target), "samples")
 
 
 def sample_pipeline(n_features: int = 8, **hyperparameters) -> ClassifierPipeline:
@@ -1040,22 +1060,24 @@ def gbt_min_samples_split(spark, sf):
 
 @query()
 def gbt_proba(spark, sf):
-    rows = document_samples(spark, sf)
-    scored = sample_pipeline().fit(rows, "target").transform(rows)
+    """Fitted on the labelled documents, applied to all."""
+    rows = measured_documents(spark, sf)
+    scored = sample_pipeline().fit(rows.filter("target IS NOT NULL"), "target").transform(rows)
     return scored.select("sample_index", "target", *[F.col("probability")[i].alias(f"p{i}") for i in (0, 1)])
 
 
 @query()
 def gbt_multiclass(spark, sf):
-    rows = document_samples(spark, sf, 3)
-    scored = sample_pipeline().fit(rows, "target").transform(rows)
+    """Three classes in one model, fitted on the labelled documents, applied to all."""
+    rows = measured_documents(spark, sf, 3)
+    scored = sample_pipeline().fit(rows.filter("target IS NOT NULL"), "target").transform(rows)
     shares = [F.col("probability")[i].alias(f"p{i}") for i in range(3)]
     return scored.select("sample_index", "target", "prediction", *shares)
 
 
 @query()
 def feature_importance(spark, sf):
-    return sample_pipeline().fit(document_samples(spark, sf), "target").importance()
+    return sample_pipeline().fit(stored_samples(spark, sf), "target").importance()
 
 
 @query()
@@ -1078,7 +1100,7 @@ def grid_search(spark, sf):
         tuning_name="grid", param_grid={"classifier__n_estimators": [3, 6]}, n_splits=3, random_state=7,
         scoring=["accuracy", "roc_auc"],
     )
-    return tuning.search(spec, sample_pipeline(), document_samples(spark, sf), "target", "sample_index").cv_results()
+    return tuning.search(spec, sample_pipeline(), stored_samples(spark, sf), "target", "sample_index").cv_results()
 
 
 @query()
@@ -1087,7 +1109,7 @@ def random_search(spark, sf):
         tuning_name="random", n_iter=2, n_splits=2, random_state=7,
         param_distributions={"classifier__n_estimators": [2, 4, 6], "classifier__max_depth": [2, 3]},
     )
-    return tuning.search(spec, sample_pipeline(), document_samples(spark, sf), "target", "sample_index").cv_results()
+    return tuning.search(spec, sample_pipeline(), stored_samples(spark, sf), "target", "sample_index").cv_results()
 
 
 @query(f"""WITH r AS (
@@ -1122,9 +1144,10 @@ def cv_results(spark, sf):
 
 
 def calibrated(spark: SparkSession, sf: str, classes: int = 2, **settings) -> DataFrame:
-    rows = document_samples(spark, sf, classes)
+    """Fitted on the labelled documents, applied to all."""
+    rows = measured_documents(spark, sf, classes)
     spec = CalibrationSpec(calibration_name="curve", random_state=7, **settings)
-    fitted = CalibratedPipeline(sample_pipeline(), spec, "sample_index").fit(rows, "target")
+    fitted = CalibratedPipeline(sample_pipeline(), spec, "sample_index").fit(rows.filter("target IS NOT NULL"), "target")
     shares = [F.col("probability")[i].alias(f"p{i}") for i in range(classes)]
     return fitted.transform(rows).select("sample_index", "target", "prediction", *shares)
 
@@ -1194,14 +1217,28 @@ def calibrate_oof(spark, sf):
 # ---------------------------------------------------------------- workflow
 
 
+@query("""
+SELECT o_orderkey AS sample_index, CASE WHEN fresh THEN o_totalprice END AS "orders__feature_0",
+       CASE WHEN fresh THEN o_custkey END AS "orders__feature_1", CASE WHEN fresh THEN CAST(o_orderstatus = 'F' AS INTEGER) END AS target
+FROM (SELECT *, o_orderdate >= TIMESTAMP '1998-08-01' - INTERVAL 365 DAY AND o_orderdate <= TIMESTAMP '1998-08-01' AS fresh FROM orders)""")
+def workflow_rows(spark, sf):
+    """The workflow's rows from a feature store: older than a year, features have expired."""
+    rows = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("sample_index"), F.col("o_totalprice").alias("feature_0"), F.col("o_custkey").alias("feature_1"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("target"), F.col("o_orderdate").alias("ingested_at"),
+    )
+    spec = FeatureStoreSpec(enabled=True, feature_view_name="orders", use_full_feature_names=True, timestamp=datetime(1998, 8, 1))
+    return flow.feature_store_rows(rows, spec, "sample_index", "target")
+
+
 @query()
 def cross_validate(spark, sf):
-    return flow.cross_validate(sample_pipeline(), document_samples(spark, sf), "sample_index", "target", 3)
+    return flow.cross_validate(sample_pipeline(), stored_samples(spark, sf), "sample_index", "target", 3)
 
 
 @query()
 def holdout_validate(spark, sf):
-    rows = document_samples(spark, sf)
+    rows = stored_samples(spark, sf)
     _, found = flow.holdout_validate(sample_pipeline(), rows, "sample_index", "target", 0.25)
     numbers = [(k, float(v)) for k, v in found.items() if k != "validation_strategy"]
     return spark.createDataFrame(numbers, "metric string, value double")
@@ -1210,7 +1247,7 @@ def holdout_validate(spark, sf):
 @query()
 def workflow(spark, sf):
     """Rows from the feature store, a search, calibration by folds, and cross-validation."""
-    features = document_samples(spark, sf).withColumn("ingested_at", ntz("2024-01-01 00:00:00"))
+    features = stored_samples(spark, sf).withColumn("ingested_at", ntz("2024-01-01 00:00:00"))
     pipeline = sample_pipeline()
     result = flow.run_workflow(
         features,

@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import timedelta
 from typing import Any
 
 from pyspark.sql import DataFrame
@@ -49,8 +50,12 @@ def cross_validate(
     if not stored:
         folded = write_through(folded, "validation", "_cv")
 
+    # Preprocessing of all training sides comes from one pass; a calibrated pipeline has folds within them.
+    prep = pipeline.prep.fit_folds(folded, "_cv", folds) if isinstance(pipeline, ClassifierPipeline) else None
+
     def one(fold: int) -> tuple[int, float]:
-        fitted = pipeline.fit(folded.filter(F.col("_cv") != fold), label, classes)
+        known = {"prep": prep[fold]} if prep else {}
+        fitted = pipeline.fit(folded.filter(F.col("_cv") != fold), label, classes, **known)
         return fold, _accuracy_of(fitted, folded.filter(F.col("_cv") == fold), label)
 
     with ThreadPoolExecutor(parallelism) as pool:
@@ -138,14 +143,19 @@ def feature_store_rows(
     key: str,
     label: str,
     ingested: str = "ingested_at",
-    ttl=None,
 ) -> DataFrame:
-    """Training rows as of one moment: the given one, or just after the newest ingest."""
+    """Training rows as of one moment: the given one, or just after the newest ingest.
+
+    Features older than ``spec.ttl_days`` at that moment are null. With full names features are
+    called ``<view>__<feature>``; the label keeps its name.
+    """
     features = feature_columns(table, (key, label, ingested, "ingested_date"))
     if spec.n_features is not None:
         features = sorted(features, key=natural_key)[: spec.n_features]
     entities = entity_frame(table, key, spec.timestamp, ingested, spec.sample_indices)
-    return training_set(entities, table, [key], ingested, features, label, ttl=ttl)
+    naming = {"view": spec.feature_view_name, "full_names": spec.use_full_feature_names}
+    rows = training_set(entities, table, [key], ingested, features, label, ttl=timedelta(days=spec.ttl_days), **naming)
+    return rows.withColumnRenamed(f"{spec.feature_view_name}__{label}", label) if spec.use_full_feature_names else rows
 
 
 def run_workflow(

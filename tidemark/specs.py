@@ -318,11 +318,13 @@ class FeatureStoreSpec:
     use_full_feature_names: bool = False
     timestamp: datetime | None = None
     materialize_online: bool = False
+    ttl_days: int = 365
     sample_indices: Sequence[int] | None = None
 
     def __post_init__(self) -> None:
         for attribute in ("project_name", "dataset_name", "feature_view_name"):
             _trimmed(self, attribute)
+        _whole("ttl_days", self.ttl_days, 1)
         if self.n_features is not None:
             _whole("n_features", self.n_features, 1)
             if self.n_features > 1000:

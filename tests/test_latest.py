@@ -67,6 +67,62 @@ def test_compact_keeps_the_rows(spark, history):
     assert smaller.covered_until() == day(5)
 
 
+def test_folding_keeps_rows_and_bounds_runs(spark, history):
+    table, plain = new_table(spark), new_table(spark)
+    for n in range(9):
+        for t in (table, plain):
+            t.materialize_incremental(history, ["v"], day(n))
+        table.fold(2)
+        assert sorted(table.read().collect()) == sorted(plain.read().collect())
+        assert len(table.runs()) <= 5  # at most one of each level, but for the newest
+    assert len(plain.runs()) == 9 and table.covered_until() == plain.covered_until() == day(8)
+    assert max(table._level(o) for o, _ in table.runs()) == 3
+    table.fold(2)
+    assert sorted(table._folders()) == sorted(table.runs())  # what a fold stands for has gone
+
+
+def test_replayed_batch_after_a_fold(spark, history):
+    table = new_table(spark)
+    for n in (1, 3, 5):
+        table.materialize_incremental(history, ["v"], day(n))
+    before = sorted(table.read().collect())
+    late = latest_per_key(history.filter(F.col("ts") <= F.lit(day(1))), ["k"], "ts", ["ts", "made", "v"], created="made")
+    table.fold(3).write_batch(late, 0, day(1))  # the folded batch comes again
+    assert sorted(table.read().collect()) == before
+    assert sorted(table.fold(2).read().collect()) == before
+
+
+def test_fold_that_was_not_noted_changes_nothing(spark, history, monkeypatch):
+    table = new_table(spark)
+    for n in (1, 3):
+        table.materialize_incremental(history, ["v"], day(n))
+    before = sorted(table.read().collect())
+    write = table._write_run
+    monkeypatch.setattr(table, "_write_run", lambda *a: write(*a) or (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        table.fold(2)
+    assert sorted(table.read().collect()) == before
+    monkeypatch.undo()
+    assert sorted(table.fold(2).read().collect()) == before
+
+
+def test_lookup_of_few_keys_reaches_the_scan(spark, history):
+    table = new_table(spark).materialize(history, ["v"], day(0), day(9))
+    found = table.lookup(spark.createDataFrame([(1,)], "k int"), ["v"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    scan = next(x for x in plan.split("\n") if "PushedFilters" in x and "_bucket" in x)
+    assert "EqualTo(k,1)" in scan or "In(k, [1])" in scan
+    assert {r["k"]: r["v"] for r in found.collect()} == {1: 181.0}
+
+
+def test_stream_with_folds(spark, history):
+    arriving, table = new_folder(spark, "in"), new_table(spark)
+    history.repartition(5).write.parquet(arriving)
+    stream = spark.readStream.schema(history.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    stream_into(table, stream, ["v"], new_folder(spark, "check"), fold_every=2).awaitTermination()
+    assert values(table.fold(2).read()) == {0: 81.0, 1: 181.0, 2: 281.0} and len(table.runs()) <= 3
+
+
 def test_lookup(spark, history):
     table = new_table(spark)
     keys = spark.createDataFrame([(1,), (7,), (1,)], "k long")

@@ -584,6 +584,16 @@ def stream_materialize(spark, sf):
     return kept.read()
 
 
+@query(latest_sql("TRUE"))
+def stream_materialize_folded(spark, sf):
+    """A stream of eight batches whose runs are folded in place between batches."""
+    events, kept, arriving = table(spark, sf, "events"), latest_events(spark), new_folder(spark, "arriving")
+    events.repartition(8).write.parquet(arriving)
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    stream_into(kept, stream, LATEST, new_folder(spark, "stream"), fold_every=3).awaitTermination()
+    return kept.fold(2).read()
+
+
 @query("""
 SELECT c.c_custkey AS user_id, l.event_type, l.value FROM customer c LEFT JOIN (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn

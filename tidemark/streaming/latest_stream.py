@@ -17,12 +17,14 @@ def stream_into(
     checkpoint: str,
     trigger: dict | None = None,
     name: str = "stream",
+    fold_every: int | None = None,
 ) -> StreamingQuery:
     """Reduce every micro-batch to one row per key and add it as a delta of the table.
 
     The delta is named after the stream and the batch id, so a batch replayed after a failure
     replaces what it wrote before and the result is as if it ran once. No state is kept in
-    memory, and rows that arrive late lose by their event time when the table is read.
+    memory, and rows that arrive late lose by their event time when the table is read. With
+    ``fold_every`` the table's runs are folded after every so many batches.
     """
     order = list(dict.fromkeys([table.timestamp, *([table.created] if table.created else []), *table.tiebreak]))
     kept = list(dict.fromkeys([*order, *columns]))
@@ -30,6 +32,8 @@ def stream_into(
     def add(batch: DataFrame, batch_id: int) -> None:
         reduced = latest_per_key(batch, table.keys, table.timestamp, kept, table.created, table.tiebreak)
         table.write_batch(reduced, batch_id, origin=name)
+        if fold_every and batch_id % fold_every == fold_every - 1:
+            table.fold()
 
     writer = stream.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

@@ -6,10 +6,11 @@ import unicodedata
 import zlib
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from tidemark.llm import token_files
-from tidemark.llm.packing import best_fit, fractional, knapsack, pack, plan
+from tidemark.llm.packing import best_fit, first_prices, fractional, knapsack, pack, plan, rounded, solve
 from tidemark.llm.tokens import TOKENIZER, Encoder
 
 plain = Tokenizer.from_file(TOKENIZER)
@@ -157,3 +158,61 @@ def test_best_fit_of_counts():
         rooms.append((64 if fit is None else fit) - length)
     found = best_fit({n: lengths.count(n) for n in set(lengths)}, 64)
     assert sorted(64 - sum(n * k for n, k in c) for c, s in found.items() for _ in range(s)) == sorted(rooms)
+
+
+HARD = {
+    "halves": ({1026: 70_000, 700: 70_000, 350: 70_000, 148: 70_000}, 2048),
+    "thirds": ({501: 700, 342: 700, 171: 700, 72: 700}, 1000),
+    "mixed": ({51: 6000, 27: 6000, 26: 6000, 23: 12_000}, 100),
+}
+
+
+def all_configurations(lengths, capacity):
+    if not lengths:
+        return [()]
+    first, rest = lengths[0], lengths[1:]
+    return [((first, k), *c) if k else c for k in range(capacity // first + 1) for c in all_configurations(rest, capacity - k * first)]
+
+
+@pytest.mark.parametrize("name", HARD)
+def test_program_has_a_small_gap(name):
+    counts, capacity = HARD[name]
+    found = solve(counts, capacity)
+    assert 0 <= found.gap <= 0.01
+    whole = rounded(found.x, counts, capacity)
+    assert sum(whole.values()) <= min(1.01 * found.dual + len(counts), sum(best_fit(counts, capacity).values()))
+    served = {n: sum(dict(c).get(n, 0) * s for c, s in whole.items()) for n in counts}
+    assert served == counts
+
+
+def test_bound_holds_for_every_configuration():
+    """Prices are checked against all configurations, shares against what they serve."""
+    rng = np.random.default_rng(8)
+    for _ in range(8):
+        lengths = sorted(rng.choice(np.arange(12, 60), 5, replace=False).tolist())
+        counts = {n: int(rng.integers(1, 400)) for n in lengths}
+        demand = np.array([counts[n] for n in lengths], float)
+        every = all_configurations(lengths, 100)
+        price = dict(zip(lengths, first_prices(np.array(lengths), demand, 100)))
+        assert max(sum(price[n] * k for n, k in c) for c in every) <= 1 + 1e-9
+        found = solve(counts, 100)
+        assert found.dual <= found.primal + 1e-6
+        served = {n: sum(dict(c).get(n, 0) * s for c, s in found.x.items()) for n in lengths}
+        assert all(served[n] <= counts[n] + 1e-6 for n in lengths)
+        assert sum(rounded(found.x, counts, 100).values()) <= sum(best_fit(counts, 100).values())
+        assert sum(rounded(found.x, counts, 100).values()) <= 1.02 * found.dual + len(lengths)
+
+
+def test_halves_of_many_lengths_are_bounded():
+    rng = np.random.default_rng(0)
+    lengths, times = np.unique(rng.integers(700, 2049, 100_000), return_counts=True)
+    assert solve(dict(zip(lengths.tolist(), times.tolist())), 2048).gap <= 0.01
+
+
+def test_small_tables_use_the_program():
+    rng = np.random.default_rng(2)
+    lengths, times = np.unique(np.clip(rng.lognormal(5.5, 1, 1_000).astype(int), 1, 2048), return_counts=True)
+    counts = dict(zip(lengths.tolist(), times.tolist()))
+    found = solve(counts, 2048)
+    placed = sum(k * int(s + 1e-6) for c, s in found.x.items() for _, k in c)
+    assert placed >= 0.95 * sum(counts.values()) and found.gap <= 0.01

@@ -1,6 +1,6 @@
 """Sources, sinks, checks and column choice."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 import synth
@@ -131,3 +131,29 @@ def test_shared_folder_comes_from_the_session(spark, df):
     kept = write_through(df, "kept", "kind")
     assert kept.columns == df.columns and kept.count() == 30
     assert kept.inputFiles() and all(root in path for path in kept.inputFiles())
+
+
+def test_profile_from_footers(spark, tmp_path):
+    rows = [(i, i % 5 if i % 7 else None, float(i), f"t{i}", i % 2 == 0, date(2024, 1, 1 + i % 9)) for i in range(50)]
+    df = spark.createDataFrame(rows, "a long, b int, c double, d string, e boolean, f date")
+    df.repartition(3).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    before = {n: spark.conf.get(n, None) for n in tables._FOOTERS}
+    found = sorted(map(tuple, tables.profile_table(spark, str(tmp_path / "t")).collect()), key=str)
+    assert found == sorted(map(tuple, tables.column_profile(stored).collect()), key=str)
+    assert {n: spark.conf.get(n, None) for n in tables._FOOTERS} == before
+    with tables._settings(spark, tables._FOOTERS):
+        plan = tables.footer_extremes(spark, str(tmp_path / "t"), ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), COUNT(a), MIN(a), MAX(a), COUNT(b), MIN(b), MAX(b)]" in plan
+
+
+def test_profile_of_tables_that_have_no_footers_for_it(spark, tmp_path):
+    df = spark.createDataFrame([(1.5, "x"), (None, None)], "c double, d string")
+    df.write.parquet(str(tmp_path / "t"))
+    assert sorted(map(tuple, tables.profile_table(spark, str(tmp_path / "t")).collect())) == sorted(map(tuple, tables.column_profile(df).collect()))
+    nothing = str(tmp_path / "n")
+    spark.createDataFrame([(None, 1), (None, 2)], "a date, b int").write.parquet(nothing)
+    assert sorted(map(tuple, tables.profile_table(spark, nothing).collect())) == sorted(map(tuple, tables.column_profile(spark.read.parquet(nothing)).collect()))
+    empty = str(tmp_path / "e")
+    spark.createDataFrame([], "a long, c double").write.parquet(empty)
+    assert [tuple(r) for r in tables.profile_table(spark, empty).collect()] == [tuple(r) for r in tables.column_profile(spark.read.parquet(empty)).collect()]

@@ -245,6 +245,19 @@ def column_profile(spark, sf):
     return tables.column_profile(balances(spark, sf))
 
 
+@query(" UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS num_records, count(*) - count({c}) AS null_count,
+  {f"CAST(min({c}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"} AS min_number, {f"CAST(max({c}) AS DOUBLE)" if number else "CAST(NULL AS DOUBLE)"} AS max_number,
+  {f"CAST(min({c}) AS VARCHAR)" if text else "CAST(NULL AS VARCHAR)"} AS min_text, {f"CAST(max({c}) AS VARCHAR)" if text else "CAST(NULL AS VARCHAR)"} AS max_text FROM lineitem"""
+    for c, number, text in (
+        ("l_orderkey", True, True), ("l_partkey", True, True), ("l_suppkey", True, True), ("l_linenumber", True, True),
+        ("l_quantity", True, False), ("l_extendedprice", True, False), ("l_discount", True, False), ("l_tax", True, False),
+        ("l_returnflag", False, True), ("l_linestatus", False, True), ("l_shipdate", False, True))))
+def table_profile(spark, sf):
+    """Keys are profiled from the files' footers, other columns by a scan."""
+    return tables.profile_table(spark, f"{sf}/lineitem.parquet")
+
+
 @query("""WITH wide AS (SELECT vec_id + 9007199254740993 AS big, embedding, label FROM embeddings)
 SELECT 'big' AS "column", count(*) AS num_records, count(*) - count(big) AS null_count,
        CAST(min(big) AS DOUBLE) AS min_number, CAST(max(big) AS DOUBLE) AS max_number,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -168,6 +170,65 @@ def column_profile(df: DataFrame) -> DataFrame:
     return df.agg(*wanted).select(F.inline(F.array(*rows)))
 
 
+#: Kinds whose counts and extremes stand in the footers of Parquet files (for floating point numbers NaN is missing there).
+IN_FOOTERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DateType, T.BooleanType)
+_FOOTERS = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+
+
+@contextmanager
+def _settings(spark: SparkSession, values: Mapping[str, str]) -> Iterator[None]:
+    """Change session settings for a while."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def footer_extremes(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """One row of counts and extremes whose aggregate is pushed into the footers of Parquet files.
+
+    It must be planned and run under the settings in ``_FOOTERS``.
+    """
+    df = spark.read.parquet(path)
+    wanted = [f(F.col(f"`{c}`")).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("k", F.count), ("a", F.min), ("z", F.max))]
+    return df.agg(F.count(F.lit(1)).alias("n"), *wanted)
+
+
+def profile_table(spark: SparkSession, path: str) -> DataFrame:
+    """``column_profile`` of a stored Parquet table that reads as little of it as it can.
+
+    Whole numbers, dates and booleans are profiled from the files' footers, other columns by one
+    scan of these only. Tables whose footers do not have what is needed are scanned.
+    """
+    df = read_table(spark, path)
+    plain = [f.name for f in df.schema.fields if isinstance(f.dataType, IN_FOOTERS) and "." not in f.name]
+    row = None
+    if plain:
+        try:
+            with _settings(spark, _FOOTERS):
+                row = footer_extremes(spark, path, plain).first()  # one row for the whole table
+        except (PySparkException, Py4JJavaError) as error:  # a column without a value has no extremes there
+            if "aggregatePushdown" not in str(error):
+                raise
+    if row is None or row["n"] is None:
+        return column_profile(df)
+    rows = []
+    for i, c in enumerate(plain):
+        low, high = row[f"a{i}"], row[f"z{i}"]
+        number = is_numeric(df, c)
+        text = [None if v is None else str(v).lower() if isinstance(v, bool) else str(v) for v in (low, high)]
+        numbers = [float(v) if number and v is not None else None for v in (low, high)]
+        rows.append((c, row["n"], row["n"] - row[f"k{i}"], *numbers, *text))
+    kinds = "`column` string, num_records long, null_count long, min_number double, max_number double, min_text string, max_text string"
+    known = spark.createDataFrame(rows, kinds)
+    rest = [f"`{c}`" for c in df.columns if c not in plain]
+    return known.unionByName(column_profile(df.select(*rest))) if rest else known
+
+
 def load_labelled(
     df: DataFrame, key: str = "sample_index", label: str = "target", drop: Sequence[str] = BOOKKEEPING
 ) -> DataFrame:

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import free, stored, table
 
-#: A line goes if more than this share of its host's pages have it, and at least so many pages.
-RATIO, LEAST_PAGES = 0.1, 5
+#: A line goes if more than this share of its host's different pages have it, and at least so many of them.
+RATIO, LEAST_PAGES = 0.01, 3
 
 
 def _key(line: Column) -> Column:
@@ -18,14 +18,17 @@ def _key(line: Column) -> Column:
 def boilerplate(docs: DataFrame, host: Column, text: Column, ratio: float = RATIO, least_pages: int = LEAST_PAGES) -> DataFrame:
     """Per host with such lines: ``__host`` and ``__lines``, the md5 sums of its boilerplate lines.
 
-    A page counts a line once, so a plain count of a page's different lines is the number of
-    pages; it is summed before rows are shuffled, which keeps hot hosts and lines small. A host
-    has at most (mean number of lines of a page / ``ratio``) boilerplate lines.
+    Pages of a host with equal texts count once, so what copies repeat is no boilerplate for that.
+    A page counts a line once. Pages are told apart by a hash of their text; lines are first
+    reduced to different (host, line, page) rows, dealt by all three, then counted before rows are
+    shuffled, which keeps hot hosts and lines small. A host has at most (mean number of lines of a
+    page / ``ratio``) boilerplate lines.
     """
-    pages = docs.select(host.alias("__host")).groupBy("__host").agg(F.count(F.lit(1)).alias("__pages"))
+    page = F.xxhash64(text).alias("__page")
+    pages = docs.filter(text.isNotNull()).select(host.alias("__host"), page).distinct().groupBy("__host").agg(F.count(F.lit(1)).alias("__pages"))
     lines = F.array_distinct(F.filter(F.split(text, "\n", -1), lambda line: line != ""))
-    each = docs.select(host.alias("__host"), F.explode(lines).alias("__line")).select("__host", _key(F.col("__line")).alias("__key"))
-    counts = each.groupBy("__host", "__key").agg(F.count(F.lit(1)).alias("__with"))
+    each = docs.select(host.alias("__host"), page, F.explode(lines).alias("__line")).select("__host", "__page", _key(F.col("__line")).alias("__key"))
+    counts = each.distinct().groupBy("__host", "__key").agg(F.count(F.lit(1)).alias("__with"))
     often = counts.filter(F.col("__with") >= least_pages).join(pages, "__host").filter(F.col("__with") > ratio * F.col("__pages"))
     return often.groupBy("__host").agg(F.sort_array(F.collect_set("__key")).alias("__lines"))
 
@@ -41,7 +44,7 @@ def drop_boilerplate(
     """The rows with boilerplate lines taken out of their text, and ``n_lines`` and ``n_dropped``.
 
     All columns and rows stay; columns of those two names (``counts`` renames them) are replaced. Each row is a page, also
-    if its id is repeated. Null hosts form one site. Lines are compared as they are; empty lines
+    if its id is repeated; pages of a host with equal texts count as one. Null hosts form one site. Lines are compared as they are; empty lines
     are never dropped. A null text stays null and has no lines, an empty one has one (empty) line.
     A text of boilerplate only becomes empty.
     """
@@ -64,16 +67,15 @@ def drop_boilerplate(
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without the lines that more than a tenth of their source's documents have."""
+    """All documents without the lines that more than a hundredth of their source's different texts have."""
     return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_dropped", "text")
 
 
 ORACLE = f"""
-WITH pages AS (SELECT coalesce(source, '') AS host, count(*) AS n FROM documents GROUP BY 1),
+WITH texts AS (SELECT DISTINCT coalesce(source, '') AS host, text FROM documents WHERE text IS NOT NULL),
+pages AS (SELECT host, count(*) AS n FROM texts GROUP BY 1),
 each_line AS (
-  SELECT coalesce(source, '') AS host,
-         unnest(list_distinct(list_filter(string_split(text, chr(10)), lambda x: x <> ''))) AS line
-  FROM documents WHERE text IS NOT NULL),
+  SELECT host, unnest(list_distinct(list_filter(string_split(text, chr(10)), lambda x: x <> ''))) AS line FROM texts),
 often AS (
   SELECT c.host, list(c.line) AS lines
   FROM (SELECT host, line, count(*) AS n FROM each_line GROUP BY 1, 2) c JOIN pages p ON p.host = c.host

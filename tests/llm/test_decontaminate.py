@@ -59,3 +59,42 @@ def test_empty(spark, make_docs):
     items = spark.createDataFrame([(1, "some words of a test item that is long enough to be looked for")], "item_id long, text string")
     assert dc.contaminated(make_docs([]), items).collect() == []
     assert dc.decontaminate(make_docs([(1, "a")]), items.limit(0)).count() == 1
+
+
+def plain_overlap(doc, item):
+    """Longest accepted stretch over all shifts, word by word: (first word, words, equal words)."""
+    size, best = min(dc.WINDOW, len(item)), (0, 0, 0)
+    needed = 11 if size == dc.WINDOW else size
+    for shift in range(-len(item) + 1, len(doc)):
+        pairs = {k: doc[shift + k] == item[k] for k in range(len(item)) if 0 <= shift + k < len(doc)}
+        starts = [k for k in pairs if k + size - 1 in pairs and sum(pairs[k + j] for j in range(size)) >= needed]
+        runs = []
+        for k in starts:
+            if runs and k - runs[-1][-1] <= size:
+                runs[-1].append(k)
+            else:
+                runs.append([k])
+        for run in runs:
+            equal = [k for k in range(run[0], run[-1] + size) if pairs[k]]
+            best = max(best, (equal[-1] - equal[0] + 1, len(equal), -(shift + equal[0])))
+    return (-best[2], best[0], best[1]) if best[0] else None
+
+
+def test_equals_brute_force(spark, make_docs, prose):
+    """Every text against every item at every shift; items share a template, so many hits must be refused."""
+    rng = np.random.default_rng(3)
+    pool, template = prose(1, 400).split(), prose(2, 9).split()
+    items = [(i, template + pool[20 * i : 20 * i + 4 + i]) for i in range(16)] + [(20, pool[:5]), (21, pool[100:112]), (22, pool[50:90])]
+    docs = []
+    for k in range(60):
+        words = [str(w) for w in rng.choice(pool[300:], 20)]
+        own = list(items[k % len(items)][1])
+        for at in rng.choice(len(own), min(len(own), k % 4), replace=False):
+            own[at] = "other"
+        cut = int(rng.integers(0, 4))
+        docs.append((k, words[:k % 7] + own[cut:] + words[7:] + (template if k % 3 else own)))
+    found = dc.contaminated(make_docs([(i, " ".join(w)) for i, w in docs]), spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string"))
+    keys = {r.text_key: r.doc_id for r in make_docs([(i, " ".join(w)) for i, w in docs]).selectExpr("xxhash64(text) AS text_key", "doc_id").collect()}
+    wanted = {(i, j): o for i, w in docs for j, v in items if (o := plain_overlap(w, v))}
+    assert 40 < len(wanted) < len(docs) * len(items) / 2
+    assert {(keys[r.text_key], r.item_id): (r.first_word, r.n_words, r.n_equal) for r in found.collect()} == wanted

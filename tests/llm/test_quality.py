@@ -4,7 +4,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidemark.llm.quality import STATISTICS, grow, keep_good, op9_quality, score_quality, statistics
+from tidemark.llm.quality import STATISTICS, document_statistics, grow, keep_good, op9_quality, remainder, score_quality, statistics, training_rows
 
 
 def test_statistics_by_hand():
@@ -56,3 +56,33 @@ def test_edges(spark, make_docs, prose):
     assert set(range(40)) <= ids and not ids & set(range(40, 80))
     assert score_quality(make_docs([]), labels).collect() == []
     assert {r.score for r in score_quality(make_docs(rows), labels.limit(0)).collect()} == {0.5}
+
+
+def recursive(trees, x):
+    """Score of one row, tree by tree and node by node."""
+
+    def leaf(node):
+        if trees.left[node] == node:
+            return trees.value[node]
+        return leaf(trees.left[node] if x[trees.feature[node]] <= trees.threshold[node] else trees.right[node])
+
+    return 1 / (1 + np.exp(-(trees.base + sum(leaf(root) for root in trees.roots))))
+
+
+def test_flattened_walk_equals_recursive_walk():
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(300, 5)).astype(np.float32)
+    trees = grow(x, (x[:, 0] * x[:, 1] + x[:, 2] > 0).astype(float), trees=20, depth=4)
+    more = np.vstack([x, rng.normal(size=(200, 5)).astype(np.float32), np.zeros((1, 5), np.float32)])
+    assert np.allclose(trees.probability(more), [recursive(trees, r) for r in more])
+
+
+def test_query_equals_one_row_at_a_time(spark):
+    """Statistics of each text alone, and the recursive walk, give the query's scores."""
+    sf = "/root/testdata/sf0.001"
+    docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+    measured = document_statistics(docs.select("doc_id", "text"), "text", "doc_id")
+    trees = grow(*training_rows(measured, labels, "quality", remainder("doc_id", 5) != 0))
+    wanted = {r.doc_id: recursive(trees, statistics(pa.array([r.text], pa.string()))[0]) for r in docs.select("doc_id", "text").collect()}
+    found = {r.doc_id: r.score for r in op9_quality(spark, sf).collect()}
+    assert found.keys() == wanted.keys() and all(np.isclose(found[i], wanted[i]) for i in found)

@@ -6,11 +6,11 @@ customer no known balance), the same in both engines.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from datetime import datetime, timedelta
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import asof, calibrate, checks, latest, metrics, prep, select, splits, tuning
@@ -1163,6 +1163,97 @@ def cv_results(spark, sf):
     return rounded(tuning.cv_results(wide.select(F.inline(pairs))), "mean_score", "std_score")
 
 
+# One-split trees are the best cut of one column, so SQL can follow searches and validation fold by fold.
+
+FINISHED = "orders AS (SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS o_orderstatus FROM main.orders),\n"
+
+
+def stump_scores_sql(folded: str, sides: Sequence[int], leaves: Sequence[int] = (1,)) -> str:
+    """``scores``: for each held-out part and least leaf size, the accuracy of a stump on both sides."""
+    mean = "CASE WHEN CASE WHEN j = 0 THEN f0 ELSE f1 END <= v THEN sl / nl ELSE (s - sl) / (n - nl) END"
+    return f"""WITH folded AS ({folded}),
+parts AS (
+  SELECT f.fold AS part, 2 * f.o_orderstatus - 1 AS y, year(o.o_orderdate)::DOUBLE AS f0,
+         CAST(substr(o.o_orderpriority, 1, 1) AS DOUBLE) AS f1
+  FROM folded f JOIN main.orders o USING (o_orderkey)),
+sides AS (SELECT unnest({list(sides)}) AS side),
+candidates AS (SELECT unnest({list(range(len(leaves)))}) AS candidate, unnest({list(leaves)}) AS leaf),
+long AS (
+  SELECT side, j, v, CAST(count(*) AS DOUBLE) AS n, CAST(sum(y) AS DOUBLE) AS s
+  FROM (SELECT side, y, unnest([0, 1]) AS j, unnest([f0, f1]) AS v FROM parts, sides WHERE part <> side) GROUP BY ALL),
+cuts AS (
+  SELECT side, j, v, sum(n) OVER up AS nl, sum(s) OVER up AS sl, sum(n) OVER whole AS n, sum(s) OVER whole AS s
+  FROM long WINDOW up AS (PARTITION BY side, j ORDER BY v), whole AS (PARTITION BY side, j)),
+best AS (
+  SELECT * FROM cuts, candidates WHERE nl >= leaf AND n - nl >= leaf
+  QUALIFY row_number() OVER (
+    PARTITION BY side, candidate ORDER BY round(sl * sl / nl + (s - sl) * (s - sl) / (n - nl), 6) DESC, j, v) = 1),
+scores AS (
+  SELECT candidate, side AS fold, part = side AS test,
+         avg(CASE WHEN ({mean} > 0) = (y > 0) THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END) AS score
+  FROM parts, best GROUP BY ALL)
+"""
+
+
+def finished_orders(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "orders").select(
+        "o_orderkey", F.year("o_orderdate").cast("double").alias("f0"), F.substring("o_orderpriority", 1, 1).cast("double").alias("f1"),
+        (F.col("o_orderstatus") == "F").cast("int").alias("finished"),
+    )
+
+
+def stump_pipeline() -> ClassifierPipeline:
+    spec = ClassifierSpec(model_name="stump", hyperparameters={"n_estimators": 1, "max_depth": 1}, random_state=7)
+    return ClassifierPipeline(numeric_features(["f0", "f1"]), spec)
+
+
+@query(stump_scores_sql(spread_sql(HASH_ORDER, FINISHED), range(5), (1, 400)) + """,
+means AS (
+  SELECT candidate, count(*) FILTER (WHERE test) AS n_folds, avg(score) FILTER (WHERE test) AS mean_score,
+         stddev_pop(score) FILTER (WHERE test) AS std_score, avg(score) FILTER (WHERE NOT test) AS mean_train_score
+  FROM scores GROUP BY candidate)
+SELECT CAST(candidate AS INTEGER) AS candidate,
+       CASE candidate WHEN 0 THEN '{"classifier__min_samples_leaf": 1}' ELSE '{"classifier__min_samples_leaf": 400}' END AS params,
+       n_folds, round(mean_score, 6) AS mean_score, round(std_score, 6) AS std_score,
+       CAST(rank() OVER (ORDER BY round(mean_score, 9) DESC) AS INTEGER) AS rank, round(mean_train_score, 6) AS mean_train_score
+FROM means""")
+def grid_search_stumps(spark, sf):
+    """Two candidates on five shuffled folds, with the scores of both sides."""
+    spec = GridSearchSpec(tuning_name="stumps", param_grid={"classifier__min_samples_leaf": [1, 400]}, n_splits=5)
+    found = tuning.search(spec, stump_pipeline(), finished_orders(spark, sf), "finished", "o_orderkey").cv_results()
+    return rounded(found, "mean_score", "std_score", "mean_train_score")
+
+
+@query(stump_scores_sql(spread_sql("o_orderkey", FINISHED), range(5)) + """
+SELECT CAST(fold AS INTEGER) AS fold, round(score, 6) AS score FROM scores WHERE test""")
+def cross_validate_stumps(spark, sf):
+    """The accuracy of a stump on each unshuffled fold."""
+    scores = flow.cross_validate(stump_pipeline(), finished_orders(spark, sf), "o_orderkey", "finished", 5)
+    return rounded(scores, "score")
+
+
+@query(stump_scores_sql(
+    "SELECT o_orderkey, o_orderstatus, CASE WHEN is_test THEN 1 ELSE 0 END AS fold FROM ("
+    + ORACLES["train_test_split"].replace("WITH t AS", f"WITH {FINISHED}t AS") + ")", [1]) + """
+SELECT 'test_score' AS metric, round(score, 6) AS value FROM scores WHERE test
+UNION ALL SELECT 'train_size', CAST(count(*) FILTER (WHERE part = 0) AS DOUBLE) FROM parts
+UNION ALL SELECT 'test_size', CAST(count(*) FILTER (WHERE part = 1) AS DOUBLE) FROM parts""")
+def holdout_validate_stumps(spark, sf):
+    """The accuracy of a stump on a stratified fifth of the orders, and the sizes of both sides."""
+    _, found = flow.holdout_validate(stump_pipeline(), finished_orders(spark, sf), "o_orderkey", "finished", 0.2)
+    numbers = [(k, round(float(v), 6)) for k, v in found.items() if k != "validation_strategy"]
+    return spark.createDataFrame(numbers, "metric string, value double")
+
+
+@query(STUMP_SQL[: STUMP_SQL.index(",\nscored AS")] + """
+SELECT feature, CASE WHEN x.f = best.f THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS importance
+FROM (VALUES ('d', 'l_discount'), ('t', 'l_tax')) x(f, feature), best""")
+def stump_importance(spark, sf):
+    """All importance is that of the one column that is cut."""
+    spec = ClassifierSpec(model_name="stump", hyperparameters={"n_estimators": 1, "max_depth": 1}, random_state=7)
+    return ClassifierPipeline(numeric_features(["l_discount", "l_tax"]), spec).fit(returned_items(spark, sf), "returned").importance()
+
+
 # ---------------------------------------------------------------- calibration
 
 

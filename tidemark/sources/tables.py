@@ -41,7 +41,7 @@ class FeatureSource:
             stem = stem.rsplit(".", 1)[0] if "." in stem[1:] else stem
             object.__setattr__(self, "name", f"{stem}_source")
         if self.description is None:
-            object.__setattr__(self, "description", f"File source from {self.path}")
+            object.__setattr__(self, "description", f"{self.format} table at {self.path}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         return read_table(spark, self.path, self.format)

@@ -300,7 +300,7 @@ class FeatureView:
     def __post_init__(self) -> None:
         _trimmed(self, "view_name")
         if self.description is None:
-            text = f"FeatureView '{self.view_name}' with {len(self.features)} fields"
+            text = f"{len(self.features)} features of view {self.view_name}"
             object.__setattr__(self, "description", text)
 
 

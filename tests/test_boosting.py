@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import boosting, model, tuning
+from tidemark.operators import boosting, model, prep, tuning
 from tidemark.operators.model import ClassifierPipeline
 from tidemark.specs import ClassifierSpec, GridSearchSpec, categorical_features, numeric_features
 
@@ -158,3 +158,44 @@ def test_folds_are_fitted_in_one_pass(spark, monkeypatch):
             assert f.categories == g.categories
     with pytest.raises(ValueError, match="without any value"):
         pipeline.fit_folds(df.withColumn("m", F.when(F.col("fold") == 1, F.col("m"))), "fold", 4)
+
+
+def one_hot_model(df, limit, monkeypatch, classes, **settings):
+    monkeypatch.setattr(prep, "MAX_CATEGORIES", limit)
+    spec = ClassifierSpec(model_name="trees", hyperparameters={"n_estimators": 2, "max_depth": 2, "min_samples_split": 3, **settings}, random_state=1)
+    specs = [*categorical_features(["kind"]), *numeric_features(["a"])]
+    return ClassifierPipeline(specs, spec).fit(df, "y")
+
+
+@pytest.mark.parametrize("classes", [2, 3])
+def test_many_categories_split_as_one_hot_columns_do(spark, monkeypatch, classes):
+    rng = np.random.default_rng(3)
+    kind, a = rng.integers(0, 12, size=400), rng.integers(0, 7, size=400) / 2.0
+    y = (kind % classes + (a > 2) + (rng.random(400) < 0.1)) % classes
+    rows = [(i, None if i % 50 == 0 else f"k{k:02d}", float(v), int(t)) for i, (k, v, t) in enumerate(zip(kind, a, y))]
+    df = spark.createDataFrame(rows, "id long, kind string, a double, y int").repartition(3)
+    narrow, wide = (one_hot_model(df, limit, monkeypatch, classes) for limit in (1_000, 1))
+    assert narrow.trees.places == {} and wide.trees.places == {0: 11}
+    asked = df.unionByName(df.limit(5).withColumn("kind", F.lit("never seen")).withColumn("id", -1 - F.col("id")))
+    found = [{r["id"]: r["probability"] for r in m.transform(asked).collect()} for m in (narrow, wide)]
+    assert wide.transform(asked).columns == [*asked.columns, "probability", "prediction"]
+    assert set(found[0]) == set(found[1]) and len(found[0]) == 405
+    assert max(abs(np.array(found[0][i]) - np.array(found[1][i])).max() for i in found[0]) < 1e-9
+    shares = {r.feature: r.importance for r in wide.importance().collect()}
+    single = {r.feature: r.importance for r in narrow.importance().collect()}
+    assert shares["a"] == pytest.approx(single["a"]) and shares["kind_position"] == pytest.approx(1 - single["a"])
+
+
+def test_bins_beyond_a_byte(spark, monkeypatch):
+    df = spark.range(700).select("id", F.format_string("k%03d", F.col("id") % 350).alias("kind"), (F.col("id") % 5).cast("double").alias("a"), (F.col("id") % 350 == 300).cast("int").alias("y"))
+    model = one_hot_model(df, 1, monkeypatch, 2, n_estimators=3, learning_rate=1.0)
+    found = {r["id"]: r["prediction"] for r in model.transform(df).collect()}
+    assert sorted(i for i, p in found.items() if p) == [300, 650]
+
+
+def test_checks_before_training_allow_positions(spark, monkeypatch):
+    monkeypatch.setattr(prep, "MAX_CATEGORIES", 1)
+    df = spark.createDataFrame([(1.0, "a", 0), (2.0, "b", 1), (3.0, "c", 1)], "a double, kind string, y int")
+    spec = ClassifierSpec(model_name="trees", hyperparameters={"n_estimators": 1})
+    pipeline = ClassifierPipeline([*categorical_features(["kind"]), *numeric_features(["a"])], spec)
+    assert model.check_rows(df, pipeline, "y").output_names() == ["kind_position", "a"]

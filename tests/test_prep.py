@@ -151,3 +151,42 @@ def test_errors(df):
         FeaturePipeline(numeric_features(["n"])).fit(df.withColumn("n", F.lit(None).cast("double")))
     with pytest.raises(ValueError, match="without any value"):
         FeaturePipeline(categorical_features(["n"])).fit(df.withColumn("n", F.lit(None).cast("string")))
+
+
+def dense(frame, name="features"):
+    return [list(r[name].toArray()) for r in frame.orderBy("id").collect()]
+
+
+@pytest.mark.parametrize("limit", [1, 1_000])
+def test_vectors_mean_the_same_for_few_and_many_categories(df, monkeypatch, limit):
+    monkeypatch.setattr(prep, "MAX_CATEGORIES", 1_000)
+    specs = [*categorical_features(["kind"]), *numeric_features(["x"], imputer_enabled=False, scaler_type="none")]
+    wanted = [[r.kind_b, r.kind_c, r.x] for r in FeaturePipeline(specs).fit_transform(df).orderBy("id").collect()]
+    monkeypatch.setattr(prep, "MAX_CATEGORIES", limit)
+    fitted = FeaturePipeline(specs).fit(df)
+    got = fitted.vectors(df)
+    assert got.columns == ["id", "x", "kind", "features"]
+    assert np.array(dense(got)) == pytest.approx(np.array([[NAN if v is None else v for v in w] for w in wanted]), nan_ok=True)
+    assert sorted(map(tuple, fitted.slots().collect())) == [(0, "kind_b"), (1, "kind_c"), (2, "x")]
+    unseen = df.withColumn("kind", F.lit("never seen"))
+    assert [v[:2] for v in dense(fitted.vectors(unseen))] == [[0.0, 0.0]] * 8
+    assert fitted.vectors(df.limit(0)).collect() == []
+    with pytest.raises(ValueError, match="already"):
+        fitted.vectors(got)
+
+
+def test_vectors_of_a_column_with_one_category(df, monkeypatch):
+    monkeypatch.setattr(prep, "MAX_CATEGORIES", 0)
+    specs = [*categorical_features(["kind"]), *numeric_features(["x"], scaler_type="none")]
+    same = df.withColumn("kind", F.lit("only"))
+    fitted = FeaturePipeline(specs).fit(same)
+    assert [len(v) for v in dense(fitted.vectors(same))] == [1] * 8
+    assert [tuple(r) for r in fitted.slots().collect()] == [(0, "x")]
+
+
+def test_vectors_stay_sparse(spark):
+    rows = spark.range(3_000).select("id", F.format_string("k%05d", "id").alias("kind"))
+    fitted = FeaturePipeline(categorical_features(["kind"])).fit(rows)
+    found = {r["id"]: r["features"] for r in fitted.vectors(rows).collect()}
+    assert {v.size for v in found.values()} == {2_999}
+    assert [list(found[i].indices) for i in (0, 1, 2_999)] == [[], [0], [2_998]]

@@ -6,12 +6,16 @@ tasks count rows, residuals and weights by (tree, node, feature, bin), the count
 best cut of each node comes from its sums. The driver sees a row for each node. Rows stay where
 they are written, binned; their scores are brought up to date every ``REFRESH`` rounds, so work is
 linear in the rounds and a lost executor repeats at most those since.
+
+A feature may be a category's place instead of a number. Its cuts then part one category from all
+others, as cuts of one-hot columns do, but a row holds one number whatever the number of categories;
+only a node's sums grow with it (24 bytes a category).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from typing import Any
 
 import numpy as np
@@ -63,22 +67,28 @@ class Tree:
 
 
 class _Binned:
-    def __init__(self, bins: np.ndarray, tree: Tree) -> None:
-        self.bins, self.rows, self.cut = bins, len(bins), np.array(tree.cut)
+    """Bins above the node's cut; for categories, the bin that is the cut."""
+
+    def __init__(self, bins: np.ndarray, tree: Tree, one: np.ndarray) -> None:
+        self.bins, self.rows, self.cut, self.one = bins, len(bins), np.array(tree.cut), one
 
     def __call__(self, rows, features, nodes) -> np.ndarray:
-        return self.bins[rows, features] > self.cut[nodes]
+        bins, cut = self.bins[rows, features], self.cut[nodes]
+        return np.where(self.one[features], bins == cut, bins > cut)
 
 
 class _Raw:
-    """Values that are missing lie above every cut."""
+    """Numbers that are missing lie above every cut; missing places are no category."""
 
-    def __init__(self, x: np.ndarray, tree: Tree, edges: list[np.ndarray]) -> None:
+    def __init__(self, x: np.ndarray, tree: Tree, edges: list[np.ndarray], places: Mapping[int, int]) -> None:
         self.x, self.rows = x, len(x)
-        self.cut = np.array([edges[f][c] if f >= 0 else 0.0 for f, c in zip(tree.feature, tree.cut)])
+        self.one = np.isin(np.arange(len(edges)), list(places))
+        # The bin of a place is one more than the place.
+        self.cut = np.array([0.0 if f < 0 else c - 1 if f in places else edges[f][c] for f, c in zip(tree.feature, tree.cut)])
 
     def __call__(self, rows, features, nodes) -> np.ndarray:
-        return ~(self.x[rows, features] <= self.cut[nodes])
+        x, cut = self.x[rows, features], self.cut[nodes]
+        return np.where(self.one[features], x == cut, ~(x <= cut))
 
 
 def shares(raw: np.ndarray) -> np.ndarray:
@@ -92,7 +102,10 @@ def shares(raw: np.ndarray) -> np.ndarray:
 
 @dataclass
 class JointTrees:
-    """Trees of all rounds (one for each class, or one for two classes) and the scores they start from."""
+    """Trees of all rounds (one for each class, or one for two classes) and the scores they start from.
+
+    ``places`` has the number of categories of each feature that is a place.
+    """
 
     spec: ClassifierSpec
     features: list[str]
@@ -101,6 +114,7 @@ class JointTrees:
     edges: list[np.ndarray]
     start: list[float]
     rounds: list[list[Tree]]
+    places: dict[int, int] = field(default_factory=dict)
 
     def labels(self) -> Column:
         """The classes as an array of the label's type."""
@@ -110,7 +124,7 @@ class JointTrees:
         raw = np.tile(np.array(self.start), (len(x), 1))
         for trees in self.rounds:
             for k, tree in enumerate(trees):
-                raw[:, k] += np.array(tree.value)[tree.walk(_Raw(x, tree, self.edges))]
+                raw[:, k] += np.array(tree.value)[tree.walk(_Raw(x, tree, self.edges, self.places))]
         return shares(raw)
 
     def score(self, df: DataFrame, vector: Column, probability: str, prediction: str) -> DataFrame:
@@ -128,7 +142,7 @@ class JointTrees:
 
     def first(self, rounds: int) -> JointTrees:
         """The model as it was after so many rounds."""
-        return JointTrees(self.spec, self.features, self.classes, self.label_type, self.edges, self.start, self.rounds[:rounds])
+        return replace(self, rounds=self.rounds[:rounds])
 
     def importance(self) -> DataFrame:
         """Rows (feature, importance): shares of the gain, averaged over trees that split."""
@@ -141,22 +155,26 @@ class JointTrees:
         return SparkSession.active().createDataFrame(rows, "feature string, importance double")
 
 
-def bin_edges(rows: DataFrame, width: int, max_bins: int) -> list[np.ndarray]:
+def bin_edges(rows: DataFrame, width: int, max_bins: int, places: Mapping[int, int] = {}) -> list[np.ndarray]:
     """Cuts of each feature: midpoints between its values, or quantiles where it has more than ``max_bins``.
 
     A task gives up on a feature at its first value too many, so no set of values outgrows the bins.
+    Places need no cuts.
     """
+    numbers = [j for j in range(width) if j not in places]
+    if not numbers:
+        return [np.zeros(0)] * width
 
     def values(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: list = [np.zeros(0)] * width
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
-            for j in range(width):
+            for j in numbers:
                 if seen[j] is not None:
                     found = np.union1d(seen[j], x[:, j][~np.isnan(x[:, j])])
                     seen[j] = found if len(found) <= max_bins else None
-        js = [j for j in range(width) for _ in ([None] if seen[j] is None else seen[j])]
-        vs = [v for j in range(width) for v in ([None] if seen[j] is None else seen[j].tolist())]
+        js = [j for j in numbers for _ in ([None] if seen[j] is None else seen[j])]
+        vs = [v for j in numbers for v in ([None] if seen[j] is None else seen[j].tolist())]
         yield pa.RecordBatch.from_arrays([pa.array(js, pa.int32()), pa.array(vs, pa.float64())], ["j", "v"])
 
     found = rows.select("x").mapInArrow(values, "j int, v double").distinct()
@@ -177,14 +195,23 @@ def bin_edges(rows: DataFrame, width: int, max_bins: int) -> list[np.ndarray]:
     return [np.zeros(0) if e is None else e for e in edges]
 
 
-def _write_binned(rows: DataFrame, edges: list[np.ndarray]) -> DataFrame:
-    width, kind = len(edges), np.uint8 if max((len(e) for e in edges), default=0) < 256 else np.uint16
+def _sizes(edges: list[np.ndarray], places: Mapping[int, int]) -> np.ndarray:
+    """Number of bins of each feature; bin 0 of a place is that of no category."""
+    return np.array([places.get(j, len(e)) + 1 for j, e in enumerate(edges)], np.int64)
+
+
+def _write_binned(rows: DataFrame, edges: list[np.ndarray], places: Mapping[int, int]) -> DataFrame:
+    width, kind = len(edges), np.min_scalar_type(int(_sizes(edges, places).max(initial=1)) - 1)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = batch.column("x").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, width)
             bins = np.empty(x.shape, kind)
             for j, e in enumerate(edges):
+                if j in places:
+                    known = (x[:, j] >= 0) & (x[:, j] < places[j])
+                    bins[:, j] = np.where(known, x[:, j], -1) + 1
+                    continue
                 # Values at a cut lie below it; missing ones above all.
                 bins[:, j] = np.where(np.isnan(x[:, j]), len(e), np.searchsorted(e, x[:, j], side="left"))
             stored = pa.array([b.tobytes() for b in bins], pa.binary())
@@ -197,8 +224,9 @@ def _write_binned(rows: DataFrame, edges: list[np.ndarray]) -> DataFrame:
 class _State:
     """What a task needs to bring a batch of binned rows up to date."""
 
-    def __init__(self, width: int, wide: bool, start: Sequence[float], since: list[list[Tree]]) -> None:
-        self.width, self.kind, self.start, self.since = width, np.uint16 if wide else np.uint8, np.array(start), since
+    def __init__(self, sizes: np.ndarray, one: np.ndarray, start: Sequence[float], since: list[list[Tree]]) -> None:
+        self.width, self.sizes, self.one, self.start, self.since = len(sizes), sizes, one, np.array(start), since
+        self.kind = np.min_scalar_type(int(sizes.max(initial=1)) - 1)
 
     def read(self, batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
         """Bins and scores of a batch."""
@@ -208,7 +236,7 @@ class _State:
         raw = np.array([self.start if r is None else np.frombuffer(r) for r in stored]).reshape(n, len(self.start))
         for trees in self.since:
             for k, tree in enumerate(trees):
-                raw[:, k] += np.array(tree.value)[tree.walk(_Binned(bins, tree))]
+                raw[:, k] += np.array(tree.value)[tree.walk(_Binned(bins, tree, self.one))]
         return bins, raw
 
 
@@ -230,20 +258,22 @@ def _drawn(rows: np.ndarray, round_: int, seed: int, share: float) -> np.ndarray
     return (x ^ (x >> np.uint64(31))) < np.uint64(int(share * ((1 << 64) - 1)))
 
 
-PARTIAL = "tree int, node int, feature int, n array<double>, s array<double>, w array<double>"
+PARTIAL = "tree int, node int, feature int, bin int, n double, s double, w double"
 BEST = "tree int, node int, n double, s double, w double, feature int, cut int, gain double, n_left double, s_left double, w_left double"
 
 
-def _level(table: DataFrame, state: _State, trees: list[Tree], nodes: list[tuple[int, int]], bins: int, draw, leaf_rows: int) -> list:
+def _level(table: DataFrame, state: _State, trees: list[Tree], nodes: list[tuple[int, int]], draw, leaf_rows: int) -> list:
     """The best cut of each open node (tree, node): one row each."""
-    width = state.width
+    sizes, one, width = state.sizes, state.one, state.width
+    base = np.cumsum(sizes) - sizes
+    slots = int(sizes.sum())
     place = {pair: i for i, pair in enumerate(nodes)}
     at = [np.full(len(t.feature), -1, np.int64) for t in trees]
     for (k, node), i in place.items():
         at[k][node] = i
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros((3, len(nodes) * width * bins))
+        sums = np.zeros((3, len(nodes) * slots))
         for batch in batches:
             binned, raw = state.read(batch)
             if draw is not None:
@@ -253,42 +283,50 @@ def _level(table: DataFrame, state: _State, trees: list[Tree], nodes: list[tuple
                 y = batch.column("y").to_numpy()
             r, w = _residuals(raw, y)
             for k, tree in enumerate(trees):
-                own = at[k][tree.walk(_Binned(binned, tree))]
+                own = at[k][tree.walk(_Binned(binned, tree, one))]
                 inside = np.flatnonzero(own >= 0)
-                index = ((own[inside, None] * width + np.arange(width)) * bins + binned[inside]).ravel()
+                index = (own[inside, None] * slots + base + binned[inside]).ravel()
                 for of, values in zip(sums, (None, r[inside, k], w[inside, k])):
-                    of += np.bincount(index, None if values is None else np.repeat(values, width), minlength=len(of))
-        n, s, w = (x.reshape(len(nodes) * width, bins) for x in sums)
-        used = np.flatnonzero(n.any(axis=1))
-        pair = [nodes[i // width] for i in used.tolist()]
-        columns = [pa.array([p[0] for p in pair], pa.int32()), pa.array([p[1] for p in pair], pa.int32()), pa.array(used % width, pa.int32())]
-        yield pa.RecordBatch.from_arrays([*columns, *(pa.array(list(x[used]), pa.list_(pa.float64())) for x in (n, s, w))], ["tree", "node", "feature", "n", "s", "w"])
+                    np.add.at(of, index, 1.0 if values is None else np.repeat(values, width))
+        used = np.flatnonzero(sums[0])
+        pair = np.array(nodes, np.int32).reshape(-1, 2)[used // slots]
+        feature = np.searchsorted(base, used % slots, side="right") - 1
+        bin_ = used % slots - base[feature]
+        columns = [pa.array(c.astype(np.int32)) for c in (pair[:, 0], pair[:, 1], feature, bin_)]
+        yield pa.RecordBatch.from_arrays([*columns, *(pa.array(x[used]) for x in sums)], ["tree", "node", "feature", "bin", *"nsw"])
 
     def best(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        n, s, w = (np.zeros((width, bins)) for _ in range(3))
-        for of, name in ((n, "n"), (s, "s"), (w, "w")):
-            of[group["feature"], group["bin"]] = group[name]
-        total = [x[0].sum() for x in (n, s, w)]
-        nl, sl, wl = (np.cumsum(x, axis=1)[:, :-1] for x in (n, s, w))
-        nr, sr = total[0] - nl, total[1] - sl
+        own = base[group["feature"]] + group["bin"].to_numpy()
+        sums = np.zeros((3, slots))
+        for of, name in zip(sums, "nsw"):
+            of[own] = group[name]
+        total = sums[:, : sizes[0]].sum(axis=1)
+        low = np.empty_like(sums)
+        for j in range(width):
+            inside = slice(base[j], base[j] + sizes[j])
+            low[:, inside] = total[:, None] - sums[:, inside] if one[j] else np.cumsum(sums[:, inside], axis=1)
+        able = np.ones(slots, bool)
+        able[np.where(one, base, base + sizes - 1)] = False  # no category, and cuts above all values
+        (nl, sl, _), (nr, sr, _) = low, total[:, None] - low
         with np.errstate(divide="ignore", invalid="ignore"):
             gain = nl * nr / total[0] * (sl / nl - sr / nr) ** 2
-        gain = np.where((nl >= max(1, leaf_rows)) & (nr >= max(1, leaf_rows)), gain, -1.0)
+        gain = np.where(able & (nl >= max(1, leaf_rows)) & (nr >= max(1, leaf_rows)), gain, -1.0)
         row = [key[0], key[1], *total, -1, 0, 0.0, 0.0, 0.0, 0.0]
         if gain.size and (top := gain.max()) > 1e-12:
-            at_ = int(np.flatnonzero((gain >= top * (1 - TIE)).ravel())[0])
-            j, b = divmod(at_, gain.shape[1])
-            row[5:] = j, b, float(gain[j, b]), float(nl[j, b]), float(sl[j, b]), float(wl[j, b])
+            at_ = int(np.flatnonzero(gain >= top * (1 - TIE))[0])
+            j = int(np.searchsorted(base, at_, side="right")) - 1
+            row[5:] = j, at_ - int(base[j]), float(gain[at_]), *low[:, at_].tolist()
         return pd.DataFrame([row], columns=[c.split()[0] for c in BEST.split(", ")])
 
-    partial = table.mapInArrow(count, PARTIAL)
-    long = partial.select("tree", "node", "feature", F.posexplode(F.arrays_zip("n", "s", "w")).alias("bin", "c")).filter("c.n > 0")
-    summed = long.groupBy("tree", "node", "feature", "bin").agg(*[F.sum(f"c.{c}").alias(c) for c in "nsw"])
+    summed = table.mapInArrow(count, PARTIAL).groupBy("tree", "node", "feature", "bin").agg(*[F.sum(c).alias(c) for c in "nsw"])
     return summed.groupBy("tree", "node").applyInPandas(best, BEST).collect()  # a row for each open node
 
 
-def fit_joint(df: DataFrame, vector: Column, index: Column, label_type: DataType, features: Sequence[str], spec: ClassifierSpec, classes: list, settings: Mapping[str, Any]) -> JointTrees:
-    """Fit all classes at once; ``index`` is the place of a row's class, ``settings`` the classifier's."""
+def fit_joint(df: DataFrame, vector: Column, index: Column, label_type: DataType, features: Sequence[str], spec: ClassifierSpec, classes: list, settings: Mapping[str, Any], places: Mapping[int, int] = {}) -> JointTrees:
+    """Fit all classes at once; ``index`` is the place of a row's class, ``settings`` the classifier's.
+
+    ``places`` names the features that are categories' places (NaN: none), with the number of places.
+    """
     width, outputs = len(features), 1 if len(classes) == 2 else len(classes)
     rate, depth, rounds = settings.get("learning_rate", 0.1), settings.get("max_depth", 3), settings.get("n_estimators", 100)
     share, seed = settings.get("subsample", 1.0), settings.get("random_state", spec.random_state) or 0
@@ -302,13 +340,12 @@ def fit_joint(df: DataFrame, vector: Column, index: Column, label_type: DataType
     logs = np.log(np.maximum(prior, np.finfo(float).eps))
     start = [float(logs[1] - logs[0])] if outputs == 1 else (logs - logs.mean()).tolist()
     split_rows, leaf_rows = settings.get("min_samples_split", 2), settings.get("min_samples_leaf", 1)
-    edges = bin_edges(rows, width, settings.get("max_bins", MAX_BINS))
-    bins = max((len(e) for e in edges), default=0) + 1
-    table, since, done = _write_binned(rows, edges), [], []
-    wide = bins > 256
-    block = max(1, HISTOGRAM_BYTES // (24 * width * bins))
+    edges = bin_edges(rows, width, settings.get("max_bins", MAX_BINS), places)
+    table, since, done = _write_binned(rows, edges, places), [], []
+    sizes, one = _sizes(edges, places), np.isin(np.arange(width), list(places))
+    block = max(1, HISTOGRAM_BYTES // (24 * int(sizes.sum())))
     for number in range(rounds):
-        state = _State(width, wide, start, since)
+        state = _State(sizes, one, start, since)
         draw = None if share >= 1 else lambda r, number=number: _drawn(r, number, seed, share)
         trees = [Tree() for _ in range(outputs)]
         open_ = [(k, 0) for k in range(outputs)]
@@ -316,7 +353,7 @@ def fit_joint(df: DataFrame, vector: Column, index: Column, label_type: DataType
         for level in range(depth):
             found = []
             for i in range(0, len(open_), block):
-                found += _level(table, state, trees, open_[i : i + block], bins, draw, leaf_rows)
+                found += _level(table, state, trees, open_[i : i + block], draw, leaf_rows)
             open_ = []
             for f in sorted(found, key=lambda f: (f.tree, f.node)):
                 sums[f.tree, f.node] = (f.n, f.s, f.w)
@@ -338,8 +375,8 @@ def fit_joint(df: DataFrame, vector: Column, index: Column, label_type: DataType
         done.append(trees)
         since = [*since, trees]
         if len(since) == REFRESH and number + 1 < rounds:
-            table, since = _refresh(table, _State(width, wide, start, since)), []
-    return JointTrees(spec, list(features), classes, label_type, edges, start, done)
+            table, since = _refresh(table, _State(sizes, one, start, since)), []
+    return JointTrees(spec, list(features), classes, label_type, edges, start, done, dict(places))
 
 
 def _refresh(table: DataFrame, state: _State) -> DataFrame:

@@ -98,17 +98,20 @@ class BoostedTrees:
 
 
 def fit_trees(
-    df: DataFrame, vector: Column, label: str, features: Sequence[str], spec: ClassifierSpec, classes: list
+    df: DataFrame, vector: Column, label: str, features: Sequence[str], spec: ClassifierSpec, classes: list, places: Mapping[int, int] = {}
 ) -> BoostedTrees | JointTrees:
-    """Two classes go to Spark's tree learner; more, or a ``min_samples_split``, to the joint one."""
+    """Two classes go to Spark's tree learner; more, a ``min_samples_split`` or ``places`` to the joint one.
+
+    ``places`` has the number of categories of each feature that is a category's place.
+    """
     if len(classes) < 2:
         raise ValueError("at least two classes are needed")
     shared_root(df.sparkSession)  # the learner cuts its lineage there
     index = F.array_position(F.array(*[F.lit(c) for c in classes]), F.col(label)) - 1
     kind = df.schema[label].dataType
-    if len(classes) > 2 or spec.hyperparameters.get("min_samples_split", 2) > 2:
+    if places or len(classes) > 2 or spec.hyperparameters.get("min_samples_split", 2) > 2:
         check_known(spec.hyperparameters)
-        return fit_joint(df, vector, index, kind, features, spec, classes, spec.hyperparameters)
+        return fit_joint(df, vector, index, kind, features, spec, classes, spec.hyperparameters, places)
     rows = df.select(vector.alias("features"), index.cast("double").alias("label"))
     trees = GBTClassifier(checkpointInterval=10, **tree_parameters(spec.hyperparameters, spec.random_state))
     return BoostedTrees(spec, list(features), classes, kind, trees.fit(rows))
@@ -134,7 +137,9 @@ class FittedClassifier:
         self, df: DataFrame, probability: str = "probability", prediction: str = "prediction"
     ) -> DataFrame:
         """All columns of the frame, with the class probabilities and the predicted class."""
-        return self.trees.score(df, self.vector(df), probability, prediction)
+        placed = self.prep.placed(df)
+        scored = self.trees.score(placed, self.vector(placed), probability, prediction)
+        return scored.drop(*[n for f in self.prep.wide() for n in f.output_names()])
 
     def predict(self, df: DataFrame) -> DataFrame:
         """``transform`` after checking that the frame has rows and every feature."""
@@ -175,7 +180,8 @@ def evaluate_scored(
 
 
 def _matrix(prep: FittedFeatures, passthrough: Sequence[str], df: DataFrame) -> Column:
-    made = [c for f in prep.features for c in f.columns(df)]
+    """All features of a frame with the positions of wide encoders; a position that is missing is NaN."""
+    made = [F.coalesce(c, F.lit(float("nan"))) if f.positions is not None else c for f in prep.features for c in f.columns(df)]
     return one_vector([*made, *[missing_as_null(df, c) for c in passthrough]])
 
 
@@ -221,8 +227,11 @@ class ClassifierPipeline:
         prep = prep or self.prep.fit(df)
         classes = classes or class_list(df, label)
         names = [*prep.output_names(), *self.passthrough]
+        wide = {n: f.width for f in prep.wide() for n in f.output_names()}
+        df = prep.placed(df)
         vector = _matrix(prep, self.passthrough, df)
-        trees = fit_trees(df, vector, label, names, self.model_spec, classes)
+        places = [{i: wide[n] for i, n in enumerate(names) if n in wide}] if wide else []
+        trees = fit_trees(df, vector, label, names, self.model_spec, classes, *places)
         return FittedClassifier(prep, self.passthrough, trees, label)
 
 
@@ -231,5 +240,6 @@ def check_rows(df: DataFrame, pipeline: ClassifierPipeline, label: str) -> Fitte
     numeric = [s.feature_name for s in pipeline.prep.specs if s.enabled and hasattr(s, "scaler_type")]
     check_training_frame(df, [*[c for c in numeric if c in df.columns], *pipeline.passthrough], label)
     prep = pipeline.prep.fit(df)
-    require_finite(prep.transform(df), [*prep.output_names(), *pipeline.passthrough])
+    placed = {n for f in prep.wide() for n in f.output_names()}  # null for the first category
+    require_finite(prep.transform(df), [*[n for n in prep.output_names() if n not in placed], *pipeline.passthrough])
     return prep

@@ -10,9 +10,11 @@ import math
 import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import missing_as_null
@@ -36,6 +38,8 @@ class FittedFeature:
     categories: list[str] = field(default_factory=list)
     #: For encoders with more than MAX_CATEGORIES categories: rows (value, position).
     positions: DataFrame | None = None
+    #: How many places ``positions`` has: categories but the first.
+    width: int = 0
 
     def imputed(self, df: DataFrame) -> Column:
         value = missing_as_null(df, self.spec.feature_name)
@@ -78,16 +82,66 @@ class FittedFeatures:
             raise ValueError(f"columns not in the frame: {missing}")
         done = {f.spec.feature_name for f in self.features}
         kept = [F.col(f"`{c}`") for c in df.columns if c not in done]
-        for f in self.features:
-            if f.positions is not None:
-                name = f.spec.feature_name
-                places = f.positions.select(F.col("value").alias(f"_{name}_value"), F.col("position").alias(f"{name}_position"))
-                df = df.join(places, f.imputed(df).cast("string") == F.col(f"`_{name}_value`"), "left")
+        df = self.placed(df)
         return df.select(*[c for f in self.features for c in f.columns(df)], *kept)
 
+    def wide(self) -> list[FittedFeature]:
+        """The features whose encoding is kept as a position."""
+        return [f for f in self.features if f.positions is not None]
+
+    def placed(self, df: DataFrame) -> DataFrame:
+        """The frame with the position columns of wide encoders."""
+        for f in self.wide():
+            name = f.spec.feature_name
+            places = f.positions.select(F.col("value").alias(f"_{name}_value"), F.col("position").alias(f"{name}_position"))
+            df = df.join(places, f.imputed(df).cast("string") == F.col(f"`_{name}_value`"), "left").drop(f"_{name}_value")
+        return df
+
     def output_names(self) -> list[str]:
         return [n for f in self.features for n in f.output_names()]
 
+    def vectors(self, df: DataFrame, output: str = "features") -> DataFrame:
+        """All columns of the frame, and the transformed features as one sparse vector.
+
+        A slot for each number and each category but the first, in the order of ``slots``, however
+        many categories a column has; a category that fitting did not see is all zeros. Missing
+        numbers become NaN. The vector is made by the JVM's encoder and assembler.
+        """
+        if output in df.columns:
+            raise ValueError(f"the frame has a column {output!r} already")
+        made, parts = self.placed(df), []
+        for i, f in enumerate(self.features):
+            own = f.columns(made)
+            if f.positions is None:
+                names = [f"_part{i}_{j}" for j in range(len(own))]
+                made = made.withColumns({n: c.cast("double") for n, c in zip(names, own)})
+                parts += names
+            elif f.width:
+                # Missing and unknown categories take a place behind all others, which is then dropped.
+                place = F.coalesce(own[0], F.lit(f.width)).cast("double")
+                known = {"ml_attr": {"type": "nominal", "num_vals": f.width}}
+                made = made.withColumn(f"_place{i}", place.alias(f"_place{i}", metadata=known))
+                encoder = OneHotEncoder(inputCol=f"_place{i}", outputCol=f"_part{i}", handleInvalid="keep", dropLast=True)
+                made = encoder.fit(made).transform(made)
+                parts.append(f"_part{i}")
+        joined = VectorAssembler(inputCols=parts, outputCol=output, handleInvalid="keep").transform(made)
+        plain = F.col(output).alias(output, metadata={})  # a name for each slot would be as long as the dictionary
+        return joined.select(*[F.col(f"`{c}`") for c in df.columns], plain)
+
+    def slots(self) -> DataFrame:
+        """Rows (slot, name): what each place of ``vectors`` stands for."""
+        spark, found, at = SparkSession.active(), [], 0
+        for f in self.features:
+            if f.positions is None:
+                names = f.output_names()
+                found.append(spark.createDataFrame([(at + i, n) for i, n in enumerate(names)], "slot long, name string"))
+                at += len(names)
+            else:
+                name = F.concat(F.lit(f"{f.spec.feature_name}_"), F.col("value").cast("string"))
+                found.append(f.positions.filter("position IS NOT NULL").select((F.lit(at) + F.col("position")).cast("long").alias("slot"), name.alias("name")))
+                at += f.width
+        return reduce(DataFrame.unionByName, found)
+
 
 class FeaturePipeline:
     """Preprocessing by a list of feature specs, bound to columns by name."""
@@ -285,6 +339,7 @@ def _fit_categorical(df: DataFrame, sides: list[list[FittedFeature]], fold: str
             wide = counts.filter((F.col("side") == k) & (F.col("name") == n) & F.col("value").isNotNull()).select("value")
             more = df.sparkSession.createDataFrame([(x,) for x in extra], "value string")
             f.positions = _positions(wide.union(more).distinct())
+            f.width = f.positions.filter("position IS NOT NULL").count()
 
 
 def _positions(categories: DataFrame) -> DataFrame:

@@ -724,6 +724,68 @@ def one_hot_wide(spark, sf):
     return prep.FeaturePipeline(specs).fit_transform(df)
 
 
+def coded_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders with a number, a category of few values and one with a value for each row."""
+    return table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice",
+        F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderpriority")).alias("priority"),
+        F.md5(F.col("o_orderkey").cast("string").cast("binary")).alias("code"),
+    )
+
+
+@query("""WITH kinds AS (
+  SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS priority,
+         md5(CAST(o_orderkey AS VARCHAR)) AS code FROM orders),
+filled AS (SELECT * REPLACE (coalesce(priority, '0-NONE') AS priority) FROM kinds),
+named AS (
+  SELECT o_orderkey, 'o_totalprice' AS name, o_totalprice AS value FROM filled WHERE o_totalprice <> 0
+  UNION ALL SELECT o_orderkey, 'code_' || code, 1.0 FROM filled WHERE code > (SELECT min(code) FROM filled)
+  UNION ALL SELECT o_orderkey, 'priority_' || priority, 1.0 FROM filled WHERE priority > (SELECT min(priority) FROM filled))
+SELECT o_orderkey, name, CAST(value AS DOUBLE) AS value,
+       (SELECT count(DISTINCT code) - 1 + count(DISTINCT priority) FROM filled) AS slots FROM named""")
+def one_hot_vector(spark, sf):
+    """One sparse vector for a number, few categories and very many; its slots by their names."""
+    specs = [
+        *categorical_features(["code"]),
+        *numeric_features(["o_totalprice"], **PLAIN),
+        *categorical_features(["priority"], imputer_strategy="constant", imputer_fill_value="0-NONE"),
+    ]
+    df = coded_orders(spark, sf)
+    fitted = prep.FeaturePipeline(specs).fit(df)
+    # A vector's JSON lists its size, places and values without spreading them out.
+    parts = F.from_json(F.to_json(F.struct("features")), "features struct<type: int, size: int, indices: array<int>, values: array<double>>")["features"]
+    sparse = fitted.vectors(df).select("o_orderkey", parts.alias("v"))
+    places = F.coalesce("v.indices", F.sequence(F.lit(0), F.size("v.values") - 1))
+    cells = sparse.select("o_orderkey", F.coalesce("v.size", F.size("v.values")).cast("long").alias("slots"), F.explode(F.arrays_zip(places.alias("slot"), F.col("v.values").alias("value"))).alias("c"))
+    cells = cells.filter("c.value <> 0").select("o_orderkey", "slots", F.col("c.slot").cast("long").alias("slot"), "c.value")
+    return cells.join(fitted.slots(), "slot").select("o_orderkey", "name", "value", "slots")
+
+
+@query("""WITH s AS (
+  SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS buyer, CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END AS y FROM orders),
+t AS (SELECT count(*) AS n, avg(y) AS p FROM s),
+kinds AS (SELECT buyer, CAST(count(*) AS DOUBLE) AS k, sum(y) AS f FROM s GROUP BY buyer),
+gains AS (
+  SELECT buyer, k, f - k * p AS r, n, p, k * (n - k) / n * power((f - k * p) / k + (f - k * p) / (n - k), 2) AS gain
+  FROM kinds, t WHERE buyer > (SELECT min(buyer) FROM s)),
+best AS (SELECT * FROM gains WHERE gain >= (SELECT max(gain) FROM gains) * (1 - 1e-9) ORDER BY buyer LIMIT 1),
+scored AS (
+  SELECT o_orderkey, 1 / (1 + exp(-(ln(p / (1 - p)) + 0.5 * CASE WHEN s.buyer = b.buyer THEN r / k ELSE -r / (n - k) END / (p * (1 - p))))) AS q
+  FROM s, best b)
+SELECT o_orderkey, round(q, 6) AS probability, CAST(CASE WHEN q > 0.5 THEN 1 ELSE 0 END AS BIGINT) AS prediction FROM scored""")
+def gbt_wide_category(spark, sf):
+    """A tree that parts one of very many categories from the others, as a tree on one-hot columns does."""
+    df = table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_custkey").cast("string").alias("buyer"),
+        F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).cast("long").alias("target"),
+    )
+    settings = {"n_estimators": 1, "max_depth": 1, "learning_rate": 0.5, "min_samples_split": 3}
+    spec = ClassifierSpec(model_name="trees", hyperparameters=settings, random_state=7)
+    model = ClassifierPipeline(categorical_features(["buyer"]), spec).fit(df, "target")
+    scored = model.transform(df)
+    return scored.select("o_orderkey", F.round(F.col("probability")[1], 6).alias("probability"), "prediction")
+
+
 @query("""WITH named AS (SELECT p_partkey, p_name FROM part),
 places AS (SELECT p_name, row_number() OVER (ORDER BY p_name) - 2 AS place FROM (SELECT DISTINCT p_name FROM part))
 SELECT p_partkey, p_name, CASE WHEN place >= 0 THEN place END AS p_name_position

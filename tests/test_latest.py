@@ -10,7 +10,7 @@ from tidemark.plans.store import FeatureStore
 from tidemark.session import new_folder
 from tidemark.sources.tables import FeatureSource, write_table
 from tidemark.specs import Entity, FeatureView
-from tidemark.streaming.latest_stream import stream_into
+from tidemark.streaming.latest_stream import expiring_table, latest_changes, stream_expiring, stream_into
 
 START = datetime(2024, 1, 1)
 SCHEMA = "k long, ts timestamp_ntz, made int, v double"
@@ -196,3 +196,34 @@ def test_store_latest(spark, store):
     assert {r["k"]: r["w"] for r in store.get_online_features(asked, ["long:w"]).collect()} == {0: 102.0, 2: 502.0}
     with pytest.raises(RuntimeError, match="online_root"):
         FeatureStore(spark).get_online_features(asked, ["w"], "long")
+
+
+def test_stream_with_expiry(spark):
+    """Late rows, ties, rows that repeat, null keys and times, a key that comes back; over a restart."""
+    table = expiring_table(spark, new_folder(spark, "latest"), ["k"], "ts", tiebreak=["made"])
+    arriving, checkpoint = new_folder(spark, "arriving"), new_folder(spark, "check")
+
+    def arrive(*rows):
+        frame = spark.createDataFrame([(*r, "extra") for r in rows], f"{SCHEMA}, expired_by string")
+        frame.coalesce(1).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+        stream_expiring(table, stream, ["v"], checkpoint, timedelta(days=3), timedelta(days=1)).awaitTermination()
+        return {r["k"]: (r["ts"], r["v"], r["expired"]) for r in table.read().collect()}
+
+    first = arrive((1, day(0), 1, 1.0), (1, day(0), 2, 2.0), (1, day(0), 2, 2.0), (2, day(1), 0, 3.0), (2, day(0), 9, 4.0), (None, day(1), 0, None), (3, None, 0, 5.0))
+    assert first == {1: (day(0), 2.0, False), 2: (day(1), 3.0, False), None: (day(1), None, False)}
+    # Event time becomes day 3.5: key 1 expires; its row of day 4 then brings it back.
+    second = arrive((4, day(4.5), 0, 6.0), (2, day(3.6), 0, 7.0))
+    assert second[1] == (day(0), 2.0, True) and second[2] == (day(3.6), 7.0, False) and second[None] == (day(1), None, False)
+    # A row behind event time changes nothing; null keys expire like others.
+    third = arrive((1, day(4), 0, 8.0), (4, day(1), 0, 9.0), (4, day(5.5), 0, 10.0))
+    assert third == {1: (day(4), 8.0, False), 2: (day(3.6), 7.0, False), 4: (day(5.5), 10.0, False), None: (day(1), None, True)}
+
+
+def test_expiry_needs_its_own_table_and_names(spark, history):
+    with pytest.raises(ValueError, match="expiring_table"):
+        stream_expiring(new_table(spark), history, ["v"], "unused", timedelta(1), timedelta(1))
+    with pytest.raises(ValueError, match="row"):
+        latest_changes(history.withColumnRenamed("v", "row"), ["k"], "ts", ["row"], timedelta(1), timedelta(1))
+    with pytest.raises(ValueError, match="array"):
+        latest_changes(history.withColumn("made", F.array("made")), ["k"], "ts", ["v"], timedelta(1), timedelta(1), "made")

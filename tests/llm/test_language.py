@@ -3,9 +3,10 @@
 import itertools
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tidemark.llm.language import identify, op2_language, viterbi
+from tidemark.llm.language import NAMES, Words, identify, op2_language, viterbi
 
 
 def test_viterbi_equals_brute_force():
@@ -71,3 +72,15 @@ def test_viterbi_keeps_large_labels():
     scores = np.zeros((2, 300))
     scores[0, 299] = scores[1, 256] = 50.0
     assert viterbi(np.array([0, 1, 0]), np.array([0, 2, 3]), scores, 2.0).tolist() == [299, 256, 299]
+
+
+def test_words_are_cut_where_the_script_changes(spark, make_docs):
+    words = Words(pa.array(["helloпривет, мир abc123где!", None, "東京タワーへ été ét", "x" * 5 + "дом" * 2, "!!"]), cut=True)
+    assert [[words.words[i] for i in words.index[a:b]] for a, b in itertools.pairwise(words.offsets)] == [
+        ["hello", "привет,", "мир", "abc123", "где!"], [], ["東京タワーへ", "été", "ét"], ["xxxxx", "домдом"], []]
+    assert [NAMES[k] for k in words.script[words.index[:2]]] == ["latin", "cyrillic"]
+    text = "theгарден" + "houseдом" * 3 + "садлюдей"
+    found = {r.doc_id: r for r in identify(make_docs([(1, "theпеопле"), (2, "thehouseandthegardenдомисадлюдейсводой"), (3, text), (4, None)]), learned(spark)).collect()}
+    assert [(s.lang, s.first, s.words) for s in found[2].spans] == [("en", 0, 1), ("ru", 1, 1)]
+    assert [s.lang for s in found[1].spans] == ["en", "ru"] and [s.lang for s in found[3].spans] == ["en", "ru"] * 4
+    assert found[2].score == 20 / 38 and found[4].spans == []

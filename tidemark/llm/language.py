@@ -1,7 +1,8 @@
 """Language of whole texts: script ranges, per-word scores, and Viterbi spans.
 
 What is learned are counts, over all learning documents, of the hashed character n-grams of the
-words of each language (a table of fixed size), and of the letters of each script. A word may only
+words of each language (a table of fixed size), and of the letters of each script. Words are cut
+where their letters change to another script, so text without blanks can be mixed. A word may only
 be of a language that uses its script; among these its score is the log probability of its
 n-grams. A switching penalty makes the best labelling of a text one of spans, found by Viterbi
 search over all words; the texts of a batch take each step together.
@@ -10,6 +11,7 @@ search over all words; the texts of a batch take each step together.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,13 +47,38 @@ _FIRST = np.array([code for code, _ in SCRIPTS])
 _SCRIPT = np.array([NAMES.index(name) for _, name in SCRIPTS])
 
 
+_SAME = {NAMES.index("kana"): NAMES.index("han")}  # written together within a word
+_OTHER = NAMES.index("other")
+
+
+@lru_cache(1 << 16)
+def _letter_script(sign: str) -> int:
+    """Script of a letter; -1 for what is no letter, or a letter of no one script."""
+    kind = int(_SCRIPT[np.searchsorted(_FIRST, ord(sign), side="right") - 1])
+    return _SAME.get(kind, kind) if sign.isalpha() and kind != _OTHER else -1
+
+
+def _by_script(word: str) -> list[str]:
+    """The word in pieces of one script; signs and digits stay with the letters before them."""
+    pieces, start, own = [], 0, -1
+    for i, sign in enumerate(word):
+        kind = _letter_script(sign)
+        if kind >= 0 and kind != own:
+            if own >= 0:
+                pieces.append(word[start:i])
+                start = i
+            own = kind
+    return [*pieces, word[start:]]
+
+
 class Words:
     """The words with letters of a batch of texts: the different ones, and which each text has.
 
-    Words without letters count too if they have two characters of ``signs``.
+    Words without letters count too if they have two characters of ``signs``. With ``cut``, a word
+    ends where its letters change to another script.
     """
 
-    def __init__(self, column: pa.Array, signs: str = "") -> None:
+    def __init__(self, column: pa.Array, signs: str = "", cut: bool = False) -> None:
         lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(column, "").cast(pa.large_string())))
         encoded = lists.flatten().dictionary_encode()
         indices = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -63,6 +90,8 @@ class Words:
         has = good[indices] if len(indices) else np.zeros(0, bool)
         self.index = number[indices[has]] if len(indices) else np.zeros(0, np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(has)])[offsets] if len(indices) else np.zeros(len(column) + 1, np.int64)
+        if cut:
+            self._cut()
         codes = np.frombuffer("".join(self.words).encode("utf-32-le"), np.uint32)
         length = np.array([len(w) for w in self.words], np.int64)
         self.length = length
@@ -73,6 +102,18 @@ class Words:
         order = np.lexsort((codes, owner))
         self.script = kind[order[start[1:] - 1]] if len(self.words) else np.zeros(0, np.int64)
 
+    def _cut(self) -> None:
+        """Part words of several scripts; each occurrence becomes as many words as there are parts."""
+        parts = [[w] if w.isascii() else _by_script(w) for w in self.words]
+        size = np.array([len(p) for p in parts], np.int64)
+        if size.max(initial=1) == 1:
+            return
+        first, times = np.cumsum(size) - size, size[self.index]
+        ends = np.concatenate([[0], np.cumsum(times)])
+        inside = np.arange(ends[-1]) - np.repeat(ends[:-1], times)
+        self.words = [w for p in parts for w in p]
+        self.index, self.offsets = np.repeat(first[self.index], times) + inside, ends[self.offsets]
+
     def grams(self) -> tuple[np.ndarray, np.ndarray]:
         """Bucket of each n-gram (with the word's ends) and the word it is of, in order of words."""
         data = np.frombuffer((" " + "  ".join(self.words) + " ").encode(), np.uint8) if self.words else np.zeros(0, np.uint8)
@@ -101,7 +142,7 @@ def learn(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
         for batch in slices(batches, "text", SLICE):
-            words = Words(batch.column("text"))
+            words = Words(batch.column("text"), cut=True)
             bucket, of = words.grams()
             langs = batch.column("lang").to_pylist()
             owner = np.array(langs, object)[segment_ids(words.offsets)]
@@ -162,7 +203,7 @@ def identify(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col
     out. ``lang_pred`` has the most letters in the text's spans (the first by name among equals),
     ``score`` is its share of them. Null texts and texts without a letter are ``und`` with score 0
     and no spans, and so is everything if nothing could be learned. ``spans`` lists language,
-    first word (of those with letters) and number of words. Every row gives a row.
+    first word (of those with letters, cut at changes of script) and number of words. Every row gives a row.
     """
     learned = learn(known.filter("lang is not null and text is not null"))
     langs = sorted(learned)
@@ -181,7 +222,7 @@ def identify(docs: DataFrame, known: DataFrame, id_col: str = "doc_id", text_col
             if not langs:
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([UNKNOWN] * n), pa.array(np.zeros(n)), pa.array([[]] * n, spans_type)], names)
                 continue
-            words = Words(batch.column("text"))
+            words = Words(batch.column("text"), cut=True)
             bucket, of = words.grams()
             scores = np.zeros((len(words.words), len(langs)), np.float64)
             first = np.searchsorted(of, np.arange(len(words.words)))

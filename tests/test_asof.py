@@ -85,6 +85,22 @@ def test_segments_of_hot_keys_are_bounded(spark, monkeypatch):
     assert len(sizes) > 10 and max(sizes) < 400
 
 
+def test_small_segments_do_not_become_more_with_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(asof, "SEGMENTS", 8)
+    entities, features = random_tables(7, n=600, hot=True)
+    e, f = frames(spark, entities, features)
+    folders, new = [], asof.new_folder
+    monkeypatch.setattr(asof, "new_folder", lambda *a: folders.append(new(*a)) or folders[-1])
+    assert joined(e, f, hot_rows=10) == all_pairs(entities, features)
+    assert 1 < spark.read.parquet(folders[-1]).select("_segment").distinct().count() <= 8
+
+
+def test_segments_keep_to_the_largest_size():
+    assert asof._segment_count(36_000_000, 500) == asof.SEGMENTS
+    assert asof._segment_count(1_000 * asof.HOT_ROWS, 500) == 1_000
+    assert asof._segment_count(1_200, 500) == 3
+
+
 def test_hot_key_within_one_second(spark):
     rng = random.Random(5)
     def at():

@@ -12,8 +12,10 @@ from pyspark.sql import types as T
 from tidemark.operators.checks import keep_samples
 from tidemark.session import new_folder, write_through
 
-#: Keys with more rows are walked in segments of about so many.
+#: Keys with more rows are walked in segments, of about so many rows at most.
 HOT_ROWS = 2_000_000
+#: So many segments at most, unless they would hold more rows than that.
+SEGMENTS = 200
 
 
 def entity_values(df: DataFrame, key: str) -> DataFrame:
@@ -165,6 +167,15 @@ def _walk(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     return walked.filter("_side = 1").select(*keys, "_t", "_e", "_f")
 
 
+def _segment_count(rows: int, segment_rows: int) -> int:
+    """Segments of ``segment_rows``; of more, up to HOT_ROWS, where there would be over SEGMENTS of them.
+
+    The driver sorts a sample of some hundred rows for each segment to find its range, so small
+    segments must not become more with the rows.
+    """
+    return max(1, min(-(-rows // segment_rows), max(SEGMENTS, -(-rows // HOT_ROWS))))
+
+
 def _walk_in_segments(left: DataFrame, right: DataFrame, keys: Sequence[str], segment_rows: int) -> DataFrame:
     """``_walk`` as a scan in two levels, for keys too large for one task.
 
@@ -177,7 +188,7 @@ def _walk_in_segments(left: DataFrame, right: DataFrame, keys: Sequence[str], se
     # Maps have no hash; entity rows of one moment that hold one stay in one segment.
     tie = F.lit(0).cast("long") if "map<" in left.schema["_e"].dataType.simpleString() else F.xxhash64("_e")
     rows = write_through(_stack(left, right, keys).withColumn("_tie", tie), "hot-rows")
-    segments = max(1, -(-rows.count() // segment_rows))
+    segments = _segment_count(rows.count(), segment_rows)
     along = [*keys, "_t", "_side", "_order", "_tie"]
     dealt = rows.repartitionByRange(segments, *along).withColumn("_segment", F.spark_partition_id())
     path = new_folder(rows.sparkSession, "segments")

@@ -190,3 +190,19 @@ def test_vectors_stay_sparse(spark):
     found = {r["id"]: r["features"] for r in fitted.vectors(rows).collect()}
     assert {v.size for v in found.values()} == {2_999}
     assert [list(found[i].indices) for i in (0, 1, 2_999)] == [[], [0], [2_998]]
+
+
+def test_vectors_name_no_slot_on_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(prep, "MAX_CATEGORIES", 1)
+    rows = spark.range(200).select("id", F.format_string("k%05d", "id").alias("kind"), F.when(F.col("id") > 0, F.col("id") - 1.0).alias("x"))
+    fitted = FeaturePipeline([*categorical_features(["kind"]), *numeric_features(["x"], imputer_enabled=False, scaler_type="none")]).fit(rows)
+    for stage in ("OneHotEncoderModel", "VectorAssembler"):  # both write a name for each slot into the plan
+        monkeypatch.setattr(f"pyspark.ml.feature.{stage}._transform", lambda *_: pytest.fail("names every slot"))
+    found = {r["id"]: r["features"] for r in fitted.vectors(rows).collect()}
+    assert {v.size for v in found.values()} == {200} and {len(v.indices) for v in found.values()} == {1, 2}
+    assert found[5].toArray()[[3, 4, 5, 199]].tolist() == [0.0, 1.0, 0.0, 4.0]
+    assert list(found[0].indices) == [199] and np.isnan(found[0].values[0])
+    narrow = spark.createDataFrame([(0, 1.0, 0.0), (1, float("nan"), float("inf")), (2, -0.5, None)], "id int, a double, b double")
+    specs = numeric_features(["a", "b"], imputer_enabled=False, scaler_type="none")
+    got = dense(FeaturePipeline(specs).fit(narrow).vectors(narrow))
+    assert np.array(got) == pytest.approx(np.array([[1.0, 0.0], [NAN, np.inf], [-0.5, NAN]]), nan_ok=True)

@@ -13,9 +13,10 @@ from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
 
-from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.columns import missing_as_null
 from tidemark.functions.ranks import MAX_ROWS, exact_quantiles
@@ -105,28 +106,32 @@ class FittedFeatures:
 
         A slot for each number and each category but the first, in the order of ``slots``, however
         many categories a column has; a category that fitting did not see is all zeros. Missing
-        numbers become NaN. The vector is made by the JVM's encoder and assembler.
+        numbers become NaN. Each row's places and values become a vector by way of its JSON: Spark's
+        encoder and assembler would have the driver name every slot.
         """
         if output in df.columns:
             raise ValueError(f"the frame has a column {output!r} already")
-        made, parts = self.placed(df), []
-        for i, f in enumerate(self.features):
+        made, cells, size = self.placed(df), [], 0
+        for f in self.features:
             own = f.columns(made)
             if f.positions is None:
-                names = [f"_part{i}_{j}" for j in range(len(own))]
-                made = made.withColumns({n: c.cast("double") for n, c in zip(names, own)})
-                parts += names
-            elif f.width:
-                # Missing and unknown categories take a place behind all others, which is then dropped.
-                place = F.coalesce(own[0], F.lit(f.width)).cast("double")
-                known = {"ml_attr": {"type": "nominal", "num_vals": f.width}}
-                made = made.withColumn(f"_place{i}", place.alias(f"_place{i}", metadata=known))
-                encoder = OneHotEncoder(inputCol=f"_place{i}", outputCol=f"_part{i}", handleInvalid="keep", dropLast=True)
-                made = encoder.fit(made).transform(made)
-                parts.append(f"_part{i}")
-        joined = VectorAssembler(inputCols=parts, outputCol=output, handleInvalid="keep").transform(made)
-        plain = F.col(output).alias(output, metadata={})  # a name for each slot would be as long as the dictionary
-        return joined.select(*[F.col(f"`{c}`") for c in df.columns], plain)
+                values = [F.coalesce(c.cast("double"), F.lit(float("nan"))) for c in own]
+                cells += [_cell(F.lit(size + i), v) for i, v in enumerate(values)]
+                size += len(own)
+            else:
+                cells.append(_cell(F.lit(size) + own[0], F.lit(1.0)))  # no place: missing, unknown or the first category
+                size += f.width
+        made = made.withColumn("_cells", F.filter(F.array(*cells), lambda c: c["slot"].isNotNull() & (c["value"] != 0)))
+        found = F.col("_cells")
+        parts = F.struct(F.lit(0).alias("type"), F.lit(size).alias("size"), found["slot"].alias("indices"), found["value"].alias("values"))
+        text = F.to_json(F.struct(parts.alias("v")))
+        if size <= 1.5 * (len(cells) + 1):  # a row can have so few zeros that all values in a row are shorter
+            places = F.sequence(F.lit(0), F.lit(size - 1)) if size else F.array().cast("array<int>")
+            values = F.transform(places, lambda i: F.coalesce(F.get(F.filter(found, lambda c: c["slot"] == i), F.lit(0))["value"], F.lit(0.0)))
+            dense = F.to_json(F.struct(F.struct(F.lit(1).alias("type"), values.alias("values")).alias("v")))
+            text = F.when(1.5 * (F.size(found) + 1) < size, text).otherwise(dense)
+        vector = F.from_json(text, T.StructType([T.StructField("v", VectorUDT())]))["v"]
+        return made.select(*[F.col(f"`{c}`") for c in df.columns], vector.alias(output))
 
     def slots(self) -> DataFrame:
         """Rows (slot, name): what each place of ``vectors`` stands for."""
@@ -143,6 +148,10 @@ class FittedFeatures:
         return reduce(DataFrame.unionByName, found)
 
 
+def _cell(slot: Column, value: Column) -> Column:
+    return F.struct(slot.cast("int").alias("slot"), value.alias("value"))
+
+
 class FeaturePipeline:
     """Preprocessing by a list of feature specs, bound to columns by name."""
 

@@ -273,3 +273,16 @@ def test_infinite_features_are_refused(rows):
 def test_prefit_on_the_training_rows_warns(rows):
     with pytest.warns(UserWarning, match="rows it was fitted on"):
         run(rows, validation="none", calibration_spec=CalibrationSpec(calibration_name="c"))
+
+
+def test_tasks_of_the_tree_learner_hold_bounded_rows(spark, monkeypatch):
+    from tidemark.operators import model
+
+    seen, fit = [], model.GBTClassifier.fit
+    monkeypatch.setattr(model.GBTClassifier, "fit", lambda self, rows: seen.extend(rows.rdd.glom().map(len).collect()) or fit(self, rows))
+    monkeypatch.setattr(model, "TASK_VALUES", 2_000)
+    rows = spark.range(1_000, numPartitions=1).select("id", (F.col("id") % 10).cast("double").alias("x"), (F.col("id") % 10 > 6).cast("int").alias("y"))
+    spec = model.ClassifierSpec(model_name="trees", hyperparameters={"n_estimators": 1, "max_depth": 1}, random_state=7)
+    fitted = model.ClassifierPipeline(numeric_features(["x"]), spec).fit(rows, "y")
+    assert sum(seen) == 1_000 and max(seen) <= 2 * 2_000 // (model.ROW_VALUES + 1)
+    assert fitted.transform(rows).filter("prediction = y").count() == 1_000

@@ -33,6 +33,11 @@ TREE_PARAMETERS = {
 }
 
 
+#: Numbers that one task of the tree learner holds, about: of each row its features and some more.
+TASK_VALUES = 16_000_000
+ROW_VALUES = 16
+
+
 def check_known(hyperparameters: Mapping[str, Any]) -> None:
     check_hyperparameters(hyperparameters)
     unknown = sorted(set(hyperparameters) - set(TREE_PARAMETERS) - {"min_samples_split", "verbose"})
@@ -112,7 +117,11 @@ def fit_trees(
     if places or len(classes) > 2 or spec.hyperparameters.get("min_samples_split", 2) > 2:
         check_known(spec.hyperparameters)
         return fit_joint(df, vector, index, kind, features, spec, classes, spec.hyperparameters, places)
-    rows = df.select(vector.alias("features"), index.cast("double").alias("label"))
+    width = {"ml_attr": {"num_attrs": len(features)}}  # else the learner looks at a row, for which it deals out all of them
+    rows = df.select(vector.alias("features", metadata=width), index.cast("double").alias("label"))
+    # The learner keeps its rows in the partitions that it gets, and files hold very many narrow rows.
+    tasks = -(-rows.count() * (ROW_VALUES + len(features)) // TASK_VALUES)
+    rows = rows.repartition(tasks) if tasks > 1 else rows
     trees = GBTClassifier(checkpointInterval=10, **tree_parameters(spec.hyperparameters, spec.random_state))
     return BoostedTrees(spec, list(features), classes, kind, trees.fit(rows))
 

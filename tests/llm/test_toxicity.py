@@ -98,3 +98,9 @@ def test_words_without_letters_count(restorer):
 def test_isolated_doubles_are_read_as_by_the_lattice(restorer):
     for word in ["garden", "looser", "stuupid", "iidiott", "peoplee", "wwater", "house", "moorningg", "ééidiot", "xxyxx"]:
         assert restorer.word(word) == restorer._decode(word)
+
+
+def test_scripts_are_not_looked_up(restorer):
+    words = tox._restored(pa.array(["The garden 1d10t", None, "s t u p i d"]), restorer)
+    assert words.words and "idiot" in words.words and "stupid" in words.words
+    assert "script" not in vars(words)

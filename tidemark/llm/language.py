@@ -11,7 +11,7 @@ search over all words; the texts of a batch take each step together.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -92,15 +92,16 @@ class Words:
         self.offsets = np.concatenate([[0], np.cumsum(has)])[offsets] if len(indices) else np.zeros(len(column) + 1, np.int64)
         if cut:
             self._cut()
+        self.length = np.array([len(w) for w in self.words], np.int64)
+
+    @cached_property
+    def script(self) -> np.ndarray:
+        """The script of each word: that of its largest code point, so ASCII signs in it do not count."""
         codes = np.frombuffer("".join(self.words).encode("utf-32-le"), np.uint32)
-        length = np.array([len(w) for w in self.words], np.int64)
-        self.length = length
-        start = np.concatenate([[0], np.cumsum(length)])
+        start = np.concatenate([[0], np.cumsum(self.length)])
         kind = _SCRIPT[np.searchsorted(_FIRST, codes, side="right") - 1]
-        # The script of a word is that of its largest code point: ASCII signs in it do not count.
-        owner = segment_ids(start)
-        order = np.lexsort((codes, owner))
-        self.script = kind[order[start[1:] - 1]] if len(self.words) else np.zeros(0, np.int64)
+        order = np.lexsort((codes, segment_ids(start)))
+        return kind[order[start[1:] - 1]] if len(self.words) else np.zeros(0, np.int64)
 
     def _cut(self) -> None:
         """Part words of several scripts; each occurrence becomes as many words as there are parts."""

@@ -177,8 +177,9 @@ class Restorer:
 
     def word(self, word: str) -> str:
         """A word in lower case, read anew if it may be in disguise."""
-        if not _DISGUISED.search(word):
-            return word
+        return self._anew(word) if _DISGUISED.search(word) else word
+
+    def _anew(self, word: str) -> str:
         plain = word.strip(_PLAIN_MARKS)
         return self.decode(plain) if _LATTICE.search(plain) else _DOUBLE.sub(self._double, plain)
 
@@ -236,7 +237,8 @@ def _restored(column: pa.Array, restorer: Restorer) -> Words:
             texts[i] = restorer.spaced(texts[i])
         column = pa.array(texts, pa.string())
     words = Words(column, _SHAPES)
-    words.words = [restorer.word(w) for w in words.words]
+    disguised, anew = _DISGUISED.search, restorer._anew
+    words.words = [anew(w) if disguised(w) else w for w in words.words]
     return words
 
 

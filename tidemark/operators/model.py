@@ -119,13 +119,23 @@ def fit_trees(
         return fit_joint(df, vector, index, kind, features, spec, classes, spec.hyperparameters, places)
     width = {"ml_attr": {"num_attrs": len(features)}}  # else the learner looks at a row, for which it deals out all of them
     rows = df.select(vector.alias("features", metadata=width), index.cast("double").alias("label"))
-    # The learner keeps its rows in the partitions that it gets, and files hold very many narrow rows.
-    tasks = -(-rows.count() * (ROW_VALUES + len(features)) // TASK_VALUES)
-    rows = rows.repartition(tasks) if tasks > 1 else rows
+    rows = _dealt(rows, ROW_VALUES + len(features))
     trees = GBTClassifier(checkpointInterval=10, **tree_parameters(spec.hyperparameters, spec.random_state))
     return BoostedTrees(spec, list(features), classes, kind, trees.fit(rows))
 
 
+def _dealt(rows: DataFrame, values: int) -> DataFrame:
+    """The rows in partitions of about TASK_VALUES numbers at most, if one holds more.
+
+    The learner keeps rows in the partitions that it gets, and files hold very many narrow rows.
+    """
+    counts = rows.groupBy(F.spark_partition_id().alias("part")).count()
+    largest, total = counts.agg(F.max("count"), F.sum("count")).first()
+    if not largest or largest * values <= TASK_VALUES:
+        return rows
+    return rows.repartition(max(-(-total * values // TASK_VALUES), rows.sparkSession.sparkContext.defaultParallelism))
+
+
 @dataclass
 class FittedClassifier:
     """Fitted preprocessing and trees; scoring is one projection over the input rows."""

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators.latest import LatestTable, latest_per_key
+from tidemark.plans.queries import QUERIES
 from tidemark.plans.store import FeatureStore
 from tidemark.session import new_folder
 from tidemark.sources.tables import FeatureSource, write_table
@@ -220,6 +221,17 @@ def test_stream_with_expiry(spark):
     assert third == {1: (day(4), 8.0, False), 2: (day(3.6), 7.0, False), 4: (day(5.5), 10.0, False), None: (day(1), None, True)}
 
 
+def test_an_arrival_of_many_files_is_one_batch(spark):
+    """Every file spans days; rows of one must not be late for what another of the same arrival has seen."""
+    sf = new_folder(spark, "events")
+    rows = [(u, day((0.1, 4, 29.9)[u % 3]), u, "view", 1.0, "{}") for u in range(60)]
+    for start in range(0, 60, 12):
+        frame = spark.createDataFrame(rows[start : start + 12], "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+        frame.coalesce(1).write.mode("append").parquet(f"{sf}/events.parquet")
+    found = {r["user_id"]: (r["ts"], r["expired"]) for r in QUERIES["stream_expiry"](spark, sf).collect()}
+    assert found == {u: (ts, u % 3 != 2) for _, ts, u, *_ in rows}
+
+
 def test_expiry_needs_its_own_table_and_names(spark, history):
     with pytest.raises(ValueError, match="expiring_table"):
         stream_expiring(new_table(spark), history, ["v"], "unused", timedelta(1), timedelta(1))

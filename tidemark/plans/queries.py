@@ -613,15 +613,15 @@ SELECT user_id, ts, event_id, event_type, value,
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1""")
 def stream_expiry(spark, sf):
     """Events that arrive up to 20 hours late, in six batches; users without news for six hours expire."""
-    events, arriving = table(spark, sf, "events"), new_folder(spark, "arriving")
+    events, arriving, checkpoint = table(spark, sf, "events"), new_folder(spark, "arriving"), new_folder(spark, "stream")
     hours = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000) + F.pmod(F.xxhash64("event_id"), F.lit(20))
     first, last = events.select(F.min(hours), F.max(hours)).first() if not events.isEmpty() else (0, 0)
     step = (last - first) // 6 + 1
-    for part in range(6):  # files are read in the order of their making
-        events.filter(F.floor((hours - first) / step) == part).write.mode("append").parquet(arriving)
     kept = expiring_table(spark, new_folder(spark, "latest"), ["user_id"], "ts", tiebreak=["event_id"])
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
-    stream_expiring(kept, stream, LATEST, new_folder(spark, "stream"), timedelta(hours=6), timedelta(hours=24)).awaitTermination()
+    for part in range(6):  # all that has arrived is one batch, in however many files
+        events.filter(F.floor((hours - first) / step) == part).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(events.schema).parquet(arriving)
+        stream_expiring(kept, stream, LATEST, checkpoint, timedelta(hours=6), timedelta(hours=24)).awaitTermination()
     return kept.read()
 
 

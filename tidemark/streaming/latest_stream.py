@@ -71,7 +71,7 @@ class _Latest(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         names = [*self.order.names, "row"]
         best = max((tuple(r[n] for n in names) for r in rows), key=lambda r: _rank(r[:-1]))
-        old = tuple(self.newest.get()) if self.newest.exists() else None
+        old = self.newest.get()  # one call to the state where asking first would be two
         if old is not None and _rank(old[:-1]) >= _rank(best[:-1]):
             return
         if old is not None:
@@ -81,10 +81,8 @@ class _Latest(StatefulProcessor):
         yield Row(**dict(zip(self.keys, key)), at=best[0], row=best[-1], expired=False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        if not self.newest.exists():
-            return
-        kept = tuple(self.newest.get())
-        if self._expiry(kept) > expiredTimerInfo.getExpiryTimeInMs():
+        kept = self.newest.get()
+        if kept is None or self._expiry(kept) > expiredTimerInfo.getExpiryTimeInMs():
             return
         self.newest.clear()
         yield Row(**dict(zip(self.keys, key)), at=kept[0], row=kept[-1], expired=True)

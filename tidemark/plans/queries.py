@@ -133,7 +133,8 @@ counted AS (
 def sample_measures(text: Column) -> list[Column]:
     """Eight measures of a text."""
     size = F.greatest(F.length(text), F.lit(1)).cast("double")
-    shares = [(F.length(F.regexp_replace(text, f"[^{signs}]", "")) / size).alias(name) for name, signs in SIGNS.items()]
+    # Whole stretches of other signs go at once, which is a third of the work.
+    shares = [(F.length(F.regexp_replace(text, f"[^{signs}]+", "")) / size).alias(name) for name, signs in SIGNS.items()]
     return [
         F.length(text).cast("double").alias("feature_0"),
         F.size(F.split(text, "\n", -1)).cast("double").alias("feature_1"),
@@ -147,11 +148,15 @@ def sample_target(n_classes: int) -> Column:
 
 
 def document_samples(spark: SparkSession, sf: str, n_classes: int = 2) -> DataFrame:
-    """Labelled documents with eight measures of their text; bad, toxic and good ones for three classes."""
+    """Labelled documents with eight measures of their text; bad, toxic and good ones for three classes.
+
+    Texts are measured where they are read, so that a join by shuffle moves numbers only.
+    """
     text = F.col("text")
     labels = table(spark, sf, "labels").dropna(subset=["quality", "toxic"])
-    rows = table(spark, sf, "documents").filter(text.isNotNull()).join(labels, "doc_id")
-    return rows.select(F.col("doc_id").alias("sample_index"), *sample_measures(text), sample_target(n_classes).alias("target"))
+    measured = table(spark, sf, "documents").filter(text.isNotNull()).select(F.col("doc_id").alias("sample_index"), *sample_measures(text))
+    rows = measured.join(labels, F.col("sample_index") == F.col("doc_id"))
+    return rows.select(*measured.columns, sample_target(n_classes).alias("target"))
 
 
 def stored_samples(spark: SparkSession, sf: str, n_classes: int = 2) -> DataFrame:
@@ -162,9 +167,11 @@ def stored_samples(spark: SparkSession, sf: str, n_classes: int = 2) -> DataFram
 def measured_documents(spark: SparkSession, sf: str, n_classes: int = 2) -> DataFrame:
     """All documents in the same form, written once; ``target`` is null where there is no label."""
     labels = table(spark, sf, "labels").dropna(subset=["quality", "toxic"])
-    rows = table(spark, sf, "documents").select("doc_id", "text").join(labels, "doc_id", "left")
+    text = F.coalesce("text", F.lit(""))
+    measured = table(spark, sf, "documents").select(F.col("doc_id").alias("sample_index"), *sample_measures(text))
+    rows = measured.join(labels, F.col("sample_index") == F.col("doc_id"), "left")
     target = F.when(F.col("quality").isNotNull(), sample_target(n_classes)).alias("target")
-    return write_through(rows.select(F.col("doc_id").alias("sample_index"), *sample_measures(F.coalesce("text", F.lit(""))), target), "samples")
+    return write_through(rows.select(*measured.columns, target), "samples")
 
 
 def sample_pipeline(n_features: int = 8, **hyperparameters) -> ClassifierPipeline:

@@ -2,10 +2,12 @@
 
 import json
 import random
+import string
 import unicodedata
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -53,6 +55,35 @@ def test_any_letter_before_any_mark():
     assert [np.frombuffer(f, f"<u{own.width}").tolist() for f in own.encode(texts)] == [w.ids for w in wanted]
 
 
+def test_any_sign_beside_letters():
+    """Signs, Latin letters, marks, blanks and added tokens in any order, as slices of an Arrow column."""
+    rng = random.Random(11)
+    latin = [chr(c) for c in range(0xC0, 0x250)]
+    parts = [*string.printable, *latin, *"aZé'<|>", "word", "'s", "<|endoftext|>", "\u0301", "\u0338", "\u0307", "$$$", " ", "\x1c", "\xa0", "\u1fef", "한", "Σ"]
+    texts = [None, "", *("".join(rng.choices(parts, k=rng.randint(1, 12))) for _ in range(40_000)), "", None]
+    texts += [f"{a}{b}{c}" for a in "xZé" for b in string.punctuation for c in (*string.punctuation, "x", "É", " ", "7", "\u0338")]
+    own, column = Encoder(TOKENIZER), pa.array(texts)
+    found = [ids for start in range(0, len(texts), 7_000) for ids in own.encode(column.slice(start, 7_000))]
+    wanted = plain.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+    assert own.by_word and own.signs and len(own.letters) > 400
+    assert [np.frombuffer(f, f"<u{own.width}").tolist() for f in found] == [w.ids for w in wanted]
+    fresh = Encoder(TOKENIZER)
+    assert fresh.encode([]) == [] and fresh.encode([" "]) == [b""] and fresh.encode([None, "", "\n"]) == [b""] * 3 and fresh.encode(column[:2]) == [b"", b""]
+
+
+def test_different_words_are_encoded_once(monkeypatch):
+    """op1_token_files: signs after a word, capitals and letters beyond ASCII neither repeat nor lengthen the encoding."""
+    own, seen = Encoder(TOKENIZER), []
+    of_word = own.word
+    monkeypatch.setattr(own, "word", lambda word: seen.append(word) or of_word(word))
+    texts = ["Onwhing$$$ onwhing, naïve.", None, "onwhing### naïve, Onwhing naïve\tonwhing."]
+    found = [np.frombuffer(f, f"<u{own.width}").tolist() for f in own.encode(texts)]
+    assert found == [ids_of(text, 0)[:-1] for text in texts]
+    assert sorted(seen) == sorted(["onwhing", "naïve", "$$$", "###", ",", "."])
+    monkeypatch.setattr(own, "tokenizer", None)  # the model alone
+    assert np.frombuffer(of_word("ÀNaïve"), f"<u{own.width}").tolist() == ids_of("ànaïve", 0)[:-1]
+
+
 def test_other_tokenizers_read_whole_texts(tmp_path):
     with open(TOKENIZER, encoding="utf-8") as f:
         changed = json.load(f)

@@ -310,7 +310,7 @@ def token_pieces(
         end, seen = own.one(end_id), Counter()
         for batch in slices(batches, "text"):
             rows = []
-            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode(batch.column("text").to_pylist())):
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), own.encode(batch.column("text"))):
                 ids += end
                 for piece, start in enumerate(range(0, len(ids), capacity * own.width)):
                     part = ids[start : start + capacity * own.width]

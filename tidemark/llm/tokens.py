@@ -10,17 +10,20 @@ from __future__ import annotations
 
 import json
 import os
+import string
 import zlib
 from array import array
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 # The one kind of normalising and cutting whose words are known to stand alone. Texts
-# are cut into letters, single digits and other signs, so an ASCII letter and a mark after it are cut
-# apart too; other letters may end, once they are lower-cased, in a sign that joins the mark.
+# are cut into letters, single digits and other signs, so an ASCII letter and a sign after it are cut
+# apart too; other letters may end, once they are lower-cased, in a mark that joins the sign.
 NORMALIZER = {
     "type": "Sequence",
     "normalizers": [
@@ -42,6 +45,13 @@ PRE_TOKENIZER = {
     ],
 }
 
+BLANKS = " \t\n\r"
+#: ASCII signs that begin a word after a letter: all but the one of contractions (and those in a file's added tokens).
+SIGNS = string.punctuation.replace("'", "")
+#: Letters below this code are Latin; none of them joins another one when it is normalised.
+LATIN = 0x250
+BLANK, SIGN, LETTER = 1, 2, 3
+
 #: Words a worker remembers (about 200 bytes each); beyond it the memory starts afresh (same ids, more encoding).
 MEMORY_WORDS = 800_000
 #: Longer words are encoded but not remembered.
@@ -65,10 +75,18 @@ class Encoder:
             own = json.load(f)
         known = own["normalizer"] == NORMALIZER and own["pre_tokenizer"] == PRE_TOKENIZER
         self.by_word = known and self._same("it's 42 x", "it's", "42", "x") and self._same("É\n\té ,a  b", "É", "é", ",a", "b")
-        self.marks_apart = self.by_word and all(self._same(f"Word{c}", "Word", c) for c in ".,!?;:")
-        self.lowers = self.by_word and self._same("AbCdefGH", "abcdefgh")
-        probe = ["the", "tokenization", "onhaworewhstting"]
-        self.bare = self.lowers and all(self._ids([w])[0] == [t.id for t in self.tokenizer.model.tokenize(w)] for w in probe)
+        added = [t["content"] for t in own["added_tokens"]]
+        signs = [c for c in SIGNS if not any(c in t for t in added)]
+        self.signs = "".join(signs) if self.by_word and all(self._same(f"Word{c}s", "Word", f"{c}s") for c in signs) else ""
+        self.kinds = np.zeros(256, "u1")
+        for kind, those in ((BLANK, BLANKS), (SIGN, self.signs), (LETTER, string.ascii_letters)):
+            self.kinds[list(those.encode())] = kind
+        self.tokenize = self.tokenizer.model.tokenize
+        self.spelling = self._spelling() if self.by_word else {}
+        self.letters = frozenset(map(chr, self.spelling))
+        probe = ["the", "tokenization", "onhaworewhstting", "ÉTÉß"]
+        if any(self.letters.issuperset(t) for t in added) or not all(self._ids([w])[0] == self._of_letters(w) for w in probe):
+            self.letters = frozenset()
         self.memory, self.limit = _Memory(self), MEMORY_WORDS
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -78,47 +96,72 @@ class Encoder:
         found = self._ids([whole, *parts])
         return found[0] == [i for x in found[1:] for i in x]
 
+    def _spelling(self) -> dict[int, str]:
+        """How the file spells Latin letters for its model, for those that it never cuts off from other letters."""
+        normalize, cut = self.tokenizer.normalizer.normalize_str, self.tokenizer.pre_tokenizer.pre_tokenize_str
+        found = {c: [piece for piece, _ in cut(normalize(f"a{chr(c)}a"))] for c in range(LATIN) if chr(c).isalpha()}
+        return {c: pieces[0][1:-1] for c, pieces in found.items() if len(pieces) == 1}
+
+    def _of_letters(self, word: str) -> list[int]:
+        return [t.id for t in self.tokenize(word.translate(self.spelling))]
+
     def word(self, word: str) -> bytes:
-        """Ids of one word. Words of a-z alone need no normalising or cutting, they go straight to the model."""
-        if self.bare and word.isascii() and word.isalpha() and word.islower():
-            return array(self.code, [t.id for t in self.tokenizer.model.tokenize(word)]).tobytes()
+        """Ids of one word. Words of Latin letters alone need no normalising or cutting, they go straight to the model."""
+        if word and self.letters.issuperset(word):
+            return array(self.code, self._of_letters(word)).tobytes()
         return array(self.code, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
-    def parts(self, word: str) -> tuple[str, str]:
-        """A word and the marks it ends in, in the spelling that is looked up."""
-        base, marks = word, ""
-        if self.marks_apart:
-            base = word.rstrip(".,!?;:")
-            marks = word[len(base) :]
-            if not base or not (base[-1].isascii() and base[-1].isalpha()):
-                base, marks = word, ""
-        if self.lowers and base.isascii() and base.isalpha():
-            base = base.lower()
-        return base, marks
-
     def one(self, token_id: int) -> bytes:
         return array(self.code, [token_id]).tobytes()
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; none for null or empty texts."""
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """The ids of each text; none for null or empty texts.
+
+        Arrow finds the different words of all texts given, so that each is looked up once.
+        """
+        texts = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
         if not self.by_word:
-            return [array(self.code, ids).tobytes() for ids in self._ids([t or "" for t in texts])]
-        memory = self.memory
-        if len(memory) > self.limit:
-            memory.clear()
-        find = memory.__getitem__
-        return [b"".join(map(find, (t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))) for t in texts]
+            return [array(self.code, ids).tobytes() for ids in self._ids(texts.to_pylist())]
+        if len(self.memory) > self.limit:
+            self.memory.clear()
+        words, first = self._words(texts)
+        if not len(words):
+            return [b""] * len(texts)
+        found = words.dictionary_encode()
+        different = pc.ascii_rtrim(found.dictionary, BLANKS).to_numpy(zero_copy_only=False)
+        ids = pa.array(list(map(self.memory.__getitem__, different)), pa.large_binary()).take(found.indices)
+        ends, raw = np.frombuffer(ids.buffers()[1], "<i8")[first].tolist(), ids.buffers()[2].to_pybytes()
+        return [raw[a:b] for a, b in zip(ends[:-1], ends[1:])]
+
+    def _words(self, texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """Texts cut after blanks and between ASCII letters and signs, and how many words come before each text and its end."""
+        if not len(texts) or not texts.buffers()[2]:
+            return pa.array([], pa.large_string()), np.zeros(len(texts) + 1, np.int64)
+        ends = np.frombuffer(texts.buffers()[1], "<i8")[texts.offset : texts.offset + len(texts) + 1]
+        text = np.frombuffer(texts.buffers()[2], "u1")[ends[0] : ends[-1]]
+        kinds, begins = self.kinds[text], np.zeros(len(text) + 1, bool)
+        begins[1:] = kinds == BLANK
+        begins[1:-1] |= (kinds[1:] == SIGN) & (kinds[:-1] == LETTER)
+        begins[ends - ends[0]] = True
+        bounds = np.flatnonzero(begins)
+        words = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(text))
+        return words, np.searchsorted(bounds, ends - ends[0])
 
 
 class _Memory(dict):
-    """Ids of the words seen; unknown words are encoded when they are looked up."""
+    """Ids of the words seen; unknown words are encoded when they are looked up, without the signs they end in and in small letters."""
 
     def __init__(self, own: Encoder) -> None:
         self.own = own
 
     def __missing__(self, word: str) -> bytes:
-        base, marks = self.own.parts(word)
-        ids = self.own.word(word) if base == word else self[base] + (self[marks] if marks else b"")
+        own, base, low = self.own, word.rstrip(self.own.signs), word.lower() if word.isascii() else word
+        if base and base != word and own.letters.issuperset(base):
+            ids = self[base] + self[word[len(base) :]]
+        elif low != word and own.letters.issuperset(word):
+            ids = self[low]
+        else:
+            ids = own.word(word)
         if len(word) <= LONG_WORD:
             self[word] = ids
         return ids
